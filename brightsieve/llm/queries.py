@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from brightsieve.llm import sharding, simhash, url_rules
+from brightsieve.llm import pii, sharding, simhash, url_rules
 
 QUERIES = {
     "op2_url_filters": url_rules.op2_url_filters,
     "op3_sharding": sharding.op3_sharding,
+    "op7_pii": pii.op7_pii,
     "op9_simhash": simhash.op9_simhash,
 }
 
