@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from brightsieve.llm import pii, sharding, simhash, url_rules
+from brightsieve.llm import decontaminate, pii, sharding, simhash, url_rules
 
 QUERIES = {
     "op2_url_filters": url_rules.op2_url_filters,
     "op3_sharding": sharding.op3_sharding,
+    "op4_decontamination": decontaminate.op4_decontamination,
     "op7_pii": pii.op7_pii,
     "op9_simhash": simhash.op9_simhash,
 }
 
-SQL = {**url_rules.SQL}
+SQL = {**decontaminate.SQL, **url_rules.SQL}
