@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from brightsieve.llm import decontaminate, pii, quality, sharding, simhash, url_rules
+from brightsieve.llm import bpe, decontaminate, pii, quality, sharding, simhash, url_rules
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_url_filters": url_rules.op2_url_filters,
     "op3_sharding": sharding.op3_sharding,
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op5_bpe": bpe.op5_bpe,
     "op7_pii": pii.op7_pii,
     "op9_simhash": simhash.op9_simhash,
 }
