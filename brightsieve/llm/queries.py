@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brightsieve.llm import bpe, decontaminate, pii, quality, sharding, simhash, url_rules
+from brightsieve.llm import bpe, decontaminate, pii, quality, records, sharding, simhash, url_rules
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_bpe": bpe.op5_bpe,
     "op7_pii": pii.op7_pii,
+    "op8_records": records.op8_records,
     "op9_simhash": simhash.op9_simhash,
 }
 
