@@ -54,27 +54,43 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def anchors(docs: DataFrame, wins: DataFrame, text_col: str = "text") -> DataFrame:
-    """``term, wid, place, rank, whole``: each window's rarest terms by their count in the corpus.
+    """``term, next, wid, place, bit, whole``: each window's rarest terms by their count in the corpus, and what follows each.
 
-    A window with a term that the corpus lacks can't occur and has no row.
+    A window with a term that the corpus lacks can't occur and has no row. Counts
+    go by the terms' hashes: they only choose among terms.
     """
-    terms = wins.select("wid", "len", F.posexplode("phrase").alias("place", "term"))
-    vocabulary = _small(terms.select("term").distinct())
-    told = docs.select(F.explode(raw_words(F.col(text_col))).alias("w")).select(ascii_lower(F.col("w")).alias("term"))
-    counts = told.join(vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    known = terms.join(counts, "term").groupBy("wid", "len").agg(F.sort_array(F.collect_list(F.struct("n", "place", "term"))).alias("by"))
+    terms = wins.select("wid", "len", "phrase", F.posexplode("phrase").alias("place", "term")).withColumn("h", F.xxhash64("term"))
+    vocabulary = _small(terms.select("h").distinct())
+    told = docs.select(F.explode(raw_words(F.col(text_col))).alias("w")).select(F.xxhash64(ascii_lower(F.col("w"))).alias("h"))
+    counts = told.join(vocabulary, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    known = terms.join(counts, "h").groupBy("wid", "len", "phrase").agg(F.sort_array(F.collect_list(F.struct("n", "place", "term"))).alias("by"))
     known = known.where(F.size("by") == F.col("len"))
-    rare = known.select("wid", F.slice("by", 1, RAREST).alias("by"))
-    return rare.select("wid", F.size("by").alias("k"), F.posexplode("by").alias("rank", "t")).select(
-        F.col("t.term").alias("term"), "wid", F.col("t.place").alias("place"),
+    followed = F.filter("by", lambda t: (t["place"] + 1 < F.col("len")) | (F.col("len") == 1))
+    rare = known.select("wid", "phrase", F.slice(followed, 1, RAREST).alias("by"))
+    return rare.select("wid", "phrase", F.size("by").alias("k"), F.posexplode("by").alias("rank", "t")).select(
+        F.col("t.term").alias("term"), F.get("phrase", F.col("t.place") + 1).alias("next"), "wid", F.col("t.place").alias("place"),
         F.expr("shiftleft(1, rank)").alias("bit"), F.expr("shiftleft(1, k) - 1").alias("whole"),
     )
 
 
 def postings(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index: ``doc_id, th, pos, term`` and the columns of ``terms`` for each occurrence of its terms."""
-    every = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.posexplode(raw_words(F.col(text_col))).alias("pos", "w"))
-    return every.select("doc_id", "th", "pos", ascii_lower(F.col("w")).alias("term")).join(_small(terms), "term")
+    """The index: ``doc_id, th, pos`` and the columns of ``terms`` for each place where a term and what follows it occur.
+
+    A term's list is intersected with that of its successor, shifted by one, as it is read.
+    """
+    held = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), raw_words(F.col(text_col)).alias("w"))
+    pairs = F.posexplode(F.arrays_zip("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("x")))
+    every = held.select("doc_id", "th", pairs.alias("pos", "p")).toDF("doc_id", "th", "pos", "p")
+    every = every.select("doc_id", "th", "pos", ascii_lower(F.col("p.w")).alias("a"), ascii_lower(F.col("p.x")).alias("b"))
+
+    def met(kept: DataFrame, *by: str) -> DataFrame:
+        keyed = _small(kept.withColumn("key", F.xxhash64(*{"a": ["term"], "b": ["term", "next"]}[by[-1]])))
+        same = (F.xxhash64(*by) == F.col("key")) & (F.col("a") == F.col("term"))
+        return every.join(keyed, same & (F.col("b") == F.col("next")) if len(by) > 1 else same).drop("key", "a", "b")
+
+    found = met(terms.where("next is not null"), "a", "b")
+    alone = terms.where("next is null")
+    return found.unionByName(met(alone, "a")) if alone.limit(1).count() else found
 
 
 def candidates(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,27 +101,33 @@ def candidates(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", text_co
     return met.where("seen = whole").select("doc_id", "th", "wid", "start")
 
 
-def matched(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", size: int = WINDOW) -> DataFrame:
-    """``docs`` with ``__n_words, __matches, __n_hit, __items``: exact matches (start, len, items) of each text."""
-    wins = written(windows(benchmark, item_col, "text" if text_col not in benchmark.columns else text_col, size), "windows")
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
+    """``doc_id, th, matches, n_hit, items`` of each text (``th`` is its hash) that holds a window.
+
+    Matches are (start, len, items), in order; n_hit counts the words inside any of them.
+    """
+    wins = written(windows(benchmark, item_col, item_text, size), "windows")
     met = candidates(docs, wins, id_col, text_col).join(_small(wins), "wid")
-    per = met.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "len", "phrase", "items"))).alias("__found"))
-    per = per.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "__found")
-    held = docs.withColumn("__raw", raw_words(F.col(text_col))).withColumn("__n_words", F.size("__raw").cast("long"))
-    held = held.drop("__raw").withColumn("__key", F.xxhash64(text_col))
-    held = held.join(per, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__th")), "left")
-    held = held.withColumn("__w", F.when(F.col("__found").isNotNull(), words(F.col(text_col))))
-    exact = F.filter("__found", lambda c: F.slice(F.col("__w"), c["start"] + 1, c["len"]) == c["phrase"])
-    none = F.array().cast("array<struct<start:int,len:int,items:array<string>>>")
-    held = held.withColumn("__matches", F.coalesce(F.transform(exact, lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"), c["items"].alias("items"))), none))
+    per = met.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "len", "phrase", "items"))).alias("found"))
+    per = written(per.select(F.col("doc_id").alias("cid"), F.col("th").alias("cth"), "found"), "candidates")
+    text = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("cid")) & (F.col("th") == F.col("cth"))
+    keys = per.select("cid", "cth")
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        text = text.join(F.broadcast(keys), same, "left_semi")
+    held = text.dropDuplicates(["doc_id", "th"]).join(per, same)
+    # a lambda's argument holds the words, so that they are cut once for all candidates
+    exact = F.flatten(F.transform(F.array(words(F.col("text"))), lambda w: F.filter("found", lambda c: F.slice(w, c["start"] + 1, c["len"]) == c["phrase"])))
+    held = held.select("doc_id", "th", F.transform(exact, lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"), c["items"].alias("items"))).alias("matches"))
+    held = held.where(F.size("matches") > 0)
     begin = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("hit"))
 
     def cover(acc, m):
         end = F.greatest(acc["end"], m["start"] + m["len"])
         return F.struct(end.alias("end"), (acc["hit"] + end - F.greatest(acc["end"], m["start"])).cast("long").alias("hit"))
 
-    held = held.withColumn("__n_hit", F.aggregate("__matches", begin, cover, lambda acc: acc["hit"]))
-    return held.withColumn("__items", F.sort_array(F.array_distinct(F.flatten(F.transform("__matches", lambda m: m["items"])))))
+    items = F.sort_array(F.array_distinct(F.flatten(F.transform("matches", lambda m: m["items"]))))
+    return written(held.select("doc_id", "th", "matches", F.aggregate("matches", begin, cover, lambda acc: acc["hit"]).alias("n_hit"), items.alias("items")), "matches")
 
 
 def proximity(docs: DataFrame, benchmark: DataFrame, span: int = 2 * WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
@@ -130,18 +152,27 @@ def proximity(docs: DataFrame, benchmark: DataFrame, span: int = 2 * WINDOW, id_
     return spans.select("doc_id", "wid", "s.first", "s.last").distinct()
 
 
+def _same(found: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+    """``found`` under names that clash with none, broadcast if it is small, and how it meets the documents."""
+    other = found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("n_hit").alias("__n_hit"), F.col("items").alias("__items"))
+    return _small(other), F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__th"))
+
+
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return matched(docs.select("doc_id", "text"), bench).select(
-        "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"), F.size("__items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"), (F.col("__n_hit") > 0).alias("contaminated"),
+    found, same = _same(matches(docs, bench))
+    told = docs.select("doc_id", "text").join(found, same, "left")
+    return told.select(
+        "doc_id", F.size(raw_words(F.col("text"))).cast("long").alias("n_words"), F.coalesce("__n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce(F.size("__items"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("__items", ","), F.lit("")), 256).alias("items_sha256"), F.col("__n_hit").isNotNull().alias("contaminated"),
     )
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold any benchmark window go."""
-    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return matched(docs, bench).where("__n_hit = 0").select(docs.columns)
+    found, same = _same(matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    return docs.join(found, same, "left_anti")
 
 
 SQL = {

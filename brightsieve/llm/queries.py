@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brightsieve.llm import bpe, decontaminate, pii, quality, records, sharding, simhash, url_rules
+from brightsieve.llm import bpe, decontaminate, pii, quality, records, sharding, simhash, topk, url_rules
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,9 +10,10 @@ QUERIES = {
     "op3_sharding": sharding.op3_sharding,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_bpe": bpe.op5_bpe,
+    "op6_topk": topk.op6_topk,
     "op7_pii": pii.op7_pii,
     "op8_records": records.op8_records,
     "op9_simhash": simhash.op9_simhash,
 }
 
-SQL = {**decontaminate.SQL, **url_rules.SQL}
+SQL = {**decontaminate.SQL, **topk.SQL, **url_rules.SQL}
