@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brightsieve.llm import bpe, decontaminate, pii, quality, records, sharding, simhash, topk, url_rules
+from brightsieve.llm import bpe, decontaminate, passages, pii, quality, records, sharding, simhash, topk, url_rules
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_records": records.op8_records,
     "op9_simhash": simhash.op9_simhash,
+    "op10_passages": passages.op10_passages,
 }
 
 SQL = {**decontaminate.SQL, **topk.SQL, **url_rules.SQL}
