@@ -2,8 +2,9 @@
 
 A benchmark item becomes windows of ten consecutive words (an item of fewer is
 one window). The corpus counts how often each benchmark term occurs. Every
-window is then looked up by its rarest terms: the index keeps, for those terms,
-their postings (document, position); each posting less the term's place in the
+window is then looked up by its rarest terms: the index holds each document's
+terms (as hashes) by position, and gives, for those terms, their postings
+(document, position); each posting less the term's place in the
 window is a place where the window may begin; and the offset-adjusted lists of
 the rarest terms are intersected there. What the intersection leaves is
 compared word for word, which makes phrase matches exact. ``proximity`` asks
@@ -27,12 +28,21 @@ from brightsieve.llm.base import ascii_lower, written
 WINDOW, RAREST = 10, 3
 #: Terms, or windows' rarest terms, up to this many are broadcast (some 100 MB at most); more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Words before A-Z are lower-cased.
-_RAW = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What separates words.
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def raw_words(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(_RAW), F.lit(0))
+    """The words of a text before A-Z are lower-cased (splitting is several times as fast as extracting)."""
+    parts = F.split(F.coalesce(text.cast("string"), F.lit("")), _BETWEEN, -1)
+    return F.transform(F.array(parts), _inner)[0]
+
+
+def _inner(parts: Column) -> Column:
+    """Without the empty strings that a separator at either end leaves."""
+    lead = F.when(F.get(parts, F.lit(0)) == "", 1).otherwise(0)
+    trail = F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1).otherwise(0)
+    return F.slice(parts, lead + 1, F.size(parts) - lead - trail)
 
 
 def words(text: Column) -> Column:
@@ -53,61 +63,64 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def anchors(docs: DataFrame, wins: DataFrame, text_col: str = "text") -> DataFrame:
+def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index, written to the shared folder: ``doc_id, th, n_words`` and ``h``, the words' 32-bit hashes by position.
+
+    Unlike words whose hashes agree only make candidates, which are compared word for word.
+    """
+    hashes = F.transform(raw_words(F.col(text_col)), lambda w: F.hash(ascii_lower(w)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), hashes.alias("h"))
+    return written(rows.select("doc_id", "th", F.size("h").cast("long").alias("n_words"), "h"), "index")
+
+
+def anchors(tokens: DataFrame, wins: DataFrame) -> DataFrame:
     """``term, next, wid, place, bit, whole``: each window's rarest terms by their count in the corpus, and what follows each.
 
-    A window with a term that the corpus lacks can't occur and has no row. Counts
-    go by the terms' hashes: they only choose among terms.
+    A window with a term that the corpus lacks can't occur and has no row.
     """
-    terms = wins.select("wid", "len", "phrase", F.posexplode("phrase").alias("place", "term")).withColumn("h", F.xxhash64("term"))
+    terms = wins.select("wid", "len", F.posexplode(F.transform("phrase", lambda w: F.hash(w))).alias("place", "h"), F.transform("phrase", lambda w: F.hash(w)).alias("all"))
     vocabulary = _small(terms.select("h").distinct())
-    told = docs.select(F.explode(raw_words(F.col(text_col))).alias("w")).select(F.xxhash64(ascii_lower(F.col("w"))).alias("h"))
-    counts = told.join(vocabulary, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    known = terms.join(counts, "h").groupBy("wid", "len", "phrase").agg(F.sort_array(F.collect_list(F.struct("n", "place", "term"))).alias("by"))
+    counts = tokens.select(F.explode("h").alias("h")).join(vocabulary, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    known = terms.join(counts, "h").groupBy("wid", "len", "all").agg(F.sort_array(F.collect_list(F.struct("n", "place", "h"))).alias("by"))
     known = known.where(F.size("by") == F.col("len"))
     followed = F.filter("by", lambda t: (t["place"] + 1 < F.col("len")) | (F.col("len") == 1))
-    rare = known.select("wid", "phrase", F.slice(followed, 1, RAREST).alias("by"))
-    return rare.select("wid", "phrase", F.size("by").alias("k"), F.posexplode("by").alias("rank", "t")).select(
-        F.col("t.term").alias("term"), F.get("phrase", F.col("t.place") + 1).alias("next"), "wid", F.col("t.place").alias("place"),
+    rare = known.select("wid", "all", F.slice(followed, 1, RAREST).alias("by"))
+    return rare.select("wid", "all", F.size("by").alias("k"), F.posexplode("by").alias("rank", "t")).select(
+        F.col("t.h").alias("term"), F.get("all", F.col("t.place") + 1).alias("next"), "wid", F.col("t.place").alias("place"),
         F.expr("shiftleft(1, rank)").alias("bit"), F.expr("shiftleft(1, k) - 1").alias("whole"),
     )
 
 
-def postings(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index: ``doc_id, th, pos`` and the columns of ``terms`` for each place where a term and what follows it occur.
+def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+    """``doc_id, th, pos`` and the columns of ``terms`` for each place where a term and what follows it occur.
 
     A term's list is intersected with that of its successor, shifted by one, as it is read.
     """
-    held = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), raw_words(F.col(text_col)).alias("w"))
-    pairs = F.posexplode(F.arrays_zip("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("x")))
-    every = held.select("doc_id", "th", pairs.alias("pos", "p")).toDF("doc_id", "th", "pos", "p")
-    every = every.select("doc_id", "th", "pos", ascii_lower(F.col("p.w")).alias("a"), ascii_lower(F.col("p.x")).alias("b"))
-
-    def met(kept: DataFrame, *by: str) -> DataFrame:
-        keyed = _small(kept.withColumn("key", F.xxhash64(*{"a": ["term"], "b": ["term", "next"]}[by[-1]])))
-        same = (F.xxhash64(*by) == F.col("key")) & (F.col("a") == F.col("term"))
-        return every.join(keyed, same & (F.col("b") == F.col("next")) if len(by) > 1 else same).drop("key", "a", "b")
-
-    found = met(terms.where("next is not null"), "a", "b")
+    pairs = F.arrays_zip("h", F.slice("h", 2, F.greatest(F.size("h"), F.lit(1))).alias("x"))
+    every = tokens.select("doc_id", "th", F.posexplode(pairs).alias("pos", "p"))
+    every = every.select("doc_id", "th", "pos", F.col("p").getField("h").alias("a"), F.col("p").getField("x").alias("b"))
+    found = every.join(_small(terms.where("next is not null")), (F.col("a") == F.col("term")) & (F.col("b") == F.col("next")))
     alone = terms.where("next is null")
-    return found.unionByName(met(alone, "a")) if alone.limit(1).count() else found
+    if alone.limit(1).count():
+        found = found.unionByName(every.join(_small(alone), F.col("a") == F.col("term")))
+    return found.drop("a", "b")
 
 
-def candidates(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def candidates(tokens: DataFrame, wins: DataFrame) -> DataFrame:
     """``doc_id, th, wid, start`` where the postings of all of a window's rarest terms meet."""
-    found = postings(docs, written(anchors(docs, wins, text_col), "anchors"), id_col, text_col)
+    found = postings(tokens, written(anchors(tokens, wins), "anchors"))
     at = found.select("doc_id", "th", "wid", (F.col("pos") - F.col("place")).alias("start"), "bit", "whole").where("start >= 0")
     met = at.groupBy("doc_id", "th", "wid", "start", "whole").agg(F.bit_or("bit").alias("seen"))
     return met.where("seen = whole").select("doc_id", "th", "wid", "start")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
+def matches(docs: DataFrame, tokens: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
     """``doc_id, th, matches, n_hit, items`` of each text (``th`` is its hash) that holds a window.
 
-    Matches are (start, len, items), in order; n_hit counts the words inside any of them.
+    ``tokens`` is the ``index`` of ``docs``. Matches are (start, len, items), in order; n_hit counts the words inside any of them.
     """
     wins = written(windows(benchmark, item_col, item_text, size), "windows")
-    met = candidates(docs, wins, id_col, text_col).join(_small(wins), "wid")
+    met = candidates(tokens, wins).join(_small(wins), "wid")
     per = met.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "len", "phrase", "items"))).alias("found"))
     per = written(per.select(F.col("doc_id").alias("cid"), F.col("th").alias("cth"), "found"), "candidates")
     text = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
@@ -137,7 +150,8 @@ def proximity(docs: DataFrame, benchmark: DataFrame, span: int = 2 * WINDOW, id_
     block before, so that terms ``span`` apart at most share a block; blocks are small.
     """
     wins = written(windows(benchmark, item_col), "windows")
-    found = postings(docs, written(anchors(docs, wins, text_col), "anchors"), id_col, text_col)
+    tokens = index(docs, id_col, text_col)
+    found = postings(tokens, written(anchors(tokens, wins), "anchors"))
     block = F.floor(F.col("pos") / span).cast("int")
     dealt = found.select("doc_id", "th", "wid", "pos", "bit", "whole", F.explode(F.array(block, block - 1)).alias("block"))
     lists = dealt.groupBy("doc_id", "th", "wid", "block", "whole").agg(F.sort_array(F.collect_set(F.struct("pos", "bit"))).alias("at"), F.bit_or("bit").alias("seen"))
@@ -152,18 +166,17 @@ def proximity(docs: DataFrame, benchmark: DataFrame, span: int = 2 * WINDOW, id_
     return spans.select("doc_id", "wid", "s.first", "s.last").distinct()
 
 
-def _same(found: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """``found`` under names that clash with none, broadcast if it is small, and how it meets the documents."""
-    other = found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("n_hit").alias("__n_hit"), F.col("items").alias("__items"))
-    return _small(other), F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__th"))
+def _found(found: DataFrame) -> DataFrame:
+    """``found`` under names that clash with none, broadcast if it is small."""
+    return _small(found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("n_hit").alias("__n_hit"), F.col("items").alias("__items")))
 
 
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    found, same = _same(matches(docs, bench))
-    told = docs.select("doc_id", "text").join(found, same, "left")
+    tokens = index(docs)
+    told = tokens.select("doc_id", "th", "n_words").join(_found(matches(docs, tokens, bench)), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left")
     return told.select(
-        "doc_id", F.size(raw_words(F.col("text"))).cast("long").alias("n_words"), F.coalesce("__n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        "doc_id", "n_words", F.coalesce("__n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("__items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("__items", ","), F.lit("")), 256).alias("items_sha256"), F.col("__n_hit").isNotNull().alias("contaminated"),
     )
@@ -171,8 +184,8 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold any benchmark window go."""
-    found, same = _same(matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
-    return docs.join(found, same, "left_anti")
+    found = _found(matches(docs, index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th")), "left_anti")
 
 
 SQL = {
