@@ -182,10 +182,9 @@ def compile_target(target: str, schema: Schema, columns: list[str], overlay: str
             log.warning("rule %s is left out: %s", name, e)
     out = base if base is not None else F.lit(None).cast("string")
     if layers:
-        ranked = layers[::-1] if overlay == "last_wins" else layers
+        # first_wins: later rules, and the source itself, only fill what is empty
+        ranked = layers[::-1] if overlay == "last_wins" else [F.nullif(x, F.lit("")) for x in layers]
         out = F.coalesce(*ranked, out)
-        if overlay == "first_wins":
-            out = F.coalesce(*[F.nullif(x, F.lit("")) for x in ranked], out)
     elif base is not None and not rules and target in PARSED:
         if target in ("address2", "city"):
             out = F.lit(None).cast("string") if strict else strip(base)

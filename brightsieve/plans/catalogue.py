@@ -114,7 +114,7 @@ _rule(
 )
 _OVERLAY = {"a": _PRIORITY | {"regex": "[A-Z]{4,}"}, "b": _PRIORITY | {"condition": "^1", "value": "first"}}
 _rule("r08_overlay_last_wins", "orders", "o_orderkey", _OVERLAY, "CASE WHEN starts_with(o_orderpriority, '1') THEN 'first' ELSE regexp_extract(o_orderpriority, '[A-Z]{4,}') END", {"company": "o_orderpriority"})
-_rule("r08_overlay_first_wins", "orders", "o_orderkey", _OVERLAY, "coalesce(nullif(regexp_extract(o_orderpriority, '[A-Z]{4,}'), ''), CASE WHEN starts_with(o_orderpriority, '1') THEN 'first' END, '')", {"company": "o_orderpriority"}, overlay="first_wins")
+_rule("r08_overlay_first_wins", "orders", "o_orderkey", _OVERLAY, "coalesce(nullif(regexp_extract(o_orderpriority, '[A-Z]{4,}'), ''), CASE WHEN starts_with(o_orderpriority, '1') THEN 'first' END, o_orderpriority)", {"company": "o_orderpriority"}, overlay="first_wins")
 
 
 @query("p01_canonical_projection", f"SELECT row_ix, company, CASE WHEN raw_name IS NOT NULL THEN {o.name_title('fn')} END AS first_name, {o.age_years('raw_ages')} AS min_age, CASE WHEN raw_type <> '' THEN {o.before_hyphen('raw_type', o.V.FACILITY_TYPE, o.V.FACILITY_TYPES)} END AS facility_type, CAST(NULL AS VARCHAR) AS county FROM (SELECT *, regexp_extract({o.strip('raw_name')}, '^([A-Za-z''\\-]+)', 1) AS fn FROM ({o.LEADS}))")

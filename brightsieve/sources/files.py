@@ -36,7 +36,7 @@ def check(path: str) -> None:
 
 
 def sniff_encoding(data: bytes) -> str:
-    """A byte order mark, strict UTF-8, else Windows-1252."""
+    """A byte order mark, strict UTF-8, else Latin-1 (which Spark reads, and which can't fail)."""
     for mark, name in ((codecs.BOM_UTF8, "UTF-8"), (codecs.BOM_UTF16_LE, "UTF-16"), (codecs.BOM_UTF16_BE, "UTF-16")):
         if data.startswith(mark):
             return name
@@ -44,7 +44,7 @@ def sniff_encoding(data: bytes) -> str:
         codecs.getincrementaldecoder("utf-8")().decode(data)
         return "UTF-8"
     except UnicodeDecodeError:
-        return "windows-1252"
+        return "ISO-8859-1"
 
 
 def sniff_delimiter(lines: list[str]) -> str:
