@@ -24,8 +24,10 @@ columns aren't read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,8 @@ from pyspark.sql import functions as F
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 WINDOW, MASK_BITS = 16, 10
-#: Entries of a task's tables of words and chunks, and characters of the chunks held.
-WORDS_HELD, CHUNKS_HELD, CHARS_HELD = 400_000, 8_192, 8_000_000
+#: Entries of a worker's tables of words and chunks, and characters of the chunks held.
+WORDS_HELD, CHUNKS_HELD, CHARS_HELD = 500_000, 8_192, 8_000_000
 #: Characters at least that are given to the table or the library at once.
 STRETCH = 256
 SEPARATOR = " "
@@ -48,6 +50,44 @@ _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9
 _SAFE = re.compile(r"(?<=[ \n\t\r])(?=[A-Za-z0-9])")
 
 
+#: Classes of bytes of plain text: white space, letters, digits (each a word), others.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[list(b"\t\n\r ")] = 0
+_KIND[97:123] = _KIND[128:] = 1
+_KIND[48:58] = 2
+_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+@lru_cache(maxsize=16)
+def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """2^bits powers of an odd number modulo 2^64, and of its inverse."""
+    out = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        p = np.full(1 << bits, b, np.uint64)
+        p[0] = 1
+        with np.errstate(over="ignore"):
+            out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+def _hash(byte: np.ndarray, first: np.ndarray, last: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Hashes of byte[first:last]: polynomials in ``base`` from running sums, then mixed."""
+    up, down = _powers(int(base), len(byte).bit_length())
+    total = np.empty(len(byte) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum((byte.astype(np.uint64) + np.uint64(1)) * up[: len(byte)], out=total[1:])
+    x = (total[last] - total[first]) * down[first]
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(31))
+
+
+def _bare(tokenizer: str) -> str:
+    parts = json.loads(tokenizer)
+    parts["normalizer"] = None
+    parts["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+    return json.dumps(parts)
+
+
 class Pieces:
     """Ids of stretches between safe places, packed as little-endian integers of ``width`` bytes."""
 
@@ -63,6 +103,12 @@ class Pieces:
         #: Two generations of words: a word found in the older one moves to the newer.
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        #: The same by a word's first hash: eight bytes of its second, then the ids.
+        self.hashed: dict[int, bytes] = {}
+        #: For words cut and lower-cased already: the same model, without the regular expressions before it.
+        self.bare = Tokenizer.from_str(_bare(self.tokenizer.to_str()))
+        #: Which ids end a word.
+        self.ending = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.size)])
         table = "Split" in repr(self.tokenizer.pre_tokenizer) and "'s|'t|'re|'ve|'m|'ll|'d" in repr(self.tokenizer.pre_tokenizer)
         lower = "Lowercase" in repr(self.tokenizer.normalizer)
         self.fast = table and lower and self.tokenizer.post_processor is None
@@ -91,21 +137,85 @@ class Pieces:
                 out.append(self._by_words(part) if self._plain(part) else self.library(part))
         return b"".join(out)
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """``ids`` of each text; the words of plain texts are looked up by their hashes, all at once."""
+        # an apostrophe can begin a contraction, which the regular expression sees to
+        easy = [i for i, t in enumerate(texts) if "'" not in t and self._plain(t)]
+        out = dict(zip(easy, self._hashed([texts[i] for i in easy])))
+        return [out[i] if i in out else self.ids(t) for i, t in enumerate(texts)]
+
+    def _hashed(self, texts: list[str]) -> list[bytes]:
+        raw = "\n".join(texts).lower().encode() + b"\n"
+        byte = np.frombuffer(raw, np.uint8)
+        kind = _KIND[byte]
+        ends = np.flatnonzero(byte == 10)
+        if len(ends) != len(texts):  # lines within texts: their own ends are counted instead
+            ends = np.cumsum([len(t.lower().encode()) + 1 for t in texts]) - 1
+        edge = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == 2), True])
+        first, last = edge[:-1], edge[1:]
+        word = kind[first] != 0
+        first, last = first[word], last[word]
+        if not len(first):
+            return [b""] * len(texts)
+        with np.errstate(over="ignore"):
+            one, two = (_hash(byte, first, last, base) for base in _BASES)
+        keys, at, back = np.unique(one, return_index=True, return_inverse=True)
+        if (last - first).max() > 256 or (two != two[at][back]).any():
+            return [self._by_words(t) for t in texts]
+        names = keys.tolist()
+        entries = list(map(self.hashed.get, names))
+        if None in entries:
+            new = [i for i, e in enumerate(entries) if e is None]
+            if len(self.hashed) + len(new) > WORDS_HELD:
+                self.hashed = {k: e for k, e in zip(names, entries) if e is not None}
+            spelt = [raw[s:e].decode() for s, e in zip(first[at[new]].tolist(), last[at[new]].tolist())]
+            packed = two[at[new]].astype("<u8").tobytes()
+            for n, (i, ids) in enumerate(zip(new, self._encoded(spelt))):
+                entries[i] = self.hashed[names[i]] = packed[8 * n : 8 * n + 8] + ids
+        flat = self.unpack(b"".join(entries))
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
+        begins, lead = np.cumsum(sizes) - sizes, 8 // self.width
+        told = flat[(begins[:, None] + np.arange(lead)).ravel()].view("<u8")
+        if (told != two[at]).any():
+            return [self._by_words(t) for t in texts]
+        begins, size = (begins + lead)[back], (sizes - lead)[back]
+        upto = np.cumsum(size)
+        ids = flat[np.repeat(begins - (upto - size), size) + np.arange(upto[-1])].tobytes()
+        cut = (np.r_[0, upto][np.searchsorted(first, ends)] * self.width).tolist()
+        return [ids[s:e] for s, e in zip([0, *cut], cut)]
+
     def _by_words(self, text: str) -> bytes:
         words = _PARTS.findall(text.lower())
         try:
             return b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            missing = {w for w in words if w not in self.words}
+            self._learn(set(words))
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _learn(self, words: set[str]) -> None:
+        """Afterwards the table has all of ``words``."""
         if len(self.words) > WORDS_HELD:
             self.words, self.older = {}, self.words
-            missing = set(words)
+        missing = words.difference(self.words)
         moved = {w: ids for w in missing if (ids := self.older.get(w)) is not None}
-        new = [w for w in missing if w not in moved]
-        made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else []
         self.words.update(moved)
-        self.words.update((w, self.pack(e.ids)) for w, e in zip(new, made))
-        return b"".join(map(self.words.__getitem__, words))
+        new = [w for w in missing if w not in moved]
+        self.words.update(zip(new, self._encoded(new)))
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The library's ids of single words."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 256):
+            some = words[at : at + 256]
+            # one call for many words: each ends with a token that ends a word
+            ids = np.array(self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.ending[ids]) + 1
+            if len(ends) == len(some):
+                cut, packed = (ends * self.width).tolist(), ids.tobytes()
+                out += [packed[a:b] for a, b in zip([0, *cut], cut)]
+            else:
+                out += [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return out
 
 
 _LOADED: dict[str, Pieces] = {}

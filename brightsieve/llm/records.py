@@ -37,6 +37,7 @@ from brightsieve.llm.bpe import pieces, tokenizer_path
 FILE_BYTES = 128 << 20
 #: Bytes that a task holds before it writes or after it reads.
 BUFFER = 4 << 20
+GROUP_CHARS = 2_000_000
 MASK = 0xA282EAD8
 _LENGTH, _SUM = struct.Struct("<Q"), struct.Struct("<I")
 _PAYLOAD = struct.Struct("<?qBI")
@@ -100,6 +101,20 @@ class Writer:
         return self.uri, self.count, self.ids
 
 
+def groups(batch: pa.RecordBatch):
+    """A batch's ids and texts, some two million characters at once."""
+    keys, texts, held = [], [], 0
+    for key, text in zip(batch.column(0), batch.column(1)):
+        keys.append(key.as_py())
+        texts.append(text.as_py() or "")
+        held += len(texts[-1])
+        if held >= GROUP_CHARS:
+            yield keys, texts
+            keys, texts, held = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int, int, int]]:
     """Writes all rows; the manifest: (file, records, ids, ids in all files before), in order."""
 
@@ -109,11 +124,11 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "d
         known, part = pieces(path), TaskContext.get().partitionId()
         end, out, made = known.pack([end_id]), None, []
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                for key, text in zip(batch.column(0).slice(at, 64).to_pylist(), batch.column(1).slice(at, 64).to_pylist()):
+            for keys, texts in groups(batch):
+                for key, packed in zip(keys, known.many(texts)):
                     if out is None:
                         out = Writer(folder, f"{part:06d}-{len(made):04d}-{uuid.uuid4().hex[:12]}")
-                    out.add(key, known.ids(text or "") + end, known.width)
+                    out.add(key, packed + end, known.width)
                     if out.offset >= FILE_BYTES:
                         made.append(out.close())
                         out = None
