@@ -1,40 +1,15 @@
-"""Helpers that the operators share: the shared folder, written tables, ASCII lower case."""
+"""Helpers that the operators share: written tables (from ``brightsieve.storage``) and ASCII lower case."""
 
 from __future__ import annotations
 
 import string
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from brightsieve.storage import new_path, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
-
-    Where the setting is absent (local tests) a temporary folder is set once per session.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    held = spark.sparkContext.getCheckpointDir()
-    if not held:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="brightsieve-"))
-        held = spark.sparkContext.getCheckpointDir()
-    return held.rstrip("/")
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/brightsieve/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str = "table") -> DataFrame:
-    """``df`` written once to the shared folder and read again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, what)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["ascii_lower", "new_path", "shared_dir", "written"]
 
 
 def ascii_lower(text: Column) -> Column:

@@ -151,7 +151,8 @@ def proximity(docs: DataFrame, benchmark: DataFrame, span: int = 2 * WINDOW, id_
     """
     wins = written(windows(benchmark, item_col), "windows")
     tokens = index(docs, id_col, text_col)
-    found = postings(tokens, written(anchors(tokens, wins), "anchors"))
+    terms = written(anchors(tokens, wins).withColumn("next", F.lit(None).cast("int")), "anchors")  # whatever follows them
+    found = postings(tokens, terms)
     block = F.floor(F.col("pos") / span).cast("int")
     dealt = found.select("doc_id", "th", "wid", "pos", "bit", "whole", F.explode(F.array(block, block - 1)).alias("block"))
     lists = dealt.groupBy("doc_id", "th", "wid", "block", "whole").agg(F.sort_array(F.collect_set(F.struct("pos", "bit"))).alias("at"), F.bit_or("bit").alias("seen"))

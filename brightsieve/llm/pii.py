@@ -234,5 +234,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without personal data."""
-    return redact(docs)
+    """Pipeline stage: texts without personal data, ``n_chars`` being their new length."""
+    clean = redact(docs)
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars")) if "n_chars" in docs.columns else clean

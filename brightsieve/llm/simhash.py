@@ -230,6 +230,6 @@ def op9_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays."""
-    kept = components(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
+    """Pipeline stage: of each component the document with the smallest id stays, as do rows without an id."""
+    kept = components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").union(docs.where("doc_id is null"))
