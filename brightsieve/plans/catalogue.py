@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +13,7 @@ from brightsieve.plans import leads, mapping, oracle as o, relational
 from brightsieve.plans.pipeline import union_all
 from brightsieve.session import table
 from brightsieve.sources import files, store
+from brightsieve.storage import new_path
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -298,13 +296,10 @@ def c01(spark, sf_dir):
 
 @query("s01_csv_roundtrip", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, 'a;b' AS note FROM nation")
 def s01(spark, sf_dir):
-    """S2, S5 over a file that the driver writes: 25 rows of a fixed table."""
-    path = os.path.join(tempfile.mkdtemp(), "nation.csv")
-    with open(path, "w") as f:
-        f.write("n_nationkey;n_name;note\n")
-        f.writelines(f'{r.n_nationkey};{r.n_name};"a;b"\n' for r in table(spark, sf_dir, "nation").collect())
-    df = files.read_csv(spark, path, lineage=False)
-    return spark.createDataFrame(df.collect(), df.schema)
+    """Written to the shared folder with semicolons, read with the delimiter sniffed."""
+    path = new_path(spark, "nation-csv")
+    table(spark, sf_dir, "nation").select(F.col("n_nationkey"), "n_name", F.lit("a;b").alias("note")).write.option("header", True).option("sep", ";").csv(path)
+    return files.read_csv(spark, path, lineage=False, through_spark=True)
 
 
 for _name, (_spark_sql, _duck_sql) in relational.SQL_QUERIES.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import csv
 import fnmatch
 import logging
 import os
@@ -64,20 +65,25 @@ def nulled(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str | None = None, delimiter: str | None = None, quote: str = '"', escape: str | None = None, skip_rows: int = 0, lineage: bool = True, strings: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, encoding: str | None = None, delimiter: str | None = None, quote: str = '"', escape: str | None = None, skip_rows: int = 0, lineage: bool = True, strings: bool = True, through_spark: bool = False) -> DataFrame:
     """A CSV file as strings, in parallel; lines with too many fields are left out.
 
-    With lineage, ``_source_file`` and ``_extraction_time`` are added.
+    With lineage, ``_source_file`` and ``_extraction_time`` are added. ``through_spark``
+    (and any path with a scheme) sniffs by Spark's reader: folders and remote stores.
     """
-    check(path)
-    data = _head(path)
-    encoding = encoding or sniff_encoding(data)
-    lines = data.decode(encoding, "replace").splitlines()[skip_rows:]
+    if through_spark or "://" in path:
+        encoding = encoding or "UTF-8"
+        lines = [r.value for r in spark.read.option("encoding", encoding).text(path).limit(5 + skip_rows).collect()][skip_rows:]
+    else:
+        check(path)
+        data = _head(path)
+        encoding = encoding or sniff_encoding(data)
+        lines = data.decode(encoding, "replace").splitlines()[skip_rows:]
     delimiter = delimiter or sniff_delimiter(lines)
     reader = spark.read.option("header", skip_rows == 0).option("sep", delimiter).option("quote", quote).option("escape", escape or quote).option("encoding", encoding)
     reader = reader.option("multiLine", True).option("mode", "DROPMALFORMED").option("enforceSchema", True).option("inferSchema", False)
     if skip_rows:
-        names = next(iter(__import__("csv").reader(lines[:1], delimiter=delimiter, quotechar=quote)), [])
+        names = next(csv.reader(lines[:1], delimiter=delimiter, quotechar=quote), [])
         text = spark.read.option("encoding", encoding).text(path, lineSep="\n")
         rows = text.withColumn("__n", F.monotonically_increasing_id()).where(F.col("__n") > skip_rows)
         df = rows.select(F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": delimiter, "quote": quote}).alias("r")).select("r.*")
@@ -101,7 +107,7 @@ def extract(spark: SparkSession, folder: str, pattern: str = "*", registry: Regi
         try:
             if path.endswith(".csv"):
                 c = registry.match(name) if registry else None
-                found[name] = read_csv(spark, path, *( (c.encoding, c.delimiter, '"', None, c.skip_rows) if c else () ))
+                found[name] = read_csv(spark, path, *((c.encoding, c.delimiter, '"', None, c.skip_rows) if c else ()))
             else:
                 for sheet in sheet_names(path):
                     df = read_sheet(spark, path, sheet)
