@@ -10,9 +10,9 @@ information over the corpus reaches a share of what e itself tells,
 n(t,e) and n(e) count different contexts (the 160 characters on either side),
 or the different texts that hold them if those are fewer, so that neither copies
 of one document nor repeats within it are fresh evidence; n(t) counts the
-different texts of the whole corpus that hold t, N all different texts. Pairs
-with fewer than SUPPORT contexts say nothing. In every context of e, such a
-term is generalised, or removed where it gives e away almost fully.
+documents of the whole corpus that hold t, N all documents. Pairs with fewer
+than SUPPORT contexts say nothing. In every context of e, such a term is
+generalised, or removed where it gives e away almost fully.
 
 All of it is DataFrame functions; Java's regular expressions are written so
 that no text makes them backtrack over a long run or recurse. Defined cases: a
@@ -46,7 +46,7 @@ IP_PARTS = rf"^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$"
 TERM = r"\p{L}{4,}"
 
 REACH, SUPPORT, DISCLOSE, REMOVE = 160, 3, 0.9, 0.98
-#: Disclosing terms up to this many are broadcast to the pass that counts them; more are joined by shuffle.
+#: Terms up to this many are broadcast to the pass that counts them; with more, all terms are counted.
 BROADCAST_TERMS = 200_000
 
 _SPANS = "array<struct<start:int,end:int,hit:string>>"
@@ -153,19 +153,23 @@ def disclosing(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Dat
     seen = found.where(F.size("near") > 0).select("th", F.explode("near").alias("n")).select("th", "n.entity", "n.context", "n.terms")
     evidence = F.least(F.count_distinct("context"), F.count_distinct("th"))
     once = seen.select("th", "entity", "context", F.explode(F.array_distinct(F.transform("terms", lambda t: t["hit"]))).alias("term"))
-    joint = written(once.groupBy("entity", "term").agg(evidence.alias("n_te")).where(F.col("n_te") >= SUPPORT), "joint")
+    joint = once.groupBy("entity", "term").agg(evidence.alias("n_te")).where(F.col("n_te") >= SUPPORT)
     per_entity = seen.groupBy("entity").agg(evidence.alias("n_e"))
+    total = found.count()
+    n = F.lit(float(max(total, 1)))
+    # a pair needs n(t) <= n(t,e) (N / n(e))^(1 - DISCLOSE); the texts whose contexts hold t are a lower
+    # bound of n(t) that common words exceed, so that few terms are left to count in the corpus
+    around = once.groupBy("term").agg(F.count_distinct("th").alias("c_t"))
+    able = joint.join(per_entity, "entity").join(around, "term")
+    joint = written(able.where(F.col("c_t") <= F.col("n_te") * F.pow(n / F.col("n_e"), F.lit(1 - DISCLOSE)) * (1 + 1e-9)).drop("c_t"), "joint")
     wanted = joint.select("term").distinct()
+    # a document's terms are made distinct where it is read: only counts are shuffled
+    held = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), F.lit(TERM), F.lit(0)))
+    every = docs.select(F.explode(held).alias("term"))
     if wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-        wanted = F.broadcast(wanted)
-    words = docs.select(
-        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("th"),
-        F.explode(F.regexp_extract_all(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(TERM), F.lit(0))).alias("w"),
-    ).select("th", F.lower("w").alias("term"))
-    per_term = words.join(wanted, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = found.select("th").distinct().count()
-    told = joint.join(per_entity, "entity").join(per_term, "term")
-    n = F.lit(float(max(total, 1)))
+        every = every.join(F.broadcast(wanted), "term", "left_semi")
+    per_term = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    told = joint.join(per_term, "term")
     pmi = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e").cast("double")))
     info = F.log2(n / F.col("n_e"))
     return told.where(info > 0).select("entity", "term", (pmi / info).alias("ratio")).where(F.col("ratio") >= DISCLOSE)
