@@ -79,8 +79,10 @@ def anchors(tokens: DataFrame, wins: DataFrame) -> DataFrame:
     A window with a term that the corpus lacks can't occur and has no row.
     """
     terms = wins.select("wid", "len", F.posexplode(F.transform("phrase", lambda w: F.hash(w))).alias("place", "h"), F.transform("phrase", lambda w: F.hash(w)).alias("all"))
-    vocabulary = _small(terms.select("h").distinct())
-    counts = tokens.select(F.explode("h").alias("h")).join(vocabulary, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary, every = terms.select("h").distinct(), tokens.select(F.explode("h").alias("h"))
+    if vocabulary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        every = every.join(F.broadcast(vocabulary), "h", "left_semi")
+    counts = every.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     known = terms.join(counts, "h").groupBy("wid", "len", "all").agg(F.sort_array(F.collect_list(F.struct("n", "place", "h"))).alias("by"))
     known = known.where(F.size("by") == F.col("len"))
     followed = F.filter("by", lambda t: (t["place"] + 1 < F.col("len")) | (F.col("len") == 1))
