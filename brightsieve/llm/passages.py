@@ -14,7 +14,10 @@ one of which lies inside any passage of 50 words; a line of fewer words that
 very many texts share thus brings few of them together. So that a group of m
 windows leaves no m^2 pairs, each is paired with the first of its group. Pairs
 with places near each other become one (an interval join), and what the two
-texts have around the places is compared shingle by shingle.
+texts have around the places is compared shingle by shingle. Of a group in which
+a pair fails, all members are compared that share enough shingles for a passage
+and aren't tied yet (a prefix filter over the group's rare shingles), so that
+its links don't depend on which text comes first.
 
 Repeats of a group are paired within a batch before the shuffle, so that a
 passage in a third of all texts sends a few rows per batch, not one per text.
@@ -119,11 +122,18 @@ def compact_windows(values: np.ndarray, starts: np.ndarray, least: int):
 _WINDOW = "key long, sig long, node long, place int, other long, there int"
 
 
+def _group(key, sig, half):
+    """The names of the groups of (key, left half of sig) and of (key, right half)."""
+    by = (sig >> 32 if half == 0 else sig) & 0xFFFFFFFF
+    with np.errstate(over="ignore"):
+        return _mix(key.view(np.uint64) + _mix(by.astype(np.uint64) * np.uint64(2) + np.uint64(half))).view(np.int64)
+
+
 def _stars(key, sig, node, place):
-    """Pairs (first, row) that tie each group together: of (key, left half of sig) and of (key, right half)."""
+    """Pairs (first, row) that tie each group together, and the half of sig by which each pair met."""
     left, right = sig >> 32, sig & 0xFFFFFFFF
-    a, b = [], []
-    for by in (left, right):
+    a, b, halves = [], [], []
+    for half, by in enumerate((left, right)):
         order = np.lexsort((place, node, by, key))
         k = key[order]
         s = by[order]
@@ -132,7 +142,8 @@ def _stars(key, sig, node, place):
         odd = node[order] != node[head]
         a.append(head[odd])
         b.append(order[odd])
-    return np.concatenate(a), np.concatenate(b)
+        halves.append(np.full(odd.sum(), half))
+    return np.concatenate(a), np.concatenate(b), np.concatenate(halves)
 
 
 def _table(key, sig, node, place, other, there) -> pa.RecordBatch:
@@ -183,7 +194,10 @@ def _windows(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def candidate_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``a, ca, b, cb``: pairs of texts (a < b) and places of a shingle that windows of both have as their least."""
+    """``left, right, a, ca, b, cb``: pairs of texts (a < b) and places of a shingle that windows of both have as their least.
+
+    ``left`` and ``right`` name the groups in which the pair met, null where it didn't meet by that side.
+    """
 
     def run(batches):
         kept = None
@@ -191,7 +205,8 @@ def candidate_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
             key, sig, node, place, other, there = (batch.column(i).to_numpy() for i in range(6))
             ready = there >= 0
             if ready.any():
-                yield _pairs(node[ready], place[ready], other[ready], there[ready])
+                k, g = key[ready] ^ other[ready], sig[ready]
+                yield _pairs(pa.array(_group(k, g, 0)), pa.array(_group(k, g, 1)), node[ready], place[ready], other[ready], there[ready])
             rows = [x[~ready] for x in (key, sig, node, place)]
             old = 0
             if kept is not None:
@@ -200,23 +215,28 @@ def candidate_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 continue
             # the last key goes on in the next batch; of a long group the firsts stay to be paired with
             closed = rows[0] != rows[0][-1]
-            a, b = _stars(*rows)
-            a, b = a[b >= old], b[b >= old]  # what was kept sorts first and is paired already
-            yield _pairs(rows[2][a], rows[3][a], rows[2][b], rows[3][b])
+            a, b, half = _stars(*rows)
+            a, b, half = a[b >= old], b[b >= old], half[b >= old]  # what was kept sorts first and is paired already
+            left, right = (pa.array(_group(rows[0][b], rows[1][b], h), mask=half != h) for h in (0, 1))
+            yield _pairs(left, right, rows[2][a], rows[3][a], rows[2][b], rows[3][b])
             kept = [x[~closed] for x in rows]
             if len(kept[0]) > 4096:
                 by_sig = [np.unique(s, return_index=True)[1] for s in (kept[1] >> 32, kept[1] & 0xFFFFFFFF)]
                 stay = np.unique(np.r_[0, by_sig[0], by_sig[1]])
                 kept = [x[stay] for x in kept]
 
-    def _pairs(a, ca, b, cb):
+    def _pairs(left, right, a, ca, b, cb):
         swap = a > b
         cols = [np.where(swap, b, a), np.where(swap, cb, ca).astype(np.int32), np.where(swap, a, b), np.where(swap, ca, cb).astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "ca", "b", "cb"])
+        return pa.RecordBatch.from_arrays([left, right, *(pa.array(c) for c in cols)], ["left", "right", "a", "ca", "b", "cb"])
 
     rows = _windows(docs, text_col).repartition("key").sortWithinPartitions("key", "node", "place")
-    found = rows.mapInArrow(run, "a long, ca int, b long, cb int").where("a != b")
-    return found.groupBy("a", "b", F.floor(F.col("ca") / NEAR).alias("at")).agg(F.min(F.struct("ca", "cb")).alias("c")).select("a", "c.ca", "b", "c.cb")
+    return rows.mapInArrow(run, "left long, right long, a long, ca int, b long, cb int").where("a != b")
+
+
+def places(met: DataFrame) -> DataFrame:
+    """``a, ca, b, cb``: one of the pairs of places that lie near each other."""
+    return met.groupBy("a", "b", F.floor(F.col("ca") / NEAR).alias("at")).agg(F.min(F.struct("ca", "cb")).alias("c")).select("a", "c.ca", "b", "c.cb")
 
 
 def alike(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int] | None:
@@ -263,9 +283,8 @@ def similar(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int] | None:
     return None
 
 
-def _parts(docs: DataFrame, chosen: DataFrame, text_col: str) -> DataFrame:
-    """``id, side, begin, part``: for each pair and side the shingles around its place (32-bit hashes)."""
-    asked = chosen.select("id", F.lit(0).alias("side"), F.col("a").alias("pn"), F.col("ca").alias("c")).union(chosen.select("id", F.lit(1), "b", "cb"))
+def _parts(docs: DataFrame, asked: DataFrame, text_col: str) -> DataFrame:
+    """``id, side, begin, part``: for each row of ``asked`` (id, side, pn, c) the shingles around its place (32-bit hashes)."""
     nodes = asked.select("pn").distinct()
     text = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("string").alias("text"))
     if nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
@@ -305,30 +324,111 @@ def _verified(docs: DataFrame, chosen: DataFrame, text_col: str) -> DataFrame:
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64()] + [pa.int32()] * 4)], ["id", "a_from", "a_to", "b_from", "b_to"])
 
-    parts = _parts(docs, chosen, text_col).repartition("id").sortWithinPartitions("id", "side")
+    asked = chosen.select("id", F.lit(0).alias("side"), F.col("a").alias("pn"), F.col("ca").alias("c")).union(chosen.select("id", F.lit(1), "b", "cb"))
+    parts = _parts(docs, asked, text_col).repartition("id").sortWithinPartitions("id", "side")
     found = parts.mapInArrow(verify, "id long, a_from int, a_to int, b_from int, b_to int")
     return written(chosen.select("id", "a", "b").join(found, "id").drop("id"), "verified")
 
 
+def within(parts: list[np.ndarray]):
+    """(i, j, passages) that connect the parts of one group as all its pairs would.
+
+    Like passages share 41 places or more, hence as many different shingles less the repeats
+    of a part. Two parts with t in common share one of the n - t + 1 rarest of either.
+    """
+    own = [np.unique(p) for p in parts]
+    need = int(np.ceil(2 * SIMILAR / (1 + SIMILAR) * (PASSAGE - SHINGLE + 1) - 1e-9))
+    need = max(1, need - max(len(p) - len(o) for p, o in zip(parts, own)))
+    _, name, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    ends = np.cumsum([len(o) for o in own])
+    root, held = np.arange(len(parts)), {}
+    for i, end in enumerate(ends):
+        mine = name[end - len(own[i]) : end]
+        rare = mine[np.lexsort((mine, times[mine]))][: max(len(mine) - need + 1, 0)]
+        rare = rare[times[rare] > 1].tolist()
+        met = [held[g] for g in rare if g in held]
+        for j in np.unique(np.concatenate([np.array(m) for m in met])).tolist() if met else ():
+            if root[i] == root[j] or len(np.intersect1d(own[i], own[j], assume_unique=True)) < need:
+                continue
+            found = similar(parts[j], parts[i])
+            if found:
+                root[root == root[i]] = root[j]
+                yield j, i, found
+        for g in rare:
+            held.setdefault(g, []).append(i)
+
+
+def _failed_groups(met: DataFrame, found: DataFrame) -> DataFrame:
+    """``g, node, place``: members of the groups of three or more in which a pair has no verified link; one group of equals."""
+    done = found.select("a", "b").distinct().withColumn("done", F.lit(True))
+    told = met.join(done, ["a", "b"], "left").withColumn("g", F.explode(F.array_compact(F.array("left", "right"))))
+    missed = told.groupBy("g").agg(F.count_if(F.col("done").isNull()).alias("missed"), F.count(F.lit(1)).alias("n")).where("missed > 0 and n > 1").select("g")
+    told = told.join(missed, "g", "left_semi")
+    members = told.select("g", F.col("a").alias("node"), F.col("ca").alias("place")).union(told.select("g", "b", "cb"))
+    members = written(members.groupBy("g", "node", F.floor(F.col("place") / NEAR).alias("at")).agg(F.min("place").alias("place")), "members")
+    same = members.groupBy("g").agg(F.sum(F.xxhash64("node", "at").cast("decimal(38,0)")).alias("set"), F.count(F.lit(1)).alias("n"))
+    one = same.groupBy("set", "n").agg(F.min("g").alias("g")).select("g")
+    return members.join(one, "g", "left_semi").select("g", "node", "place")
+
+
+def _regrouped(docs: DataFrame, members: DataFrame, text_col: str) -> DataFrame:
+    """Links as of ``links`` within the groups of ``members``."""
+    members = written(members.withColumn("id", F.monotonically_increasing_id()), "groups")
+
+    def run(batches):
+        g, rows = None, []
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] != g:
+                    out += told(rows)
+                    g, rows = row[0], []
+                rows.append(row[1:])
+            yield table(out)
+        yield table(told(rows))
+
+    def told(rows):
+        for i, j, (x, to, y, end) in within([np.frombuffer(r[2], np.uint32) for r in rows]) if rows else ():
+            (a, at, _), (b, there, _) = rows[i], rows[j]
+            if a != b:
+                ends = (at + x, at + to + SHINGLE - 1), (there + y, there + end + SHINGLE - 1)
+                yield (a, b, *ends[0], *ends[1]) if a < b else (b, a, *ends[1], *ends[0])
+
+    def table(rows):
+        cols = list(zip(*rows)) or [()] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 2 + [pa.int32()] * 4)], ["a", "b", "a_from", "a_to", "b_from", "b_to"])
+
+    asked = members.select("id", F.lit(0).alias("side"), F.col("node").alias("pn"), F.col("place").alias("c"))
+    parts = _parts(docs, asked, text_col).join(members.select("id", "g", "node"), "id").select("g", "node", "begin", "part")
+    parts = parts.repartition("g").sortWithinPartitions("g", "node", "begin")
+    return written(parts.mapInArrow(run, "a long, b long, a_from int, a_to int, b_from int, b_to int"), "regrouped")
+
+
 def links(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``a, b, a_from, a_to, b_from, b_to``: verified near-duplicate passages (places in words) of texts a and b.
 
-    Together the rows connect what all pairs would. One place of each pair of texts is
-    compared first; the others are where that finds no like passages.
+    Together the rows connect what the pairs of every group would. One place of each pair of texts is
+    compared first; the others are where that finds no like passages; then groups in which a pair failed.
     """
-    pairs = written(candidate_pairs(docs, text_col).withColumn("id", F.monotonically_increasing_id()), "pairs")
+    met = written(candidate_pairs(docs, text_col), "met")
+    pairs = written(places(met).withColumn("id", F.monotonically_increasing_id()), "pairs")
     first = pairs.groupBy("a", "b").agg(F.min(F.struct("ca", "cb", "id")).alias("c")).select("a", "c.ca", "b", "c.cb", "c.id")
     found = _verified(docs, written(first, "first"), text_col)
     rest = pairs.join(first.select("id"), "id", "left_anti").join(found.select("a", "b"), ["a", "b"], "left_anti")
     rest = written(rest, "rest")
-    return found.unionByName(_verified(docs, rest, text_col)) if rest.limit(1).count() else found
+    found = found.unionByName(_verified(docs, rest, text_col)) if rest.limit(1).count() else found
+    members = written(_failed_groups(met, found), "failed")
+    if not members.limit(1).count():
+        return found
+    more = _regrouped(docs, members, text_col)
+    return found.unionByName(more.join(found.select("a", "b"), ["a", "b"], "left_anti"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id, n_links, n_copies`` for every row of ``docs``.
 
     ``class_id`` is the least doc_id that verified links and equal texts reach, ``n_links`` the
-    number of links that the row's text has with other texts, ``n_copies`` the rows with its text.
+    number of verified links that the row's text has with other texts (those that tie its class, not all pairs), ``n_copies`` the rows with its text.
     """
     found = written(links(docs, text_col).groupBy("a", "b").agg(F.count(F.lit(1)).alias("passages")), "links")
     ids = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("node")), "ids")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from brightsieve.llm import passages as P
 
@@ -71,3 +72,24 @@ def test_edges(docs, texts, nothing):
     by = {r.doc_id: r for r in rows}
     assert by[11].class_id == by[12].class_id == by[1].class_id == 1 and by[10].class_id == by[9].class_id == 9
     assert all(by[i].class_id == i and by[i].n_links == 0 for i in (3, 4, 5, 6, 7, 8, 13)) and by[1].n_copies == 3
+
+
+def by_node(spark, texts):
+    """The rows (doc_id, text) in the order of the hashes that name them."""
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("h", F.xxhash64("text"))
+    return [r.text for r in df.orderBy("h").collect()]
+
+
+def test_an_excerpt_at_the_head_of_a_group_hides_no_links(spark):
+    rng = random.Random(7)
+    say = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    shared = say(50)
+    few = [" ".join(say(60) + shared[:49] + say(60)) for _ in range(40)]
+    head = by_node(spark, few)[0]
+    whole = [" ".join(say(60) + shared + say(60)) for _ in range(30)]
+    whole = [t for t in by_node(spark, [head, *whole]) if t != head]
+    ordered = by_node(spark, [head, *whole])
+    assert ordered[0] == head  # 49 words of the passage come first in the groups
+    df = spark.createDataFrame(list(enumerate(ordered)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in P.classes(df).collect()}
+    assert got[0] == 0 and {got[i] for i in range(1, len(ordered))} == {1}
