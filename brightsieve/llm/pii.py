@@ -10,7 +10,7 @@ information over the corpus reaches a share of what e itself tells,
 n(t,e) and n(e) count different contexts (the 160 characters on either side),
 or the different texts that hold them if those are fewer, so that neither copies
 of one document nor repeats within it are fresh evidence; n(t) counts the
-documents of the whole corpus that hold t, N all documents. Pairs with fewer
+different texts of the whole corpus that hold t, N all of them. Pairs with fewer
 than SUPPORT contexts say nothing. In every context of e, such a term is
 generalised, or removed where it gives e away almost fully.
 
@@ -155,7 +155,7 @@ def disclosing(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Dat
     once = seen.select("th", "entity", "context", F.explode(F.array_distinct(F.transform("terms", lambda t: t["hit"]))).alias("term"))
     joint = once.groupBy("entity", "term").agg(evidence.alias("n_te")).where(F.col("n_te") >= SUPPORT)
     per_entity = seen.groupBy("entity").agg(evidence.alias("n_e"))
-    total = found.count()
+    total = found.select("th").distinct().count()
     n = F.lit(float(max(total, 1)))
     # a pair needs n(t) <= n(t,e) (N / n(e))^(1 - DISCLOSE); the texts whose contexts hold t are a lower
     # bound of n(t) that common words exceed, so that few terms are left to count in the corpus
@@ -163,12 +163,13 @@ def disclosing(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Dat
     able = joint.join(per_entity, "entity").join(around, "term")
     joint = written(able.where(F.col("c_t") <= F.col("n_te") * F.pow(n / F.col("n_e"), F.lit(1 - DISCLOSE)) * (1 + 1e-9)).drop("c_t"), "joint")
     wanted = joint.select("term").distinct()
-    # a document's terms are made distinct where it is read: only counts are shuffled
-    held = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), F.lit(TERM), F.lit(0)))
-    every = docs.select(F.explode(held).alias("term"))
+    # a document's terms are made distinct where it is read; copies are dropped by hash: no texts are shuffled
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    held = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    every = docs.select(F.xxhash64(text).alias("th"), F.explode(held).alias("term"))
     if wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
         every = every.join(F.broadcast(wanted), "term", "left_semi")
-    per_term = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    per_term = every.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     told = joint.join(per_term, "term")
     pmi = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e").cast("double")))
     info = F.log2(n / F.col("n_e"))

@@ -63,3 +63,11 @@ def test_redaction(spark, docs, texts):
     out = pii.stage(spark, docs, "")
     assert out.columns == docs.columns and sorted(str((r.doc_id, r.text)) for r in out.collect()) == sorted(str(t) for t in texts)
     assert out.where(F.col("text").isNull() & F.col("n_chars").isNotNull()).count() == 0
+
+
+def test_copies_dilute_no_term(spark):
+    rows = [(i, f"Zorblatt wrote number {i} for z@ex.org again") for i in range(5)]
+    rows += [(10 + i, rows[0][1]) for i in range(300)]
+    rows += [(1000 + i, f"nothing wrote again number {i}") for i in range(300)]
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all([t[s.start : s.end] for s in found[i].terms] == ["Zorblatt"] for i, t in rows[:305])
