@@ -239,47 +239,90 @@ def places(met: DataFrame) -> DataFrame:
     return met.groupBy("a", "b", F.floor(F.col("ca") / NEAR).alias("at")).agg(F.min(F.struct("ca", "cb")).alias("c")).select("a", "c.ca", "b", "c.cb")
 
 
-def alike(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int] | None:
-    """The longest passage of x (from, to) and its like in y, if long enough and similar; places in shingles."""
+#: A passage of n shingles with m in common has m / (2n - m) >= SIMILAR if m gains no less than the others cost.
+COST = 2 * SIMILAR / (1 + SIMILAR)
+#: Places in common may lie on diagonals (place in x less place in y) so far apart; a passage has fewer words put in or left out.
+BAND = 16
+
+
+def _runs(shared: np.ndarray):
+    """Runs (from, to) of a passage's length or more that begin and end with a shared shingle and share enough, long ones of each end."""
     least = PASSAGE - SHINGLE + 1
-    if min(len(x), len(y)) < least:
-        return None
-    shared = np.isin(x, y)
-    # a passage of n shingles with m in common has m / (2n - m) >= SIMILAR if m gains no less than the others cost
-    cost = 2 * SIMILAR / (1 + SIMILAR)
-    total = np.r_[0.0, np.cumsum(np.where(shared, 1 - cost, -cost))] + 1e-9 * np.arange(len(x) + 1)
-    floor = np.minimum.accumulate(total)
-    able = np.flatnonzero(total[least:] >= floor[: len(total) - least]) + least
-    for end in able[::-1][:1] if len(able) else ():
-        begin = int(np.argmax(total[: end - least + 1] <= total[end]))
-        while begin < end and not shared[begin]:
-            begin += 1
-        end = int(end)
-        while end > begin and not shared[end - 1]:
-            end -= 1
-        where = np.flatnonzero(np.isin(y, x[begin:end]))
-        first, last = int(where[0]), int(where[-1]) + 1
-        own, other = np.unique(x[begin:end]), np.unique(y[first:last])
-        both = len(np.intersect1d(own, other, assume_unique=True))
-        if end - begin >= least and both >= SIMILAR * (len(own) + len(other) - both):
-            return begin, end, first, last
+    total = np.r_[0.0, np.cumsum(np.where(shared, 1 - COST, -COST))] + 1e-9 * np.arange(len(shared) + 1)
+    start = np.where(shared, total[:-1], np.inf)
+    if len(shared) < least:
+        return
+    floor = np.minimum.accumulate(start)
+    ends = np.flatnonzero(shared[least - 1 :] & (total[least:] >= floor[: len(shared) - least + 1])) + least
+    for end in ends[::-1].tolist():
+        yield int(np.argmax(start[: end - least + 1] <= total[end])), end
+
+
+def _agree(x: np.ndarray, y: np.ndarray) -> bool:
+    own, other = np.unique(x), np.unique(y)
+    both = len(np.intersect1d(own, other, assume_unique=True))
+    return both >= SIMILAR * (len(own) + len(other) - both)
+
+
+def _aligned(x, y, at, to):
+    """The first like passages among the matches (at in x, to in y), from runs of x and the runs of y that answer them."""
+    shared = np.zeros(len(x), bool)
+    shared[at] = True
+    tried = set()
+    for begin, end in _runs(shared):
+        if begin in tried:  # a shorter run of the same beginning is tried by windows
+            continue
+        tried.add(begin)
+        for first in (begin, *range(begin + 1, max(begin + 1, end - 2 * PASSAGE), PASSAGE // 2)):
+            last = end if first == begin else min(end, first + 2 * PASSAGE)
+            inside = (at >= first) & (at < last)
+            answer = np.zeros(len(y), bool)
+            answer[to[inside]] = True
+            where = np.flatnonzero(answer)
+            if last - first < PASSAGE - SHINGLE + 1 or not len(where):
+                continue
+            whole = int(where[0]), int(where[-1]) + 1
+            for low, high in (whole, *list(_runs(answer))[:1]):
+                if _agree(x[first:last], y[low:high]):
+                    return first, last, low, high
+                held = np.flatnonzero(inside & (to >= low) & (to < high))
+                if len(held):  # x cut to what this range of y answers
+                    f, t = int(at[held].min()), int(at[held].max()) + 1
+                    if t - f >= PASSAGE - SHINGLE + 1 and _agree(x[f:t], y[low:high]):
+                        return f, t, low, high
     return None
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int] | None:
-    """As ``alike``, from either side, over the whole and then over windows of two passages' length."""
-    found = alike(x, y)
-    if found:
-        return found
-    back = alike(y, x)
-    if back:
-        return back[2], back[3], back[0], back[1]
-    step = PASSAGE - SHINGLE + 1
-    if len(x) > 2 * step:
-        for at in range(0, len(x) - step, step // 2):
-            found = alike(x[at : at + 2 * step], y)
-            if found:
-                return found[0] + at, found[1] + at, found[2], found[3]
+    """Like passages of x and y (from, to, from, to; in shingles): over all matches, then along each band of diagonals."""
+    if not any(True for _ in _runs(np.isin(x, y))) and not any(True for _ in _runs(np.isin(y, x))):
+        return None
+    order = np.argsort(y, kind="stable")
+    low, high = np.searchsorted(y[order], x), np.searchsorted(y[order], x, side="right")
+    times = high - low
+    at = np.repeat(np.arange(len(x)), times)
+    to = order[np.repeat(low - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())]
+    diagonal = at - to
+    near = [slice(None)]
+    values, counts = np.unique(diagonal, return_counts=True)
+    if values[-1] - values[0] > BAND:
+        # bands about the fullest diagonals first, until every diagonal has been in the middle of one or beside it
+        left = counts.copy()
+        while left.any():
+            middle = values[int(np.argmax(left))]
+            left[np.abs(values - middle) <= BAND // 4] = 0
+            near.append(np.abs(diagonal - middle) <= BAND)
+            near.append(np.abs(diagonal - middle) <= 1)
+    for band in near:
+        a, t = at[band], to[band]
+        if len(a) < COST * (PASSAGE - SHINGLE + 1) - 1e-9:
+            continue
+        found = _aligned(x, y, a, t)
+        if found:
+            return found
+        back = _aligned(y, x, t, a)
+        if back:
+            return back[2], back[3], back[0], back[1]
     return None
 
 

@@ -93,3 +93,18 @@ def test_an_excerpt_at_the_head_of_a_group_hides_no_links(spark):
     df = spark.createDataFrame(list(enumerate(ordered)), "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in P.classes(df).collect()}
     assert got[0] == 0 and {got[i] for i in range(1, len(ordered))} == {1}
+
+
+def test_repeated_lines_and_long_runs_hide_no_passage():
+    rng = np.random.default_rng(5)
+    say = lambda n: rng.integers(0, 2**32, n).astype(np.uint32)
+    for _ in range(20):
+        passage = say(46)
+        line = passage[10:30]
+        x, y = np.r_[passage, say(40), line], np.r_[line, say(40), passage]
+        for a, b in ((x, y), (y, x), (np.r_[say(20), x, say(20)], y)):
+            f, t, g, u = P.similar(a, b)
+            own, other = set(a[f:t].tolist()), set(b[g:u].tolist())
+            assert t - f >= 46 and len(own & other) >= 0.8 * len(own | other)
+    assert P.similar(say(200), say(200)) is None
+    assert P.similar(np.r_[say(90), line, say(90)], np.r_[line, say(90)]) is None
