@@ -151,7 +151,7 @@ def d01_two(spark, sf_dir):
 @query("d03_fuzzy_pairs")
 def d03(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_ix"), F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("company"), F.concat_ws(" ", "p_brand", "p_type").alias("address1"))
-    return dedup.fuzzy_pairs(part, alone=1.01)
+    return dedup.fuzzy_pairs(part)
 
 
 @query("d06_dup_summary", f"""WITH d AS ({o.DEDUP.replace('WITH RECURSIVE', 'WITH RECURSIVE', 1)})

@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from brightsieve.operators import dedup
+from brightsieve.plans import catalogue
 
 
 def sequential(rows):
@@ -85,3 +86,10 @@ def test_fuzzy_loses_no_pair(spark):
 def test_arbitration(spark):
     pairs = spark.createDataFrame([(1, 2, 0.8), (1, 3, 0.9), (2, 3, 0.72)], "ix1 long, ix2 long, score double")
     assert sorted(r.score for r in dedup.arbitrate(pairs, lambda df: F.col("ix1") == 2).collect()) == [0.72, 0.9]
+
+
+def test_the_query_keeps_pairs_of_like_companies_alone(spark, sf_dir):
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_size").collect()
+    name = {r.p_partkey: f"{r.p_name} {r.p_size}".lower().strip() for r in parts}
+    near = {(x, y) for x in name for y in name if x < y and 2 * lcs(name[x], name[y]) >= 0.95 * (len(name[x]) + len(name[y]))}
+    assert near and near <= {(r.ix1, r.ix2) for r in catalogue.d03(spark, sf_dir).collect()}
