@@ -139,7 +139,7 @@ def _stars(key, sig, node, place):
         s = by[order]
         new = np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])]
         head = order[np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))]
-        odd = node[order] != node[head]
+        odd = (node[order] != node[head]) | (place[order] != place[head])  # other places of the first's text are members too
         a.append(head[odd])
         b.append(order[odd])
         halves.append(np.full(odd.sum(), half))
@@ -165,6 +165,8 @@ def _windows(docs: DataFrame, text_col: str) -> DataFrame:
             once.sort()
             texts, nodes = [texts[i] for i in once], nodes[once]
             for at, hashes, starts in shingles(texts):
+                with np.errstate(over="ignore"):
+                    total = np.r_[np.uint64(0), np.cumsum(hashes)]
                 owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
                 for f in range(HASHES):
                     with np.errstate(over="ignore"):
@@ -174,17 +176,20 @@ def _windows(docs: DataFrame, text_col: str) -> DataFrame:
                         continue
                     before, after = hashes[np.maximum(c - ASIDE, l)], hashes[np.minimum(c + ASIDE, r)]
                     sig = ((before >> np.uint64(32)) << np.uint64(32)) | (after >> np.uint64(32))
-                    rows.append((mixed[c].view(np.int64), sig.view(np.int64), nodes[at + owner[c]], c - starts[owner[c]]))
+                    with np.errstate(over="ignore"):  # all that a passage through the place can hold
+                        around = total[np.minimum(c + least, starts[owner[c] + 1])] - total[np.maximum(c - least + 1, starts[owner[c]])]
+                    rows.append((mixed[c].view(np.int64), sig.view(np.int64), nodes[at + owner[c]], c - starts[owner[c]], around))
             if not rows:
                 continue
-            key, sig, node, place = (np.concatenate(x) for x in zip(*rows))
-            # of windows of one text with equal key and sig one is enough; then tie the batch's groups together
-            order = np.lexsort((place, node, sig, key))
-            key, sig, node, place = key[order], sig[order], node[order], place[order]
-            new = np.r_[True, (key[1:] != key[:-1]) | (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])]
-            key, sig, node, place = key[new], sig[new], node[new], place[new]
+            key, sig, node, place, around = (np.concatenate(x) for x in zip(*rows))
+            # of windows of one text with equal key, sig and surroundings one is enough; then tie the batch's groups together
+            order = np.lexsort((place, around, node, sig, key))
+            key, sig, node, place, around = key[order], sig[order], node[order], place[order], around[order]
             same = np.r_[False, (key[1:] == key[:-1]) & (sig[1:] == sig[:-1])]
+            new = ~same | np.r_[True, (node[1:] != node[:-1]) | (around[1:] != around[:-1])]
+            key, sig, node, place, same = key[new], sig[new], node[new], place[new], same[new]
             head = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
+            same &= node != node[head]
             pairs = np.flatnonzero(same)
             yield _table(key[~same], sig[~same], node[~same], place[~same], node[~same], np.full((~same).sum(), -1))
             if len(pairs):  # to any partition: their key is spread
@@ -197,6 +202,7 @@ def candidate_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``left, right, a, ca, b, cb``: pairs of texts (a < b) and places of a shingle that windows of both have as their least.
 
     ``left`` and ``right`` name the groups in which the pair met, null where it didn't meet by that side.
+    Rows with a = b tell further places of a group's first text.
     """
 
     def run(batches):
@@ -231,12 +237,13 @@ def candidate_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return pa.RecordBatch.from_arrays([left, right, *(pa.array(c) for c in cols)], ["left", "right", "a", "ca", "b", "cb"])
 
     rows = _windows(docs, text_col).repartition("key").sortWithinPartitions("key", "node", "place")
-    return rows.mapInArrow(run, "left long, right long, a long, ca int, b long, cb int").where("a != b")
+    return rows.mapInArrow(run, "left long, right long, a long, ca int, b long, cb int")
 
 
 def places(met: DataFrame) -> DataFrame:
     """``a, ca, b, cb``: one of the pairs of places that lie near each other."""
-    return met.groupBy("a", "b", F.floor(F.col("ca") / NEAR).alias("at")).agg(F.min(F.struct("ca", "cb")).alias("c")).select("a", "c.ca", "b", "c.cb")
+    near = [F.floor(F.col(c) / NEAR).alias(f"near_{c}") for c in ("ca", "cb")]
+    return met.where("a != b").groupBy("a", "b", *near).agg(F.min(F.struct("ca", "cb")).alias("c")).select("a", "c.ca", "b", "c.cb")
 
 
 #: A passage of n shingles with m in common has m / (2n - m) >= SIMILAR if m gains no less than the others cost.
@@ -405,7 +412,7 @@ def _failed_groups(met: DataFrame, found: DataFrame) -> DataFrame:
     """``g, node, place``: members of the groups of three or more in which a pair has no verified link; one group of equals."""
     done = found.select("a", "b").distinct().withColumn("done", F.lit(True))
     told = met.join(done, ["a", "b"], "left").withColumn("g", F.explode(F.array_compact(F.array("left", "right"))))
-    missed = told.groupBy("g").agg(F.count_if(F.col("done").isNull()).alias("missed"), F.count(F.lit(1)).alias("n")).where("missed > 0 and n > 1").select("g")
+    missed = told.groupBy("g").agg(F.count_if(F.col("done").isNull() & (F.col("a") != F.col("b"))).alias("missed"), F.count(F.lit(1)).alias("n")).where("missed > 0 and n > 1").select("g")
     told = told.join(missed, "g", "left_semi")
     members = told.select("g", F.col("a").alias("node"), F.col("ca").alias("place")).union(told.select("g", "b", "cb"))
     members = written(members.groupBy("g", "node", F.floor(F.col("place") / NEAR).alias("at")).agg(F.min("place").alias("place")), "members")

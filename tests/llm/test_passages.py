@@ -108,3 +108,8 @@ def test_repeated_lines_and_long_runs_hide_no_passage():
             assert t - f >= 46 and len(own & other) >= 0.8 * len(own | other)
     assert P.similar(say(200), say(200)) is None
     assert P.similar(np.r_[say(90), line, say(90)], np.r_[line, say(90)]) is None
+
+
+def test_places_differ_on_either_side(spark):
+    met = spark.createDataFrame([(1, 2, 15, 515), (1, 2, 50, 3015), (1, 2, 51, 3016), (3, 3, 5, 900)], "a long, b long, ca int, cb int")
+    assert sorted((r.ca, r.cb) for r in P.places(met).collect()) == [(15, 515), (50, 3015)]
