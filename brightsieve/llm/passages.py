@@ -6,8 +6,8 @@ hash functions, the Cartesian tree over a text's shingle hashes gives its
 compact windows (Deng et al., "Allign"): (l, c, r) such that every passage
 that begins in l..c and ends in c..r has its least hash at c. There are about
 2n/47 of them wide enough for a passage. Passages that share a least hash lie in
-windows that share a key; similar ones do so for at least one of three
-functions with probability 0.99 at 0.8, and surely if they are equal.
+windows that share a key; similar ones meet for at least one of five
+functions with probability 0.99 or more at 0.8, and surely if they are equal.
 
 Windows meet by key and by the shingle 12 words before or after their place,
 one of which lies inside any passage of 50 words; a line of fewer words that
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from brightsieve.llm.base import written
 from brightsieve.llm.components import connected
 
-PASSAGE, SHINGLE, HASHES = 50, 5, 3
+PASSAGE, SHINGLE, HASHES = 50, 5, 5
 SIMILAR = 0.8
 #: Shingles on either side of a shared one that are compared; places so near each other are one pair.
 AROUND, NEAR = 112, 64
