@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one, set once per session, where it is unset (tests)."""
+    """The folder that ``spark.checkpoint.dir`` names. Where it is unset, a local session gets a temporary one; a cluster must name one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     held = spark.sparkContext.getCheckpointDir()
     if not held:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="brightsieve-"))
         held = spark.sparkContext.getCheckpointDir()
     return held.rstrip("/")
@@ -33,6 +36,19 @@ def written(df: DataFrame, what: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a written table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_written(df: DataFrame) -> None:
+    """Removes the table that ``written`` returned, once the last reader of it is done."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/brightsieve/" in path:
+            remove(df.sparkSession, path)
+
+
 def numbered(df: DataFrame, *order: str, name: str = "number", start: int = 0) -> DataFrame:
     """``df`` with consecutive numbers in the given order, without gathering it in one task.
 
