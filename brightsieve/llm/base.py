@@ -1,15 +1,24 @@
-"""Helpers that the operators share: written tables (from ``brightsieve.storage``) and ASCII lower case."""
+"""Helpers that the operators share: written tables (from ``brightsieve.storage``), ASCII lower case, and lean Arrow workers."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import string
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from brightsieve.storage import new_path, shared_dir, written
+from brightsieve.storage import drop_written, new_path, remove, shared_dir, written
 
-__all__ = ["ascii_lower", "new_path", "shared_dir", "written"]
+__all__ = ["ascii_lower", "drop_written", "lean", "new_path", "remove", "shared_dir", "slices", "texts_of", "written"]
+
+#: Bytes of text that are Python objects at once.
+SLICE_BYTES = 2 << 20
 
 
 def ascii_lower(text: Column) -> Column:
@@ -17,3 +26,37 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
         F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
     )
+
+
+def slices(batch: pa.RecordBatch, place: int, most: int = SLICE_BYTES):
+    """``batch`` in runs of rows whose column ``place`` holds about ``most`` bytes; a longer value is a run of its own."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        before = upto[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(upto, before + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def texts_of(batch: pa.RecordBatch, place: int) -> list[bytes]:
+    """A text column as UTF-8; null counts as empty."""
+    return [t or b"" for t in batch.column(place).cast(pa.binary()).to_pylist()]
+
+
+def lean(run):
+    """``run`` for ``mapInArrow``; when its task ends, memory that the worker no longer uses goes back to the system."""
+
+    @functools.wraps(run)
+    def running(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library: nothing to trim
+                pass
+
+    return running

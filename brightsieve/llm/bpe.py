@@ -34,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightsieve.llm.base import lean, slices
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 WINDOW, MASK_BITS = 16, 10
-#: Entries of a worker's tables of words and chunks, and characters of the chunks held.
-WORDS_HELD, CHUNKS_HELD, CHARS_HELD = 500_000, 8_192, 8_000_000
+#: Entries of a task's tables of words and chunks, and bytes of the texts and ids in each.
+WORDS_HELD, CHUNKS_HELD, BYTES_HELD = 150_000, 4_096, 6_000_000
 #: Characters at least that are given to the table or the library at once.
 STRETCH = 256
 SEPARATOR = " "
@@ -55,10 +57,10 @@ _KIND = np.full(256, 3, np.uint8)
 _KIND[list(b"\t\n\r ")] = 0
 _KIND[97:123] = _KIND[128:] = 1
 _KIND[48:58] = 2
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=16)
+@lru_cache(maxsize=2)
 def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """2^bits powers of an odd number modulo 2^64, and of its inverse."""
     out = []
@@ -70,9 +72,9 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _hash(byte: np.ndarray, first: np.ndarray, last: np.ndarray, base: np.uint64) -> np.ndarray:
-    """Hashes of byte[first:last]: polynomials in ``base`` from running sums, then mixed."""
-    up, down = _powers(int(base), len(byte).bit_length())
+def _hash(byte: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of byte[first:last]: polynomials from running sums, then mixed."""
+    up, down = _powers(int(_BASE), len(byte).bit_length())
     total = np.empty(len(byte) + 1, np.uint64)
     total[0] = 0
     np.cumsum((byte.astype(np.uint64) + np.uint64(1)) * up[: len(byte)], out=total[1:])
@@ -81,6 +83,12 @@ def _hash(byte: np.ndarray, first: np.ndarray, last: np.ndarray, base: np.uint64
     return x ^ (x >> np.uint64(31))
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places starts[i] .. starts[i] + sizes[i], one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _bare(tokenizer: str) -> str:
     parts = json.loads(tokenizer)
     parts["normalizer"] = None
@@ -103,8 +111,8 @@ class Pieces:
         #: Two generations of words: a word found in the older one moves to the newer.
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        #: The same by a word's first hash: eight bytes of its second, then the ids.
-        self.hashed: dict[int, bytes] = {}
+        #: The same for words as UTF-8.
+        self.spelt: dict[bytes, bytes] = {}
         #: For words cut and lower-cased already: the same model, without the regular expressions before it.
         self.bare = Tokenizer.from_str(_bare(self.tokenizer.to_str()))
         #: Which ids end a word.
@@ -138,7 +146,7 @@ class Pieces:
         return b"".join(out)
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """``ids`` of each text; the words of plain texts are looked up by their hashes, all at once."""
+        """``ids`` of each text; of the words of plain texts each distinct one is looked up once."""
         # an apostrophe can begin a contraction, which the regular expression sees to
         easy = [i for i, t in enumerate(texts) if "'" not in t and self._plain(t)]
         out = dict(zip(easy, self._hashed([texts[i] for i in easy])))
@@ -158,29 +166,24 @@ class Pieces:
         if not len(first):
             return [b""] * len(texts)
         with np.errstate(over="ignore"):
-            one, two = (_hash(byte, first, last, base) for base in _BASES)
-        keys, at, back = np.unique(one, return_index=True, return_inverse=True)
-        if (last - first).max() > 256 or (two != two[at][back]).any():
-            return [self._by_words(t) for t in texts]
-        names = keys.tolist()
-        entries = list(map(self.hashed.get, names))
+            hashes = _hash(byte, first, last)
+        _, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        sizes = last - first
+        if (sizes != sizes[at][back]).any() or (byte[_ranges(first, sizes)] != byte[_ranges(first[at][back], sizes)]).any():
+            return [self._by_words(t) for t in texts]  # unlike words with one hash
+        names = [raw[s:e] for s, e in zip(first[at].tolist(), last[at].tolist())]
+        entries = list(map(self.spelt.get, names))
         if None in entries:
             new = [i for i, e in enumerate(entries) if e is None]
-            if len(self.hashed) + len(new) > WORDS_HELD:
-                self.hashed = {k: e for k, e in zip(names, entries) if e is not None}
-            spelt = [raw[s:e].decode() for s, e in zip(first[at[new]].tolist(), last[at[new]].tolist())]
-            packed = two[at[new]].astype("<u8").tobytes()
-            for n, (i, ids) in enumerate(zip(new, self._encoded(spelt))):
-                entries[i] = self.hashed[names[i]] = packed[8 * n : 8 * n + 8] + ids
+            if len(self.spelt) + len(new) > WORDS_HELD:
+                self.spelt = {}
+            for i, ids in zip(new, self._encoded([names[i].decode() for i in new])):
+                entries[i] = self.spelt[names[i]] = ids
         flat = self.unpack(b"".join(entries))
-        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
-        begins, lead = np.cumsum(sizes) - sizes, 8 // self.width
-        told = flat[(begins[:, None] + np.arange(lead)).ravel()].view("<u8")
-        if (told != two[at]).any():
-            return [self._by_words(t) for t in texts]
-        begins, size = (begins + lead)[back], (sizes - lead)[back]
+        own = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
+        begins, size = (np.cumsum(own) - own)[back], own[back]
         upto = np.cumsum(size)
-        ids = flat[np.repeat(begins - (upto - size), size) + np.arange(upto[-1])].tobytes()
+        ids = flat[_ranges(begins, size)].tobytes()
         cut = (np.r_[0, upto][np.searchsorted(first, ends)] * self.width).tolist()
         return [ids[s:e] for s, e in zip([0, *cut], cut)]
 
@@ -194,7 +197,7 @@ class Pieces:
 
     def _learn(self, words: set[str]) -> None:
         """Afterwards the table has all of ``words``."""
-        if len(self.words) > WORDS_HELD:
+        if len(self.words) > WORDS_HELD // 2:
             self.words, self.older = {}, self.words
         missing = words.difference(self.words)
         moved = {w: ids for w in missing if (ids := self.older.get(w)) is not None}
@@ -218,6 +221,12 @@ class Pieces:
         return out
 
 
+    def forget(self) -> None:
+        """Empties the tables of words."""
+        self.words, self.older, self.spelt = {}, {}, {}
+        _powers.cache_clear()
+
+
 _LOADED: dict[str, Pieces] = {}
 
 
@@ -262,15 +271,15 @@ class ChunkEncoder:
     """Encodes texts by their chunks, each distinct one once while the bounds hold it."""
 
     def __init__(self, known: Pieces):
-        self.known, self.held, self.chars = known, {}, 0
+        self.known, self.held, self.older, self.size = known, {}, {}, 0
 
     def chunk(self, text: str) -> Chunk:
         found = self.held.get(text)
         if found is None:
-            if len(self.held) >= CHUNKS_HELD or self.chars > CHARS_HELD:
-                self.held, self.chars = {}, 0
-            found = self.held[text] = Chunk(text, self.known)
-            self.chars += len(text)
+            if len(self.held) >= CHUNKS_HELD or self.size > BYTES_HELD:  # two generations: what is met again stays
+                self.held, self.older, self.size = {}, self.held, 0
+            found = self.held[text] = self.older.get(text) or Chunk(text, self.known)
+            self.size += 2 * len(text) + len(found.core or b"")
         return found
 
     def seam(self, left: Chunk | None, right: Chunk | None) -> bytes | None:
@@ -294,18 +303,24 @@ class ChunkEncoder:
                 right = Chunk(done.pop()[0].text + right.text, self.known)
             done.append((right, between))
 
-        at, coreless = 0, ""
+        at, waiting, safe = 0, [], 0
         for cut in cuts(text) if text else ():
-            piece = coreless + text[at:cut]
-            at = cut
-            right = self.chunk(piece)
-            if right.core is None:
-                coreless = piece
-                continue
-            coreless = ""
-            place(right)
-        if coreless and done:
-            place(Chunk(done.pop()[0].text + coreless, self.known))
+            piece, at = text[at:cut], cut
+            if not waiting:
+                right = self.chunk(piece)
+                if right.core is not None:
+                    place(right)
+                    continue
+            # pieces without three safe places wait until together they have them, and are cut anew only then
+            safe += len(_SAFE.findall((waiting[-1][-1:] if waiting else "") + piece))
+            waiting.append(piece)
+            if safe >= 3:
+                right = self.chunk("".join(waiting))
+                waiting, safe = ([], 0) if right.core is not None else ([right.text], safe)
+                if right.core is not None:
+                    place(right)
+        if waiting and done:
+            place(Chunk(done.pop()[0].text + "".join(waiting), self.known))
         end = self.seam(done[-1][0], None) if done else None
         if end is None or any(c.core is None for c, _ in done):
             return self.known.ids(text)
@@ -325,6 +340,7 @@ def decoder(known: Pieces):
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """``doc_id, ids, decoded`` for every row, or with ``digests`` ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
 
+    @lean
     def run(batches):
         known = pieces(path)
         encoder, decode = ChunkEncoder(known), decoder(known)
@@ -333,17 +349,21 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         def digest(text: str) -> str:
             return hashlib.sha256(text.encode()).hexdigest()
 
-        for batch in batches:
-            keys = batch.column(0)
-            for at in range(0, len(batch), 64):  # so that only so many texts are Python objects
-                texts = batch.column(1).slice(at, 64).to_pylist()
-                ids = [known.unpack(encoder.encode(t or "")).tolist() for t in texts]
-                if digests:
-                    columns = [[len(i) for i in ids], [digest(" ".join(map(decimals.__getitem__, i))) for i in ids], [digest(decode(i)) for i in ids]]
-                    made = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())]
-                else:
-                    made = [pa.array(ids, pa.list_(pa.int32())), pa.array([decode(i) for i in ids], pa.string())]
-                yield pa.RecordBatch.from_arrays([keys.slice(at, 64), *made], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"])
+        try:
+            for part in (p for batch in batches for p in slices(batch, 1, 1 << 18)):
+                texts = part.column(1).to_pylist()
+                made = []
+                for t in texts:
+                    ids = known.unpack(encoder.encode(t or "")).tolist()
+                    if digests:
+                        made.append((len(ids), digest(" ".join(map(decimals.__getitem__, ids))), digest(decode(ids))))
+                    else:
+                        made.append((ids, decode(ids)))
+                kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.list_(pa.int32()), pa.string())
+                columns = [pa.array(c, k) for c, k in zip(zip(*made), kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"])
+        finally:
+            known.forget()
 
     kind = dict(docs.dtypes)[id_col]
     shape = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
@@ -362,5 +382,5 @@ def op5_bpe(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: digests of each document's ids and of what they decode to."""
+    """Pipeline stage, the last: digests of each document's ids and of what they decode to; a null text counts as empty, every row stays."""
     return encoded(docs, tokenizer_path(), digests=True)

@@ -6,15 +6,18 @@ unit length, and a linear hinge-loss model is fitted to them by dual coordinate
 descent. Platt's sigmoid, fitted to margins of rows that the model did not see,
 turns margins into probabilities.
 
-The fit takes at most SAMPLE_ROWS labelled rows (those with the least hash of
-their id), in one task; every text is scored whole, in the task that reads it.
+The fit takes at most SAMPLE_ROWS labels (those with the least hash of their
+id) and, in that order, as many of their texts as have SAMPLE_BYTES of
+indicators, in one task; every text is scored whole, in the task that reads it.
 The same rows give the same model.
 
 Defined cases: null and empty texts have no indicators and get the score of
 the bias alone, as any text does if the labels lack a class (then 1.0 where all
 labels are 1 or there are none, else 0.0); rows with a null id or label don't
-teach; a repeated label counts again; repeated documents get equal scores;
-extra columns aren't read.
+teach; a repeated label teaches once, and of documents that share an id one
+teaches (with the least indicators); an empty table gives an empty result;
+repeated documents get equal scores, so ties stay ties; extra columns aren't
+read.
 """
 
 from __future__ import annotations
@@ -26,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 8_000
+from brightsieve.llm.base import lean, slices, texts_of
+
+SAMPLE_ROWS, SAMPLE_BYTES = 8_000, 32 << 20
 LOG_BUCKETS = 18
 #: Bytes of text whose indicators are made at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 EPOCHS, COST = 10, 1.0
 PREDICT_AT = 0.3
 
@@ -104,27 +109,33 @@ def _slices(texts: list[bytes]):
 
 
 def _ratio(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
-    counts = [np.bincount(np.concatenate([r for r, g in zip(rows, good) if g == k] or [np.empty(0, np.int32)]), minlength=1 << LOG_BUCKETS) + 1.0 for k in (1, 0)]
-    return np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+    """The log ratio of the classes' smoothed indicator counts."""
+    counts = np.ones((2, 1 << LOG_BUCKETS))
+    for row, label in zip(rows, good.tolist()):
+        counts[label][row] += 1  # a row's buckets are distinct
+    shares = np.log(counts / counts.sum(axis=1, keepdims=True))
+    return shares[1] - shares[0]
 
 
 def _descend(rows, good, ratio, seed=0):
-    """Dual coordinate descent (Hsieh et al.) for the L2-regularised squared hinge loss; the last weight is the bias."""
+    """Dual coordinate descent (Hsieh et al.) for the L2-regularised hinge loss; the last weight is the bias.
+
+    Each dual variable lies between 0 and its class's cost, which makes up for unequal classes.
+    """
     y = np.where(good == 1, 1.0, -1.0)
     share = np.array([max((good == 0).sum(), 1), max((good == 1).sum(), 1)]) / len(good)
     cost = COST * 0.5 / np.where(good == 1, share[1], share[0])
-    damp = 0.5 / cost
     ratio = ratio.astype(np.float32)
-    unit = [(x := ratio[r]) / max(np.sqrt(x @ x), np.float32(1e-9)) for r in rows]
+    length = [max(float(np.sqrt(np.square(ratio[r]).sum())), 1e-9) for r in rows]
     w, alpha, bias = np.zeros(1 << LOG_BUCKETS, np.float32), np.zeros(len(rows)), 0.0
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         worst = 0.0
         for i in rng.permutation(len(rows)):
             r = rows[i]
-            x = unit[i]
-            slope = y[i] * (w[r] @ x + bias) - 1 + damp[i] * alpha[i]
-            step = max(alpha[i] - slope / ((x @ x) + 1 + damp[i]), 0.0) - alpha[i]
+            x = ratio[r] / np.float32(length[i])
+            slope = y[i] * (float(w[r] @ x) + bias) - 1
+            step = min(max(alpha[i] - slope / (float(x @ x) + 1), 0.0), cost[i]) - alpha[i]
             if step:
                 alpha[i] += step
                 w[r] += np.float32(step * y[i]) * x
@@ -182,26 +193,40 @@ def fit(rows: list[np.ndarray], good: np.ndarray) -> dict:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> dict:
     """A model from at most ``rows`` labelled documents."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)")
+    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
     sample = known.orderBy(F.xxhash64("id"), "id", "y").limit(rows)
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     taught = text.join(F.broadcast(sample), "id").select("id", "text", "y")  # the sample is bounded by rows
 
+    @lean
     def features(batches):
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            kept = [r.tobytes() for r in indicators(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(kept, pa.binary())], ["id", "y", "rows"])
+            for part in slices(batch, 1):
+                kept = [r.tobytes() for r in indicators(texts_of(part, 1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(kept, pa.binary())], ["id", "y", "rows"])
 
+    @lean
     def learn(batches):
-        found = [(i, y, r) for b in batches for i, y, r in zip(*(c.to_pylist() for c in b.columns))]
-        found.sort()
-        model = fit([np.frombuffer(r, np.int32) for _, _, r in found], np.array([y for _, y, _ in found], np.int32))
+        found, good, held = [], [], 0
+        for batch in batches:
+            for y, r in zip(batch.column("y").to_pylist(), batch.column("rows")):
+                held += len(r.as_buffer() or b"")
+                if held > SAMPLE_BYTES and found:
+                    break
+                good.append(y)
+                found.append(np.frombuffer(r.as_py(), np.int32))
+            if held > SAMPLE_BYTES and found:
+                break
+        for _ in batches:  # what is over the bound is read past
+            pass
+        model = fit(found, np.array(good, np.int32))
         said = json.dumps({k: v for k, v in model.items() if k not in ("ratio", "weights")})
         yield pa.RecordBatch.from_arrays([pa.array([said]), pa.array([model["ratio"].tobytes()]), pa.array([model["weights"].tobytes()])], ["said", "ratio", "weights"])
 
     kind = dict(text.dtypes)["id"]
-    made = taught.mapInArrow(features, f"id {kind}, y int, rows binary").repartition(1)
+    # one row for each label of the sample, whatever number of documents shares its id: the last task's input is bounded
+    made = taught.mapInArrow(features, f"id {kind}, y int, rows binary").groupBy("id", "y").agg(F.min("rows").alias("rows"))
+    made = made.withColumn("h", F.xxhash64("id")).repartition(1).sortWithinPartitions("h", "id", "y").select("y", "rows")
     got = made.mapInArrow(learn, "said string, ratio binary, weights binary").first()
     if got is None:
         return fit([], np.empty(0, np.int32))
@@ -212,11 +237,12 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     """``doc_id, score`` for every row of ``docs``."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # two megabytes, whatever the corpus
 
+    @lean
     def run(batches):
         m = held.value
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(texts, m), pa.float64())], ["doc_id", "score"])
+            for part in slices(batch, 1):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores(texts_of(part, 1), m), pa.float64())], ["doc_id", "score"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
@@ -233,7 +259,10 @@ def op1_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the classifier rejects go."""
+    """Pipeline stage: documents that the classifier rejects go; the others keep all columns and values.
+
+    A null or empty text is scored as empty, as ``scores`` has it; repeated rows stay or go together; an empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = train(docs, labels.where(~_fold()))
     return keep_scored(docs, model)
@@ -244,10 +273,11 @@ def keep_scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col:
     held = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
+    @lean
     def run(batches):
         m = held.value
         for batch in batches:
-            texts = [t or b"" for t in batch.column(place).cast(pa.binary()).to_pylist()]
-            yield batch.filter(pa.array([p >= PREDICT_AT for p in scores(texts, m)]))
+            kept = [p >= PREDICT_AT for part in slices(batch, place) for p in scores(texts_of(part, place), m)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

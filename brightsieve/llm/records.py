@@ -31,13 +31,13 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import new_path, written
+from brightsieve.llm.base import lean, new_path, slices, written
 from brightsieve.llm.bpe import pieces, tokenizer_path
 
 FILE_BYTES = 128 << 20
-#: Bytes that a task holds before it writes or after it reads.
-BUFFER = 4 << 20
-GROUP_CHARS = 2_000_000
+#: Bytes that a task holds before it writes or after it reads; texts are encoded GROUP_BYTES at once.
+BUFFER = 2 << 20
+GROUP_BYTES = 1 << 19
 MASK = 0xA282EAD8
 _LENGTH, _SUM = struct.Struct("<Q"), struct.Struct("<I")
 _PAYLOAD = struct.Struct("<?qBI")
@@ -101,37 +101,25 @@ class Writer:
         return self.uri, self.count, self.ids
 
 
-def groups(batch: pa.RecordBatch):
-    """A batch's ids and texts, some two million characters at once."""
-    keys, texts, held = [], [], 0
-    for key, text in zip(batch.column(0), batch.column(1)):
-        keys.append(key.as_py())
-        texts.append(text.as_py() or "")
-        held += len(texts[-1])
-        if held >= GROUP_CHARS:
-            yield keys, texts
-            keys, texts, held = [], [], 0
-    if keys:
-        yield keys, texts
-
-
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int, int, int]]:
     """Writes all rows; the manifest: (file, records, ids, ids in all files before), in order."""
 
+    @lean
     def run(batches):
         from pyspark import TaskContext
 
         known, part = pieces(path), TaskContext.get().partitionId()
         end, out, made = known.pack([end_id]), None, []
-        for batch in batches:
-            for keys, texts in groups(batch):
-                for key, packed in zip(keys, known.many(texts)):
-                    if out is None:
-                        out = Writer(folder, f"{part:06d}-{len(made):04d}-{uuid.uuid4().hex[:12]}")
-                    out.add(key, packed + end, known.width)
-                    if out.offset >= FILE_BYTES:
-                        made.append(out.close())
-                        out = None
+        for some in (s for batch in batches for s in slices(batch, 1, GROUP_BYTES)):
+            texts = [t or "" for t in some.column(1).to_pylist()]
+            for key, packed in zip(some.column(0).to_pylist(), known.many(texts)):
+                if out is None:
+                    out = Writer(folder, f"{part:06d}-{len(made):04d}-{uuid.uuid4().hex[:12]}")
+                out.add(key, packed + end, known.width)
+                if out.offset >= FILE_BYTES:
+                    made.append(out.close())
+                    out = None
+        known.forget()
         if out is not None:
             made.append(out.close())
         rows = [(part, k, *m) for k, m in enumerate(made)]
@@ -177,6 +165,7 @@ def _ids(payload: bytes) -> tuple[int | None, np.ndarray]:
 def read(spark: SparkSession, manifest: list[tuple[str, int, int, int]], with_ids: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` (and ``ids``) of every record of the files, checksums verified."""
 
+    @lean
     def run(batches):
         for batch in batches:
             for uri, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import written
+from brightsieve.llm.base import lean, slices, texts_of, written
 from brightsieve.llm.components import connected
 
 WORDS, SEED, BITS = 3, 42, 3
@@ -60,10 +60,10 @@ def fingerprint(text: bytes | None) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp`` (signed long) for each row."""
 
+    @lean
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            fps = np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts))
+            fps = np.fromiter((fingerprint(t) for part in slices(batch, 1) for t in texts_of(part, 1)), np.uint64, len(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
@@ -194,6 +194,7 @@ def near_links(words: DataFrame, fp: str = "fp", limit: int = BITS) -> DataFrame
         "fp", F.xxhash64("route", "part", "d.sub", "d.piece").alias("grp")
     )
 
+    @lean
     def run(batches):
         kept_g, kept_f = np.empty(0, np.int64), np.empty(0, np.uint64)
 
@@ -230,6 +231,17 @@ def op9_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays, as do rows without an id."""
-    kept = components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").union(docs.where("doc_id is null"))
+    """Pipeline stage: of each component one row stays, the one with the smallest id, then the least hash of its text.
+
+    Rows without an id come last in that order, so that such a row stays only where its component has no id, and
+    of repeated rows one stays. Null and wordless texts have fingerprint 0 and are one component. Only fingerprints
+    are shuffled: the row kept is named by its place in the table, which is written for that.
+    """
+    held = docs.withColumn("__row", F.monotonically_increasing_id())
+    names = docs.columns
+    held = written(held, "near-dedup")  # a row's number must not change between reads
+    found = components(held, "__row").select(F.col("doc_id").alias("__at"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.col("__row"))
+    keys = held.select(order.alias("__order"), "__row")
+    kept = keys.join(found, F.col("__row") == F.col("__at")).groupBy("component_id").agg(F.min("__order").alias("o")).select(F.col("o.__row").alias("__kept"))
+    return held.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(names)

@@ -28,6 +28,7 @@ def test_agrees_with_the_library(known, texts, monkeypatch):
 
 def test_small_tables(texts, monkeypatch):
     monkeypatch.setattr(bpe, "WORDS_HELD", 3)
+    monkeypatch.setattr(bpe, "BYTES_HELD", 50)
     monkeypatch.setattr(bpe, "CHUNKS_HELD", 1)
     own = bpe.Pieces(bpe.tokenizer_path())
     encoder = bpe.ChunkEncoder(own)
