@@ -11,13 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import written
+from brightsieve.llm.base import drop_written, written
+
+#: Parts over which the rows of one node or component are dealt where they are joined.
+SALT = 8
+
+
+def _salted(few: DataFrame) -> DataFrame:
+    """``few`` once for each part, ``salt``."""
+    return few.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALT)])))
+
+
+def _salt(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(SALT)).cast("int")
 
 
 def _star(both: DataFrame) -> DataFrame:
     """Each node's least neighbour (itself included) beside all its links; ``both`` has u, v."""
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-    return both.join(least, F.col("u") == F.col("k")).select("u", "v", "m")
+    dealt = both.withColumn("part", _salt("v"))
+    return dealt.join(_salted(least), (F.col("u") == F.col("k")) & (F.col("part") == F.col("salt"))).select("u", "v", "m")
 
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -27,14 +40,28 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = written(_star(both).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
         small = _star(large)
-        edges = written(
+        before, edges = edges, written(
             small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(small.where("u != m").select("u", F.col("m").alias("v"))).distinct(),
             "links",
         )
+        drop_written(before)
+        drop_written(large)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = now
+
+
+def class_names(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, class_id``: the least ``least`` of the nodes (node, least) that links (a, b) connect; a component's rows are dealt over SALT parts."""
+    roots = connected(links, "a", "b").select(F.col("node").alias("rn"), "root")
+    rooted = written(nodes.join(roots, F.col("node") == F.col("rn"), "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
+    names = rooted.groupBy("root").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    alone, shared = names.where("n = 1"), names.where("n > 1")
+    held = rooted.withColumn("part", _salt("node"))
+    dealt = shared.select(F.col("root").alias("cr"), "class_id")
+    several = held.join(_salted(dealt), (F.col("root") == F.col("cr")) & (F.col("part") == F.col("salt"))).select("node", "class_id")
+    return several.unionByName(alone.select(F.col("root").alias("node"), "class_id"))

@@ -1,30 +1,36 @@
 """Substring dedup: near-duplicate passages through compact windows.
 
 A passage is at least 50 words long; two are near-duplicates if their sets of
-5-word shingles have a Jaccard similarity of 0.8 or more. For each of a few
-hash functions, the Cartesian tree over a text's shingle hashes gives its
-compact windows (Deng et al., "Allign"): (l, c, r) such that every passage
-that begins in l..c and ends in c..r has its least hash at c. There are about
-2n/47 of them wide enough for a passage. Passages that share a least hash lie in
-windows that share a key; similar ones meet for at least one of five
-functions with probability 0.99 or more at 0.8, and surely if they are equal.
-
-Windows meet by key and by the shingle 12 words before or after their place,
-one of which lies inside any passage of 50 words; a line of fewer words that
-very many texts share thus brings few of them together. So that a group of m
-windows leaves no m^2 pairs, each is paired with the first of its group. Pairs
-with places near each other become one (an interval join), and what the two
-texts have around the places is compared shingle by shingle. Of a group in which
-a pair fails, all members are compared that share enough shingles for a passage
-and aren't tied yet (a prefix filter over the group's rare shingles), so that
-its links don't depend on which text comes first.
-
-Repeats of a group are paired within a batch before the shuffle, so that a
-passage in a third of all texts sends a few rows per batch, not one per text.
+5-word shingles have a Jaccard similarity of 0.8 or more, in the same order.
+The Cartesian tree over a text's shingle hashes gives its compact windows (Deng
+et al., "Allign"): (l, c, r) such that every passage that begins in l..c and
+ends in c..r has its least hash at c.
+
+One hash function is enough, for this reason. A changed, added or missing word
+costs at least 9 shingles (4 and 5), so that like passages with t shingles in
+common have at most t / 36 breaks, and some run of at least t / (1 + t / 36)
+>= 20.5 shingles is the same in both. The windows of 21 shingles or more that
+hold that run have their least hash at the same place of it, and the 10
+shingles before or after that place are the same, too. Texts that share neither
+aren't compared, so that a line of under 15 words brings none together. By the
+same count, if a passage of several runs is like another, so is a part of it
+that has two runs and one gap, or one run of 46 shingles (or of 41 with 5 more on
+either side); a part of it with the place in it lies within REACH shingles of the place. So
+whether texts have like passages through a place is told by the run through it
+and the next run on either side, for every length of gap that can be made up for.
+(Passages that have a sequence of four words twice may be missed by this count.)
+
+Equal passages of 50 words around a place link their texts first, each with the
+least, by aggregation. Groups whose texts these links already connect are done;
+near copies and their passages are so. In the others all pairs are compared if
+they have FEW members at most; how larger ones are split without all pairs and
+without a lost link is told at ``_levels``.
+
 Equal texts are one node throughout (64-bit hash). Defined cases: null and
 short texts (under 50 words) have no windows, and share a class only with equal
 texts; a passage repeated within one text is no link; repeated rows come back
-as given; a null id gets its class but names none; other columns aren't read.
+as given; an empty table gives an empty result; a null id gets its class but
+names none (ties go to the least id); other columns aren't read.
 """
 
 from __future__ import annotations
@@ -32,18 +38,24 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import written
-from brightsieve.llm.components import connected
+from brightsieve.llm.base import drop_written, lean, slices, texts_of, written
+from brightsieve.llm.components import class_names, connected
 
-PASSAGE, SHINGLE, HASHES = 50, 5, 5
+PASSAGE, SHINGLE = 50, 5
 SIMILAR = 0.8
-#: Shingles on either side of a shared one that are compared; places so near each other are one pair.
-AROUND, NEAR = 112, 64
-ASIDE = 12
+#: Shingles of an identical passage, of the run that like passages share at least, and on either side of a place in a signature.
+CORE, RUN, SIDE = PASSAGE - SHINGLE + 1, 21, 10
+#: Shingles that a gap takes in both texts together: beyond, runs that would make up for it hold an identical passage.
+GAPS = 2 * CORE // 4
+#: Shingles on either side of a place that a passage of two runs can need: four for each of the gap's, and the gap.
+REACH = 4 * GAPS + GAPS - 4
+#: Members of a group of which all pairs are compared.
+FEW = 64
 SLICE = 1 << 20
-#: Keys up to this many are broadcast to keep other texts out of a shuffle.
+#: Hashes up to this many are broadcast to keep other texts out of a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -119,377 +131,349 @@ def compact_windows(values: np.ndarray, starts: np.ndarray, least: int):
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-_WINDOW = "key long, sig long, node long, place int, other long, there int"
-
-
-def _group(key, sig, half):
-    """The names of the groups of (key, left half of sig) and of (key, right half)."""
-    by = (sig >> 32 if half == 0 else sig) & 0xFFFFFFFF
-    with np.errstate(over="ignore"):
-        return _mix(key.view(np.uint64) + _mix(by.astype(np.uint64) * np.uint64(2) + np.uint64(half))).view(np.int64)
-
+def _runs_hash(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the ``n`` shingles that begin at each place of ``at``."""
+    total = np.r_[np.uint64(0), np.cumsum(h * _powers(_BASE, len(h)))]
+    return _mix((total[at + n] - total[at]) * _powers(_INVERSE, len(h) + 1)[at] + np.uint64(n))
 
-def _stars(key, sig, node, place):
-    """Pairs (first, row) that tie each group together, and the half of sig by which each pair met."""
-    left, right = sig >> 32, sig & 0xFFFFFFFF
-    a, b, halves = [], [], []
-    for half, by in enumerate((left, right)):
-        order = np.lexsort((place, node, by, key))
-        k = key[order]
-        s = by[order]
-        new = np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])]
-        head = order[np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))]
-        odd = (node[order] != node[head]) | (place[order] != place[head])  # other places of the first's text are members too
-        a.append(head[odd])
-        b.append(order[odd])
-        halves.append(np.full(odd.sum(), half))
-    return np.concatenate(a), np.concatenate(b), np.concatenate(halves)
 
+def _steady(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """False where a text stutters (a shingle returns within four places), but for the first place of such a stretch that has CORE / 2 before it."""
+    owner, again = np.repeat(np.arange(len(starts) - 1), np.diff(starts)), np.zeros(len(h), bool)
+    for k in range(1, SHINGLE):
+        again[k:] |= (h[k:] == h[:-k]) & (owner[k:] == owner[:-k])
+    at = np.arange(len(h))
+    since = at - np.maximum.accumulate(np.where(again, -1, at))
+    return ~again | (since == CORE // 2 + SHINGLE)
 
-def _table(key, sig, node, place, other, there) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(key), pa.array(sig), pa.array(node), pa.array(place.astype(np.int32)), pa.array(other), pa.array(there.astype(np.int32))],
-        ["key", "sig", "node", "place", "other", "there"],
-    )
 
+def windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``key, sides, core, node, place`` for each compact window that can hold a run of RUN shingles.
 
-def _windows(docs: DataFrame, text_col: str) -> DataFrame:
-    """Window rows (there = -1), and pairs found within a batch (there >= 0)."""
-    least = PASSAGE - SHINGLE + 1
-
-    def run(batches):
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            nodes, rows = batch.column(0).to_numpy(), []
-            _, once = np.unique(nodes, return_index=True)  # equal texts of a batch are read once
-            once.sort()
-            texts, nodes = [texts[i] for i in once], nodes[once]
-            for at, hashes, starts in shingles(texts):
-                with np.errstate(over="ignore"):
-                    total = np.r_[np.uint64(0), np.cumsum(hashes)]
-                owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-                for f in range(HASHES):
-                    with np.errstate(over="ignore"):
-                        mixed = _mix(hashes + np.uint64(f + 1) * _BASE)
-                    l, c, r = compact_windows(mixed, starts, least)
-                    if not len(c):
-                        continue
-                    before, after = hashes[np.maximum(c - ASIDE, l)], hashes[np.minimum(c + ASIDE, r)]
-                    sig = ((before >> np.uint64(32)) << np.uint64(32)) | (after >> np.uint64(32))
-                    with np.errstate(over="ignore"):  # all that a passage through the place can hold
-                        around = total[np.minimum(c + least, starts[owner[c] + 1])] - total[np.maximum(c - least + 1, starts[owner[c]])]
-                    rows.append((mixed[c].view(np.int64), sig.view(np.int64), nodes[at + owner[c]], c - starts[owner[c]], around))
-            if not rows:
-                continue
-            key, sig, node, place, around = (np.concatenate(x) for x in zip(*rows))
-            # of windows of one text with equal key, sig and surroundings one is enough; then tie the batch's groups together
-            order = np.lexsort((place, around, node, sig, key))
-            key, sig, node, place, around = key[order], sig[order], node[order], place[order], around[order]
-            same = np.r_[False, (key[1:] == key[:-1]) & (sig[1:] == sig[:-1])]
-            new = ~same | np.r_[True, (node[1:] != node[:-1]) | (around[1:] != around[:-1])]
-            key, sig, node, place, same = key[new], sig[new], node[new], place[new], same[new]
-            head = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
-            same &= node != node[head]
-            pairs = np.flatnonzero(same)
-            yield _table(key[~same], sig[~same], node[~same], place[~same], node[~same], np.full((~same).sum(), -1))
-            if len(pairs):  # to any partition: their key is spread
-                yield _table(key[pairs] ^ node[pairs], sig[pairs], node[head[pairs]], place[head[pairs]], node[pairs], place[pairs])
-
-    return docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, _WINDOW)
-
-
-def candidate_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``left, right, a, ca, b, cb``: pairs of texts (a < b) and places of a shingle that windows of both have as their least.
-
-    ``left`` and ``right`` name the groups in which the pair met, null where it didn't meet by that side.
-    Rows with a = b tell further places of a group's first text.
+    ``key`` is the least shingle, ``sides`` 32 bits each for it with the SIDE shingles before it and those after,
+    ``core`` the CORE shingles around it (0: they pass the text's end).
     """
 
+    @lean
     def run(batches):
-        kept = None
         for batch in batches:
-            key, sig, node, place, other, there = (batch.column(i).to_numpy() for i in range(6))
-            ready = there >= 0
-            if ready.any():
-                k, g = key[ready] ^ other[ready], sig[ready]
-                yield _pairs(pa.array(_group(k, g, 0)), pa.array(_group(k, g, 1)), node[ready], place[ready], other[ready], there[ready])
-            rows = [x[~ready] for x in (key, sig, node, place)]
-            old = 0
-            if kept is not None:
-                old, rows = len(kept[0]), [np.r_[k, x] for k, x in zip(kept, rows)]
-            if not len(rows[0]):
-                continue
-            # the last key goes on in the next batch; of a long group the firsts stay to be paired with
-            closed = rows[0] != rows[0][-1]
-            a, b, half = _stars(*rows)
-            a, b, half = a[b >= old], b[b >= old], half[b >= old]  # what was kept sorts first and is paired already
-            left, right = (pa.array(_group(rows[0][b], rows[1][b], h), mask=half != h) for h in (0, 1))
-            yield _pairs(left, right, rows[2][a], rows[3][a], rows[2][b], rows[3][b])
-            kept = [x[~closed] for x in rows]
-            if len(kept[0]) > 4096:
-                by_sig = [np.unique(s, return_index=True)[1] for s in (kept[1] >> 32, kept[1] & 0xFFFFFFFF)]
-                stay = np.unique(np.r_[0, by_sig[0], by_sig[1]])
-                kept = [x[stay] for x in kept]
-
-    def _pairs(left, right, a, ca, b, cb):
-        swap = a > b
-        cols = [np.where(swap, b, a), np.where(swap, cb, ca).astype(np.int32), np.where(swap, a, b), np.where(swap, ca, cb).astype(np.int32)]
-        return pa.RecordBatch.from_arrays([left, right, *(pa.array(c) for c in cols)], ["left", "right", "a", "ca", "b", "cb"])
-
-    rows = _windows(docs, text_col).repartition("key").sortWithinPartitions("key", "node", "place")
-    return rows.mapInArrow(run, "left long, right long, a long, ca int, b long, cb int")
-
-
-def places(met: DataFrame) -> DataFrame:
-    """``a, ca, b, cb``: one of the pairs of places that lie near each other."""
-    near = [F.floor(F.col(c) / NEAR).alias(f"near_{c}") for c in ("ca", "cb")]
-    return met.where("a != b").groupBy("a", "b", *near).agg(F.min(F.struct("ca", "cb")).alias("c")).select("a", "c.ca", "b", "c.cb")
-
-
-#: A passage of n shingles with m in common has m / (2n - m) >= SIMILAR if m gains no less than the others cost.
-COST = 2 * SIMILAR / (1 + SIMILAR)
-#: Places in common may lie on diagonals (place in x less place in y) so far apart; a passage has fewer words put in or left out.
-BAND = 16
-
-
-def _runs(shared: np.ndarray):
-    """Runs (from, to) of a passage's length or more that begin and end with a shared shingle and share enough, long ones of each end."""
-    least = PASSAGE - SHINGLE + 1
-    total = np.r_[0.0, np.cumsum(np.where(shared, 1 - COST, -COST))] + 1e-9 * np.arange(len(shared) + 1)
-    start = np.where(shared, total[:-1], np.inf)
-    if len(shared) < least:
-        return
-    floor = np.minimum.accumulate(start)
-    ends = np.flatnonzero(shared[least - 1 :] & (total[least:] >= floor[: len(shared) - least + 1])) + least
-    for end in ends[::-1].tolist():
-        yield int(np.argmax(start[: end - least + 1] <= total[end])), end
-
-
-def _agree(x: np.ndarray, y: np.ndarray) -> bool:
-    own, other = np.unique(x), np.unique(y)
-    both = len(np.intersect1d(own, other, assume_unique=True))
-    return both >= SIMILAR * (len(own) + len(other) - both)
-
-
-def _aligned(x, y, at, to):
-    """The first like passages among the matches (at in x, to in y), from runs of x and the runs of y that answer them."""
-    shared = np.zeros(len(x), bool)
-    shared[at] = True
-    tried = set()
-    for begin, end in _runs(shared):
-        if begin in tried:  # a shorter run of the same beginning is tried by windows
-            continue
-        tried.add(begin)
-        for first in (begin, *range(begin + 1, max(begin + 1, end - 2 * PASSAGE), PASSAGE // 2)):
-            last = end if first == begin else min(end, first + 2 * PASSAGE)
-            inside = (at >= first) & (at < last)
-            answer = np.zeros(len(y), bool)
-            answer[to[inside]] = True
-            where = np.flatnonzero(answer)
-            if last - first < PASSAGE - SHINGLE + 1 or not len(where):
-                continue
-            whole = int(where[0]), int(where[-1]) + 1
-            for low, high in (whole, *list(_runs(answer))[:1]):
-                if _agree(x[first:last], y[low:high]):
-                    return first, last, low, high
-                held = np.flatnonzero(inside & (to >= low) & (to < high))
-                if len(held):  # x cut to what this range of y answers
-                    f, t = int(at[held].min()), int(at[held].max()) + 1
-                    if t - f >= PASSAGE - SHINGLE + 1 and _agree(x[f:t], y[low:high]):
-                        return f, t, low, high
-    return None
-
-
-def similar(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int] | None:
-    """Like passages of x and y (from, to, from, to; in shingles): over all matches, then along each band of diagonals."""
-    if not any(True for _ in _runs(np.isin(x, y))) and not any(True for _ in _runs(np.isin(y, x))):
-        return None
-    order = np.argsort(y, kind="stable")
-    low, high = np.searchsorted(y[order], x), np.searchsorted(y[order], x, side="right")
-    times = high - low
-    at = np.repeat(np.arange(len(x)), times)
-    to = order[np.repeat(low - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())]
-    diagonal = at - to
-    near = [slice(None)]
-    values, counts = np.unique(diagonal, return_counts=True)
-    if values[-1] - values[0] > BAND:
-        # bands about the fullest diagonals first, until every diagonal has been in the middle of one or beside it
-        left = counts.copy()
-        while left.any():
-            middle = values[int(np.argmax(left))]
-            left[np.abs(values - middle) <= BAND // 4] = 0
-            near.append(np.abs(diagonal - middle) <= BAND)
-            near.append(np.abs(diagonal - middle) <= 1)
-    for band in near:
-        a, t = at[band], to[band]
-        if len(a) < COST * (PASSAGE - SHINGLE + 1) - 1e-9:
-            continue
-        found = _aligned(x, y, a, t)
-        if found:
-            return found
-        back = _aligned(y, x, t, a)
-        if back:
-            return back[2], back[3], back[0], back[1]
-    return None
-
-
-def _parts(docs: DataFrame, asked: DataFrame, text_col: str) -> DataFrame:
-    """``id, side, begin, part``: for each row of ``asked`` (id, side, pn, c) the shingles around its place (32-bit hashes)."""
-    nodes = asked.select("pn").distinct()
+            for part in slices(batch, 1, SLICE):
+                nodes = part.column(0).to_numpy()
+                _, once = np.unique(nodes, return_index=True)  # equal texts of a batch are read once
+                texts = texts_of(part, 1)
+                texts, nodes = [texts[i] for i in once], nodes[once]
+                for at, h, starts in shingles(texts):
+                    with np.errstate(over="ignore"):
+                        values = _mix(h + _BASE)
+                        _, c, _ = compact_windows(values, starts, RUN)
+                        owner = np.searchsorted(starts, c, side="right") - 1
+                        first, end = starts[owner], starts[owner + 1]
+                        able = (end - first > PASSAGE - SHINGLE) & _steady(h, starts)[c]
+                        c, owner, first, end = c[able], owner[able], first[able], end[able]
+                        if not len(c):
+                            continue
+                        left = np.where(c - SIDE >= first, _runs_hash(h, np.maximum(c - SIDE, 0), SIDE + 1) >> np.uint64(32) | np.uint64(1), np.uint64(0))
+                        right = np.where(c + SIDE < end, _runs_hash(h, np.minimum(c, len(h) - SIDE - 1), SIDE + 1) >> np.uint64(32) | np.uint64(1), np.uint64(0))
+                        begin = c - CORE // 2
+                        whole = (begin >= first) & (begin + CORE <= end)
+                        core = np.where(whole, _runs_hash(h, np.clip(begin, 0, len(h) - CORE), CORE), np.uint64(0))
+                    sides = left << np.uint64(32) | right
+                    # of a stretch that repeats itself the places with the same surroundings are one
+                    order = np.argsort(c)
+                    a, b = order[:-1], order[1:]
+                    again = (owner[a] == owner[b]) & (c[b] - c[a] < RUN) & (values[c[a]] == values[c[b]]) & (sides[a] == sides[b]) & (core[a] == core[b])
+                    keep = np.ones(len(c), bool)
+                    keep[b[again]] = False
+                    c, owner, first, sides, core = c[keep], owner[keep], first[keep], sides[keep], core[keep]
+                    columns = [values[c].view(np.int64), sides.view(np.int64), core.view(np.int64), nodes[at + owner], (c - first).astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "sides", "core", "node", "place"])
+
+    rows = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("string").alias("text"))
+    return rows.where(F.length("text") >= 2 * PASSAGE - 1).mapInArrow(run, "key long, sides long, core long, node long, place int")
+
+
+def _shared(rows: DataFrame, by: str, what: str) -> DataFrame:
+    """The values of ``by`` that rows of two or more ``what`` have: counted before the shuffle, so that a hot value is a few rows."""
+    return rows.groupBy(by).agg(F.min(what).alias("__least"), F.max(what).alias("__most")).where("__least != __most")
+
+
+def contexts(docs: DataFrame, asked: DataFrame, text_col: str = "text") -> DataFrame:
+    """``node, place, ctx``: the shingles within REACH of each asked (node, place), as 32-bit hashes; 0 beyond the text's ends."""
+    packed = asked.groupBy("node").agg(F.collect_set("place").alias("places"))  # no more than the text has windows
+    packed = written(packed.select(F.col("node").alias("pn"), "places"), "asked")
     text = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("string").alias("text"))
-    if nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        text = text.join(F.broadcast(nodes), F.col("node") == F.col("pn"), "left_semi")
+    if packed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # eight bytes a row
+        text = text.join(F.broadcast(packed.select("pn")), F.col("node") == F.col("pn"), "left_semi")
     text = text.dropDuplicates(["node"])
 
+    @lean
     def cut(batches):
-        last, hashes = None, None
-        for batch in batches:
-            nodes, texts, ids, sides, places = batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), batch.column(4).to_pylist()
-            begins, parts = [], []
-            for i, (node, c) in enumerate(zip(nodes, places)):
-                if node != last:  # rows of a text follow each other
-                    last, hashes = node, next(shingles([(texts[i].as_py() or "").encode()]))[1]
-                begins.append(max(0, c - AROUND))
-                parts.append((hashes[begins[-1] : c + AROUND] >> np.uint64(32)).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([ids, sides, pa.array(begins, pa.int32()), pa.array(parts, pa.binary())], ["id", "side", "begin", "part"])
-
-    return text.join(asked, F.col("node") == F.col("pn")).select("node", "text", "id", "side", "c").mapInArrow(cut, "id long, side int, begin int, part binary")
-
-
-def _verified(docs: DataFrame, chosen: DataFrame, text_col: str) -> DataFrame:
-    """``id`` and the places (in words) of the passages of those pairs that have like ones around their places."""
-
-    def verify(batches):
-        waiting = None
         for batch in batches:
-            rows = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if waiting is None or waiting[0] != row[0]:
-                    waiting = row
-                    continue
-                (key, _, a_at, x), (_, _, b_at, y), waiting = waiting, row, None
-                found = similar(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))
-                if found:
-                    rows.append((key, a_at + found[0], a_at + found[1] + SHINGLE - 1, b_at + found[2], b_at + found[3] + SHINGLE - 1))
-            cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64()] + [pa.int32()] * 4)], ["id", "a_from", "a_to", "b_from", "b_to"])
-
-    asked = chosen.select("id", F.lit(0).alias("side"), F.col("a").alias("pn"), F.col("ca").alias("c")).union(chosen.select("id", F.lit(1), "b", "cb"))
-    parts = _parts(docs, asked, text_col).repartition("id").sortWithinPartitions("id", "side")
-    found = parts.mapInArrow(verify, "id long, a_from int, a_to int, b_from int, b_to int")
-    return written(chosen.select("id", "a", "b").join(found, "id").drop("id"), "verified")
-
-
-def within(parts: list[np.ndarray]):
-    """(i, j, passages) that connect the parts of one group as all its pairs would.
-
-    Like passages share 41 places or more, hence as many different shingles less the repeats
-    of a part. Two parts with t in common share one of the n - t + 1 rarest of either.
-    """
-    own = [np.unique(p) for p in parts]
-    need = int(np.ceil(2 * SIMILAR / (1 + SIMILAR) * (PASSAGE - SHINGLE + 1) - 1e-9))
-    need = max(1, need - max(len(p) - len(o) for p, o in zip(parts, own)))
-    _, name, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-    ends = np.cumsum([len(o) for o in own])
-    root, held = np.arange(len(parts)), {}
-    for i, end in enumerate(ends):
-        mine = name[end - len(own[i]) : end]
-        rare = mine[np.lexsort((mine, times[mine]))][: max(len(mine) - need + 1, 0)]
-        rare = rare[times[rare] > 1].tolist()
-        met = [held[g] for g in rare if g in held]
-        for j in np.unique(np.concatenate([np.array(m) for m in met])).tolist() if met else ():
-            if root[i] == root[j] or len(np.intersect1d(own[i], own[j], assume_unique=True)) < need:
+            for part in slices(batch, 1, SLICE):
+                nodes, places = part.column(0).to_pylist(), part.column(2).to_pylist()
+                for at, h, starts in shingles(texts_of(part, 1)):
+                    h = (h >> np.uint64(32)).astype(np.uint32)
+                    h[h == 0] = 1
+                    for i in range(len(starts) - 1):
+                        own = np.r_[np.zeros(REACH, np.uint32), h[starts[i] : starts[i + 1]], np.zeros(REACH, np.uint32)]
+                        mine = np.array(places[at + i], np.int32)
+                        for lo in range(0, len(mine), 2048):
+                            some = mine[lo : lo + 2048]
+                            rows = own[some[:, None] + np.arange(2 * REACH + 1)]
+                            ctx = pa.array([r.tobytes() for r in rows], pa.binary())
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), nodes[at + i])), pa.array(some), ctx], ["node", "place", "ctx"])
+
+    return text.join(packed, F.col("node") == F.col("pn")).select("node", "text", "places").mapInArrow(cut, "node long, place int, ctx binary")
+
+
+def _run_length(equal: np.ndarray) -> np.ndarray:
+    """How many of each row are true before the first that isn't."""
+    return np.where(equal.all(axis=1), equal.shape[1], equal.argmin(axis=1))
+
+
+def _second(x: np.ndarray, y: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Whether a run of ``own`` shingles that ends before column 0 of x and y, a gap, and a second run are like passages."""
+    found = np.zeros(len(x), bool)
+    need = PASSAGE - SHINGLE + 1
+    x, y = x.astype(np.int64), np.where(y == 0, -1, y.astype(np.int64))
+    for gx in range(0, GAPS + 1):
+        for gy in range(0, GAPS + 1 - gx):
+            todo = np.flatnonzero(~found & (own + CORE >= 4 * (gx + gy)) & (gx + gy > 0))
+            if not len(todo):
                 continue
-            found = similar(parts[j], parts[i])
-            if found:
-                root[root == root[i]] = root[j]
-                yield j, i, found
-        for g in rare:
-            held.setdefault(g, []).append(i)
-
-
-def _failed_groups(met: DataFrame, found: DataFrame) -> DataFrame:
-    """``g, node, place``: members of the groups of three or more in which a pair has no verified link; one group of equals."""
-    done = found.select("a", "b").distinct().withColumn("done", F.lit(True))
-    told = met.join(done, ["a", "b"], "left").withColumn("g", F.explode(F.array_compact(F.array("left", "right"))))
-    missed = told.groupBy("g").agg(F.count_if(F.col("done").isNull() & (F.col("a") != F.col("b"))).alias("missed"), F.count(F.lit(1)).alias("n")).where("missed > 0 and n > 1").select("g")
-    told = told.join(missed, "g", "left_semi")
-    members = told.select("g", F.col("a").alias("node"), F.col("ca").alias("place")).union(told.select("g", "b", "cb"))
-    members = written(members.groupBy("g", "node", F.floor(F.col("place") / NEAR).alias("at")).agg(F.min("place").alias("place")), "members")
-    same = members.groupBy("g").agg(F.sum(F.xxhash64("node", "at").cast("decimal(38,0)")).alias("set"), F.count(F.lit(1)).alias("n"))
-    one = same.groupBy("set", "n").agg(F.min("g").alias("g")).select("g")
-    return members.join(one, "g", "left_semi").select("g", "node", "place")
-
-
-def _regrouped(docs: DataFrame, members: DataFrame, text_col: str) -> DataFrame:
-    """Links as of ``links`` within the groups of ``members``."""
-    members = written(members.withColumn("id", F.monotonically_increasing_id()), "groups")
+            n = min(x.shape[1] - max(gx, gy), CORE)
+            second = _run_length(x[todo, gx : gx + n] == y[todo, gy : gy + n])
+            t = own[todo] + second
+            apart = gx + gy + np.maximum(need - t - gx, 0) + np.maximum(need - t - gy, 0)
+            found[todo[(second > 0) & (t >= SIMILAR * (t + apart) - 1e-9)]] = True
+    return found
+
+
+def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the contexts in each row of x and y hold like passages through their middle shingle."""
+    equal = (x == y) & (x != 0)
+    right, left = _run_length(equal[:, REACH:]), _run_length(equal[:, REACH::-1])
+    own = right + left - 1
+    same = own >= CORE
+    short = np.flatnonzero(~same & (own >= RUN) & (right > 0))
+    if len(short):
+        x, y, own, left, right = x[short], y[short], own[short], left[short], right[short]
+        place = np.arange(len(short))[:, None]
+        width = np.arange(CORE + GAPS)
+        beyond = np.pad(x, ((0, 0), (0, CORE + GAPS))), np.pad(y, ((0, 0), (0, CORE + GAPS)))
+        after = [b[place, REACH + right[:, None] + width] for b in beyond]
+        beyond = np.pad(x[:, ::-1], ((0, 0), (0, CORE + GAPS))), np.pad(y[:, ::-1], ((0, 0), (0, CORE + GAPS)))
+        before = [b[place, REACH + left[:, None] + width] for b in beyond]
+        # a run in a passage of the least length: its distinct shingles against those that are not shared
+        many = np.flatnonzero(own >= SIMILAR / (2 - SIMILAR) * (PASSAGE - SHINGLE + 1))
+        single = np.zeros(len(short), bool)
+        for i in many.tolist():
+            kinds = len(np.unique(x[i, REACH - left[i] + 1 : REACH + right[i]]))
+            single[i] = kinds >= SIMILAR * (kinds + 2 * (CORE - own[i])) - 1e-9
+        same[short] = single | _second(*after, own) | _second(*before, own)
+    return same
+
+
+def _group_links(groups: DataFrame) -> DataFrame:
+    """``x, y``: items with like passages among all pairs of each group (FEW rows at most) that aren't of one component."""
 
+    def told(rows):
+        if not rows[0]:
+            return None
+        sig, item, comp = (np.array(r, np.int64) for r in rows[:3])
+        ctx = np.frombuffer(b"".join(rows[3]), np.uint32).reshape(len(sig), -1)
+        starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        ends = np.repeat(np.r_[starts[1:], len(sig)], np.diff(np.r_[starts, len(sig)]))
+        after = ends - np.arange(len(sig)) - 1
+        i = np.repeat(np.arange(len(sig)), after)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.r_[0, np.cumsum(after)[:-1]], after)
+        odd = comp[i] != comp[j]
+        i, j = i[odd], j[odd]
+        good = [alike(ctx[i[k : k + 4096]], ctx[j[k : k + 4096]]) for k in range(0, len(i), 4096)]
+        keep = np.concatenate(good) if good else np.zeros(0, bool)
+        return pa.RecordBatch.from_arrays([pa.array(item[i[keep]]), pa.array(item[j[keep]])], ["x", "y"])
+
+    @lean
     def run(batches):
-        g, rows = None, []
+        held = [[], [], [], []]
         for batch in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != g:
-                    out += told(rows)
-                    g, rows = row[0], []
-                rows.append(row[1:])
-            yield table(out)
-        yield table(told(rows))
+            for part in slices(batch, 3, 2 << 20):
+                columns = [c.to_pylist() for c in part.columns]
+                # rows of the last group wait for the rest of it
+                cut = next((k for k in range(len(columns[0]), 0, -1) if columns[0][k - 1] != columns[0][-1]), 0)
+                if cut or (held[0] and held[0][-1] != columns[0][0]):
+                    for h, c in zip(held, columns):
+                        h += c[:cut]
+                    made = told(held)
+                    if made is not None:
+                        yield made
+                    held = [[], [], [], []]
+                for h, c in zip(held, columns):
+                    h += c[cut:]
+        made = told(held)
+        if made is not None:
+            yield made
+
+    rows = groups.select("sig", "item", "comp", "ctx").repartition("sig").sortWithinPartitions("sig")
+    return rows.mapInArrow(run, "x long, y long")
+
+
+def _self_alike(items: DataFrame) -> DataFrame:
+    """``item`` of the contexts (what their members share; 0 elsewhere) that hold a passage whatever stands at the zeros."""
+
+    @lean
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 1, 2 << 20):
+                ctx = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(len(part), -1)
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(alike(ctx, ctx)))], ["item"])
+
+    return items.select("item", "ctx").mapInArrow(run, "item long")
 
-    def told(rows):
-        for i, j, (x, to, y, end) in within([np.frombuffer(r[2], np.uint32) for r in rows]) if rows else ():
-            (a, at, _), (b, there, _) = rows[i], rows[j]
-            if a != b:
-                ends = (at + x, at + to + SHINGLE - 1), (there + y, there + end + SHINGLE - 1)
-                yield (a, b, *ends[0], *ends[1]) if a < b else (b, a, *ends[1], *ends[0])
 
-    def table(rows):
-        cols = list(zip(*rows)) or [()] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 2 + [pa.int32()] * 4)], ["a", "b", "a_from", "a_to", "b_from", "b_to"])
+def _levels(crowded: DataFrame) -> DataFrame:
+    """``x, y``: links within groups of more than FEW rows (sig, item, comp, ctx), without pairing all of them.
 
-    asked = members.select("id", F.lit(0).alias("side"), F.col("node").alias("pn"), F.col("place").alias("c"))
-    parts = _parts(docs, asked, text_col).join(members.select("id", "g", "node"), "id").select("g", "node", "begin", "part")
-    parts = parts.repartition("g").sortWithinPartitions("g", "node", "begin")
-    return written(parts.mapInArrow(run, "a long, b long, a_from int, a_to int, b_from int, b_to int"), "regrouped")
+    A shingle that FEW members or fewer of a group have makes a group of its own, in which all pairs are compared. What
+    the others, frequent ones, link depends on them alone: members with the same frequent shingles at the same places
+    are one item with zeros elsewhere, and such items make a group again, until groups are small. Items that are alike
+    link all their members, as does an item that is like itself.
+    """
+    found, level, members = [], 0, written(crowded, "crowded")
+    known = None  # item of this level -> first-level item
+    while members.limit(1).count():
+
+        @lean
+        def opened(batches):
+            for batch in batches:
+                for part in slices(batch, 2, 1 << 20):
+                    ctx = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint32).reshape(len(part), -1)
+                    order = np.sort(ctx, axis=1)
+                    new = (order != 0) & np.c_[np.ones(len(order), bool), order[:, 1:] != order[:, :-1]]
+                    row, at = np.nonzero(new)
+                    columns = [part.column(0).take(pa.array(row)), pa.array(order[row, at].view(np.int32)), part.column(1).take(pa.array(row))]
+                    yield pa.RecordBatch.from_arrays(columns, ["sig", "s", "item"])
+
+        every = written(members.select("sig", "item", "ctx").mapInArrow(opened, "sig long, s int, item long"), "opened")
+        times = every.groupBy("sig", "s").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("item").cast("decimal(38,0)")).alias("who")).where("n > 1")
+        times = written(times, "times")
+        # shingles with the same holders make one group
+        rare = times.where(F.col("n") <= FEW).groupBy("sig", "who", "n").agg(F.min("s").alias("s")).select("sig", "s")
+        small = every.join(rare, ["sig", "s"]).join(members, ["sig", "item"]).select(F.xxhash64("sig", "s").alias("sig"), "item", "comp", "ctx")
+        links = [_group_links(small)]
+        frequent = every.join(times.where(F.col("n") > FEW).select("sig", "s"), ["sig", "s"], "left_semi")
+        frequent = frequent.groupBy("sig", "item").agg(F.collect_set("s").alias("kept"))  # no more than a context has
+
+        @lean
+        def masked(batches):
+            for batch in batches:
+                for part in slices(batch, 3, 1 << 20):
+                    rows = []
+                    for ctx, kept in zip(part.column(3).to_pylist(), part.column(4).to_pylist()):
+                        own = np.frombuffer(ctx, np.uint32)
+                        rows.append(np.where(np.isin(own.view(np.int32), np.array(kept or [], np.int32)), own, np.uint32(0)).tobytes())
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(rows, pa.binary())], ["sig", "item", "comp", "ctx"])
+
+        told = members.join(frequent, ["sig", "item"]).select("sig", "item", "comp", "ctx", "kept")
+        told = written(told.mapInArrow(masked, "sig long, item long, comp long, ctx binary").withColumn("as", F.xxhash64("sig", "ctx")), "masked")
+        items = told.groupBy("as").agg(
+            F.min("sig").alias("sig"), F.first("ctx").alias("ctx"), F.count(F.lit(1)).alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"),
+        )
+        # items of several components are of none: a name of their own
+        items = written(items.select("sig", F.col("as").alias("item"), F.when(F.col("least") == F.col("most"), F.col("least")).otherwise(F.col("as")).alias("comp"), "ctx", "n", "least", "most"), "items")
+        below = known
+        step = told.select(F.col("as").alias("item"), F.col("item").alias("base"))
+        known = written(step if below is None else step.select("item", F.col("base").alias("mid")).join(below.select(F.col("item").alias("mid"), "base"), "mid").select("item", "base").distinct(), "known")
+        sizes = items.groupBy("sig").agg(F.count(F.lit(1)).alias("items"))
+        before = members.groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
+        sizes = written(sizes.join(before, "sig"), "sizes")
+        stuck = items.join(sizes.where((F.col("items") > FEW) & (F.col("items") >= F.col("held"))).select("sig"), "sig", "left_semi")
+        few = items.join(sizes.where(F.col("items") <= FEW).select("sig"), "sig", "left_semi")
+        upper = _group_links(few)
+        if stuck.limit(1).count():  # all have frequent shingles in orders of their own: compared in blocks
+            upper = upper.unionByName(_group_links(_blocks(stuck)))
+        own = _self_alike(items.where("least != most")).select(F.col("item").alias("x"), F.col("item").alias("y"))
+        upper = written(upper.unionByName(own), "upper")
+        for link in links:
+            found.append(written(link if below is None else _expanded(link, below), "links"))
+        found.append(written(_expanded(upper, known), "links"))
+        again = sizes.where((F.col("items") > FEW) & (F.col("items") < F.col("held"))).select("sig")
+        members = written(items.join(again, "sig", "left_semi").select("sig", "item", "comp", "ctx"), "crowded")
+        level += 1
+    out = found[0] if found else crowded.select(F.col("item").alias("x"), F.col("item").alias("y")).limit(0)
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _expanded(links: DataFrame, known: DataFrame) -> DataFrame:
+    """Links between items as links of all their members with the first member of the other item."""
+    first = known.groupBy("item").agg(F.min("base").alias("first"))
+    both = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+    to = both.join(first.withColumnRenamed("item", "y"), "y").select("x", "first")
+    return known.withColumnRenamed("item", "x").join(to, "x").select(F.col("base").alias("x"), F.col("first").alias("y")).where("x != y").distinct()
+
+
+def _blocks(items: DataFrame) -> DataFrame:
+    """Groups of FEW rows or fewer such that any two rows of a sig meet in one: pairs of blocks of FEW / 2."""
+    order = W.partitionBy("sig").orderBy("item")
+    held = items.select("sig", "item", "comp", "ctx").withColumn("block", ((F.row_number().over(order) - 1) / (FEW // 2)).cast("int"))
+    last = held.groupBy("sig").agg(F.max("block").alias("last"))
+    held = held.join(last, "sig").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    high = F.when((low == high) & (F.col("last") > 0), F.when(low == 0, 1).otherwise(low)).otherwise(high)
+    low = F.when((F.col("block") == F.col("other")) & (F.col("last") > 0) & (F.col("block") > 0), F.col("block") - 1).otherwise(low)
+    return held.select(F.xxhash64("sig", low, high).alias("sig"), "item", "comp", "ctx").distinct()
 
 
 def links(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``a, b, a_from, a_to, b_from, b_to``: verified near-duplicate passages (places in words) of texts a and b.
-
-    Together the rows connect what the pairs of every group would. One place of each pair of texts is
-    compared first; the others are where that finds no like passages; then groups in which a pair failed.
-    """
-    met = written(candidate_pairs(docs, text_col), "met")
-    pairs = written(places(met).withColumn("id", F.monotonically_increasing_id()), "pairs")
-    first = pairs.groupBy("a", "b").agg(F.min(F.struct("ca", "cb", "id")).alias("c")).select("a", "c.ca", "b", "c.cb", "c.id")
-    found = _verified(docs, written(first, "first"), text_col)
-    rest = pairs.join(first.select("id"), "id", "left_anti").join(found.select("a", "b"), ["a", "b"], "left_anti")
-    rest = written(rest, "rest")
-    found = found.unionByName(_verified(docs, rest, text_col)) if rest.limit(1).count() else found
-    members = written(_failed_groups(met, found), "failed")
-    if not members.limit(1).count():
-        return found
-    more = _regrouped(docs, members, text_col)
-    return found.unionByName(more.join(found.select("a", "b"), ["a", "b"], "left_anti"))
+    """``a, b``: texts (by hash) with like passages; together they connect what all pairs would."""
+    every = written(windows(docs, text_col), "windows")
+    rows = written(every.join(_shared(every, "key", "node").select("key").hint("shuffle_hash"), "key", "left_semi"), "shared")
+    drop_written(every)
+    # equal passages around a place: each with the first
+    cores = _shared(rows.where("core != 0"), "core", "node").select("core", F.col("__least").alias("a"))
+    equal = written(rows.join(cores.hint("shuffle_hash"), "core").select("a", F.col("node").alias("b")).where("a != b").distinct(), "equal")
+    comps = connected(equal, "a", "b").select(F.col("node").alias("cn"), "root")
+    told = rows.select("key", "sides", "node", "place").join(comps, F.col("node") == F.col("cn"), "left")
+    side = F.explode(F.array(F.struct(F.lit(0).alias("k"), F.shiftrightunsigned("sides", 32).alias("s")), F.struct(F.lit(1).alias("k"), F.col("sides").bitwiseAND(0xFFFFFFFF).alias("s"))))
+    told = told.select("key", "node", "place", F.coalesce("root", "node").alias("comp"), side.alias("d")).where("d.s != 0")
+    told = written(told.select(F.xxhash64("key", "d.k", "d.s").alias("sig"), "node", "place", "comp"), "sides")
+    meeting = written(told.join(_shared(told, "sig", "comp").select("sig").hint("shuffle_hash"), "sig", "left_semi").distinct(), "meeting")
+    drop_written(told)
+    around = written(contexts(docs, meeting.select("node", "place").distinct(), text_col).withColumn("ch", F.xxhash64("ctx")), "contexts")
+    # equal contexts of a group are one item
+    met = meeting.join(around.select("node", "place", "ch"), ["node", "place"]).groupBy("sig", "ch").agg(F.min(F.struct("node", "place", "comp")).alias("m"))
+    item = F.xxhash64("m.node", "m.place")
+    met = written(met.select("sig", "m.node", "m.place", "m.comp", item.alias("item")), "met")
+    sizes = met.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("l"), F.max("comp").alias("m")).where("l != m").select("sig", "n")
+    met = met.join(sizes.hint("shuffle_hash"), "sig").join(around, ["node", "place"]).select("sig", "item", "comp", "ctx", "n")
+    met = written(met, "groups")
+    found = written(_group_links(met.where(F.col("n") <= FEW)), "found")
+    crowded = met.where(F.col("n") > FEW).drop("n")
+    if crowded.limit(1).count():
+        found = found.unionByName(_levels(crowded))
+    names = written(meeting.select(F.xxhash64("node", "place").alias("item"), "node").distinct(), "names")
+    named = found.join(names.select(F.col("item").alias("x"), F.col("node").alias("a")), "x").join(names.select(F.col("item").alias("y"), F.col("node").alias("b")), "y")
+    named = named.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return written(named.unionByName(equal.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "links")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id, n_links, n_copies`` for every row of ``docs``.
 
-    ``class_id`` is the least doc_id that verified links and equal texts reach, ``n_links`` the
-    number of verified links that the row's text has with other texts (those that tie its class, not all pairs), ``n_copies`` the rows with its text.
+    ``class_id`` is the least doc_id that links and equal texts reach, ``n_links`` the number of other texts
+    that the row's text is tied to (those that tie its class, not all pairs), ``n_copies`` the rows with its text.
     """
-    found = written(links(docs, text_col).groupBy("a", "b").agg(F.count(F.lit(1)).alias("passages")), "links")
+    found = links(docs, text_col)
     ids = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("node")), "ids")
     nodes = ids.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"))
-    roots = connected(found, "a", "b").select(F.col("node").alias("rn"), "root")
-    degree = found.select("a").union(found.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n_links"))
-    told = nodes.join(roots, F.col("node") == F.col("rn"), "left").join(degree, F.col("node") == F.col("a"), "left")
-    told = told.select("node", "least", "n_copies", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    named = told.groupBy("root").agg(F.min("least").alias("class_id"))
-    per = told.join(named, "root").select("node", "class_id", "n_links", "n_copies")
-    return ids.join(per, "node").select("doc_id", "class_id", "n_links", "n_copies")
+    ends = found.select(F.col("a").alias("e")).unionAll(found.select("b"))
+    degree = ends.groupBy("e").agg(F.count(F.lit(1)).alias("n_links"))
+    named = class_names(nodes.select("node", "least"), found)
+    per = nodes.join(named.withColumnRenamed("node", "nn"), F.col("node") == F.col("nn")).join(degree, F.col("node") == F.col("e"), "left")
+    per = per.select(F.col("node").alias("pn"), "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies")
+    return ids.join(per, F.col("node") == F.col("pn")).select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def op10_passages(spark, sf_dir: str) -> DataFrame:

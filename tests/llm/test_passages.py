@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
+import pytest
 
 from brightsieve.llm import passages as P
 
@@ -74,65 +74,119 @@ def test_edges(docs, texts, nothing):
     assert all(by[i].class_id == i and by[i].n_links == 0 for i in (3, 4, 5, 6, 7, 8, 13)) and by[1].n_copies == 3
 
 
-def by_node(spark, texts):
-    """The rows (doc_id, text) in the order of the hashes that name them."""
-    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("h", F.xxhash64("text"))
-    return [r.text for r in df.orderBy("h").collect()]
-
-
-def test_an_excerpt_at_the_head_of_a_group_hides_no_links(spark):
-    rng = random.Random(7)
-    say = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
-    shared = say(50)
-    few = [" ".join(say(60) + shared[:49] + say(60)) for _ in range(40)]
-    head = by_node(spark, few)[0]
-    whole = [" ".join(say(60) + shared + say(60)) for _ in range(30)]
-    whole = [t for t in by_node(spark, [head, *whole]) if t != head]
-    ordered = by_node(spark, [head, *whole])
-    assert ordered[0] == head  # 49 words of the passage come first in the groups
-    df = spark.createDataFrame(list(enumerate(ordered)), "doc_id long, text string")
+def words_of(rng, n):
+    return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def edited(rng, base, edits):
+    q = list(base)
+    for k in edits:
+        q[k] = f"e{rng.randrange(10**9)}"
+    return q
+
+
+def joined(spark, pairs):
+    """Whether each pair of texts (lists of words) comes into one class, all in one table."""
+    rows = [(2 * k + s, " ".join(t)) for k, pair in enumerate(pairs) for s, t in enumerate(pair)]
+    got = {r.doc_id: r.class_id for r in P.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    return [got[2 * k] == got[2 * k + 1] for k in range(len(pairs))], got
+
+
+def test_whichever_word_is_changed_at_the_threshold(spark):
+    rng, pairs, true = random.Random(1), [], []
+    for n, edits in [(50, [[k] for k in range(50)]), (51, [[k] for k in range(51)]), (75, [[k] for k in range(0, 75, 5)]), (100, [[k, 99 - k] for k in range(0, 45, 4)]),
+                     (160, [[20, 60, 120], [35, 80, 125]]), (300, [[40, 85, 130, 175, 220, 265]]), (60, [[24, 25], [30, 31]]), (58, [[27, 28]])]:
+        for e in edits:
+            base = words_of(rng, n)
+            q = edited(rng, base, e)
+            pairs.append([words_of(rng, rng.randrange(60)) + x + words_of(rng, rng.randrange(60)) for x in (base, q)])
+            true.append(jaccard(base, q) >= 0.8)
+    for extra in (1, 2, 3, 6):  # words put in, with as many words as make up for them
+        base = words_of(rng, max(50, 4 * (8 + extra) + 8))
+        k = len(base) // 2
+        q = base[:k] + words_of(rng, extra) + base[k:]
+        pairs.append([words_of(rng, 30) + x + words_of(rng, 30) for x in (base, q)])
+        true.append(jaccard(base, q) >= 0.8)
+    told, got = joined(spark, pairs)
+    assert sum(true) > 100 and all(t for t, want in zip(told, true) if want)
+    assert len({got[2 * k] for k in range(len(pairs))}) == len(pairs)  # no two pairs are joined
+
+
+def brute(x, y):
+    """Whether any passages of 50 to 56 words are alike."""
+    s, t = ([tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in (x, y))
+    for n in range(46, 53):
+        for i in range(len(s) - n + 1):
+            p = set(s[i : i + n])
+            for m in (n - 1, n, n + 1):
+                for j in range(len(t) - m + 1 if m >= 46 else 0):
+                    q = set(t[j : j + m])
+                    if 5 * len(p & q) >= 4 * len(p | q):
+                        return True
+    return False
+
+
+def test_against_all_pairs(spark):
+    """Components of short texts that share parts of a few passages, against brute force over all pairs."""
+    rng, rows = random.Random(9), []
+    stock = [words_of(rng, 55) for _ in range(4)]
+    for k in range(36):
+        part = rng.choice(stock)
+        a = rng.randrange(0, 12)
+        part = edited(rng, part[a : a + rng.randrange(38, 55)], [rng.randrange(30)] * (k % 3 == 0))
+        rows.append(words_of(rng, rng.randrange(6)) + part + words_of(rng, rng.randrange(10, 20)))
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if root[i] != root[j] and brute(rows[i], rows[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in P.classes(df).collect()}
+    assert [got[i] for i in range(len(rows))] == root and 3 < len(set(root)) < len(rows)
+
+
+@pytest.mark.parametrize("few", [64, 4])
+def test_common_lines_hide_no_passage(spark, monkeypatch, few):
+    """Pairs that share a passage around a line of L words that many other texts have, too."""
+    monkeypatch.setattr(P, "FEW", few)
+    rng, rows, want = random.Random(4), [], {}
+    for size in (15, 20, 30, 38, 44):
+        line = words_of(rng, size)
+        for _ in range(90):
+            rows.append(words_of(rng, 40) + line + words_of(rng, 40))
+        for k in range(12):
+            before, after = words_of(rng, 6 + (40 - size) // 2 * (size < 40)), words_of(rng, 10 + (40 - size) // 2 * (size < 40))
+            passage = before + line + after
+            other = edited(rng, passage, [len(before) + size + 4] if k % 2 and size < 38 else [])
+            if jaccard(passage, other) < 0.8 or len(passage) < 50:
+                continue
+            want[len(rows)] = len(rows) + 1
+            rows += [words_of(rng, 30) + passage + words_of(rng, 30), words_of(rng, 30) + other + words_of(rng, 30)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in P.classes(df).collect()}
-    assert got[0] == 0 and {got[i] for i in range(1, len(ordered))} == {1}
-
-
-def test_repeated_lines_and_long_runs_hide_no_passage():
-    rng = np.random.default_rng(5)
-    say = lambda n: rng.integers(0, 2**32, n).astype(np.uint32)
-    for _ in range(20):
-        passage = say(46)
-        line = passage[10:30]
-        x, y = np.r_[passage, say(40), line], np.r_[line, say(40), passage]
-        for a, b in ((x, y), (y, x), (np.r_[say(20), x, say(20)], y)):
-            f, t, g, u = P.similar(a, b)
-            own, other = set(a[f:t].tolist()), set(b[g:u].tolist())
-            assert t - f >= 46 and len(own & other) >= 0.8 * len(own | other)
-    assert P.similar(say(200), say(200)) is None
-    assert P.similar(np.r_[say(90), line, say(90)], np.r_[line, say(90)]) is None
-
-
-def test_places_differ_on_either_side(spark):
-    met = spark.createDataFrame([(1, 2, 15, 515), (1, 2, 50, 3015), (1, 2, 51, 3016), (3, 3, 5, 900)], "a long, b long, ca int, cb int")
-    assert sorted((r.ca, r.cb) for r in P.places(met).collect()) == [(15, 515), (50, 3015)]
-
-
-def met_by(h, f):
-    """The groups of a text's windows for one function."""
-    m = P._mix(h + np.uint64(f + 1) * P._BASE)
-    l, c, r = P.compact_windows(m, np.array([0, len(h)]), 46)
-    sides = h[np.maximum(c - P.ASIDE, l)], h[np.minimum(c + P.ASIDE, r)]
-    return {(int(k), i, int(s) >> 32) for i, side in enumerate(sides) for k, s in zip(m[c], side)}
-
-
-def test_recall_at_the_threshold_whichever_word_is_changed():
-    rng = np.random.default_rng(3)
-    say = lambda n: rng.integers(0, 2**64, n, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for word in range(5, 45):
-            missed = 0
-            for _ in range(500):
-                p = say(46)
-                q = p.copy()
-                q[word - 4 : word + 1] = say(5)  # Jaccard 41 / 51
-                x, y = np.r_[say(20), p, say(20)], np.r_[say(20), q, say(20)]
-                missed += not any(met_by(x, f) & met_by(y, f) for f in range(P.HASHES))
-            assert missed <= 10, (word, missed)
+    assert len(want) > 40 and all(got[a] == got[b] == a for a, b in want.items())
+    assert all(got[i] == i for i in range(len(rows)) if i not in want.values())  # a line alone joins none
+
+
+@pytest.mark.parametrize("few", [64, 3])
+def test_large_groups_of_one_passage(spark, monkeypatch, few):
+    """A passage of 52 words in many texts, some with a word changed, and a line of 45 words in others: all are one class."""
+    monkeypatch.setattr(P, "FEW", few)
+    rng = random.Random(6)
+    passage = words_of(rng, 52)
+    rows = [words_of(rng, 40) + edited(rng, passage, [k] if k < 12 else []) + words_of(rng, 40) for k in range(100)]
+    rows += [words_of(rng, 40) + passage[5:50] + words_of(rng, 40) for _ in range(100)]
+    rows += [words_of(rng, 40) + passage[5:45] + words_of(rng, 40) for _ in range(10)]  # 40 words: Jaccard 36 / 56
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in P.classes(df).collect()}
+    assert all(got[i].class_id == 0 and got[i].n_links for i in range(200)) and all(got[i].class_id == i and not got[i].n_links for i in range(200, 210))
+
+
+def test_stuttering_texts(spark):
+    rng = random.Random(2)
+    stutter = [w for _ in range(6) for w in [f"s{rng.randrange(10**6)}"] * 30]
+    rows = [stutter * 2, words_of(rng, 10) + stutter + words_of(rng, 20), ["a"] * 80, ["b"] + ["a"] * 70, ["a", "b"] * 60, words_of(rng, 60)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = [r.class_id for r in P.classes(df).orderBy("doc_id").collect()]
+    assert got == [0, 0, 2, 2, 4, 5]
