@@ -124,12 +124,24 @@ def p01(spark, sf_dir):
 _HEADERS = [" Facility Kind", "Organization", "E-Mail", "Town", "Max", "Permit", "Status", "Website URL"]
 
 
-@query("p03_fingerprint", "SELECT substr(sha256(array_to_string(list_sort(list_transform([" + ", ".join(o.q(h) for h in _HEADERS) + "], lambda c: lower(trim(c)))), '|')), 1, 16) AS fingerprint")
+_TABLE_HEADERS = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"], "labels": ["doc_id", "quality", "toxic"], "leads": _HEADERS}
+
+
+@query("p03_fingerprint", " UNION ALL ".join(f"SELECT '{n}' AS source, substr(sha256(array_to_string(list_sort(list_transform([" + ", ".join(o.q(h) for h in hs) + "], lambda c: lower(trim(c)))), '|')), 1, 16) AS fingerprint" for n, hs in _TABLE_HEADERS.items()))
 def p03(spark, sf_dir):
-    return table(spark, sf_dir, "region").limit(1).select(mapping.fingerprint_column(F.array(*[F.lit(h) for h in _HEADERS])).alias("fingerprint"))
+    """The headers of three tables as they are read, and of a messy lead file."""
+    found = {n: table(spark, sf_dir, n).columns if n != "leads" else hs for n, hs in _TABLE_HEADERS.items()}
+    rows = spark.createDataFrame(list(found.items()), "source string, headers array<string>")
+    return rows.select("source", mapping.fingerprint_column(F.col("headers")).alias("fingerprint"))
+
 
+#: What the rules of P4-P7 give for _HEADERS, worked out by hand ("Status" holds the pattern "st" of a state, too).
+_MAPPED = """('company', 'Organization'), ('facility_type', ' Facility Kind'), ('address1', NULL), ('address2', NULL), ('city', 'Town'), ('state', 'Status'), ('zip', NULL), ('county', NULL),
+('phone', NULL), ('phone2', NULL), ('email', 'E-Mail'), ('website_address', 'Website URL'), ('first_name', NULL), ('last_name', NULL), ('capacity', 'Max'), ('min_age', NULL), ('max_age', NULL),
+('ages_served', NULL), ('license_status', 'Status'), ('license_number', 'Permit'), ('license_type', NULL)"""
 
-@query("p04_fallback_mapping")
+
+@query("p04_fallback_mapping", f"SELECT target, source, CAST(9.0 / 21 AS DOUBLE) AS confidence FROM (VALUES {_MAPPED}) v(target, source)")
 def p04(spark, sf_dir):
     found, share = mapping.fallback(_HEADERS)
     return spark.createDataFrame([(t, found.get(t), share) for t in TARGETS], "target string, source string, confidence double")
@@ -312,6 +324,36 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy(N.state(F.col("state")).alias("state")).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_duplicate").alias("duplicates"), F.round(F.avg("data_quality_score"), 2).alias("average_score")).orderBy("state")
 
 
+@query("s02_csv_edges", """SELECT n_nationkey, CASE WHEN n_nationkey % 3 <> 1 THEN n_name || chr(10) || 'x' END AS name, CASE WHEN n_nationkey % 3 = 0 THEN '007' END AS code
+FROM (SELECT CAST(n_nationkey AS VARCHAR) AS k, n_nationkey, n_name FROM nation) WHERE n_nationkey % 5 <> 4""".replace("SELECT n_nationkey,", "SELECT k AS n_nationkey,", 1))
+def s02(spark, sf_dir):
+    """Rows with all fields, rows too short (kept), rows too long (left out), quoted line ends."""
+    path, k = new_path(spark, "edges-csv"), F.col("n_nationkey")
+    quoted = F.concat(F.lit('"'), F.col("n_name"), F.lit('\nx"'))
+    line = F.concat_ws(",", k.cast("string"), F.when(k % 3 != 1, quoted), F.when(k % 3 == 0, F.lit("007")))
+    line = F.when(k % 5 == 4, F.concat_ws(",", k.cast("string"), F.lit("a,b,c"))).otherwise(line)
+    body = table(spark, sf_dir, "nation").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("value"))  # 25 rows
+    body.select(F.concat(F.lit("n_nationkey,name,code\n"), "value").alias("value")).write.text(path)
+    return files.read_csv(spark, path, lineage=False, through_spark=True)
+
+
+@query("k03_reopened", """SELECT CAST(n_nationkey AS VARCHAR) AS record_id, CASE WHEN n_nationkey % 2 = 0 THEN 'second ' || n_name ELSE n_name END AS company, CASE WHEN n_nationkey < 20 THEN 'c' END AS city
+FROM nation WHERE n_nationkey < 20 OR n_nationkey % 2 = 0""")
+def k03_reopened(spark, sf_dir):
+    """Upserts through two stores opened one after the other at one location."""
+    nation, where, k = table(spark, sf_dir, "nation"), new_path(spark, "reopened"), F.col("n_nationkey")
+    store.LeadStore(spark, "sqlite:///" + where, "k03_first").upsert(nation.where(k < 20).select(k.cast("string").alias("record_id"), F.col("n_name").alias("company"), F.lit("c").alias("city")))
+    again = store.LeadStore(spark, where, "k03_second")
+    again.upsert(nation.where(k % 2 == 0).select(k.cast("string").alias("record_id"), F.concat(F.lit("second "), "n_name").alias("company")))
+    return store.LeadStore(spark, where, "k03_third").frame().select("record_id", "company", "city")
+
+
+@query("k04_prepare", """SELECT p_partkey, '["' || p_brand || '", "' || p_type || '"]' AS data_quality_flags, substr(repeat(p_name, 40), 1, 500) AS company, 'b' AS batch_id FROM part""")
+def k04(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", F.array("p_brand", "p_type").alias("data_quality_flags"), F.repeat("p_name", 40).alias("company"))
+    return store.prepare(part, "b").select("p_partkey", "data_quality_flags", "company", "batch_id")
+
+
 @query("flagship", f"""WITH d AS ({o.DEDUP}), s AS ({o.SCORED})
 SELECT {o.state('state')} AS state, count(*) AS n, count_if(is_duplicate) AS duplicates, round(avg(score - CASE WHEN is_duplicate THEN 5 ELSE 0 END), 2) AS average_score FROM s JOIN d USING (row_ix) GROUP BY 1""")
 def flagship_query(spark, sf_dir):

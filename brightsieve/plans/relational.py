@@ -33,8 +33,13 @@ SQL_QUERIES = {
     "sql_full_join": _same("SELECT coalesce(c_custkey, s_suppkey) AS k, c_name, s_name FROM {customer} FULL OUTER JOIN {supplier} ON c_custkey = s_suppkey"),
     "sql_cross_join": _same("SELECT r_name, n_name FROM {region} CROSS JOIN {nation}"),
     "sql_semi_join": _same("SELECT c_custkey FROM {customer} WHERE EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 200000)"),
-    "sql_anti_join": _same("SELECT c_custkey FROM {customer} WHERE c_custkey NOT IN (SELECT o_custkey FROM {orders})"),
+    "sql_anti_join": _same("SELECT c_custkey FROM {customer} WHERE c_custkey NOT IN (SELECT o_custkey FROM {orders} WHERE o_totalprice > 200000)"),
     "sql_theta_join": _same("SELECT a.n_name AS a, b.n_name AS b FROM {nation} a JOIN {nation} b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey"),
+    "sql_inequality_join": _same("SELECT a.r_name AS a, b.n_name AS b FROM {region} a JOIN {nation} b ON a.r_regionkey < b.n_nationkey - 20"),
+    "sql_natural_join": _same("SELECT r_regionkey, n, r_name FROM (SELECT r_regionkey, r_name FROM {region}) a NATURAL JOIN (SELECT n_regionkey AS r_regionkey, count(*) AS n FROM {nation} GROUP BY n_regionkey) b"),
+    "sql_grouping_sets": _same("SELECT o_orderstatus, o_orderpriority, grouping(o_orderstatus) AS g, count(*) AS n FROM {orders} GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderpriority), ())"),
+    "sql_window_distribution": _same("SELECT o_orderkey, round(percent_rank() OVER w, 9) AS p, round(cume_dist() OVER w, 9) AS c, first_value(o_orderkey) OVER w AS f, nth_value(o_orderkey, 2) OVER w AS s FROM {orders} WINDOW w AS (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_orderkey)"),
+    "sql_window_range": _same("SELECT o_orderkey, count(*) OVER (PARTITION BY o_orderstatus ORDER BY o_custkey RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS n FROM {orders}"),
     "sql_group_having": _same("SELECT o_orderpriority, o_orderstatus, count(*) AS n, count(DISTINCT o_custkey) AS custs, count(*) FILTER (WHERE o_totalprice > 100000) AS big FROM {orders} GROUP BY o_orderpriority, o_orderstatus HAVING count(*) > 10"),
     "sql_rollup": _same("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS q FROM {lineitem} GROUP BY ROLLUP (l_returnflag, l_linestatus)"),
     "sql_cube": _same("SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lineitem} GROUP BY CUBE (l_returnflag, l_linestatus)"),
@@ -42,7 +47,7 @@ SQL_QUERIES = {
     "sql_window_frame": _same("SELECT o_orderkey, lag(o_orderkey) OVER w AS before, lead(o_orderkey, 2) OVER w AS after, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS s FROM {orders} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)"),
     "sql_union": _same("SELECT c_nationkey AS k FROM {customer} UNION SELECT s_nationkey FROM {supplier}"),
     "sql_intersect": _same("SELECT c_nationkey AS k FROM {customer} INTERSECT SELECT s_nationkey FROM {supplier}"),
-    "sql_except": _same("SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey FROM {orders}"),
+    "sql_except": _same("SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey FROM {orders} WHERE o_orderkey % 7 = 0"),
     "sql_cte_subquery": _same("WITH t AS (SELECT o_custkey, sum(o_totalprice) AS s FROM {orders} GROUP BY o_custkey) SELECT o_custkey, round(s, 2) AS s FROM t WHERE s > (SELECT avg(s) FROM t)"),
     "sql_correlated": _same("SELECT o_orderkey FROM {orders} o WHERE o_totalprice > (SELECT avg(o_totalprice) FROM {orders} i WHERE i.o_custkey = o.o_custkey)"),
     "sql_recursive_cte": _same("WITH RECURSIVE t(n, f) AS (SELECT 1, 1 UNION ALL SELECT n + 1, f * (n + 1) FROM t WHERE n < 10) SELECT n, f FROM t"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import csv
 import fnmatch
+import io
 import logging
 import os
 import re
@@ -13,6 +14,7 @@ from dataclasses import dataclass, field
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brightsieve.functions.vocab import NA_TOKENS
 from brightsieve.sources.xlsx import read_sheet, sheet_names
@@ -65,35 +67,65 @@ def nulled(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+def _late_latin(spark: SparkSession, path: str) -> bool:
+    """Whether any line of a file isn't UTF-8, however far down."""
+    return spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count() > 0
+
+
 def read_csv(spark: SparkSession, path: str, encoding: str | None = None, delimiter: str | None = None, quote: str = '"', escape: str | None = None, skip_rows: int = 0, lineage: bool = True, strings: bool = True, through_spark: bool = False) -> DataFrame:
-    """A CSV file as strings, in parallel; lines with too many fields are left out.
+    """A CSV file as strings, in parallel. Short rows are filled up with nulls, rows with too many fields left out.
 
     With lineage, ``_source_file`` and ``_extraction_time`` are added. ``through_spark``
-    (and any path with a scheme) sniffs by Spark's reader: folders and remote stores.
+    (and any path with a scheme) sniffs by Spark's reader: folders and remote stores; ``skip_rows``
+    skips lines of one file, of which quoted line ends are no ends.
     """
-    if through_spark or "://" in path:
-        encoding = encoding or "UTF-8"
-        lines = [r.value for r in spark.read.option("encoding", encoding).text(path).limit(5 + skip_rows).collect()][skip_rows:]
+    remote = through_spark or "://" in path
+    if remote:
+        encoding = encoding or ("ISO-8859-1" if _late_latin(spark, path) else "UTF-8")
+        head = "\n".join(r.value for r in spark.read.option("encoding", encoding).text(path).limit(5 + 2 * skip_rows).collect())
     else:
         check(path)
         data = _head(path)
-        encoding = encoding or sniff_encoding(data)
-        lines = data.decode(encoding, "replace").splitlines()[skip_rows:]
+        found = encoding or sniff_encoding(data)
+        encoding = "ISO-8859-1" if not encoding and found == "UTF-8" and os.path.getsize(path) > len(data) and _late_latin(spark, path) else found
+        head = data.decode(encoding, "replace").removeprefix("\ufeff")
+    lines = head.splitlines()
+    if skip_rows:  # lines of the text that are skipped, as records of the reader
+        skipped = sum(1 for r in csv.reader(io.StringIO("\n".join(lines[:skip_rows]) + "\n"), quotechar=quote) if r)
+        lines = lines[skip_rows:]
     delimiter = delimiter or sniff_delimiter(lines)
-    reader = spark.read.option("header", skip_rows == 0).option("sep", delimiter).option("quote", quote).option("escape", escape or quote).option("encoding", encoding)
-    reader = reader.option("multiLine", True).option("mode", "DROPMALFORMED").option("enforceSchema", True).option("inferSchema", False)
+    names = _header(lines, delimiter, quote)
+    if not names:
+        return with_lineage(spark.createDataFrame([], ""), os.path.basename(path)) if lineage else spark.createDataFrame([], "")
+    shape = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "__over", "__raw"]])
+    reader = spark.read.schema(shape).option("sep", delimiter).option("quote", quote).option("escape", escape or quote).option("encoding", encoding)
+    reader = reader.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__raw")
     if skip_rows:
-        names = next(csv.reader(lines[:1], delimiter=delimiter, quotechar=quote), [])
-        text = spark.read.option("encoding", encoding).text(path, lineSep="\n")
-        rows = text.withColumn("__n", F.monotonically_increasing_id()).where(F.col("__n") > skip_rows)
-        df = rows.select(F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": delimiter, "quote": quote}).alias("r")).select("r.*")
+        # a file of many-line records is one partition: its records are numbered as they are read
+        df = reader.option("header", False).csv(path).withColumn("__n", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).where(F.col("__n") > skipped).drop("__n")
     else:
-        df = reader.csv(path)
-    df = df.select(*[F.col(f"`{c}`").alias(c.lstrip("﻿")) for c in df.columns])
+        df = reader.option("header", True).csv(path)
+    # a row of just one field more is no corrupt record of this schema; of the others (kept raw) delimiters outside quotes are counted
+    bare = F.regexp_replace("__raw", f"{re.escape(quote)}[^{re.escape(quote)}]*{re.escape(quote)}", "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))
+    df = df.where(F.col("__raw").isNotNull() & F.col("__over").isNull() & (fields < len(names))).drop("__over", "__raw")
     df = nulled(df) if strings else df
     return with_lineage(df, os.path.basename(path)) if lineage else df
 
 
+def _header(lines: list[str], delimiter: str, quote: str) -> list[str]:
+    """The names of the first record that isn't empty; an empty one is numbered, a repeated one gets a number."""
+    found = next((r for r in csv.reader(io.StringIO("\n".join(lines)), delimiter=delimiter, quotechar=quote) if r), [])
+    names: list[str] = []
+    for i, n in enumerate(found):
+        n = n.lstrip("\ufeff") or f"Unnamed: {i}"
+        k = 0
+        while (n if not k else f"{n}.{k}") in names:
+            k += 1
+        names.append(n if not k else f"{n}.{k}")
+    return names
+
+
 def with_lineage(df: DataFrame, file: str, sheet: str | None = None) -> DataFrame:
     more = {"_source_file": F.lit(file), "_extraction_time": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")}
     return df.withColumns(more | ({"_source_sheet": F.lit(sheet)} if sheet else {}))
@@ -152,6 +184,13 @@ class Registry:
     def register(self, config: SourceConfig) -> None:
         self.sources[config.name] = config
 
+    def column_mapping(self, source: str) -> dict[str, str]:
+        """The configured target and source columns of a source, none for one that isn't registered."""
+        return dict(self.sources[source].column_map) if source in self.sources else {}
+
+    def transformations_of(self, source: str) -> dict:
+        return dict(self.sources[source].transformations) if source in self.sources else {}
+
     def list(self) -> list[str]:
         return list(self.sources)
 

@@ -26,7 +26,9 @@ SCHEMA = T.StructType(
 def record_hash(df: DataFrame, columns: list[str]):
     """K5: SHA-256 of the columns as JSON with sorted keys, nulls written out."""
     def item(c):
-        return F.concat(F.lit(f'"{c}": '), F.coalesce(F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(F.col(c).cast("string"), r"\\", r"\\\\"), '"', r'\\"'), F.lit('"')), F.lit("null")))
+        # JSON's own escapes, control characters included, come from Spark's writer
+        value = F.regexp_replace(F.to_json(F.struct(F.col(c).cast("string").alias("v"))), r'(?s)^\{"v":(.*)\}$', "$1")
+        return F.concat(F.lit(f'"{c}": '), F.when(F.col(c).isNull(), F.lit("null")).otherwise(value))
 
     return F.sha2(F.concat(F.lit("{"), F.concat_ws(", ", *[item(c) for c in sorted(columns)]), F.lit("}")), 256)
 
@@ -37,13 +39,22 @@ def string_hash(c):
 
 
 def prepare(df: DataFrame, batch_id: str | None = None, now: dt.datetime | None = None) -> DataFrame:
-    """K4: batch, time and hash filled in, flags as JSON text, long strings cut."""
+    """K4: batch, time and hash filled in, lists and maps as JSON text, times as ISO text where text is stored, long strings cut."""
     now = now or dt.datetime.now()
     batch_id = batch_id or now.strftime("batch_%Y%m%d_%H%M%S")
     business = [c for c in TARGETS if c in df.columns]
     add = {c: F.substring(c, 1, 500) for c in CUT if c in df.columns}
     if "data_quality_flags" in df.columns and dict(df.dtypes)["data_quality_flags"] != "string":
         add["data_quality_flags"] = flags_json(F.col("data_quality_flags"))
+    stored = {f.name: f.dataType for f in SCHEMA.fields}
+    for f in df.schema.fields:
+        if f.name in add:
+            continue
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # as Python's writer has it: a blank after commas and colons between values
+            add[f.name] = F.to_json(f.name) if not isinstance(f.dataType, T.ArrayType) or not isinstance(f.dataType.elementType, T.StringType) else flags_json(F.col(f.name))
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) and isinstance(stored.get(f.name, T.StringType()), T.StringType):
+            add[f.name] = F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss")
     add["batch_id"] = F.coalesce("batch_id", F.lit(batch_id)) if "batch_id" in df.columns else F.lit(batch_id)
     stamp = F.lit(now).cast("timestamp")
     add["ingestion_timestamp"] = F.coalesce("ingestion_timestamp", stamp) if "ingestion_timestamp" in df.columns else stamp
@@ -76,20 +87,46 @@ def merged(old: DataFrame, new: DataFrame, key: str = "record_id", now: dt.datet
 
 
 class LeadStore:
-    """A Parquet table at a path; an upsert writes a new version beside it and then swaps a pointer view."""
+    """A Parquet table at a location that outlives the session.
+
+    An upsert writes a new version beside the old one and then names it in the file ``CURRENT``, so that a
+    run that fails leaves the table as it was. A store opened at a location that holds a table goes on with it.
+    """
+
+    POINTER = "CURRENT"
 
     def __init__(self, spark: SparkSession, location: str | None = None, name: str = "leads"):
         location = (location or "").removeprefix("sqlite:///") or None  # K11: a connection string or a bare path
-        self.spark, self.name, self.root, self.path = spark, name, location or new_path(spark, name), None
+        self.spark, self.name, self.root, self.path = spark, name, (location or new_path(spark, name)).rstrip("/"), None
+        current = self._current()
+        if current:
+            self.path = f"{self.root}/{current}"
+            self.frame().createOrReplaceTempView(self.name)
+
+    def _file(self, name: str):
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
+
+    def _current(self) -> str | None:
+        fs, where = self._file(self.POINTER)
+        return self.spark.read.text(where.toString(), wholetext=True).first()[0].strip() if fs.exists(where) else None
 
     def create(self) -> None:
-        """K1: an empty table under the name."""
-        self._swap(self.spark.createDataFrame([], SCHEMA))
+        """K1: an empty table under the name, if there is none yet."""
+        if self.path is None:
+            self._swap(self.spark.createDataFrame([], SCHEMA))
 
     def _swap(self, df: DataFrame) -> None:
-        path = f"{self.root}/v{dt.datetime.now():%Y%m%d%H%M%S%f}"
-        df.write.parquet(path)
-        self.path = path
+        version = f"v{dt.datetime.now():%Y%m%d%H%M%S%f}"
+        df.write.parquet(f"{self.root}/{version}")
+        fs, fresh = self._file(f"{self.POINTER}.{version}")
+        out = fs.create(fresh, True)
+        out.write(bytearray(version.encode()))
+        out.close()
+        _, where = self._file(self.POINTER)
+        fs.delete(where, False)
+        fs.rename(fresh, where)
+        self.path = f"{self.root}/{version}"
         self.frame().createOrReplaceTempView(self.name)
 
     def frame(self) -> DataFrame:
@@ -97,6 +134,7 @@ class LeadStore:
 
     def load(self, df: DataFrame) -> dict:
         """K2: appends without looking at keys."""
+        self.create()
         rows = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMA.fields])
         rows.write.mode("append").parquet(self.path)
         self.frame().createOrReplaceTempView(self.name)
@@ -104,8 +142,7 @@ class LeadStore:
 
     def upsert(self, df: DataFrame, now: dt.datetime | None = None) -> dict:
         """K3: counts of inserted and updated keys and of rows without a key."""
-        if self.path is None:
-            self.create()
+        self.create()
         new = written(prepare(df, now=now), "upsert")
         did = written(merged(self.frame(), new, now=now), "merged")
         counts = did.agg(F.count_if(F.col("__did") == "inserted"), F.count_if(F.col("__did") == "updated")).first()

@@ -130,3 +130,42 @@ def test_stream(spark, tmp_path):
     leads = ingest.leads_stream(rows, Schema({"company": "Name"}), "id")
     ingest.upsert_stream(leads, store, str(tmp_path / "cp")).awaitTermination(120)
     assert store.frame().count() == 2
+
+
+def test_reopened_store(spark, tmp_path):
+    place = f"sqlite:///{tmp_path}/leads"
+    rows = lambda *r: spark.createDataFrame(list(r), "record_id string, company string")
+    LeadStore(spark, place, "t_first").upsert(rows(("a", "One"), ("b", "Two")), T0)
+    again = LeadStore(spark, place, "t_again")
+    again.create()  # an existing table stays
+    assert again.upsert(rows(("b", "New"), ("c", "Three")), T1) == {"inserted": 1, "updated": 1, "errors": 0, "table": "t_again"}
+    got = {r.record_id: (r.company, r.created_at, r.updated_at) for r in LeadStore(spark, place, "t_third").frame().collect()}
+    assert got == {"a": ("One", T0, T0), "b": ("New", T0, T1), "c": ("Three", T1, T1)}
+    fresh = LeadStore(spark, str(tmp_path / "other"), "t_other")
+    assert fresh.load(rows(("x", "X")))["inserted"] == 1 and fresh.frame().count() == 1
+
+
+def test_csv_edges(spark, tmp_path):
+    p = tmp_path / "edges.csv"
+    p.write_bytes(b"a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,11,12\n,,\n13,14,15,\n")
+    rows = [tuple(r) for r in files.read_csv(spark, str(p), lineage=False).collect()]
+    assert sorted(rows, key=str) == sorted([("1", "2", "3"), ("4", "5", None), ("10", "11", "12"), (None, None, None)], key=str)
+    q = tmp_path / "skipped.csv"
+    q.write_text('junk\n"more, junk"\nName,Note\n"x\ny",1\nz,2\n')
+    assert sorted(tuple(r) for r in files.read_csv(spark, str(q), skip_rows=2, lineage=False).collect()) == [("x\ny", "1"), ("z", "2")]
+    late = tmp_path / "late.csv"
+    late.write_bytes(b"Name,Note\n" + b"abc,1\n" * 30_000 + "Café,2\n".encode("latin-1"))
+    for through in (False, True):
+        assert files.read_csv(spark, str(late), lineage=False, through_spark=through).where("Note = '2'").first().Name == "Café"
+
+
+def test_hash_is_that_of_json(spark):
+    import hashlib
+    import json
+
+    from brightsieve.sources.store import record_hash
+
+    rows = [{"a": "x\ny", "b": None}, {"a": 'q"\\', "b": "é\t\x01"}, {"a": "", "b": "</b>"}]
+    df = spark.createDataFrame([(r["a"], r["b"]) for r in rows], "a string, b string")
+    got = [r[0] for r in df.select(record_hash(df, ["b", "a"])).collect()]
+    assert got == [hashlib.sha256(json.dumps(r, sort_keys=True, ensure_ascii=False).encode()).hexdigest() for r in rows]
