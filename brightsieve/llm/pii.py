@@ -7,18 +7,22 @@ information over the corpus reaches a share of what e itself tells,
 
     PMI(t; e) = log2(N n(t,e) / (n(t) n(e)))  >=  DISCLOSE * IC(e) = DISCLOSE * log2(N / n(e)).
 
-n(t,e) and n(e) count different contexts (the 160 characters on either side),
-or the different texts that hold them if those are fewer, so that neither copies
-of one document nor repeats within it are fresh evidence; n(t) counts the
-different texts of the whole corpus that hold t, N all of them. Pairs with fewer
-than SUPPORT contexts say nothing. In every context of e, such a term is
-generalised, or removed where it gives e away almost fully.
+A term is any run of letters or digits. It co-occurs with an entity wherever
+the same text holds both, however far apart. n(t) counts the different texts of
+the corpus that hold t, N all of them; n(t,e) and n(e) count those that hold e,
+but texts in which e has the same surroundings (the CONTEXT characters on
+either side) once, in n(t) as well, so that neither copies of a document, near
+copies included, nor repeats within one are fresh evidence or dilute it. A pair counts if it has SUPPORT such
+texts and n(t,e) PMI is EVIDENCE bits: what is so rare by chance is a
+disclosure, and a frequent entity's company isn't. Every occurrence of such a
+term in a text that holds e, outside the entities, is generalised to its kind
+([NAME], [NUMBER], [TERM]), or removed where it gives e away almost fully.
 
 All of it is DataFrame functions; Java's regular expressions are written so
 that no text makes them backtrack over a long run or recurse. Defined cases: a
-null text is empty; texts of any length are searched whole; repeated rows come
-back as given; an empty table gives an empty result; other columns are kept by
-``redact`` and not read by ``find``.
+null text is empty; texts of any length are searched whole; terms that tie are
+all taken; repeated rows come back as given; an empty table gives an empty
+result; other columns are kept by ``redact`` and not read by ``find``.
 """
 
 from __future__ import annotations
@@ -43,10 +47,12 @@ PATTERNS = {
 GATES = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_PARTS = rf"^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$"
-TERM = r"\p{L}{4,}"
+TERM = r"[\p{L}\p{N}]+"
 
-REACH, SUPPORT, DISCLOSE, REMOVE = 160, 3, 0.9, 0.98
-#: Terms up to this many are broadcast to the pass that counts them; with more, all terms are counted.
+CONTEXT, SUPPORT, EVIDENCE, DISCLOSE, REMOVE = 160, 3, 30.0, 0.9, 0.98
+#: Parts over which the texts of one pair of entity and term are dealt.
+SALT = 16
+#: Hashes of terms or texts up to this many are broadcast to the pass that reads the texts; with more, they are joined by shuffle.
 BROADCAST_TERMS = 200_000
 
 _SPANS = "array<struct<start:int,end:int,hit:string>>"
@@ -117,87 +123,114 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _terms(side: Column, shift: Column, drop_first: Column, drop_last: Column) -> Column:
-    """Terms of a context side with their places in the text; words cut by the reach are left out."""
-    found = _located(side, TERM)
-    whole = F.filter(found, lambda s: ~(drop_first & (s["start"] == 0)) & ~(drop_last & (s["end"] == F.length(side))))
-    return F.transform(whole, lambda s: F.struct((s["start"] + shift).alias("start"), (s["end"] + shift).alias("end"), F.lower(s["hit"]).alias("hit")))
+def _term_hashes(text: Column) -> Column:
+    """The hashes of a text's different terms, lower-cased (splitting is several times as fast as extracting)."""
+    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1))
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def located(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, th, email, ip, card, phone, near``: base spans, and per entity its context and terms."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("th", F.xxhash64("text"))
-    rows = rows.withColumns(base_spans(F.col("text")))
-    spans = F.concat(*[F.transform(k, _with_hit(k)) for k in KINDS])
-    rows = rows.withColumn("all", spans)
+def located(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """``doc_id, th, email, ip, card, phone, near``: base spans, and each different entity with the hash of a context.
+
+    With ``keep`` the columns are called ``__id``, ``__th`` and so on, beside all columns of ``docs``.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(*(docs.columns if keep else []), F.col(id_col).alias("__id"), text.alias("__text"))
+    rows = rows.withColumn("__th", F.xxhash64("__text")).withColumns({f"__{k}": v for k, v in base_spans(F.col("__text")).items()})
+    spans = F.concat(*[F.transform(f"__{k}", _with_hit(k)) for k in KINDS])
 
     def context(s):
-        text, start, end = F.col("text"), s["start"], s["end"]
-        first = F.greatest(start - REACH, F.lit(0))
-        left, right = F.substring(text, first + 1, start - first), F.substring(text, end + 1, F.lit(REACH))
-        terms = F.concat(
-            _terms(left, first, first > 0, F.lit(True)),
-            _terms(right, end, F.lit(True), F.length(right) == REACH),
-        )
-        free = F.filter(terms, lambda t: ~F.exists(F.col("all"), lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])))
-        return F.struct(
-            F.concat_ws(":", s["kind"], F.lower(s["hit"])).alias("entity"), F.xxhash64(left, right).alias("context"), free.alias("terms")
-        )
+        first = F.greatest(s["start"] - CONTEXT, F.lit(0))
+        left, right = F.substring("__text", first + 1, s["start"] - first), F.substring("__text", s["end"] + 1, F.lit(CONTEXT))
+        return F.struct(F.concat_ws(":", s["kind"], F.lower(s["hit"])).alias("entity"), F.xxhash64(left, right).alias("context"))
+
+    rows = rows.withColumn("__near", F.transform(spans, context)).drop("__text")
+    return rows if keep else rows.select(*[F.col(f"__{c}").alias(c) for c in ("id", "th", *KINDS, "near")]).withColumnRenamed("id", "doc_id")
 
-    return rows.withColumn("near", F.transform("all", context)).select("doc_id", "th", *KINDS, "near")
 
+def _held(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """``th, term`` for the different texts of ``wanted`` (th): hashes of their terms; no text is shuffled."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    if wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:  # eight bytes a row
+        wanted = F.broadcast(wanted)
+    rows = docs.select(F.xxhash64(text).alias("th"), text.alias("text")).join(wanted, "th", "left_semi")
+    return rows.select("th", F.explode(_term_hashes(F.col("text"))).alias("term")).distinct()
 
-def disclosing(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
-    """``entity, term, ratio``: terms whose PMI with the entity is at least ``DISCLOSE`` of its information."""
-    seen = found.where(F.size("near") > 0).select("th", F.explode("near").alias("n")).select("th", "n.entity", "n.context", "n.terms")
-    evidence = F.least(F.count_distinct("context"), F.count_distinct("th"))
-    once = seen.select("th", "entity", "context", F.explode(F.array_distinct(F.transform("terms", lambda t: t["hit"]))).alias("term"))
-    joint = once.groupBy("entity", "term").agg(evidence.alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    per_entity = seen.groupBy("entity").agg(evidence.alias("n_e"))
-    total = found.select("th").distinct().count()
+
+def disclosing(docs: DataFrame, seen: DataFrame, total: int, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``entity, term, ratio`` of the terms whose PMI with the entity is at least ``DISCLOSE`` of its information, and ``th, entity, term`` where they are held.
+
+    ``seen`` has a row ``th, entity, context`` for each text and entity, ``total`` is the number of different texts.
+    """
     n = F.lit(float(max(total, 1)))
-    # a pair needs n(t) <= n(t,e) (N / n(e))^(1 - DISCLOSE); the texts whose contexts hold t are a lower
-    # bound of n(t) that common words exceed, so that few terms are left to count in the corpus
-    around = once.groupBy("term").agg(F.count_distinct("th").alias("c_t"))
-    able = joint.join(per_entity, "entity").join(around, "term")
-    joint = written(able.where(F.col("c_t") <= F.col("n_te") * F.pow(n / F.col("n_e"), F.lit(1 - DISCLOSE)) * (1 + 1e-9)).drop("c_t"), "joint")
+    per_entity = seen.groupBy("entity").agg(F.count_distinct("context").alias("n_e")).where(F.col("n_e") >= SUPPORT)
+    met = written(seen.join(per_entity, "entity"), "entities")
+    held = written(_held(docs, met.select("th").distinct(), text_col), "terms")
+    # each different surrounding of an entity counts once for a term
+    pairs = met.select("th", "entity", "context", "n_e").join(held, "th")
+    once = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("m"), F.first("n_e").alias("n_e"))
+    joint = once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.sum("m").alias("m_te"), F.first("n_e").alias("n_e"))
+    # a pair needs n(t) <= n(t,e) (N / n(e))^(1 - DISCLOSE); the texts counted so far are a lower bound of
+    # n(t) that common words exceed, so that few terms are left to count in the corpus
+    around = held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
+    able = joint.where(F.col("n_te") >= SUPPORT).join(around, "term")
+    joint = written(able.where(F.col("c_t") - F.col("m_te") + F.col("n_te") <= F.col("n_te") * F.pow(n / F.col("n_e"), F.lit(1 - DISCLOSE)) * (1 + 1e-9)).drop("c_t"), "joint")
     wanted = joint.select("term").distinct()
-    # a document's terms are made distinct where it is read; copies are dropped by hash: no texts are shuffled
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    held = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
-    every = docs.select(F.xxhash64(text).alias("th"), F.explode(held).alias("term"))
-    if wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+    every = docs.select(F.xxhash64(text).alias("th"), F.explode(_term_hashes(text)).alias("term"))
+    if wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:  # eight bytes a row
         every = every.join(F.broadcast(wanted), "term", "left_semi")
     per_term = every.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     told = joint.join(per_term, "term")
-    pmi = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e").cast("double")))
+    # of the texts with e, those that share its surroundings count once in n(t), too
+    pmi = F.log2(n * F.col("n_te") / ((F.col("n_t") - F.col("m_te") + F.col("n_te")) * F.col("n_e").cast("double")))
     info = F.log2(n / F.col("n_e"))
-    return told.where(info > 0).select("entity", "term", (pmi / info).alias("ratio")).where(F.col("ratio") >= DISCLOSE)
+    told = told.where(info > 0).select("entity", "term", (pmi / info).alias("ratio"), (pmi * F.col("n_te")).alias("bits"))
+    revealing = written(told.where((F.col("ratio") >= DISCLOSE) & (F.col("bits") >= EVIDENCE)).drop("bits"), "revealing")
+    return revealing, pairs.select("th", "entity", "term")
+
+
+def revealed(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
+    """``th, told``: for each text that holds any, its disclosing terms as (term, ratio); ``found`` has ``th, near``."""
+    seen = found.where(F.size("near") > 0).select("th", F.explode("near").alias("n")).groupBy("th", "n.entity").agg(F.min("n.context").alias("context"))
+    seen = written(seen.select("th", "entity", "context"), "seen")
+    revealing, held = disclosing(docs, seen, found.select("th").distinct().count(), text_col)
+    # a pair that very many texts hold is dealt over SALT parts
+    spread = revealing.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    hit = held.withColumn("salt", F.pmod("th", F.lit(SALT)).cast("int")).join(spread, ["entity", "term", "salt"])
+    per = hit.groupBy("th", "term").agg(F.max("ratio").alias("ratio")).groupBy("th")
+    return written(per.agg(F.sort_array(F.collect_list(F.struct("term", "ratio"))).alias("told")), "revealed")
+
 
+_TERMS = "array<struct<start:int,end:int,hit:string,ratio:double>>"
 
-def term_spans(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
-    """``doc_id, th, terms``: the spans of disclosing terms, (start, end, ratio), in order and without repeats."""
-    revealing = disclosing(docs, found, text_col)
-    at = found.where(F.size("near") > 0).select("doc_id", "th", F.explode("near").alias("n")).select(
-        "doc_id", "th", "n.entity", F.explode("n.terms").alias("t")
-    ).select("doc_id", "th", "entity", F.col("t.hit").alias("term"), "t.start", "t.end")
-    hit = at.join(revealing, ["entity", "term"]).groupBy("doc_id", "th", "start", "end").agg(F.max("ratio").alias("ratio"))
-    return hit.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("start", "end", "ratio"))).alias("terms"))
+
+def _term_places(text: Column, told: Column, spans: list[Column]) -> Column:
+    """Where the terms of ``told`` stand in the text outside the spans: (start, end, hit, ratio)."""
+    places = F.filter(_located(text, TERM), lambda s: F.exists(told, lambda t: t["term"] == F.xxhash64(F.lower(s["hit"]))))
+    every = F.flatten(F.array(*[F.transform(x, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for x in spans]))
+    free = F.filter(places, lambda t: ~F.exists(every, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])))
+
+    def rated(t):
+        ratio = F.filter(told, lambda x: x["term"] == F.xxhash64(F.lower(t["hit"])))[0]["ratio"]
+        return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["hit"].alias("hit"), ratio.alias("ratio"))
+
+    return F.transform(free, rated)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, email, ip, card, phone, terms`` for every row: arrays of spans."""
     found = written(located(docs, id_col, text_col), "located")
-    extra = term_spans(docs, found, text_col).select(F.col("doc_id").alias("xid"), F.col("th").alias("xth"), "terms")
-    return found.drop("near").join(extra, F.col("doc_id").eqNullSafe(F.col("xid")) & (F.col("th") == F.col("xth")), "left").select(
-        "doc_id", *KINDS, F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,ratio:double>>")).alias("terms")
-    )
-
+    told = revealed(docs, found, text_col)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")).join(told, "th").dropDuplicates(["th"])
+    at = rows.withColumns(base_spans(F.col("text"))).select(F.col("th").alias("xth"), _term_places(F.col("text"), F.col("told"), [F.col(k) for k in KINDS]).alias("terms"))
+    at = at.where(F.size("terms") > 0)
+    return found.drop("near").join(at, F.col("th") == F.col("xth"), "left").select("doc_id", *KINDS, F.coalesce("terms", F.array().cast(_TERMS)).alias("terms"))
 
-def op7_pii(spark, sf_dir: str) -> DataFrame:
-    spans = find(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
+def digests(spans: DataFrame) -> DataFrame:
+    """What ``find`` gives, as counts, the digest of the base spans, and all spans as text."""
     def told(kind, column):
         return F.transform(column, lambda s: F.concat(F.lit(f"{kind}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))
 
@@ -209,22 +242,26 @@ def op7_pii(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark, sf_dir: str) -> DataFrame:
+    return digests(find(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with entities and disclosing terms replaced in the text; all columns and rows stay.
 
     Overlapping spans become one replacement, named after the first.
     """
-    found = written(located(docs, id_col, text_col), "located")
-    extra = term_spans(docs, found, text_col).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("terms").alias("__terms"))
+    held = written(located(docs, id_col, text_col, keep=True), "located")
+    told = revealed(docs, held.select(F.col("__th").alias("th"), F.col("__near").alias("near")), text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    held = docs.withColumns({f"__{k}": v for k, v in base_spans(text).items()}).withColumn("__key", F.xxhash64(text))
-    held = held.join(extra, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__th")), "left")
-    shape = "array<struct<start:int,end:int,put:string>>"
-    marks = [F.transform(f"__{k}", _with_mark(f"[{k.upper()}]")) for k in KINDS]
-    marks.append(F.coalesce(
-        F.transform("__terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["ratio"] >= REMOVE, "").otherwise("[TERM]").alias("put"))),
-        F.array().cast(shape),
-    ))
+    held = held.join(told.select(F.col("th").alias("__xth"), F.col("told").alias("__told")), F.col("__th") == F.col("__xth"), "left")
+    terms = F.when(F.col("__told").isNotNull(), _term_places(text, F.col("__told"), [F.col(f"__{k}") for k in KINDS])).otherwise(F.array().cast(_TERMS))
+
+    def put_for(s):
+        broader = F.when(s["hit"].rlike(r"^\p{N}+$"), "[NUMBER]").when(s["hit"].rlike(r"^\p{Lu}"), "[NAME]").otherwise("[TERM]")
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["ratio"] >= REMOVE, "").otherwise(broader).alias("put"))
+
+    marks = [F.transform(f"__{k}", _with_mark(f"[{k.upper()}]")) for k in KINDS] + [F.transform(terms, put_for)]
     spans = F.array_sort(reduce(lambda a, b: F.concat(a, b), marks))
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -239,6 +276,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without personal data, ``n_chars`` being their new length."""
+    """Pipeline stage: texts without personal data, ``n_chars`` being their new length; every row stays, a null text stays null."""
     clean = redact(docs)
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars")) if "n_chars" in docs.columns else clean

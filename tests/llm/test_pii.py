@@ -1,3 +1,5 @@
+import math
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -45,7 +47,7 @@ def test_long_runs_take_linear_time(spark):
 
 def test_disclosing_terms(spark):
     rows = [(i, f"report {i} says Zorblatt wrote to z@ex.org about {i} today") for i in range(6)]
-    rows += [(100 + i, f"the report says today nothing about {i} wrote") for i in range(200)]
+    rows += [(100 + i, f"the report says today nothing about {i} wrote to all") for i in range(200)]
     rows += [(400 + i, "copied Quux only once a@b.cd") for i in range(50)]  # one context, however often copied
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r for r in pii.find(df).collect()}
@@ -66,8 +68,69 @@ def test_redaction(spark, docs, texts):
 
 
 def test_copies_dilute_no_term(spark):
-    rows = [(i, f"Zorblatt wrote number {i} for z@ex.org again") for i in range(5)]
+    rows = [(i, f"Zorblatt wrote number {i} for z@ex.org again") for i in range(7)]
     rows += [(10 + i, rows[0][1]) for i in range(300)]
-    rows += [(1000 + i, f"nothing wrote again number {i}") for i in range(300)]
+    rows += [(1000 + i, f"nothing wrote again for number {i}") for i in range(300)]
     found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all([t[s.start : s.end] for s in found[i].terms] == ["Zorblatt"] for i, t in rows[:305])
+    assert all([t[s.start : s.end] for s in found[i].terms] == ["Zorblatt"] for i, t in rows[:307])
+
+
+def brute_terms(rows):
+    """The disclosing pairs (entity, term) by plain counting."""
+    texts = sorted({t or "" for _, t in rows})
+    spans = {t: brute(t) for t in texts}
+    words = {t: set(re.findall(r"[^\W_]+", t.lower())) for t in texts}
+    by = {}
+    for t in texts:
+        for k, s, e in spans[t]:
+            by.setdefault(f"{k}:{t[s:e].lower()}", {}).setdefault(t, set()).add((t[max(0, s - 160) : s], t[e : e + 160]))
+    out, n = set(), len(texts)
+    for entity, held in by.items():
+        first = {t: min(c) for t, c in held.items()}
+        n_e = len(set(first.values()))
+        for w in set().union(*(words[t] for t in held)):
+            own = [t for t in held if w in words[t]]
+            n_te = len({first[t] for t in own})
+            n_t = sum(w in words[t] for t in texts) - len(own) + n_te
+            if n_te >= 3 and n > n_e:
+                pmi = math.log2(n * n_te / (n_t * n_e))
+                if pmi >= 0.9 * math.log2(n / n_e) - 1e-9 and pmi * n_te >= 30 - 1e-9:
+                    out.add((entity, w))
+    return out
+
+
+def test_terms_against_counting(spark):
+    """Far and short terms, a frequent entity, near copies, ties: spans of terms as plain counting has them."""
+    rng = random.Random(5)
+    common = [f"w{i}" for i in range(40)]
+    say = lambda k: " ".join(rng.choice(common) for _ in range(k))
+    rows = []
+    for i in range(9):
+        rows.append((i, f"Kim x7 {say(80)} call me {say(40)} a{i % 3}@kim.org {say(30)} {i}"))  # one name far off
+    for i in range(8):
+        rows.append((20 + i, f"{say(50)} 10.1.2.3 {say(40)} KIM Ng {'x7' if i < 2 else ''}"))
+    near = say(60)
+    for i in range(30):
+        rows.append((40 + i, f"{near} secretword b@near.org {near} copy{i}"))  # near copies are one
+    rows += [(100 + i, f"{say(60)} {'all@every.org' if i % 2 else ''} {say(5)}") for i in range(150)]
+    pairs = brute_terms(rows)
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    flagged = 0
+    for i, t in rows:
+        spans = brute(t)
+        mine = {w for k, s, e in spans for entity, w in pairs if entity == f"{k}:{t[s:e].lower()}"}
+        want = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t) if m[0].lower() in mine and not any(s < m.end() and m.start() < e for _, s, e in spans)]
+        assert [(x.start, x.end) for x in found[i].terms] == want
+        flagged += len(want)
+    assert flagged > 5
+
+
+def test_digests(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
+    import hashlib
+
+    rows = {r.doc_id: r for r in pii.digests(pii.find(df)).collect()}
+    for i, t in enumerate(ODD):
+        said = ",".join(f"{k}:{s}:{e}" for k, s, e in brute(t))
+        assert rows[i].base_sha256 == hashlib.sha256(said.encode()).hexdigest() and rows[i].spans.startswith(said)
+        assert [rows[i][f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in brute(t)) for k in pii.KINDS]
