@@ -1,18 +1,22 @@
 """Exact top-k inner products by dual-tree search over cover trees.
 
-Vectors and queries are dealt to the nearest of a few centres (chosen farthest
-first from a bounded sample, which only shapes the trees and never drops a
-row), and each centre's vectors into blocks of bounded size by a hash, so that a crowded
-centre is many blocks. A block is one row: its vectors and the cover tree over
-them. A query block meets data blocks in an equi-join on (centre, block
-number); the traversal of both trees drops a pair of nodes when
+Vectors are dealt to the nearest of some pivots (chosen farthest first from a
+bounded sample: they are the top of the tree and drop no row), a pivot's rows into blocks of bounded size.
+A block is one row that holds its points and the cover tree over
+them, built once and stored: a node is a point with a level; its children, itself
+the first, are points more than 2^(level - 1) apart that cover its points
+within 2^(level - 1); its covering radius is the distance of its farthest
+point. Queries are blocks with trees of their own. Traversal of both trees
+drops a pair of nodes when
 
     <q, p> + r_q |p| + r_p |q| + r_q r_p
 
-(node centres q and p, covering radii r) is below the worst k-th score that the
+(points q and p of the nodes, radii r) is below the worst k-th score that the
 query node's points have so far (Curtin and Ram, "Dual-tree fast exact
-max-kernel search"). A first round against one block per query block supplies
-the scores to beat; centres that can't beat them are not joined at all.
+max-kernel search"). The same bound prunes above the blocks: a query block meets
+first the block that looks best for it, which gives scores to beat, then the
+pivots, then (in an equi-join by pivot) the blocks' own roots. Only what is left
+is a pair, a row of two block numbers; blocks join it by their numbers.
 
 Scores are exact integers: 64-bit floats carry them while every possible sum is
 below 2^53, Python integers beyond. Defined cases: null vectors, and vectors
@@ -20,67 +24,79 @@ with null or non-finite components or of another length than the most common
 one take no part; rows with a null id neither; ties go to the smaller id;
 repeated ids are separate candidates, but a query never meets its own id, and of
 queries with equal ids the one with the least vector is asked; fewer
-candidates than k give them all; scores beyond 64 bits are held at the bounds
-of a long. Other columns aren't read.
+candidates than k give them all; an empty table gives an empty result; scores
+beyond 64 bits are held at the bounds of a long. Other columns aren't read.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import written
+from brightsieve.llm.base import lean, written
+
+#: Rows of the sample that pivots are chosen from, and pivots at most.
+SAMPLE, PIVOTS = 8_192, 1_024
+DATA_BLOCK, QUERY_BLOCK, LEAF = 2_048, 256, 16
 
-SAMPLE, CENTRES = 4_096, 32
-DATA_BLOCK, QUERY_BLOCK, LEAF = 2_048, 512, 64
+
+def _away(points: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.square(points - at).sum(axis=1))
 
 
 class CoverTree:
-    """Nodes cover their points within a radius; children's radii are about half of the parent's, leaves hold LEAF points at most.
-
-    ``nodes``: rows of (first, last, left child, number of children) over the points in tree order.
-    """
-
-    def __init__(self, points: np.ndarray):
-        self.points, self.order = points, np.arange(len(points))
-        self.centres, self.radii, self.spans, self.kids = [], [], [], []
-        self._grow(np.arange(len(points)), out := [])
-        self.order = np.array(out, np.int64)
-
-    def _grow(self, rows: np.ndarray, out: list[int]) -> int:
-        own = self.points[rows]
-        centre = own.mean(axis=0)
-        away = np.sqrt(np.square(own - centre).sum(axis=1))
-        radius, at = float(away.max(initial=0.0)), len(self.centres)
-        self.centres.append(centre)
-        self.radii.append(radius)
-        self.spans.append(None)
-        self.kids.append([])
-        first = len(out)
-        if len(rows) <= LEAF or radius == 0.0:
-            out += rows.tolist()
-        else:
-            # farthest-first points at least half the radius apart cover the node at the next scale; few are enough
-            picked, near = [int(away.argmax())], None
-            owner = np.zeros(len(rows), np.int64)
-            near = np.square(own - own[picked[0]]).sum(axis=1)
-            while len(picked) < 8:
-                far = int(near.argmax())
-                if near[far] <= (radius / 2) ** 2:
+    """Nodes over the points in tree order: ``point`` (its place), ``radius``, ``first`` and ``last`` of its points, ``kid`` and ``kids`` (its children follow each other)."""
+
+    FIELDS = np.dtype([("point", "<i4"), ("radius", "<f8"), ("first", "<i4"), ("last", "<i4"), ("kid", "<i4"), ("kids", "<i4")])
+
+    def __init__(self, points: np.ndarray, nodes: np.ndarray):
+        self.points, self.nodes = points, nodes
+        self.at, self.radius = points[nodes["point"]], nodes["radius"]
+        self.size = np.sqrt(np.square(self.at).sum(axis=1))
+
+    @classmethod
+    def grown(cls, points: np.ndarray) -> tuple[CoverTree, np.ndarray]:
+        """The tree, and the order in which it holds the points."""
+        order = np.arange(len(points))
+        made = [None]
+        start = int(_away(points, points.mean(axis=0)).argmin()) if len(points) else 0
+        todo = [(0, 0, len(points), start, _away(points, points[start]) if len(points) else np.empty(0))]
+        while todo:
+            node, first, last, point, away = todo.pop()
+            rows = order[first:last]
+            radius = float(away.max(initial=0.0))
+            if len(rows) <= LEAF or radius == 0.0:
+                made[node] = (point, radius, first, last, 0, 0)
+                continue
+            reach = 2.0 ** (np.ceil(np.log2(radius)) - 1)  # radius <= 2^level, children cover half of that
+            if reach >= radius:
+                reach = radius / 2
+            groups, left, near = [], np.arange(len(rows)), away
+            while True:
+                inside = near <= reach
+                groups.append((point, left[inside], near[inside]))
+                left, away_left = left[~inside], near[~inside]
+                if not len(left):
                     break
-                d = np.square(own - own[far]).sum(axis=1)
-                owner[d < near] = len(picked)
-                near = np.minimum(near, d)
-                picked.append(far)
-            groups = [rows[owner == k] for k in range(len(picked))]
-            if max(map(len, groups)) == len(rows):
-                groups = np.array_split(rows, 2)
-            self.kids[at] = [self._grow(g, out) for g in groups if len(g)]
-        self.spans[at] = (first, len(out))
-        return at
+                pick = left[int(away_left.argmax())] if len(groups) == 1 else left[0]
+                point = int(rows[pick])
+                near = _away(points[rows[left]], points[point])
+            made[node] = (groups[0][0], radius, first, last, len(made), len(groups))
+            order[first:last] = np.concatenate([rows[g] for _, g, _ in groups])
+            at = first
+            for p, g, d in groups:
+                todo.append((len(made), at, at + len(g), p, d))
+                made.append(None)
+                at += len(g)
+        place = np.empty(len(points), np.int64)
+        place[order] = np.arange(len(points))
+        nodes = np.array([(place[p] if len(place) else 0, *rest) for p, *rest in made], cls.FIELDS)
+        return cls(points[order], nodes), order
 
 
 def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -97,42 +113,57 @@ class Best:
 
     def __init__(self, n: int, k: int, floor: np.ndarray):
         self.k, self.score, self.ids = k, [np.empty(0, np.int64)] * n, [np.empty(0, np.int64)] * n
-        self.worst = floor.astype(np.float64)
+        self.worst, self.scored = floor.astype(np.float64), 0
 
-    def add(self, q: int, score: np.ndarray, ids: np.ndarray) -> None:
-        score, ids = np.r_[self.score[q], score], np.r_[self.ids[q], ids]
-        kept = np.lexsort((ids, ~score))[: self.k]  # ~score falls as the score rises, without overflow
-        self.score[q], self.ids[q] = score[kept], ids[kept]
-        if len(kept) == self.k:
-            self.worst[q] = max(self.worst[q], float(score[kept[-1]]))
+    def meet(self, rows: np.ndarray, own: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of the queries ``rows`` (ids ``own``) with candidates ``ids``."""
+        self.scored += scores.size
+        able = (scores >= self.worst[rows, None]) & (ids[None, :] != own[:, None])
+        for i in np.flatnonzero(able.any(axis=1)):
+            q, found = rows[i], np.flatnonzero(able[i])
+            score, names = np.r_[self.score[q], scores[i][found]], np.r_[self.ids[q], ids[found]]
+            if len(score) > 4 * self.k:  # of many, those that reach the k-th score
+                kth = np.partition(score, len(score) - self.k)[len(score) - self.k]
+                score, names = score[score >= kth], names[score >= kth]
+            kept = np.lexsort((names, ~score))[: self.k]  # ~score falls as the score rises, without overflow
+            self.score[q], self.ids[q] = score[kept], names[kept]
+            if len(kept) == self.k:
+                self.worst[q] = max(self.worst[q], float(score[kept[-1]]))
 
 
-def _slack(x: float) -> float:
-    return abs(x) * 1e-9 + 1e-6
+def _bound(dot, rq, sq, rp, sp):
+    most = dot + rq * sp + rp * sq + rq * rp
+    return most + np.abs(most) * 1e-9 + 1e-6
 
 
 def search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, data_ids: np.ndarray, best: Best) -> None:
     """Traverses both trees and adds to ``best`` (by query row) all that can matter."""
-    size = [np.sqrt(np.square(t.centres).sum(axis=1)) for t in (queries, data)]
-    todo = [(0, 0)]
+    q, d = queries.nodes, data.nodes
+    todo = [(0, np.array([0]))]
     while todo:
-        a, b = todo.pop()
-        ra, rb = queries.radii[a], data.radii[b]
-        bound = float(queries.centres[a] @ data.centres[b]) + ra * size[1][b] + rb * size[0][a] + ra * rb
-        rows = queries.order[slice(*queries.spans[a])]
-        if bound + _slack(bound) < best.worst[rows].min():
+        a, some = todo.pop()
+        rows = np.arange(q["first"][a], q["last"][a])
+        if not len(rows) or not len(data.points):
+            continue
+        most = _bound(data.at[some] @ queries.at[a], queries.radius[a], queries.size[a], data.radius[some], data.size[some])
+        able = most >= best.worst[rows].min()
+        some, most = some[able], most[able]
+        if not len(some):
             continue
-        if queries.kids[a] and (ra >= rb or not data.kids[b]):
-            todo += [(c, b) for c in queries.kids[a]]
-        elif data.kids[b]:
-            # the likeliest child comes off the stack first
-            todo += sorted(((a, c) for c in data.kids[b]), key=lambda p: float(queries.centres[a] @ data.centres[p[1]]))
-        else:
-            own = data.order[slice(*data.spans[b])]
-            scores, ids = _dots(queries.points[rows], data.points[own]), data_ids[own]
-            able = (scores >= best.worst[rows, None]) & (ids[None, :] != query_ids[rows, None])
-            for i in np.flatnonzero(able.any(axis=1)):
-                best.add(rows[i], scores[i][able[i]], ids[able[i]])
+        if q["kids"][a] and (queries.radius[a] >= data.radius[some].max() or not d["kids"][some].any()):
+            todo += [(c, some) for c in range(q["kid"][a], q["kid"][a] + q["kids"][a])]
+            continue
+        leaf = d["kids"][some] == 0
+        inner = some[~leaf]
+        if len(inner):
+            # the likeliest half of the children comes off the stack first
+            kids = np.concatenate([np.arange(k, k + n) for k, n in zip(d["kid"][inner], d["kids"][inner])])
+            likely = np.argsort(-(data.at[kids] @ queries.at[a]), kind="stable")
+            half = max(1, len(kids) // 8)
+            todo += [(a, kids[likely[half:]]), (a, kids[likely[:half]])] if len(kids) > half else [(a, kids)]
+        if leaf.any():
+            own = np.concatenate([np.arange(f, n) for f, n in zip(d["first"][some[leaf]], d["last"][some[leaf]])])
+            best.meet(rows, query_ids[rows], _dots(queries.points[rows], data.points[own]), data_ids[own])
 
 
 def whole_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -154,144 +185,169 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64) if len(column) else np.empty((0, 0))
 
 
-def _centres(rows: DataFrame) -> np.ndarray:
-    """Farthest-first centres of a bounded sample (the rows of least hash)."""
+def packed(points: np.ndarray) -> tuple[bytes, str]:
+    """Whole numbers in the narrowest type that holds them."""
+    most = np.abs(points).max(initial=0.0)
+    kind = "<i1" if most < 2**7 else "<i2" if most < 2**15 else "<i4" if most < 2**31 else "<f8"
+    return points.astype(kind).tobytes(), kind
+
+
+def unpacked(m: bytes, kind: str, n: int) -> np.ndarray:
+    return np.frombuffer(m, kind).reshape(n, -1).astype(np.float64)
+
+
+def _pivots(rows: DataFrame) -> np.ndarray:
+    """Farthest-first points of a bounded sample (the rows of least hash), as many as blocks are needed at most."""
+    need = min(PIVOTS, max(1, -(-rows.count() // (DATA_BLOCK // 2))))
     got = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
     points = np.array([r.v for r in got])
     if not len(points):
         return points
-    picked, near = [0], np.square(points - points[0]).sum(axis=1)
-    while len(picked) < min(CENTRES, len(points)) and near.max() > 0:
+    picked, near = [0], _away(points, points[0])
+    while len(picked) < min(need, len(points)) and near.max() > 0:
         picked.append(int(near.argmax()))
-        near = np.minimum(near, np.square(points - points[picked[-1]]).sum(axis=1))
+        near = np.minimum(near, _away(points, points[picked[-1]]))
     return points[picked]
 
 
-def _blocks(rows: DataFrame, centres: np.ndarray, per: int) -> DataFrame:
-    """``centre, block, ids, m``: rows packed by nearest centre, about ``per`` to a block; ids and m are packed arrays."""
+_BLOCK = "pivot int, part int, ids binary, m binary, kind string, nodes binary, centre binary, radius double"
+
 
+def _blocks(rows: DataFrame, pivots: np.ndarray, per: int, what: str) -> DataFrame:
+    """``block`` and _BLOCK: rows packed by nearest pivot, about ``per`` to a block, each with its cover tree; ``block`` numbers them."""
+
+    @lean
     def assign(batches):
+        size = np.square(pivots).sum(axis=1)
         for batch in batches:
             v = _matrix(batch.column(1))
-            near = np.square(centres).sum(axis=1)[None, :] - 2 * (v @ centres.T) if len(v) else np.empty((0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(near.argmin(axis=1).astype(np.int32)), pa.array([x.tobytes() for x in v], pa.binary())], ["id", "centre", "m"])
-
-    dealt = written(rows.mapInArrow(assign, "id long, centre int, m binary"), "dealt")
-    counts = {r.centre: r["count"] for r in dealt.groupBy("centre").count().collect()}  # one row for each centre
-    parts = F.element_at(F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, -(-n // per))]), F.col("centre")) if counts else F.lit(1)
-    keyed = dealt.withColumn("row", F.monotonically_increasing_id()).withColumn("block", F.pmod(F.xxhash64("id", "row"), parts).cast("int"))
+            near = size[None, :] - 2 * (v @ pivots.T) if len(v) else np.empty((0, 1))
+            m = pa.array([x.tobytes() for x in v], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(near.argmin(axis=1).astype(np.int32)), m], ["id", "pivot", "m"])
+
+    dealt = written(rows.mapInArrow(assign, "id long, pivot int, m binary"), f"{what}-dealt")
+    counts = {r.pivot: r["count"] for r in dealt.groupBy("pivot").count().collect()}  # a row for each pivot
+    crowded = {p: -(-n // per) for p, n in counts.items() if n > per}
+    parts = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in crowded.items() for x in pair]), F.col("pivot")), F.lit(1)) if crowded else F.lit(1)
+    keyed = dealt.withColumn("part", F.pmod(F.xxhash64("id", "m"), parts).cast("int"))
+    # copies of one row would fill one part: those of a part beyond its size are dealt once more
+    again = {(r.pivot, r.part): -(-r["count"] // per) for r in keyed.groupBy("pivot", "part").count().where(F.col("count") > 2 * per).limit(PIVOTS).collect()}
+    for (p, part), n in again.items():
+        own = F.lit(1_000_000 + 1000 * part) + F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")
+        keyed = keyed.withColumn("part", F.when((F.col("pivot") == p) & (F.col("part") == part), own).otherwise(F.col("part")))
 
     def pack(table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
-        order = np.argsort(ids, kind="stable")
+        first = np.argsort(ids, kind="stable")
         raw = table.column("m").to_pylist()
-        return pa.table({"centre": table.column("centre")[:1], "block": table.column("block")[:1], "ids": pa.array([ids[order].tobytes()]), "m": pa.array([b"".join(raw[i] for i in order)])})
-
-    return written(keyed.groupBy("centre", "block").applyInArrow(pack, "centre int, block int, ids binary, m binary"), "blocks")
-
-
-def _unpacked(ids: bytes, m: bytes) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(m, np.float64).reshape(len(ids), -1)
+        tree, order = CoverTree.grown(np.frombuffer(b"".join(raw[i] for i in first), np.float64).reshape(len(ids), -1))
+        m, kind = packed(tree.points)
+        row = [table.column("pivot")[0].as_py(), table.column("part")[0].as_py(), ids[first][order].tobytes(), m, kind, tree.nodes.tobytes(), tree.at[0].tobytes(), float(tree.radius[0])]
+        names = [x.split()[0] for x in _BLOCK.split(", ")]
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.binary(), pa.float64()]
+        return pa.table({n: pa.array([x], k) for n, x, k in zip(names, row, kinds)})
 
-
-def _reach(blocks: DataFrame, centres: np.ndarray) -> dict[int, tuple[float, int]]:
-    """For each centre that has vectors: the largest distance of one from it, and the number of its blocks."""
-
-    def far(batches):
-        for batch in batches:
-            out = []
-            for c, ids, m in zip(*(batch.column(n).to_pylist() for n in ("centre", "ids", "m"))):
-                out.append((c, float(np.sqrt(np.square(_unpacked(ids, m)[1] - centres[c]).sum(axis=1).max()))))
-            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int32()), pa.array([d for _, d in out], pa.float64())], ["centre", "far"])
-
-    found = blocks.mapInArrow(far, "centre int, far double").groupBy("centre").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("n")).collect()
-    return {r.centre: (r.far, r.n) for r in found}
+    made = keyed.groupBy("pivot", "part").applyInArrow(pack, _BLOCK)
+    return written(made.withColumn("block", F.struct("pivot", "part")), what)
 
 
 class Trees:
-    """Cover trees of the last few blocks that a task met."""
+    """The trees of the last few blocks that a task met."""
 
     def __init__(self):
-        self.held: dict[bytes, tuple[np.ndarray, CoverTree]] = {}
+        self.held: dict = {}
 
-    def of(self, ids: bytes, m: bytes) -> tuple[np.ndarray, CoverTree]:
-        if (ids, m) not in self.held:
+    def of(self, block, ids: bytes, m: bytes, kind: str, nodes: bytes) -> tuple[np.ndarray, CoverTree]:
+        if block not in self.held:
             if len(self.held) >= 8:
                 self.held.clear()
-            own, points = _unpacked(ids, m)
-            self.held[ids, m] = own, CoverTree(points)
-        return self.held[ids, m]
-
-
-def _meet(trees: Trees, qids: bytes, qm: bytes, ids: bytes, m: bytes, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, ids and scores of the candidates of a pair of blocks, and each query's score to beat."""
-    query_ids, q = trees.of(qids, qm)
-    data_ids, d = trees.of(ids, m)
-    best = Best(len(query_ids), k, floor)
-    search(q, query_ids, d, data_ids, best)
-    return np.repeat(query_ids, [len(x) for x in best.ids]), np.concatenate(best.ids), np.concatenate(best.score), best.worst
+            names = np.frombuffer(ids, np.int64)
+            self.held[block] = names, CoverTree(unpacked(m, kind, len(names)), np.frombuffer(nodes, CoverTree.FIELDS))
+        return self.held[block]
 
 
 def top_k(data: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k best rows of ``data`` other than those with its own id."""
     rows = written(whole_vectors(data, id_col, vector_col, scale), "vectors")
-    asking = written(whole_vectors(queries, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v")), "queries")
-    centres = _centres(rows)
-    if not len(centres):
+    asking = written(whole_vectors(queries, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v")), "asking")
+    pivots = _pivots(rows)
+    if not len(pivots):
         return data.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    blocks = _blocks(rows, centres, DATA_BLOCK)
-    asked = _blocks(asking.select("id", "v"), centres, QUERY_BLOCK)
-    reach = _reach(blocks, centres)
+    blocks = _blocks(rows, pivots, DATA_BLOCK, "blocks")
+    asked = _blocks(asking.select("id", "v"), pivots, QUERY_BLOCK, "queries")
+    summary = written(blocks.select("block", "pivot", "part", "centre", "radius"), "summary")
 
-    def opening(batches):
-        # the first block of the centre with which the queries score most
+    def far(batches):
         for batch in batches:
-            for qids, qm in zip(batch.column("ids").to_pylist(), batch.column("m").to_pylist()):
-                middle = _unpacked(qids, qm)[1].mean(axis=0)
-                most = max(reach, key=lambda c: float(middle @ centres[c]))
-                yield pa.RecordBatch.from_arrays([pa.array([qids]), pa.array([qm]), pa.array([most], pa.int32()), pa.array([0], pa.int32())], ["qids", "qm", "centre", "block"])
+            out = [(p, float(_away(np.frombuffer(c, np.float64)[None], pivots[p])[0] + r)) for p, c, r in zip(*(batch.column(n).to_pylist() for n in ("pivot", "centre", "radius")))]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([x for _, x in out], pa.float64())], ["pivot", "far"])
 
-    def start(batches):
-        trees = Trees()
-        for batch in batches:
-            for qids, qm, centre, ids, m in zip(*(batch.column(n).to_pylist() for n in ("qids", "qm", "centre", "ids", "m"))):
-                none = np.full(len(qids) // 8, -np.inf)
-                who, found, score, worst = _meet(trees, qids, qm, ids, m, none, k)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() if isinstance(x, np.ndarray) else x]) for x in (qids, qm, worst, who, found, score)] + [pa.array([centre], pa.int32())], ["qids", "qm", "floor", "who", "found", "score", "opened"])
+    # for each pivot: how far its rows reach, and its first block
+    reach = {r.pivot: (r.far, r.part) for r in summary.mapInArrow(far, "pivot int, far double").groupBy("pivot").agg(F.max("far").alias("far")).join(summary.groupBy("pivot").agg(F.min("part").alias("part")), "pivot").collect()}
+    names = sorted(reach)
+    middles, fars = pivots[names], np.array([reach[p][0] for p in names])
+    sizes = np.sqrt(np.square(middles).sum(axis=1))
+    shape = "pivot int, part int"
 
-    opened = asked.select("ids", "m").mapInArrow(opening, "qids binary, qm binary, centre int, block int").join(blocks, ["centre", "block"])
-    first = written(opened.mapInArrow(start, "qids binary, qm binary, floor binary, who binary, found binary, score binary, opened int"), "first")
+    def opening(batches):
+        # the first block of the pivot with which the query block's middle scores most
+        for batch in batches:
+            best = [names[int((middles @ np.frombuffer(c, np.float64)).argmax())] for c in batch.column(1).to_pylist()]
+            to = [pa.array(best, pa.int32()), pa.array([reach[p][1] for p in best], pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.StructArray.from_arrays(to, ["pivot", "part"])], ["asks", "block"])
 
-    def spread(batches):
-        # the blocks of each centre with which any query can still reach its k-th score
+    def meet(batches):
+        trees, asking_trees = Trees(), Trees()
+        for batch in batches:
+            for at in range(len(batch)):
+                row = {n: batch.column(n)[at].as_py() for n in batch.schema.names}
+                own, q = asking_trees.of(json.dumps(row["asks"]), row["qids"], row["qm"], row["qkind"], row["qnodes"])
+                ids, d = trees.of(json.dumps(row["block"]), row["ids"], row["m"], row["kind"], row["nodes"])
+                best = Best(len(own), k, np.frombuffer(row["floor"], np.float64) if row["floor"] else np.full(len(own), -np.inf))
+                search(q, own, d, ids, best)
+                who = np.repeat(own, [len(x) for x in best.ids])
+                values = [row["asks"], row["block"], best.worst.tobytes(), who.tobytes(), np.concatenate(best.ids).tobytes(), np.concatenate(best.score).tobytes()]
+                kinds = [pa.struct([("pivot", pa.int32()), ("part", pa.int32())])] * 2 + [pa.binary()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], ["asks", "block", "floor", "who", "found", "score"])
+
+    own = asked.select(F.col("block").alias("asks"), F.col("ids").alias("qids"), F.col("m").alias("qm"), F.col("kind").alias("qkind"), F.col("nodes").alias("qnodes"))
+    inner = blocks.select("block", "ids", "m", "kind", "nodes")
+    met = f"asks struct<{shape.replace(' int', ':int')}>, block struct<{shape.replace(' int', ':int')}>, floor binary, who binary, found binary, score binary"
+    opened = asked.select("block", "centre").mapInArrow(opening, "asks struct<pivot:int,part:int>, block struct<pivot:int,part:int>")
+    first = written(opened.withColumn("floor", F.lit(None).cast("binary")).join(own, "asks").join(inner, "block").mapInArrow(lean(meet), met), "first")
+
+    def able(batches):
+        # the pivots with whose rows any query of the block can still reach its k-th score
         for batch in batches:
-            for qids, qm, floor, centre in zip(*(batch.column(n).to_pylist() for n in ("qids", "qm", "floor", "opened"))):
-                q, worst = _unpacked(qids, qm)[1], np.frombuffer(floor, np.float64)
-                size = np.sqrt(np.square(q).sum(axis=1))
-                for c, (far, n) in reach.items():
-                    most = q @ centres[c] + far * size
-                    numbers = [b for b in range(n) if (c, b) != (centre, 0)]
-                    for at in range(0, len(numbers) if (most + np.abs(most) * 1e-9 + 1e-6 >= worst).any() else 0, 64):
-                        some = numbers[at : at + 64]
-                        yield pa.RecordBatch.from_arrays([pa.array([qids] * len(some)), pa.array([qm] * len(some)), pa.array([floor] * len(some)), pa.array([c] * len(some), pa.int32()), pa.array(some, pa.int32())], ["qids", "qm", "floor", "centre", "block"])
-
-    def finish(batches):
-        trees = Trees()
+            for at in range(len(batch)):
+                asks, centre, radius, floor = (batch.column(n)[at].as_py() for n in ("asks", "centre", "radius", "floor"))
+                c, least = np.frombuffer(centre, np.float64), np.frombuffer(floor, np.float64).min()
+                most = _bound(middles @ c, radius, np.sqrt(c @ c), fars, sizes)
+                to = [names[i] for i in np.flatnonzero(most >= least)]
+                if to:
+                    told = [pa.array([v] * len(to), t) for v, t in ((asks, pa.struct([("pivot", pa.int32()), ("part", pa.int32())])), (centre, pa.binary()), (radius, pa.float64()), (float(least), pa.float64()))]
+                    yield pa.RecordBatch.from_arrays([*told, pa.array(to, pa.int32())], ["asks", "c", "r", "least", "pivot"])
+
+    def still(batches):
+        # of those, the blocks whose own root can
         for batch in batches:
-            for qids, qm, floor, ids, m in zip(*(batch.column(n).to_pylist() for n in ("qids", "qm", "floor", "ids", "m"))):
-                who, found, score, _ = _meet(trees, qids, qm, ids, m, np.frombuffer(floor, np.float64), k)
-                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
+            c, p = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.float64).reshape(len(batch), -1) for n in ("c", "centre"))
+            r, radius, least = (batch.column(n).to_numpy() for n in ("r", "radius", "least"))
+            most = _bound((c * p).sum(axis=1), r, np.sqrt(np.square(c).sum(axis=1)), radius, np.sqrt(np.square(p).sum(axis=1)))
+            yield batch.select(["asks", "block"]).filter(pa.array(most >= least))
+
+    tops = asked.select(F.col("block").alias("asks"), "centre", "radius").join(first.select("asks", "floor"), "asks")
+    near = tops.mapInArrow(able, "asks struct<pivot:int,part:int>, c binary, r double, least double, pivot int").join(summary, "pivot")
+    pairs = near.mapInArrow(still, "asks struct<pivot:int,part:int>, block struct<pivot:int,part:int>")
+    pairs = written(pairs.join(first.select("asks", "block"), ["asks", "block"], "left_anti"), "pairs")
+    rest = pairs.join(first.select("asks", "floor"), "asks").join(own, "asks").join(inner, "block").mapInArrow(lean(meet), met)
 
     def given(batches):
         for batch in batches:
             for row in zip(*(batch.column(n).to_pylist() for n in ("who", "found", "score"))):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64)) for x in row], ["query_id", "vec_id", "score"])
 
-    shape = "query_id long, vec_id long, score long"
-    pairs = first.select("qids", "qm", "floor", "opened").mapInArrow(spread, "qids binary, qm binary, floor binary, centre int, block int")
-    rest = pairs.join(blocks, ["centre", "block"]).select("qids", "qm", "floor", "ids", "m").mapInArrow(finish, shape)
-    every = first.select("who", "found", "score").mapInArrow(given, shape).unionByName(rest)
+    every = first.unionByName(rest).select("who", "found", "score").mapInArrow(given, "query_id long, vec_id long, score long")
     ranked = every.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
