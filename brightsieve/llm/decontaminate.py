@@ -1,20 +1,22 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 A benchmark item becomes windows of ten consecutive words (an item of fewer is
-one window). The corpus counts how often each benchmark term occurs. Every
-window is then looked up by its rarest terms: the index holds each document's
-terms (as hashes) by position, and gives, for those terms, their postings
-(document, position); each posting less the term's place in the
-window is a place where the window may begin; and the offset-adjusted lists of
+one window). The corpus is hashed once into a table of words by position, which
+tells how often each benchmark term occurs. For the terms that windows are
+looked up by, the rarest of each, postings are stored: a row (term, successor,
+document, position), in files by bucket of the term and sorted by it. A look-up
+reads the postings of its terms only. Each posting less the term's place in the
+window is a place where the window may begin, and the offset-adjusted lists of
 the rarest terms are intersected there. What the intersection leaves is
 compared word for word, which makes phrase matches exact. ``proximity`` asks
-the same index for the rarest terms within a span instead.
+the same postings for the rarest terms within a span instead.
 
 All of it is DataFrame functions. Common terms cost nothing, since only the
 rarest have postings; a window that is common itself has postings in
 proportion to its occurrences. Defined cases: null and wordless texts have no
 words and are clean; wordless items have no window; equal windows of several
-items count for each; rows that repeat come back as given; an empty benchmark
+items count for each; terms that are equally rare are taken by their place;
+rows that repeat come back as given; an empty benchmark
 leaves all clean. Further columns are kept by ``stage`` and not read otherwise.
 """
 
@@ -23,11 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import ascii_lower, written
+from brightsieve.llm.base import ascii_lower, new_path, written
 
 WINDOW, RAREST = 10, 3
-#: Terms, or windows' rarest terms, up to this many are broadcast (some 100 MB at most); more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: What is broadcast has this many rows and bytes at most, counted before; more is joined by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+#: Folders that postings are dealt over by their term.
+BUCKETS = 16
 #: What separates words.
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -60,11 +64,15 @@ def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """``df`` as a broadcast, if its rows and their bytes are few enough."""
+    sizes = [F.octet_length(F.to_json(F.struct(c)) if not t.startswith(("int", "bigint", "string", "boolean")) else F.col(c).cast("string")) for c, t in df.dtypes]
+    held = sum((F.coalesce(x, F.lit(0)) for x in sizes), F.lit(8 * len(sizes)))
+    n, size = df.select(held.alias("b")).limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index, written to the shared folder: ``doc_id, th, n_words`` and ``h``, the words' 32-bit hashes by position.
+    """The words, written to the shared folder: ``doc_id, th, n_words`` and ``h``, the words' 32-bit hashes by position.
 
     Unlike words whose hashes agree only make candidates, which are compared word for word.
     """
@@ -94,23 +102,35 @@ def anchors(tokens: DataFrame, wins: DataFrame) -> DataFrame:
 
 
 def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
-    """``doc_id, th, pos`` and the columns of ``terms`` for each place where a term and what follows it occur.
-
-    A term's list is intersected with that of its successor, shifted by one, as it is read.
-    """
+    """The inverted index of the terms in ``terms``, stored: ``term, next, doc_id, th, pos``, a term's postings side by side in its bucket."""
+    # equal hashes (of copies and repeated rows) are one document here: a text's hash and id name it
+    wanted = _small(terms.select("term").distinct())
     pairs = F.arrays_zip("h", F.slice("h", 2, F.greatest(F.size("h"), F.lit(1))).alias("x"))
     every = tokens.select("doc_id", "th", F.posexplode(pairs).alias("pos", "p"))
-    every = every.select("doc_id", "th", "pos", F.col("p").getField("h").alias("a"), F.col("p").getField("x").alias("b"))
-    found = every.join(_small(terms.where("next is not null")), (F.col("a") == F.col("term")) & (F.col("b") == F.col("next")))
-    alone = terms.where("next is null")
-    if alone.limit(1).count():
-        found = found.unionByName(every.join(_small(alone), F.col("a") == F.col("term")))
-    return found.drop("a", "b")
-
-
-def candidates(tokens: DataFrame, wins: DataFrame) -> DataFrame:
+    every = every.select(F.col("p").getField("h").alias("term"), F.col("p").getField("x").alias("next"), "doc_id", "th", "pos").join(wanted, "term", "left_semi")
+    path = new_path(tokens.sparkSession, "postings")
+    bucketed = every.withColumn("bucket", F.pmod(F.hash("term"), F.lit(BUCKETS)))
+    bucketed.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(path)
+    return tokens.sparkSession.read.schema(bucketed.schema).parquet(path)
+
+
+def looked_up(index: DataFrame, terms: DataFrame, followed: bool = True) -> DataFrame:
+    """The postings of ``terms`` with its columns; ``followed``: only where the term's successor is the window's."""
+    asked = terms.withColumnsRenamed({"term": "t", "next": "nx"}).withColumn("b", F.pmod(F.hash("t"), F.lit(BUCKETS)))
+    same = (F.col("bucket") == F.col("b")) & (F.col("term") == F.col("t"))
+    if not followed:
+        found = index.join(_small(asked), same)
+    else:
+        found = index.join(_small(asked.where("nx is not null")), same & (F.col("next") == F.col("nx")))
+        alone = asked.where("nx is null")
+        if alone.limit(1).count():
+            found = found.unionByName(index.join(_small(alone), same))
+    return found.drop("bucket", "b", "t", "nx")
+
+
+def candidates(index: DataFrame, terms: DataFrame) -> DataFrame:
     """``doc_id, th, wid, start`` where the postings of all of a window's rarest terms meet."""
-    found = postings(tokens, written(anchors(tokens, wins), "anchors"))
+    found = looked_up(index, terms)
     at = found.select("doc_id", "th", "wid", (F.col("pos") - F.col("place")).alias("start"), "bit", "whole").where("start >= 0")
     met = at.groupBy("doc_id", "th", "wid", "start", "whole").agg(F.bit_or("bit").alias("seen"))
     return met.where("seen = whole").select("doc_id", "th", "wid", "start")
@@ -119,30 +139,35 @@ def candidates(tokens: DataFrame, wins: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, tokens: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
     """``doc_id, th, matches, n_hit, items`` of each text (``th`` is its hash) that holds a window.
 
-    ``tokens`` is the ``index`` of ``docs``. Matches are (start, len, items), in order; n_hit counts the words inside any of them.
+    ``tokens`` is the ``index`` of ``docs``. Matches are (start, len), in order; n_hit counts the words inside any of them.
     """
     wins = written(windows(benchmark, item_col, item_text, size), "windows")
-    met = candidates(tokens, wins).join(_small(wins), "wid")
-    per = met.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "len", "phrase", "items"))).alias("found"))
+    terms = written(anchors(tokens, wins), "anchors")
+    met = candidates(postings(tokens, terms), terms).join(_small(wins.select("wid", "len")), "wid")
+    per = met.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "len", "wid"))).alias("found"))
     per = written(per.select(F.col("doc_id").alias("cid"), F.col("th").alias("cth"), "found"), "candidates")
     text = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("cid")) & (F.col("th") == F.col("cth"))
     keys = per.select("cid", "cth")
-    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # two longs a row
         text = text.join(F.broadcast(keys), same, "left_semi")
     held = text.dropDuplicates(["doc_id", "th"]).join(per, same)
     # a lambda's argument holds the words, so that they are cut once for all candidates
-    exact = F.flatten(F.transform(F.array(words(F.col("text"))), lambda w: F.filter("found", lambda c: F.slice(w, c["start"] + 1, c["len"]) == c["phrase"])))
-    held = held.select("doc_id", "th", F.transform(exact, lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"), c["items"].alias("items"))).alias("matches"))
-    held = held.where(F.size("matches") > 0)
+    cut = F.flatten(F.transform(F.array(words(F.col("text"))), lambda w: F.transform("found", lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"), c["wid"].alias("wid"), F.slice(w, c["start"] + 1, c["len"]).alias("said")))))
+    said = held.select("doc_id", "th", F.explode(cut).alias("c")).select("doc_id", "th", "c.start", "c.len", "c.wid", "c.said")
+    exact = said.join(_small(wins.select("wid", "phrase")), "wid").where(F.col("said") == F.col("phrase"))
+    exact = written(exact.select("doc_id", "th", "wid", "start", "len"), "exact")
     begin = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("hit"))
 
     def cover(acc, m):
         end = F.greatest(acc["end"], m["start"] + m["len"])
         return F.struct(end.alias("end"), (acc["hit"] + end - F.greatest(acc["end"], m["start"])).cast("long").alias("hit"))
 
-    items = F.sort_array(F.array_distinct(F.flatten(F.transform("matches", lambda m: m["items"]))))
-    return written(held.select("doc_id", "th", "matches", F.aggregate("matches", begin, cover, lambda acc: acc["hit"]).alias("n_hit"), items.alias("items")), "matches")
+    at = exact.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "len"))).alias("matches"))
+    named = exact.select("doc_id", "th", "wid").distinct().join(_small(wins.select("wid", F.explode("items").alias("item"))), "wid")
+    named = named.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("item")).alias("items")).select(F.col("doc_id").alias("iid"), F.col("th").alias("ith"), "items")
+    out = at.join(named, F.col("doc_id").eqNullSafe(F.col("iid")) & (F.col("th") == F.col("ith")))
+    return written(out.select("doc_id", "th", "matches", F.aggregate("matches", begin, cover, lambda acc: acc["hit"]).alias("n_hit"), "items"), "matches")
 
 
 def proximity(docs: DataFrame, benchmark: DataFrame, span: int = 2 * WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
@@ -153,8 +178,8 @@ def proximity(docs: DataFrame, benchmark: DataFrame, span: int = 2 * WINDOW, id_
     """
     wins = written(windows(benchmark, item_col), "windows")
     tokens = index(docs, id_col, text_col)
-    terms = written(anchors(tokens, wins).withColumn("next", F.lit(None).cast("int")), "anchors")  # whatever follows them
-    found = postings(tokens, terms)
+    terms = written(anchors(tokens, wins), "anchors")
+    found = looked_up(postings(tokens, terms), terms, followed=False)
     block = F.floor(F.col("pos") / span).cast("int")
     dealt = found.select("doc_id", "th", "wid", "pos", "bit", "whole", F.explode(F.array(block, block - 1)).alias("block"))
     lists = dealt.groupBy("doc_id", "th", "wid", "block", "whole").agg(F.sort_array(F.collect_set(F.struct("pos", "bit"))).alias("at"), F.bit_or("bit").alias("seen"))
@@ -186,7 +211,7 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold any benchmark window go."""
+    """Pipeline stage: documents that hold any benchmark window go; the others, null texts among them, keep all columns."""
     found = _found(matches(docs, index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th")), "left_anti")
 
