@@ -48,12 +48,16 @@ PASSAGE, SHINGLE = 50, 5
 SIMILAR = 0.8
 #: Shingles of an identical passage, of the run that like passages share at least, and on either side of a place in a signature.
 CORE, RUN, SIDE = PASSAGE - SHINGLE + 1, 21, 10
+#: Shingles in common that a passage of the least length has at least, with what lengthens it counted as apart.
+LEAST = 30
 #: Shingles that a gap takes in both texts together: beyond, runs that would make up for it hold an identical passage.
 GAPS = 2 * CORE // 4
 #: Shingles on either side of a place that a passage of two runs can need: four for each of the gap's, and the gap.
 REACH = 4 * GAPS + GAPS - 4
 #: Members of a group of which all pairs are compared.
 FEW = 64
+#: Rounds in which larger groups are compared with some of their rows first.
+ROUNDS = 3
 SLICE = 1 << 20
 #: Hashes up to this many are broadcast to keep other texts out of a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -231,24 +235,35 @@ def _run_length(equal: np.ndarray) -> np.ndarray:
     return np.where(equal.all(axis=1), equal.shape[1], equal.argmin(axis=1))
 
 
+#: Gaps in both texts, words changed in place first, short ones first.
+_GAPS = sorted(((gx, gy) for gx in range(GAPS + 1) for gy in range(GAPS + 1 - gx) if gx + gy), key=lambda g: (abs(g[0] - g[1]), g))
+
+
 def _second(x: np.ndarray, y: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Whether a run of ``own`` shingles that ends before column 0 of x and y, a gap, and a second run are like passages."""
     found = np.zeros(len(x), bool)
     need = PASSAGE - SHINGLE + 1
     x, y = x.astype(np.int64), np.where(y == 0, -1, y.astype(np.int64))
-    for gx in range(0, GAPS + 1):
-        for gy in range(0, GAPS + 1 - gx):
-            todo = np.flatnonzero(~found & (own + CORE >= 4 * (gx + gy)) & (gx + gy > 0))
-            if not len(todo):
-                continue
-            n = min(x.shape[1] - max(gx, gy), CORE)
-            second = _run_length(x[todo, gx : gx + n] == y[todo, gy : gy + n])
-            t = own[todo] + second
-            apart = gx + gy + np.maximum(need - t - gx, 0) + np.maximum(need - t - gy, 0)
-            found[todo[(second > 0) & (t >= SIMILAR * (t + apart) - 1e-9)]] = True
+    for gx, gy in _GAPS:
+        todo = np.flatnonzero(~found & (own + CORE >= 4 * (gx + gy)))
+        if not len(todo):
+            continue
+        begins = x[todo, gx] == y[todo, gy]
+        todo = todo[begins]
+        if not len(todo):
+            continue
+        t = own[todo] + _run_length(x[todo, gx : gx + CORE] == y[todo, gy : gy + CORE])
+        apart = gx + gy + np.maximum(need - t - gx, 0) + np.maximum(need - t - gy, 0)
+        found[todo[t >= SIMILAR * (t + apart) - 1e-9]] = True
     return found
 
 
+def _in_common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """At least as many as the different shingles that both rows have."""
+    both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+    return ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != 0)).sum(axis=1)
+
+
 def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Whether the contexts in each row of x and y hold like passages through their middle shingle."""
     equal = (x == y) & (x != 0)
@@ -256,6 +271,7 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     own = right + left - 1
     same = own >= CORE
     short = np.flatnonzero(~same & (own >= RUN) & (right > 0))
+    short = short[_in_common(x[short], y[short]) >= LEAST] if len(short) else short
     if len(short):
         x, y, own, left, right = x[short], y[short], own[short], left[short], right[short]
         place = np.arange(len(short))[:, None]
@@ -275,7 +291,7 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _group_links(groups: DataFrame) -> DataFrame:
-    """``x, y``: items with like passages among all pairs of each group (FEW rows at most) that aren't of one component."""
+    """``x, y``: items with like passages that connect each group (about FEW rows) as all its pairs would; those of one component aren't compared."""
 
     def told(rows):
         if not rows[0]:
@@ -291,7 +307,18 @@ def _group_links(groups: DataFrame) -> DataFrame:
         i, j = i[odd], j[odd]
         good = [alike(ctx[i[k : k + 4096]], ctx[j[k : k + 4096]]) for k in range(0, len(i), 4096)]
         keep = np.concatenate(good) if good else np.zeros(0, bool)
-        return pa.RecordBatch.from_arrays([pa.array(item[i[keep]]), pa.array(item[j[keep]])], ["x", "y"])
+        parent, tied = list(range(len(sig))), []
+        for a, b in zip(i[keep].tolist(), j[keep].tolist()):  # links that tie what others tie already are left out
+            x, y = a, b
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            while parent[y] != y:
+                parent[y] = y = parent[parent[y]]
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                tied.append((a, b))
+        a, b = np.array(tied, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(item[a]), pa.array(item[b])], ["x", "y"])
 
     @lean
     def run(batches):
@@ -339,7 +366,7 @@ def _levels(crowded: DataFrame) -> DataFrame:
     are one item with zeros elsewhere, and such items make a group again, until groups are small. Items that are alike
     link all their members, as does an item that is like itself.
     """
-    found, level, members = [], 0, written(crowded, "crowded")
+    members, found = _pivoted(written(crowded, "crowded"))
     known = None  # item of this level -> first-level item
     while members.limit(1).count():
 
@@ -399,7 +426,6 @@ def _levels(crowded: DataFrame) -> DataFrame:
         found.append(written(_expanded(upper, known), "links"))
         again = sizes.where((F.col("items") > FEW) & (F.col("items") < F.col("held"))).select("sig")
         members = written(items.join(again, "sig", "left_semi").select("sig", "item", "comp", "ctx"), "crowded")
-        level += 1
     out = found[0] if found else crowded.select(F.col("item").alias("x"), F.col("item").alias("y")).limit(0)
     for more in found[1:]:
         out = out.unionByName(more)
@@ -414,16 +440,42 @@ def _expanded(links: DataFrame, known: DataFrame) -> DataFrame:
     return known.withColumnRenamed("item", "x").join(to, "x").select(F.col("base").alias("x"), F.col("first").alias("y")).where("x != y").distinct()
 
 
+def _pivoted(members: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``members`` with larger components and without the groups that became one, and the links that did it.
+
+    In each of ROUNDS rounds the rows of a group are compared with some FEW / 2 of it, drawn by hash: in a group of near
+    copies that joins nearly all. What it doesn't join is left to the exact ways.
+    """
+    found = []
+    for turn in range(ROUNDS):
+        sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+        held = members.join(sizes, "sig").withColumn("blocks", F.ceil(F.col("n") / (FEW // 2)).cast("int"))
+        draw, block = F.pmod(F.xxhash64("item", F.lit(turn)), F.col("n")), F.pmod(F.xxhash64("item", F.lit(-1 - turn)), F.col("blocks")).cast("int")
+        to = F.when(draw < FEW // 2, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(block))
+        dealt = held.select("sig", "item", "comp", "ctx", F.explode(to).alias("block")).select(F.xxhash64("sig", "block").alias("sig"), "item", "comp", "ctx")
+        new = written(_group_links(dealt), "pivoted")
+        if not new.limit(1).count():
+            break
+        found.append(new)
+        comp = written(members.select("item", "comp").distinct(), "comps")
+        ends = new.join(comp.select(F.col("item").alias("x"), F.col("comp").alias("cx")), "x").join(comp.select(F.col("item").alias("y"), F.col("comp").alias("cy")), "y")
+        roots = connected(ends.select("cx", "cy").distinct(), "cx", "cy").select(F.col("node").alias("comp"), "root")
+        members = members.join(roots, "comp", "left").select("sig", "item", F.coalesce("root", "comp").alias("comp"), "ctx")
+        members = written(members, "crowded")
+        members = members.join(_shared(members, "sig", "comp").select("sig"), "sig", "left_semi")
+    return written(members, "crowded"), found
+
+
 def _blocks(items: DataFrame) -> DataFrame:
-    """Groups of FEW rows or fewer such that any two rows of a sig meet in one: pairs of blocks of FEW / 2."""
-    order = W.partitionBy("sig").orderBy("item")
+    """Groups of FEW rows or fewer such that any two rows of a sig and of two components meet in one: pairs of blocks of FEW / 2, but for those of one component."""
+    order = W.partitionBy("sig").orderBy("comp", "item")
     held = items.select("sig", "item", "comp", "ctx").withColumn("block", ((F.row_number().over(order) - 1) / (FEW // 2)).cast("int"))
-    last = held.groupBy("sig").agg(F.max("block").alias("last"))
-    held = held.join(last, "sig").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    high = F.when((low == high) & (F.col("last") > 0), F.when(low == 0, 1).otherwise(low)).otherwise(high)
-    low = F.when((F.col("block") == F.col("other")) & (F.col("last") > 0) & (F.col("block") > 0), F.col("block") - 1).otherwise(low)
-    return held.select(F.xxhash64("sig", low, high).alias("sig"), "item", "comp", "ctx").distinct()
+    blocks = held.groupBy("sig", "block").agg(F.min("comp").alias("l"), F.max("comp").alias("m"))
+    one, two = (blocks.select("sig", *[F.col(c).alias(f"{c}{k}") for c in ("block", "l", "m")]) for k in (1, 2))
+    able = (F.col("block1") <= F.col("block2")) & ~((F.col("l1") == F.col("m1")) & (F.col("l2") == F.col("m2")) & (F.col("l1") == F.col("l2")))
+    pairs = one.join(two, "sig").where(able).select("sig", "block1", "block2")
+    to = pairs.select("sig", F.xxhash64("sig", "block1", "block2").alias("pair"), F.explode(F.array_distinct(F.array("block1", "block2"))).alias("block"))
+    return held.join(to, ["sig", "block"]).select(F.col("pair").alias("sig"), "item", "comp", "ctx")
 
 
 def links(docs: DataFrame, text_col: str = "text") -> DataFrame:
