@@ -70,8 +70,10 @@ def summary(df: DataFrame) -> DataFrame:
 
 def indel_ratio(a: str, b: str) -> float:
     """2 LCS / (|a| + |b|) with the bit-parallel LCS of Hyyro; 0 if both are empty."""
-    if not a and not b:
+    if not a or not b:
         return 0.0
+    if a == b:
+        return 1.0
     places: Counter = Counter()
     for i, ch in enumerate(a):
         places[ch] |= 1 << i
@@ -88,6 +90,11 @@ def indel(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_ratio(x or "", y or "") for x, y in zip(a, b)])
 
 
+def _close(a: str, b: str, ratio: float):
+    """Whether strings can have an Indel ratio of ``ratio``: no more single-character edits than it allows insertions and deletions."""
+    return F.levenshtein(a, b) <= (1 - ratio) * (F.length(a) + F.length(b)) + 1e-9
+
+
 def fuzzy_pairs(df: DataFrame, order: str = "row_ix", company: float = 0.85, address: float = 0.90, alone: float = 0.95) -> DataFrame:
     """D3: ``ix1, ix2, score`` of rows with like companies and addresses, or with nearly equal companies.
 
@@ -108,10 +115,13 @@ def fuzzy_pairs(df: DataFrame, order: str = "row_ix", company: float = 0.85, add
     near = prefix.select(F.col("c").alias("c1"), "g", "time").join(prefix.select(F.col("c").alias("c2"), "g", "time"), ["g", "time"])
     reach = (2 - company) / company
     near = near.where((F.col("c1") <= F.col("c2")) & (F.length("c1") <= F.length("c2") * reach) & (F.length("c2") <= F.length("c1") * reach)).select("c1", "c2").distinct()
-    alike = written(near.withColumn("s", indel("c1", "c2")).where(F.col("s") >= company), "alike")
+    alike = written(near.where(_close("c1", "c2", company)).withColumn("s", indel("c1", "c2")).where(F.col("s") >= company), "alike")
     both = alike.union(alike.where("c1 != c2").select("c2", "c1", "s"))
     left, right = (rows.select(F.col("ix").alias(f"ix{k}"), F.col("c").alias(f"c{k}"), F.col("a").alias(f"a{k}")) for k in (1, 2))
-    met = left.join(both, "c1").join(right, "c2").where("ix1 < ix2").withColumn("sa", indel("a1", "a2"))
+    met = left.join(both, "c1").join(right, "c2").where("ix1 < ix2")
+    # addresses that can't be like ones go to Python as nothing
+    able = _close("a1", "a2", address)
+    met = met.withColumn("sa", indel(F.when(able, F.col("a1")), F.when(able, F.col("a2"))))
     score = F.when(F.col("sa") >= address, (F.col("s") + F.col("sa")) / 2).when(F.col("s") >= alone, F.col("s"))
     return met.select("ix1", "ix2", score.alias("score")).where("score is not null")
 
@@ -124,4 +134,6 @@ def arbitrate(pairs: DataFrame, judge, low: float = 0.70, high: float = 0.85) ->
 
 def parse_decisions(response):
     """The first JSON array in a model's reply, as (index, is_same) structs."""
-    return F.from_json(F.regexp_extract(response, r"(?s)(\[.*?\])", 1), "array<struct<pair:int,is_same:boolean>>")
+    shape = "array<struct<pair:int,is_same:boolean>>"
+    # up to the last bracket, so that brackets inside strings end nothing; where text follows, up to the first
+    return F.coalesce(*[F.from_json(F.regexp_extract(response, p, 1), shape) for p in (r"(?s)(\[.*\])", r"(?s)(\[.*?\])")])

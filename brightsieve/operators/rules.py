@@ -13,6 +13,7 @@ import re
 from dataclasses import dataclass, field
 
 import pandas as pd
+import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,6 +158,25 @@ def apply_rule(rule: Rule, c: Column, settings: dict) -> Column:
     return c
 
 
+def overlaid(own: Schema, defaults: Schema | None) -> Schema:
+    """``own`` over ``defaults``: rules and settings of one name are the schema's, the others stay, defaults first.
+
+    A default rule without a source whose target the schema doesn't map has nothing to work on and is left out.
+    """
+    if defaults is None:
+        return own
+    usable = {k: r for k, r in defaults.transformations.items() if r.source_column or r.target_column in own.mappings}
+    return Schema(dict(own.mappings), usable | own.transformations, defaults.settings | own.settings, own.confidence)
+
+
+def load_rules(path: str) -> Schema:
+    """A YAML file of default ``transformations`` and ``settings``; rules without a source apply where their target is mapped."""
+    with open(path) as f:
+        data = yaml.safe_load(f) or {}
+    rules = {k: Rule(**r) for k, r in (data.get("transformations") or {}).items()}
+    return Schema({r.target_column: "" for r in rules.values()}, rules, data.get("settings") or {})
+
+
 #: Targets that a composite parser fills where no rule does.
 PARSED = ("first_name", "last_name", "min_age", "max_age", "ages_served", "license_type", "facility_type", "address1", "address2", "city")
 

@@ -115,6 +115,15 @@ _rule("r08_overlay_last_wins", "orders", "o_orderkey", _OVERLAY, "CASE WHEN star
 _rule("r08_overlay_first_wins", "orders", "o_orderkey", _OVERLAY, "coalesce(nullif(regexp_extract(o_orderpriority, '[A-Z]{4,}'), ''), CASE WHEN starts_with(o_orderpriority, '1') THEN 'first' END, o_orderpriority)", {"company": "o_orderpriority"}, overlay="first_wins")
 
 
+@query("r09_default_rules", "SELECT o_orderkey, CASE WHEN starts_with(o_orderpriority, '1') THEN 'own' ELSE regexp_extract(o_orderpriority, '[A-Z]{4,}') END AS value FROM orders")
+def r09(spark, sf_dir):
+    """Of two rules called b the schema's counts; the default rule a stays."""
+    orders = table(spark, sf_dir, "orders")
+    own = rules.Schema({"company": "o_orderpriority"}, {"b": _PRIORITY | {"condition": "^1", "value": "own"}})
+    defaults = rules.Schema({"company": ""}, {"a": _PRIORITY | {"regex": "[A-Z]{4,}"}, "b": _PRIORITY | {"condition": "^2", "value": "default"}})
+    return orders.select("o_orderkey", rules.compile_target("company", rules.overlaid(own, defaults), orders.columns).alias("value"))
+
+
 @query("p01_canonical_projection", f"SELECT row_ix, company, CASE WHEN raw_name IS NOT NULL THEN {o.name_title('fn')} END AS first_name, {o.age_years('raw_ages')} AS min_age, CASE WHEN raw_type <> '' THEN {o.before_hyphen('raw_type', o.V.FACILITY_TYPE, o.V.FACILITY_TYPES)} END AS facility_type, CAST(NULL AS VARCHAR) AS county FROM (SELECT *, regexp_extract({o.strip('raw_name')}, '^([A-Za-z''\\-]+)', 1) AS fn FROM ({o.LEADS}))")
 def p01(spark, sf_dir):
     schema = rules.Schema({"company": "COMPANY", "first_name": "raw_name", "min_age": "raw_ages", "facility_type": "raw_type"})

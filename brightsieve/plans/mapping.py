@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import logging
 import os
 import re
 import time
@@ -14,7 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightsieve.functions.vocab import COLUMN_PATTERNS, TARGETS
-from brightsieve.operators.rules import Schema
+from brightsieve.operators.rules import Rule, Schema, overlaid
+from brightsieve.sources.files import SourceConfig
+
+log = logging.getLogger(__name__)
 
 
 def fingerprint(columns: list[str]) -> str:
@@ -98,6 +102,20 @@ class CachedClient:
         return {"calls": self.calls, "max_calls": self.most, "cache_size": len(self.held), "cache_hits": self.hits}
 
 
+_SHARED: list[CachedClient] = []
+
+
+def shared_client(client: Client | None = None, **options) -> CachedClient:
+    """L4: one client for the whole driver; what is given after the first call is ignored until ``forget_shared_client``."""
+    if not _SHARED:
+        _SHARED.append(CachedClient(client or OfflineClient(), **options))
+    return _SHARED[0]
+
+
+def forget_shared_client() -> None:
+    _SHARED.clear()
+
+
 def extract_json(text: str) -> str:
     """The first balanced object, without code fences; braces inside strings don't count."""
     text = re.sub(r"```(?:json)?", "", text)
@@ -132,13 +150,29 @@ def _outside(part: str) -> str:
     return re.sub(r",(\s*[}\]])", r"\1", part)
 
 
+def error_context(text: str, error: json.JSONDecodeError, around: int = 3) -> str:
+    """Where a reply can't be read: the position, and the lines about it with a pointer."""
+    lines, row = text.split("\n"), error.lineno - 1
+    told = [f"{error.msg}: line {error.lineno}, column {error.colno} (character {error.pos})"]
+    for i in range(max(0, row - around), min(len(lines), row + around + 1)):
+        told.append(f"{'>' if i == row else ' '} {i + 1:4d} | {lines[i]}")
+        if i == row:
+            told.append(" " * (9 + error.colno - 1) + "^")
+    return "\n".join(told)
+
+
 def parse_reply(text: str) -> Schema:
     """A reply as a validated schema."""
     body = extract_json(text)
     try:
         data = json.loads(body)
     except ValueError:
-        data = json.loads(sanitize_json(body))
+        body = sanitize_json(body)
+        try:
+            data = json.loads(body)
+        except json.JSONDecodeError as e:
+            log.warning("a reply can't be read: %s", error_context(body, e))
+            raise
     if not isinstance(data.get("mappings"), dict) or not isinstance(data.get("transformations", {}), dict):
         raise ValueError("mappings and transformations are objects")
     return Schema(data["mappings"], data.get("transformations", {}), data.get("settings", {}), float(data.get("confidence", 0.0)))
@@ -151,7 +185,7 @@ def prompt(df: DataFrame, attempt: int = 1, rows: int = 5) -> str:
     return f"Map the source columns to the target columns. Reply as JSON with mappings, transformations, settings, confidence.\nTargets: {json.dumps(TARGETS)}\nSources: {json.dumps(df.dtypes)}\nRows: {json.dumps(sample, default=str)}{again}"
 
 
-def generate(df: DataFrame, client: Client | None = None, attempts: int = 3) -> tuple[Schema, str]:
+def generate(df: DataFrame, client: Client | None = None, attempts: int = 3, patterns: dict[str, list[str]] | None = None) -> tuple[Schema, str]:
     """G1: a schema and its origin; the fallback mapping where no reply can be used."""
     for attempt in range(1, attempts + 1) if client else ():
         try:
@@ -160,7 +194,7 @@ def generate(df: DataFrame, client: Client | None = None, attempts: int = 3) ->
                 return schema, "llm"
         except (ValueError, KeyError, TypeError):
             continue
-    found, share = fallback(df.columns)
+    found, share = fallback(df.columns, patterns=patterns or COLUMN_PATTERNS)
     return Schema(found, {}, {}, share), "fallback"
 
 
@@ -212,12 +246,29 @@ class SchemaCache:
         return {"entries": len(self.keys()), "folder": self.folder}
 
 
-def schema_for(df: DataFrame, cache: SchemaCache | None = None, client: Client | None = None) -> Schema:
-    """From the cache, else generated and kept; a fallback entry is made anew once there is a client."""
+def configured(schema: Schema, source: SourceConfig | None) -> Schema:
+    """``schema`` with what the registry says of the source: its column map, and its rules (by name, or in lists by target)."""
+    if source is None or source.name == "default":
+        return schema
+    rules = {}
+    for name, told in source.transformations.items():
+        for i, rule in enumerate(told if isinstance(told, list) else [told]):
+            rules[f"{name}_{i}" if isinstance(told, list) else name] = Rule(**({"target_column": name} | rule if isinstance(told, list) else rule))
+    mappings = dict(schema.mappings) | dict(source.column_map)
+    rules = {k: r for k, r in rules.items() if r.source_column or r.target_column in mappings}
+    return Schema(mappings, schema.transformations | rules, schema.settings, schema.confidence)
+
+
+def schema_for(df: DataFrame, cache: SchemaCache | None = None, client: Client | None = None, source: SourceConfig | None = None, defaults: Schema | None = None) -> Schema:
+    """From the cache, else generated and kept; a fallback entry is made anew once there is a client.
+
+    What the registry says of the source lies over it, and it over the default rules (R9).
+    """
     held = cache.get(df.columns) if cache else None
     if held and (held[1] == "llm" or client is None):
-        return held[0]
-    schema, origin = generate(df, client)
-    if cache:
-        cache.save(df.columns, schema, origin)
-    return schema
+        schema = held[0]
+    else:
+        schema, origin = generate(df, client, patterns=source.column_map if source and source.name == "default" else None)
+        if cache:
+            cache.save(df.columns, schema, origin)
+    return overlaid(configured(schema, source), defaults)

@@ -177,6 +177,9 @@ class Registry:
     def __init__(self, path: str | None = None):
         self.sources: dict[str, SourceConfig] = {}
         for name, c in ((yaml.safe_load(open(path)) or {}).get("sources") or {}).items() if path else ():
+            if name == "default":  # its patterns name columns of sources that nothing else matches
+                self.register(SourceConfig("default", "*", column_map=dict(c.get("patterns") or {})))
+                continue
             known = {k: v for k, v in c.items() if k in SourceConfig.__dataclass_fields__ and k not in ("name", "pattern")}
             self.register(SourceConfig(name=name, pattern=c.get("pattern", "*"), **known))
         self.sources.setdefault("default", SourceConfig("default", "*"))

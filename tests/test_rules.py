@@ -67,3 +67,12 @@ def test_projection(spark):
     assert (r.first_name, r.min_age, r.city, r.email, r.county) == ("Jane", 3, "7", "", None)
     assert R.transform(df, schema, overlay="first_wins").first().email == "a@b.c"
     assert R.transform(df, schema, strict=True).first().city is None
+
+
+def test_defaults_lie_under_the_schema(tmp_path):
+    p = tmp_path / "rules.yaml"
+    p.write_text("transformations:\n  a: {target_column: email, regex: x}\n  b: {target_column: city, source_column: town, value: v}\n  c: {target_column: zip, value: 1}\nsettings: {case_sensitive: true, trim_whitespace: false}\n")
+    own = R.Schema({"email": "mail"}, {"a": {"target_column": "email", "regex": "own"}, "d": {"target_column": "email", "condition": "q"}}, {"case_sensitive": False})
+    got = R.overlaid(own, R.load_rules(str(p)))
+    assert {k: r.regex or r.value or r.condition for k, r in got.transformations.items()} == {"a": "own", "b": "v", "d": "q"} and list(got.transformations) == ["a", "b", "d"]
+    assert got.settings == {"case_sensitive": False, "trim_whitespace": False} and R.overlaid(own, None) is own

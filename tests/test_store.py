@@ -169,3 +169,40 @@ def test_hash_is_that_of_json(spark):
     df = spark.createDataFrame([(r["a"], r["b"]) for r in rows], "a string, b string")
     got = [r[0] for r in df.select(record_hash(df, ["b", "a"])).collect()]
     assert got == [hashlib.sha256(json.dumps(r, sort_keys=True, ensure_ascii=False).encode()).hexdigest() for r in rows]
+
+
+def test_configured_run(spark, tmp_path):
+    """Registry, default rules, classification and a kept store on the run path."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "acme_1.csv").write_text("junk\nNom;Genre;Ville\nA;child care center;paris\nB;;lyon\n")
+    (tmp_path / "in" / "other.csv").write_text("Etablissement,Genre\nC,x\n")
+    (tmp_path / "registry.yaml").write_text(
+        "sources:\n  acme:\n    pattern: acme*\n    delimiter: ';'\n    skip_rows: 1\n    column_map: {company: Nom, facility_type: Genre, city: Ville}\n"
+        "    transformations:\n      city:\n        - {mapping: {paris: Paris}}\n  default:\n    patterns:\n      company: [etablissement]\n"
+    )
+    (tmp_path / "rules.yaml").write_text("transformations:\n  st: {target_column: state, source_column: Ville, condition: paris, value: TX}\n")
+    from brightsieve.operators.rules import load_rules
+
+    registry = files.Registry(str(tmp_path / "registry.yaml"))
+    assert registry.column_mapping("acme")["company"] == "Nom" and registry.column_mapping("none") == {} and "city" in registry.transformations_of("acme")
+    for _ in range(2):
+        store = LeadStore(spark, str(tmp_path / "store"), "t_configured")
+        out = pipeline.run(spark, str(tmp_path / "in"), store=store, registry=registry, defaults=load_rules(str(tmp_path / "rules.yaml")), classifier=True)
+    assert out["load"]["updated"] == 3 and out["records"] == 3
+    rows = {r.company: r for r in LeadStore(spark, str(tmp_path / "store"), "t_configured").frame().collect()}
+    assert (rows["A"].city, rows["A"].state, rows["A"].facility_type, rows["A"].ai_facility_type_confidence) == ("Paris", "TX", "Child Care Center", 0.7)
+    assert rows["B"].facility_type == "Other" and rows["C"].company == "C"
+
+
+def test_error_context_and_shared_client():
+    import json
+
+    try:
+        json.loads('{\n "a": 1\n "b": 2}')
+    except json.JSONDecodeError as e:
+        told = mapping.error_context('{\n "a": 1\n "b": 2}', e)
+    assert "line 3, column 2" in told and "> " in told and told.splitlines()[-1].strip() == "^"
+    mapping.forget_shared_client()
+    first = mapping.shared_client(calls=3)
+    assert mapping.shared_client(calls=9) is first and first.most == 3
+    mapping.forget_shared_client()
