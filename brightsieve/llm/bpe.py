@@ -40,7 +40,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 WINDOW, MASK_BITS = 16, 10
 #: Entries of a task's tables of words and chunks, and bytes of the texts and ids in each.
-WORDS_HELD, CHUNKS_HELD, BYTES_HELD = 150_000, 4_096, 6_000_000
+WORDS_HELD, CHUNKS_HELD, BYTES_HELD = 300_000, 4_096, 6_000_000
 #: Characters at least that are given to the table or the library at once.
 STRETCH = 256
 SEPARATOR = " "

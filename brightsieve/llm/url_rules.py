@@ -2,8 +2,8 @@
 
 Every URL is expanded into the (host suffix, path prefix) expressions that a
 rule could have. Expressions meet the rules in an equi-join on the first 32
-bits of their SHA-256; the full digest confirms a meeting, and the longest
-rule wins. All of it is DataFrame functions.
+bits of their SHA-256 alone (rules that share them are one row); the full digest
+confirms a meeting afterwards, and the longest rule wins. All of it is DataFrame functions.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path and
 gets the default verdict. Of equal rules with different verdicts ``block``
@@ -61,6 +61,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", id_col: st
         _digest(F.col("rh"), F.col("rp")).alias("full"),
         F.struct(F.length(F.concat("rh", "rp")).alias("len"), F.col("rv").alias("verdict"), F.concat("rh", "rp").alias("rule")).alias("hit"),
     )
+    # rules by their short prefix: nearly always one, so that a join multiplies no row
+    digests = digests.groupBy("key").agg(F.collect_list(F.struct("full", "hit")).alias("known"))
     page = pages.select(F.col(id_col).alias("id"), F.col(url).alias("url"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     depth = F.size(F.split("host", r"\."))
     hosts = F.array_compact(F.array(*[F.when(depth >= c, F.substring_index("host", ".", -c)) for c in labels] or [F.lit(None).cast("string")]))
@@ -70,12 +72,14 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", id_col: st
         "id", "url", "host", "path", "width", F.explode_outer("all").alias("digest")
     ).withColumn("short", F.substring("digest", 1, 8))
     if n <= BROADCAST_RULES:
-        met = opened.join(F.broadcast(digests), (F.col("short") == F.col("key")) & (F.col("digest") == F.col("full")), "left")
+        met = opened.join(F.broadcast(digests), F.col("short") == F.col("key"), "left")
     else:
         spread = digests.withColumn("rs", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
         met = opened.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALT)).cast("int")).join(
-            spread, (F.col("short") == F.col("key")) & (F.col("digest") == F.col("full")) & (F.col("salt") == F.col("rs")), "left"
+            spread, (F.col("short") == F.col("key")) & (F.col("salt") == F.col("rs")), "left"
         )
+    confirmed = F.filter("known", lambda r: r["full"] == F.col("digest"))
+    met = met.withColumn("hit", F.get(confirmed, F.lit(0))["hit"])
     judged = met.groupBy("id", "url", "host", "path", "width").agg(F.max("hit").alias("best"), F.count(F.lit(1)).alias("rows"))
     copies = (F.col("rows") / F.col("width")).cast("int")
     return judged.select(
