@@ -1,5 +1,7 @@
 import hashlib
 import random
+import time
+import zlib
 
 import numpy as np
 import pytest
@@ -58,6 +60,7 @@ def test_records(spark, docs, texts, nothing, known, monkeypatch, tmp_path):
     upto = 0
     for r in rows:
         assert (r.start, r.n_tokens) == (upto, len(r.ids)) and r.ids[-1] == 2
+        assert r.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in r.ids))
         upto += r.n_tokens
     by_text = {tuple(known.tokenizer.encode(t or "", add_special_tokens=False).ids) + (2,) for _, t in texts}
     assert {tuple(r.ids) for r in rows} == by_text
@@ -74,3 +77,29 @@ def test_damage_is_seen():
         with pytest.raises(ValueError):
             records.unframe(good[:i] + bytes([good[i] ^ 1]) + good[i + 1 :])
     assert records.masked(b"") == 0xA282EAD8 and np.uint32(records.masked(b"a")) != records.masked(b"b")
+
+
+def test_texts_without_spaces_take_linear_time(known):
+    """Ideographs and base64: twice the text takes about twice the time, and the library's ids."""
+    rng = random.Random(3)
+    for chars in ("".join(chr(c) for c in range(0x4E00, 0x9000)), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+        took = []
+        for n in (100_000, 200_000, 400_000):
+            text = "".join(rng.choice(chars) for _ in range(n))
+            encoder = bpe.ChunkEncoder(known)
+            began = time.process_time()
+            got = encoder.encode(text)
+            took.append(time.process_time() - began)
+            began = time.process_time()
+            want = known.tokenizer.encode(text, add_special_tokens=False).ids
+            took.append(time.process_time() - began)
+            assert known.unpack(got).tolist() == want
+        # no worse than the library beside a constant factor, at any length
+        assert all(own < 3 * library + 0.5 for own, library in zip(took[::2], took[1::2])), took
+
+
+def test_words_whose_hashes_agree_are_told_apart(texts, monkeypatch):
+    own = bpe.Pieces(bpe.tokenizer_path())
+    monkeypatch.setattr(bpe, "_hash", lambda byte, first, last: np.zeros(len(first), np.uint64))
+    for _, t in texts[:9]:
+        assert own.unpack(own.many([t or ""])[0]).tolist() == own.tokenizer.encode(t or "", add_special_tokens=False).ids
