@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -25,8 +26,27 @@ def shared_dir(spark: SparkSession) -> str:
     return held.rstrip("/")
 
 
+_OPEN: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/brightsieve/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/brightsieve/{what}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession):
+    """Tables written inside go when it ends; what is still to be read has to be written to a path from outside."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            remove(spark, path)
 
 
 def written(df: DataFrame, what: str = "table") -> DataFrame:
