@@ -13,9 +13,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from brightsieve.storage import drop_written, new_path, remove, shared_dir, written
+from brightsieve.storage import drop_written, new_path, remove, shared_dir, temporary, written
 
-__all__ = ["ascii_lower", "drop_written", "lean", "new_path", "remove", "shared_dir", "slices", "texts_of", "written"]
+__all__ = ["ascii_lower", "drop_written", "lean", "new_path", "remove", "shared_dir", "slices", "temporary", "texts_of", "written"]
 
 #: Bytes of text that are Python objects at once.
 SLICE_BYTES = 2 << 20
