@@ -57,7 +57,9 @@ REACH = 4 * GAPS + GAPS - 4
 #: Members of a group of which all pairs are compared.
 FEW = 64
 #: Rounds in which larger groups are compared with some of their rows first.
-ROUNDS = 3
+ROUNDS = 2
+#: Rows of a group beyond its largest component that are compared with all of it at once.
+OUTSIDERS = 256
 SLICE = 1 << 20
 #: Hashes up to this many are broadcast to keep other texts out of a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -440,30 +442,42 @@ def _expanded(links: DataFrame, known: DataFrame) -> DataFrame:
     return known.withColumnRenamed("item", "x").join(to, "x").select(F.col("base").alias("x"), F.col("first").alias("y")).where("x != y").distinct()
 
 
+def _against(members: DataFrame, chosen) -> DataFrame:
+    """``members`` (with n, the rows of a sig) as groups in which the chosen rows of a sig meet all its rows: they go to each block of FEW / 2 rows or so."""
+    blocks = F.ceil(F.col("n") / (FEW // 2)).cast("int")
+    held = members.withColumn("blocks", blocks)
+    own = F.array(F.pmod(F.xxhash64("item", F.lit(-1)), F.col("blocks")).cast("int"))
+    dealt = held.withColumn("block", F.explode(F.when(chosen, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)))
+    return dealt.select(F.xxhash64("sig", "block").alias("sig"), "item", "comp", "ctx")
+
+
 def _pivoted(members: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """``members`` with larger components and without the groups that became one, and the links that did it.
+    """``members`` with larger components and without the groups that are done, and the links found on the way.
 
-    In each of ROUNDS rounds the rows of a group are compared with some FEW / 2 of it, drawn by hash: in a group of near
-    copies that joins nearly all. What it doesn't join is left to the exact ways.
+    A group with OUTSIDERS rows at most beyond its largest component is done by comparing those with all its rows. In the
+    others the rows are compared with some FEW / 2 of them, drawn by hash, which joins nearly all in a group of near copies;
+    that is done ROUNDS times at most, and what is left after it is for the exact ways of ``_levels``.
     """
     found = []
-    for turn in range(ROUNDS):
-        sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-        held = members.join(sizes, "sig").withColumn("blocks", F.ceil(F.col("n") / (FEW // 2)).cast("int"))
-        draw, block = F.pmod(F.xxhash64("item", F.lit(turn)), F.col("n")), F.pmod(F.xxhash64("item", F.lit(-1 - turn)), F.col("blocks")).cast("int")
-        to = F.when(draw < FEW // 2, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(block))
-        dealt = held.select("sig", "item", "comp", "ctx", F.explode(to).alias("block")).select(F.xxhash64("sig", "block").alias("sig"), "item", "comp", "ctx")
-        new = written(_group_links(dealt), "pivoted")
+    for turn in range(ROUNDS + 1):
+        per = members.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("sig")
+        sizes = written(per.agg(F.sum("k").alias("n"), F.max("k").alias("most"), F.max_by("comp", "k").alias("top")), "sizes")
+        held = members.join(sizes.where("n > most"), "sig")
+        nearly = F.col("n") - F.col("most") <= OUTSIDERS
+        found.append(written(_group_links(_against(held.where(nearly), F.col("comp") != F.col("top"))), "outsiders"))
+        members = written(held.where(~nearly).select("sig", "item", "comp", "ctx", "n"), "crowded")
+        if turn == ROUNDS or not members.limit(1).count():
+            break
+        draw = F.pmod(F.xxhash64("item", F.lit(turn)), F.col("n"))
+        new = written(_group_links(_against(members, draw < FEW // 2)), "pivoted")
         if not new.limit(1).count():
             break
         found.append(new)
-        comp = written(members.select("item", "comp").distinct(), "comps")
+        comp = members.select("item", "comp").distinct()
         ends = new.join(comp.select(F.col("item").alias("x"), F.col("comp").alias("cx")), "x").join(comp.select(F.col("item").alias("y"), F.col("comp").alias("cy")), "y")
         roots = connected(ends.select("cx", "cy").distinct(), "cx", "cy").select(F.col("node").alias("comp"), "root")
-        members = members.join(roots, "comp", "left").select("sig", "item", F.coalesce("root", "comp").alias("comp"), "ctx")
-        members = written(members, "crowded")
-        members = members.join(_shared(members, "sig", "comp").select("sig"), "sig", "left_semi")
-    return written(members, "crowded"), found
+        members = written(members.join(roots, "comp", "left").select("sig", "item", F.coalesce("root", "comp").alias("comp"), "ctx"), "crowded")
+    return members.select("sig", "item", "comp", "ctx"), found
 
 
 def _blocks(items: DataFrame) -> DataFrame:
