@@ -58,8 +58,8 @@ REACH = 4 * GAPS + GAPS - 4
 FEW = 64
 #: Rounds in which larger groups are compared with some of their rows first.
 ROUNDS = 2
-#: Rows of a group beyond its largest component that are compared with all of it at once.
-OUTSIDERS = 256
+#: Times FEW rows of a group beyond its largest component that are compared with all of it at once.
+OUTSIDERS = 4
 SLICE = 1 << 20
 #: Hashes up to this many are broadcast to keep other texts out of a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -454,7 +454,7 @@ def _against(members: DataFrame, chosen) -> DataFrame:
 def _pivoted(members: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """``members`` with larger components and without the groups that are done, and the links found on the way.
 
-    A group with OUTSIDERS rows at most beyond its largest component is done by comparing those with all its rows. In the
+    A group with OUTSIDERS times FEW rows at most beyond its largest component is done by comparing those with all its rows. In the
     others the rows are compared with some FEW / 2 of them, drawn by hash, which joins nearly all in a group of near copies;
     that is done ROUNDS times at most, and what is left after it is for the exact ways of ``_levels``.
     """
@@ -463,7 +463,7 @@ def _pivoted(members: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         per = members.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("sig")
         sizes = written(per.agg(F.sum("k").alias("n"), F.max("k").alias("most"), F.max_by("comp", "k").alias("top")), "sizes")
         held = members.join(sizes.where("n > most"), "sig")
-        nearly = F.col("n") - F.col("most") <= OUTSIDERS
+        nearly = F.col("n") - F.col("most") <= OUTSIDERS * FEW
         found.append(written(_group_links(_against(held.where(nearly), F.col("comp") != F.col("top"))), "outsiders"))
         members = written(held.where(~nearly).select("sig", "item", "comp", "ctx", "n"), "crowded")
         if turn == ROUNDS or not members.limit(1).count():

@@ -153,7 +153,7 @@ def test_common_lines_hide_no_passage(spark, monkeypatch, few):
     rng, rows, want = random.Random(4), [], {}
     for size in (15, 20, 30, 38, 44):
         line = words_of(rng, size)
-        for _ in range(90):
+        for _ in range(90 if few == 64 else 24):
             rows.append(words_of(rng, 40) + line + words_of(rng, 40))
         for k in range(12):
             before, after = words_of(rng, 6 + (40 - size) // 2 * (size < 40)), words_of(rng, 10 + (40 - size) // 2 * (size < 40))
