@@ -53,7 +53,7 @@ CONTEXT, SUPPORT, EVIDENCE, DISCLOSE, REMOVE = 160, 3, 30.0, 0.9, 0.98
 #: Parts over which the texts of one pair of entity and term are dealt.
 SALT = 16
 #: Hashes of terms or texts up to this many are broadcast to the pass that reads the texts; with more, they are joined by shuffle.
-BROADCAST_TERMS = 200_000
+BROADCAST_TERMS = 1_000_000
 
 _SPANS = "array<struct<start:int,end:int,hit:string>>"
 
@@ -157,12 +157,12 @@ def _held(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return rows.select("th", F.explode(_term_hashes(F.col("text"))).alias("term")).distinct()
 
 
-def disclosing(docs: DataFrame, seen: DataFrame, total: int, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def disclosing(docs: DataFrame, seen: DataFrame, texts: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``entity, term, ratio`` of the terms whose PMI with the entity is at least ``DISCLOSE`` of its information, and ``th, entity, term`` where they are held.
 
-    ``seen`` has a row ``th, entity, context`` for each text and entity, ``total`` is the number of different texts.
+    ``seen`` has a row ``th, entity, context`` for each text and entity, ``texts`` a row ``th`` for each row of ``docs``.
     """
-    n = F.lit(float(max(total, 1)))
+    n = F.lit(float(max(texts.distinct().count(), 1)))
     per_entity = seen.groupBy("entity").agg(F.count_distinct("context").alias("n_e")).where(F.col("n_e") >= SUPPORT)
     met = written(seen.join(per_entity, "entity"), "entities")
     held = written(_held(docs, met.select("th").distinct(), text_col), "terms")
@@ -177,10 +177,21 @@ def disclosing(docs: DataFrame, seen: DataFrame, total: int, text_col: str = "te
     joint = written(able.where(F.col("c_t") - F.col("m_te") + F.col("n_te") <= F.col("n_te") * F.pow(n / F.col("n_e"), F.lit(1 - DISCLOSE)) * (1 + 1e-9)).drop("c_t"), "joint")
     wanted = joint.select("term").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    every = docs.select(F.xxhash64(text).alias("th"), F.explode(_term_hashes(text)).alias("term"))
-    if wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:  # eight bytes a row
-        every = every.join(F.broadcast(wanted), "term", "left_semi")
-    per_term = every.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS  # eight bytes a row
+
+    def terms_of(rows):
+        every = rows.select("th", F.explode(_term_hashes(F.col("text"))).alias("term"))
+        return every.join(F.broadcast(wanted), "term", "left_semi") if few else every
+
+    # texts without copies are counted where they are read; only those with copies send (text, term) pairs
+    rows = docs.select(F.xxhash64(text).alias("th"), text.alias("text"))
+    copied = texts.groupBy("th").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("th")
+    if copied.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        copied = F.broadcast(copied)
+        counted = terms_of(rows.join(copied, "th", "left_anti")).unionByName(terms_of(rows.join(copied, "th", "left_semi")).distinct())
+    else:
+        counted = terms_of(rows).distinct()
+    per_term = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     told = joint.join(per_term, "term")
     # of the texts with e, those that share its surroundings count once in n(t), too
     pmi = F.log2(n * F.col("n_te") / ((F.col("n_t") - F.col("m_te") + F.col("n_te")) * F.col("n_e").cast("double")))
@@ -194,7 +205,7 @@ def revealed(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataF
     """``th, told``: for each text that holds any, its disclosing terms as (term, ratio); ``found`` has ``th, near``."""
     seen = found.where(F.size("near") > 0).select("th", F.explode("near").alias("n")).groupBy("th", "n.entity").agg(F.min("n.context").alias("context"))
     seen = written(seen.select("th", "entity", "context"), "seen")
-    revealing, held = disclosing(docs, seen, found.select("th").distinct().count(), text_col)
+    revealing, held = disclosing(docs, seen, found.select("th"), text_col)
     # a pair that very many texts hold is dealt over SALT parts
     spread = revealing.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     hit = held.withColumn("salt", F.pmod("th", F.lit(SALT)).cast("int")).join(spread, ["entity", "term", "salt"])
