@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightsieve.llm.base import lean, slices, texts_of, written
-from brightsieve.llm.components import connected
+from brightsieve.llm.components import class_names
 
 WORDS, SEED, BITS = 3, 42, 3
 #: Children of a node of the index.
@@ -219,10 +219,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
     prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
     words = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "words")
-    roots = connected(near_links(words, "fp", limit), "a", "b")
-    rooted = words.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
+    named = class_names(words.select(F.col("fp").alias("node"), "least"), near_links(words, "fp", limit))
+    named = named.select(F.col("node").alias("fp"), F.col("class_id").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
