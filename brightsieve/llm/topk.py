@@ -43,6 +43,8 @@ from brightsieve.llm.base import lean, written
 #: Rows of the sample that pivots are chosen from, and pivots at most.
 SAMPLE, PIVOTS = 8_192, 1_024
 DATA_BLOCK, QUERY_BLOCK, LEAF = 2_048, 256, 16
+#: Leaves that a group of queries meets at once.
+SOME = 8
 
 
 def _away(points: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -139,6 +141,7 @@ def _bound(dot, rq, sq, rp, sp):
 def search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, data_ids: np.ndarray, best: Best) -> None:
     """Traverses both trees and adds to ``best`` (by query row) all that can matter."""
     q, d = queries.nodes, data.nodes
+    queries_size = np.sqrt(np.square(queries.points).sum(axis=1))
     todo = [(0, np.array([0]))]
     while todo:
         a, some = todo.pop()
@@ -150,8 +153,12 @@ def search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, data_ids:
         some, most = some[able], most[able]
         if not len(some):
             continue
-        if q["kids"][a] and (queries.radius[a] >= data.radius[some].max() or not d["kids"][some].any()):
-            todo += [(c, some) for c in range(q["kid"][a], q["kid"][a] + q["kids"][a])]
+        kids = np.arange(q["kid"][a], q["kid"][a] + q["kids"][a])
+        if len(kids) and not q["kids"][kids].any():
+            _together(rows, queries.points[rows], queries_size[rows], query_ids[rows], some, data, data_ids, best)
+            continue
+        if len(kids) and (queries.radius[a] >= data.radius[some].max() or not d["kids"][some].any()):
+            todo += [(c, some) for c in kids]
             continue
         leaf = d["kids"][some] == 0
         inner = some[~leaf]
@@ -166,6 +173,35 @@ def search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, data_ids:
             best.meet(rows, query_ids[rows], _dots(queries.points[rows], data.points[own]), data_ids[own])
 
 
+def _together(rows, points, sizes, own, some, data: CoverTree, data_ids, best: Best) -> None:
+    """The queries of a node whose children are leaves against data nodes: their bounds at once, each query's own (its radius is zero)."""
+    todo = [some]
+    while todo:
+        some = todo.pop()
+        most = _bound(points @ data.at[some].T, 0.0, sizes[:, None], data.radius[some], data.size[some])
+        able = most >= best.worst[rows, None]
+        near = able.any(axis=0)
+        some, able, most = some[near], able[:, near], most[:, near]
+        if not len(some):
+            continue
+        kids = data.nodes["kids"][some]
+        inner = np.flatnonzero(kids > 0)
+        if len(inner):
+            below = np.concatenate([np.arange(k, k + n) for k, n in zip(data.nodes["kid"][some[inner]], kids[inner])])
+            todo.append(below)
+        leaf = np.flatnonzero(kids == 0)
+        if len(leaf):
+            first = leaf[np.argsort(-most[:, leaf].max(axis=0), kind="stable")]
+            for at in range(0, len(first), SOME):  # the likeliest leaves raise the scores to beat for the others
+                part = first[at : at + SOME]
+                part = part[(most[:, part] >= best.worst[rows, None]).any(axis=0)]
+                if not len(part):
+                    continue
+                asks = np.flatnonzero((most[:, part] >= best.worst[rows, None]).any(axis=1))
+                held = np.concatenate([np.arange(f, n) for f, n in zip(data.nodes["first"][some[part]], data.nodes["last"][some[part]])])
+                best.meet(rows[asks], own[asks], _dots(points[asks], data.points[held]), data_ids[held])
+
+
 def whole_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """``id, v``: floor(scale * x) as doubles, without the rows that take no part."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id is not null and v is not null and size(v) > 0")
@@ -274,7 +310,9 @@ def top_k(data: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", v
     if not len(pivots):
         return data.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     blocks = _blocks(rows, pivots, DATA_BLOCK, "blocks")
-    asked = _blocks(asking.select("id", "v"), pivots, QUERY_BLOCK, "queries")
+    # pivots were chosen farthest first: the first of them are pivots for fewer blocks
+    few = max(1, -(-asking.count() // (QUERY_BLOCK // 2)))
+    asked = _blocks(asking.select("id", "v"), pivots[:few], QUERY_BLOCK, "queries")
     summary = written(blocks.select("block", "pivot", "part", "centre", "radius"), "summary")
 
     def far(batches):
