@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brightsieve.llm import bpe, decontaminate, passages, pii, quality, records, sharding, simhash, topk, url_rules
+from brightsieve.llm import align, bpe, codebooks, decontaminate, line_runs, passages, pii, quality, records, sharding, simhash, topk, url_rules
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_records": records.op8_records,
     "op9_simhash": simhash.op9_simhash,
     "op10_passages": passages.op10_passages,
+    "op11_line_dedup": line_runs.op11_line_dedup,
+    "op12_alignment": align.op12_alignment,
+    "op13_codes": codebooks.op13_codes,
 }
 
-SQL = {**decontaminate.SQL, **topk.SQL, **url_rules.SQL}
+SQL = {**codebooks.SQL, **decontaminate.SQL, **line_runs.SQL, **topk.SQL, **url_rules.SQL}
