@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -288,7 +290,38 @@ def k03(spark, sf_dir):
     orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     old = orders.where(key % 3 > 0).select(key.cast("string").alias("record_id"), F.col("o_orderpriority").alias("company"), F.col("o_orderstatus").alias("city"))
     new = orders.where(key % 2 == 0).select(key.cast("string").alias("record_id"), F.when(key % 4 != 0, F.concat(F.lit("new "), "o_orderpriority")).alias("company"), F.lit(None).cast("string").alias("city"))
-    return store.merged(old, new).withColumnRenamed("__did", "did")
+    return store.merged(old, new).withColumnRenamed("__did", "did").drop("__rows")
+
+
+@query("k03_same_key", """WITH old AS (SELECT CAST(o_orderkey AS VARCHAR) AS record_id, o_orderpriority AS company, o_orderstatus AS city FROM orders WHERE o_orderkey % 3 > 0),
+r AS (SELECT CAST(l_orderkey AS VARCHAR) AS record_id, (l_linenumber, l_partkey, l_suppkey) AS place, CASE WHEN l_linenumber % 2 = 1 OR l_quantity < 40 THEN 'part ' || l_partkey END AS company, CASE WHEN l_returnflag <> 'N' THEN l_linestatus END AS city FROM lineitem WHERE l_orderkey % 2 = 0),
+new AS (SELECT record_id, arg_max(company, place) FILTER (WHERE company IS NOT NULL) AS company, arg_max(city, place) FILTER (WHERE city IS NOT NULL) AS city, count(*) AS n FROM r GROUP BY record_id)
+SELECT coalesce(o.record_id, n.record_id) AS record_id, coalesce(n.company, o.company) AS company, coalesce(n.city, o.city) AS city,
+  CASE WHEN n.record_id IS NULL THEN 0 WHEN o.record_id IS NULL THEN 1 ELSE 0 END AS inserted, CASE WHEN n.record_id IS NULL THEN 0 WHEN o.record_id IS NULL THEN n - 1 ELSE n END AS updated
+FROM old o FULL OUTER JOIN new n ON o.record_id = n.record_id""")
+def k03_same_key(spark, sf_dir):
+    """K3 with several rows a key, in the order of their line numbers."""
+    key = F.col("o_orderkey")
+    old = table(spark, sf_dir, "orders").where(key % 3 > 0).select(key.cast("string").alias("record_id"), F.col("o_orderpriority").alias("company"), F.col("o_orderstatus").alias("city"))
+    rows = table(spark, sf_dir, "lineitem").where("l_orderkey % 2 = 0").select(
+        F.col("l_orderkey").cast("string").alias("record_id"), "l_linenumber", "l_partkey", "l_suppkey",
+        F.when((F.col("l_linenumber") % 2 == 1) | (F.col("l_quantity") < 40), F.concat(F.lit("part "), F.col("l_partkey").cast("string"))).alias("company"), F.when(F.col("l_returnflag") != "N", F.col("l_linestatus")).alias("city"),
+    )
+    inserted = F.when(F.col("__did") == "inserted", 1).otherwise(0)
+    out = store.merged(old, rows, order=["l_linenumber", "l_partkey", "l_suppkey"])
+    return out.select("record_id", "company", "city", inserted.cast("long").alias("inserted"), (F.coalesce("__rows", F.lit(0)) - inserted).cast("long").alias("updated"))
+
+
+@query("k01_commit", """SELECT CAST(c_custkey AS VARCHAR) AS record_id, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS company, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS phone, CASE WHEN c_custkey % 5 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS city
+FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 = 0""")
+def k01_commit(spark, sf_dir):
+    """K1, K3: three writers at once at one location, each with columns of its own; none loses what another has committed."""
+    customer, where, k = table(spark, sf_dir, "customer"), new_path(spark, "commits"), F.col("c_custkey")
+    store.LeadStore(spark, where, "k01_first").create()
+    parts = [customer.where(k % n == 0).select(k.cast("string").alias("record_id"), F.col(c).cast("string").alias(to)) for n, c, to in ((2, "c_name", "company"), (3, "c_mktsegment", "phone"), (5, "c_nationkey", "city"))]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda p: store.LeadStore(spark, where, f"k01_{p[0]}").upsert(p[1]), enumerate(parts)))
+    return store.LeadStore(spark, where, "k01_last").frame().select("record_id", "company", "phone", "city")
 
 
 @query("k05_record_hash", """SELECT p_partkey, sha256('{' || '"p_brand": "' || p_brand || '", "p_name": "' || p_name || '"}') AS hash FROM part""")
