@@ -4,20 +4,22 @@ Both tokenizers encode a blank and the text. Byte offsets where a token of eithe
 them into groups; every token of A in a group is linked to every token of B in
 it. A link is an id pair packed into 64 bits, A's id above B's.
 
-Counting: a task keeps ``np.unique`` counts of the pairs of its documents, each
-document's distinct ones, and hands them on as rows (several times
-if they outgrow PAIRS_HELD). These are range partitioned by pair, so that each
-partition is a run of the sorted pairs; equal pairs follow each other there and
-are summed run by run into a shard, two files of sorted 64-bit pairs and their
-counts. A shard's task also tells the greatest count of each A id that it saw;
-over all shards these are as many numbers as A has ids. Looking up: workers map
-shards into memory (where the shared folder isn't a file system of theirs, a
-shard is read, and the last few are kept) and find pairs by ``searchsorted``.
-
-Text is encoded by stretches between places where white space of CUTS follows
-something else: neither tokenizer joins anything over such a place (which ``Both`` checks
-against the vocabularies), so that a token of each ends there. Each
-distinct stretch is encoded once while a bounded table holds it, by the tokenizers themselves.
+Texts are encoded once, and their ids written. Counting: a task keeps ``np.unique``
+counts of the pairs of its documents, each document's distinct ones, and hands
+them on as rows (several times if they outgrow DISTINCT_HELD). These are range
+partitioned by pair, so that each partition is a run of the sorted pairs; equal
+pairs follow each other there and are summed run by run into a shard, two files
+of sorted 64-bit pairs and their counts. A shard's task also tells the greatest
+count of each A id that it saw; over all shards these are as many numbers as A
+has ids. Looking up: workers map shards into memory (where the shared folder
+isn't a file system of theirs, a shard is read, and the last few are kept) and
+find pairs by ``searchsorted``. Links are listed for a batch of documents at once.
+
+A long text is encoded in pieces that begin where white space of CUTS follows something
+else: neither tokenizer joins anything over such a place (``Both`` checks that
+against the vocabularies). A's ids come from tiktoken where the vocabulary's ids are its
+merges in order and a text has no character beyond Latin letters, for which the regular expressions
+of both libraries are sure to agree; else from the tokenizers library.
 
 Defined cases: a null or empty text, and one that the tokens of A or B do not spell
 byte for byte, has no tokens: zeros and an empty digest; texts of any length are
@@ -29,6 +31,8 @@ read; counts that tie for an A id's highest all count as best.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -42,8 +46,10 @@ from pyspark.sql import functions as F
 
 from brightsieve.llm.base import lean, new_path, remove, slices, written
 
-#: Characters of a text that are cut into stretches at once; bytes of what a task's table of stretches holds.
-PIECE, TABLE_BYTES = 1 << 19, 48 << 20
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+#: Characters of a text that are encoded at once; bytes of ids whose links are listed at once.
+PIECE, IDS_HELD = 1 << 19, 1 << 18
 #: Pairs, repeats included, that a task holds before it sums them, and distinct ones before it hands them on.
 PAIRS_HELD, DISTINCT_HELD = 1 << 21, 1 << 20
 #: Bytes of shards that a worker keeps where it can't map them.
@@ -52,6 +58,9 @@ READ_HELD = 64 << 20
 LISTED = 1 << 16
 CUTS = " \n\t"
 BLANK = "▁"
+#: How byte-level BPE cuts a text into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_BEYOND_LATIN = re.compile("[^\\x00-\u024f]")
 
 
 def _unescape() -> dict[str, int]:
@@ -85,26 +94,48 @@ class Both:
         cuts = "".join(c for c in CUTS if not any(c in p[1:] and re.search(rf"[^{c}]{c}", p) or c != " " and c in p and len(p) > 1 for p in spelt))
         if " " not in cuts or self.blank == self.b.unk_id():
             raise ValueError("pieces of B go over blanks")
-        self.cut = cuts
-        self.stretch = re.compile(rf"[{cuts}]\s*\S*(?:[^\S{cuts}]\s*\S*)*")
         self.place = re.compile(rf"(?<=\S)(?=[{cuts}])")
         self.a_size, self.b_size = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
+        self.kind = np.dtype("<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4")
+        self.quick = self._quick(a_path)
+
+    def _quick(self, path: str):
+        """tiktoken with A's vocabulary, if that is bytes and then the merges in order, and words are cut as it can cut them."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, before = spec["model"], spec.get("pre_tokenizer") or {}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        vocab, plain = model["vocab"], before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        odd = spec.get("normalizer") or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("ignore_merges")
+        if model["type"] != "BPE" or not plain or odd or [vocab.get(x + y) for x, y in merges] != list(range(256, 256 + len(merges))) or len(vocab) != 256 + len(merges):
+            return None
+        import tiktoken
 
-    def stretches(self, text: str) -> Iterator[list[str]]:
-        """Those of a blank and ``text``, in order, some at a time."""
-        text, at = " " + text, 0
+        ranks = {self.a_bytes[i]: i for i in range(len(vocab))}
+        return tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == len(vocab) else None
+
+    def pieces(self, text: str) -> Iterator[str]:
+        """``text`` in parts that can be encoded one by one."""
+        at = 0
         while at < len(text):
             found = self.place.search(text, at + PIECE) if len(text) - at > PIECE else None
             to = found.start() if found else len(text)
-            yield self.stretch.findall(text[at:to])
+            yield text[at:to]
             at = to
 
-    def encode(self, some: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of single stretches."""
-        a = [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
-        # B adds a blank: the stretch's own first one, or one that goes again
-        b = [[self.blank] if s == " " else x if s[0] == " " else x[1:] for s, x in zip(some, self.b.encode([s[1:] if s[0] == " " else s for s in some]))]
-        return a, b
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a blank and ``text``; None if they don't spell it."""
+        a, b = [], []
+        for piece in self.pieces(" " + text):
+            own = self.quick.encode_ordinary(piece) if self.quick and not _BEYOND_LATIN.search(piece) else self.a.encode_batch_fast([piece], add_special_tokens=False)[0].ids
+            # B adds a blank: the piece's own first one, or one that goes again
+            other = self.b.encode(piece[1:] if piece[0] == " " else piece) if piece != " " else [self.blank]
+            other = other if piece[0] == " " else other[1:]
+            if not self.spells(piece, own, other):
+                return None
+            a += own
+            b += other
+        return np.array(a, self.kind), np.array(b, self.kind)
 
     def spells(self, text: str, a: list[int], b: list[int]) -> bool:
         raw = text.encode()
@@ -124,9 +155,9 @@ def both(a_path: str, b_path: str) -> Both:
 def groups(known: Both, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For tokens that spell the same bytes: where each group begins among those of A, and of B; their ends come last."""
     a_end, b_end = np.cumsum(known.a_size[a]), np.cumsum(known.b_size[b])
-    common = np.intersect1d(a_end, b_end)
-    # tokens without bytes, if a vocabulary has any, end the group before them
-    return np.r_[0, np.searchsorted(a_end, common, "right")], np.r_[0, np.searchsorted(b_end, common, "right")]
+    at = np.searchsorted(b_end, a_end)
+    both_end = np.flatnonzero(b_end[at] == a_end) if len(a_end) else np.empty(0, np.int64)
+    return np.r_[0, both_end + 1], np.r_[0, at[both_end] + 1]
 
 
 def links(a: np.ndarray, b: np.ndarray, a_at: np.ndarray, b_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,64 +181,6 @@ def links(a: np.ndarray, b: np.ndarray, a_at: np.ndarray, b_at: np.ndarray) -> t
     return np.concatenate(keys), np.concatenate(often), np.array(starts)
 
 
-class Table:
-    """What is known of each stretch; emptied when it outgrows TABLE_BYTES. ``None`` stands for a stretch that isn't spelt."""
-
-    def __init__(self, known: Both, counts: Counts | None = None):
-        self.known, self.counts = known, counts
-        self.clear()
-
-    def clear(self) -> None:
-        self.held: dict[str, object] = {}
-        self.size = 0
-
-    def of(self, some: list[str]) -> list:
-        try:
-            return list(map(self.held.__getitem__, some))
-        except KeyError:
-            missing = [s for s in dict.fromkeys(some) if s not in self.held]
-        if self.size > TABLE_BYTES:
-            self.clear()
-            missing = list(dict.fromkeys(some))
-        for at in range(0, len(missing), 2048):
-            self._learn(missing[at : at + 2048])
-        return list(map(self.held.__getitem__, some))
-
-    def _learn(self, some: list[str]) -> None:
-        a, b = self.known.encode(some)
-        right = [self.known.spells(*x) for x in zip(some, a, b)]
-        for s, ok in zip(some, right):
-            if not ok:
-                self._put(s, None, 0)
-        rows = [k for k, ok in enumerate(right) if ok]
-        if not rows:
-            return
-        a, b = [a[k] for k in rows], [b[k] for k in rows]
-        a_all, b_all = (np.fromiter((i for x in y for i in x), np.int64) for y in (a, b))
-        a_at, b_at = groups(self.known, a_all, b_all)
-        # every stretch ends a group
-        ends = np.searchsorted(a_at, np.cumsum([0, *map(len, a)]))
-        keys, often, at = links(a_all, b_all, a_at, b_at)
-        if self.counts is None:
-            packed, cut = keys.tobytes(), (at[ends] * 8).tolist()
-            for k, s, e in zip(rows, cut, cut[1:]):
-                self._put(some[k], packed[s:e], e - s)
-            return
-        found, best = self.counts.of(keys)
-        own = np.stack([often, often * best, often * found, found == 0])
-        upto = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(own, axis=1)], axis=1)[:, at[ends]]
-        sums = np.diff(upto, axis=1).T.tolist()
-        a_names, b_names = list(map(str, a_all.tolist())), list(map(str, b_all.tolist()))
-        names = [",".join(a_names[s:e]) + "|" + ",".join(b_names[f:g]) for s, e, f, g in zip(a_at.tolist(), a_at[1:].tolist(), b_at.tolist(), b_at[1:].tolist())]
-        for k, s, e, n, x, y in zip(rows, ends.tolist(), ends[1:].tolist(), sums, a, b):
-            text = ";".join(names[s:e])
-            self._put(some[k], ((len(x), len(y), e - s, *n), text), len(text) + 300)
-
-    def _put(self, stretch: str, what, size: int) -> None:
-        self.held[stretch] = what
-        self.size += size + len(stretch) + 200
-
-
 class Summed:
     """Pairs and counts, kept sorted and distinct once they are many."""
 
@@ -233,33 +206,63 @@ class Summed:
         return out
 
 
-def document_pairs(known: Both, table: Table, text: str) -> np.ndarray | None:
-    """A document's distinct packed pairs; None if it has no tokens."""
-    found: list[bytes] = []
-    for some in known.stretches(text) if text else ():
-        own = table.of(list(set(some)))
-        if None in own:
-            return None
-        found += own
-    return np.unique(np.frombuffer(b"".join(found), np.int64)) if found else None
-
-
-def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
-    """``pair, n``: each task's counts of documents by pair, in parts."""
+def tokens(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, a, b`` of every row: ids of either tokenizer as little-endian integers, null where there are none."""
 
     @lean
     def run(batches):
         known = both(a_path, b_path)
-        table, sums = Table(known), Summed()
-        for part in (p for batch in batches for p in slices(batch, 0, 1 << 20)):
-            for text in part.column(0).to_pylist():
-                if (pairs := document_pairs(known, table, text)) is not None:
-                    sums.add(pairs)
+        for part in (p for batch in batches for p in slices(batch, 1, 1 << 20)):
+            made = [known.encode(t) if t else None for t in part.column(1).to_pylist()]
+            columns = [pa.array([None if x is None else x[k].tobytes() for x in made], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "a", "b"])
+
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)[id_col]}, a binary, b binary")
+
+
+class Linked:
+    """The links of a batch of ``tokens`` rows that have tokens."""
+
+    def __init__(self, known: Both, a: pa.Array, b: pa.Array):
+        self.rows = np.flatnonzero(a.is_valid().to_numpy(zero_copy_only=False))
+        flat, cuts = [], []
+        for column in (a, b):
+            packed = [x for x in column.to_pylist() if x is not None]
+            flat.append(np.frombuffer(b"".join(packed), known.kind).astype(np.int64))
+            cuts.append(np.cumsum([0, *map(len, packed)]) // known.kind.itemsize)
+        (self.a, self.b), (self.a_cut, self.b_cut) = flat, cuts
+        self.a_at, self.b_at = groups(known, self.a, self.b)
+        self.group_cut = np.searchsorted(self.a_at, self.a_cut)  # every document ends a group
+        self.keys, self.often, at = links(self.a, self.b, self.a_at, self.b_at)
+        self.cut = at[self.group_cut]
+
+    def spelt(self, names: list[str]) -> Iterator[str]:
+        """Each document's groups as text; ``names`` has each id with a comma, a bar and a semicolon after it."""
+        n_a, n_b = np.diff(self.a_at), np.diff(self.b_at)
+        out = np.empty(len(self.a) + len(self.b), np.int64)
+        for ids, at, own, other, end in ((self.a, self.a_at, n_a, self.b_at[:-1], 1), (self.b, self.b_at, n_b, self.a_at[1:], 2)):
+            value = 3 * ids
+            value[at[1:] - 1] += end
+            out[np.arange(len(ids)) + np.repeat(other, own)] = value
+        for s, e in zip(self.a_cut + self.b_cut, (self.a_cut + self.b_cut)[1:]):
+            yield "".join(map(names.__getitem__, out[s:e].tolist()))[:-1]
+
+
+def pair_counts(held: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """``pair, n``: each task's counts of documents by pair, in parts, from ``tokens`` rows."""
+
+    @lean
+    def run(batches):
+        known, sums = both(a_path, b_path), Summed()
+        for part in (p for batch in batches for p in slices(batch, 0, IDS_HELD)):
+            found = Linked(known, part.column(0), part.column(1))
+            for s, e in zip(found.cut, found.cut[1:]):
+                sums.add(np.unique(found.keys[s:e]))
             if len(sums.keys) > DISTINCT_HELD:
                 yield sums.taken()
         yield sums.taken()
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "pair long, n long")
+    return held.select("a", "b").mapInArrow(run, "pair long, n long")
 
 
 def _opened(uri: str):
@@ -358,57 +361,47 @@ class Counts:
         return found[back], (found == self.highest[np.minimum(distinct >> 32, len(self.highest) - 1)])[back]
 
 
-def aligned(docs: DataFrame, shards: list[tuple[str, int, int, int]], highest: dict[int, int], a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", spelt: bool = False) -> DataFrame:
-    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row, and with ``spelt`` the groups themselves."""
+def aligned(held: DataFrame, shards: list[tuple[str, int, int, int]], highest: dict[int, int], a_path: str, b_path: str, spelt: bool = False) -> DataFrame:
+    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row of ``tokens``, and with ``spelt`` the groups themselves."""
     best = np.zeros(max(highest, default=0) + 1, np.int64)
     best[list(highest)] = list(highest.values())
 
     @lean
     def run(batches):
-        known = both(a_path, b_path)
-        table = Table(known, Counts(shards, best))
-        none = (0,) * len(NAMES)
-
-        def one(text: str | None) -> tuple:
-            total, digest, names = np.zeros(7, np.int64), hashlib.sha256(), []
-            for k, some in enumerate(known.stretches(text) if text else ()):
-                own = table.of(some)
-                if None in own:
-                    return (*none, "", *([""] if spelt else []))
-                numbers, texts = zip(*own)
-                total += np.fromiter((x for n in numbers for x in n), np.int64, 7 * len(numbers)).reshape(-1, 7).sum(axis=0)
-                part = ";".join(texts)
-                digest.update((";" + part if k else part).encode())
-                if spelt:
-                    names.append(part)
-            if not text:
-                return (*none, "", *([""] if spelt else []))
-            *total, unknown = total.tolist()
-            if unknown:
-                raise ValueError("a document's linked pairs have no count: the shards are of other texts")
-            return (*total, digest.hexdigest(), *([";".join(names)] if spelt else []))
-
-        for part in (p for batch in batches for p in slices(batch, 1, 1 << 20)):
-            columns = zip(*map(one, part.column(1).to_pylist()))
-            kinds = [pa.int64()] * 6 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["doc_id", *NAMES, "groups_sha256", "groups"][: 8 + spelt])
-
-    kind = dict(docs.dtypes)[id_col]
-    schema = f"doc_id {kind}, " + ", ".join(f"{n} long" for n in NAMES) + ", groups_sha256 string" + ", groups string" * spelt
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+        known, counts = both(a_path, b_path), Counts(shards, best)
+        names = [f"{i}{c}" for i in range(max(len(known.a_bytes), len(known.b_bytes))) for c in ",|;"]
+        for part in (p for batch in batches for p in slices(batch, 1, IDS_HELD)):
+            linked = Linked(known, part.column(1), part.column(2))
+            numbers, texts = np.zeros((len(NAMES), len(part)), np.int64), [""] * len(part)
+            if len(linked.rows):
+                found, top = counts.of(linked.keys)
+                if not found.all():
+                    raise ValueError("a linked pair has no count: the shards are of other texts")
+                sums = [np.add.reduceat(x, linked.cut[:-1]) for x in (linked.often, linked.often * top, linked.often * found)]
+                numbers[:, linked.rows] = [np.diff(linked.a_cut), np.diff(linked.b_cut), np.diff(linked.group_cut), *sums]
+                for k, text in zip(linked.rows.tolist(), linked.spelt(names)):
+                    texts[k] = text
+            digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+            columns = [part.column(0), *map(pa.array, numbers), pa.array(digests), *([pa.array(texts)] if spelt else [])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *NAMES, "groups_sha256", "groups"][: 8 + spelt])
+
+    schema = f"doc_id {dict(held.dtypes)['doc_id']}, " + ", ".join(f"{n} long" for n in NAMES) + ", groups_sha256 string" + ", groups string" * spelt
+    return held.select("doc_id", "a", "b").mapInArrow(run, schema)
 
 
 NAMES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", spelt: bool = False) -> DataFrame:
-    """Counts the pairs of ``docs`` into shards in ``folder`` and returns ``aligned`` rows that read them."""
-    spark = docs.sparkSession
-    path = new_path(spark, "pairs")
-    pair_counts(docs, a_path, b_path, text_col).write.parquet(path)
-    shards, highest = count_shards(spark.read.schema("pair long, n long").parquet(path), folder or new_path(spark, "pair-shards"))
-    remove(spark, path)
-    return aligned(docs, shards, highest, a_path, b_path, id_col, text_col, spelt)
+    """Encodes ``docs`` into a written table, counts its pairs into shards in ``folder`` and returns ``aligned`` rows that read both."""
+    spark, path, pairs = docs.sparkSession, new_path(docs.sparkSession, "tokens"), new_path(docs.sparkSession, "pairs")
+    made = tokens(docs, a_path, b_path, id_col, text_col)
+    made.write.option("compression", "zstd").parquet(path)
+    held = spark.read.schema(made.schema).parquet(path)
+    pair_counts(held, a_path, b_path).write.parquet(pairs)
+    shards, highest = count_shards(spark.read.schema("pair long, n long").parquet(pairs), folder or new_path(spark, "pair-shards"))
+    remove(spark, pairs)
+    return aligned(held, shards, highest, a_path, b_path, spelt)
 
 
 def op12_alignment(spark, sf_dir: str) -> DataFrame:

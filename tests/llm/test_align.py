@@ -2,12 +2,15 @@ import hashlib
 import random
 from collections import Counter, defaultdict, deque
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 from brightsieve.llm import align as A
+from brightsieve.llm.base import new_path, written
 
 A_PATH, B_PATH = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 NAMES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -110,25 +113,46 @@ def test_defined_cases(docs, texts, nothing):
     assert long[5].n_a > 30_000 and long[5].groups.count(";") == long[5].n_groups - 1 and long[13].n_a > 0
 
 
-def test_small_bounds_change_nothing(spark, odd):
-    """Tables that are emptied, partial counts that are handed on early and pieces of texts give the same rows; here within one process."""
+def test_small_bounds_change_nothing(odd):
+    """Pieces of texts, listing large groups by their distinct pairs and sums that are taken early; here within one process."""
     known = A.both(A_PATH, B_PATH)
     texts = [t for t in odd if t]
-    held, piece, table, listed = A.PAIRS_HELD, A.PIECE, A.TABLE_BYTES, A.LISTED
-    try:
-        want = [A.document_pairs(known, A.Table(known), t) for t in texts]
-        A.PAIRS_HELD, A.PIECE, A.TABLE_BYTES, A.LISTED = 3, 7, 100, 4
-        small, sums = A.Table(known), A.Summed()
-        found = [A.document_pairs(known, small, t) for t in texts]
-        for pairs in found:
-            if pairs is not None:
-                sums.add(pairs)
+    want = [known.encode(t) for t in texts]
+    whole = [x for x in want if x is not None]
+
+    def linked():
+        columns = [pa.array([x[k].tobytes() for x in whole], pa.binary()) for k in (0, 1)]
+        return A.Linked(known, *columns)
+
+    def counted(found, sums):
+        for s, e in zip(found.cut, found.cut[1:]):
+            sums.add(np.unique(found.keys[s:e]))
         batch = sums.taken()
+        return dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+
+    first = linked()
+    counts = counted(first, A.Summed())
+    links = Counter(first.keys.tolist())
+    held, piece, listed = A.PAIRS_HELD, A.PIECE, A.LISTED
+    try:
+        A.PAIRS_HELD, A.PIECE, A.LISTED = 3, 7, 4
+        assert [None if x is None else (x[0].tolist(), x[1].tolist()) for x in map(known.encode, texts)] == [None if x is None else (x[0].tolist(), x[1].tolist()) for x in want]
+        second = linked()
+        assert counted(second, A.Summed()) == counts
+        again = Counter()
+        for k, n in zip(second.keys.tolist(), second.often.tolist()):
+            again[k] += n
+        assert again == links and len(second.keys) < len(first.keys)
     finally:
-        A.PAIRS_HELD, A.PIECE, A.TABLE_BYTES, A.LISTED = held, piece, table, listed
-    assert [None if x is None else x.tolist() for x in found] == [None if x is None else x.tolist() for x in want]
-    counts = Counter(k for x in want if x is not None for k in x.tolist())
-    assert dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())) == counts
+        A.PAIRS_HELD, A.PIECE, A.LISTED = held, piece, listed
+
+
+def test_either_library_gives_the_same_ids(odd):
+    known, plain = A.both(A_PATH, B_PATH), Plain()
+    assert known.quick is not None
+    for t in odd:
+        if t and not A._BEYOND_LATIN.search(t):
+            assert known.quick.encode_ordinary(" " + t) == plain.a.encode(" " + t, add_special_tokens=False).ids
 
 
 def test_shards_are_sorted_and_looked_up(spark, tmp_path):
@@ -140,8 +164,6 @@ def test_shards_are_sorted_and_looked_up(spark, tmp_path):
     shards, highest = A.count_shards(spark.createDataFrame(rows, "pair long, n long"), f"file://{tmp_path}/shards")
     assert sum(s[3] for s in shards) == len(want) and all(a[2] < b[1] for a, b in zip(shards, shards[1:]))
     assert highest == {i: max(n for k, n in want.items() if k >> 32 == i) for i in {k >> 32 for k in want}}
-    import numpy as np
-
     best = np.zeros(41, np.int64)
     best[list(highest)] = list(highest.values())
     keys = np.array([k for k, _ in rows])
@@ -153,8 +175,6 @@ def test_shards_are_sorted_and_looked_up(spark, tmp_path):
 
 def test_shards_of_other_texts_are_refused(spark):
     one, two = (spark.createDataFrame([(1, t)], "doc_id long, text string") for t in ("some words", "quite other things"))
-    from brightsieve.llm.base import new_path, written
-
-    shards, highest = A.count_shards(written(A.pair_counts(one, A_PATH, B_PATH)), new_path(spark, "pair-shards"))
+    shards, highest = A.count_shards(written(A.pair_counts(A.tokens(one, A_PATH, B_PATH), A_PATH, B_PATH)), new_path(spark, "pair-shards"))
     with pytest.raises(Exception, match="shards are of other texts"):
-        A.aligned(two, shards, highest, A_PATH, B_PATH).collect()
+        A.aligned(A.tokens(two, A_PATH, B_PATH), shards, highest, A_PATH, B_PATH).collect()
