@@ -400,3 +400,12 @@ def k04(spark, sf_dir):
 SELECT {o.state('state')} AS state, count(*) AS n, count_if(is_duplicate) AS duplicates, round(avg(score - CASE WHEN is_duplicate THEN 5 ELSE 0 END), 2) AS average_score FROM s JOIN d USING (row_ix) GROUP BY 1""")
 def flagship_query(spark, sf_dir):
     return flagship(spark, sf_dir)
+
+
+@query("s02_csv_parts", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, sha256(text) AS text_sha256, length(text) AS n FROM documents WHERE text <> ''")
+def s02_csv_parts(spark, sf_dir):
+    """Whole texts with quotes and line ends as CSV, read in parts."""
+    path = new_path(spark, "documents-csv")
+    table(spark, sf_dir, "documents").where("text <> ''").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    rows = files.read_csv(spark, path, delimiter=",", lineage=False, strings=False, through_spark=True)
+    return rows.select("doc_id", "lang", F.sha2("text", 256).alias("text_sha256"), F.char_length("text").cast("long").alias("n"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brightsieve.operators import classify, dedup, quality, rules
 from brightsieve.plans.mapping import SchemaCache, schema_for
+from brightsieve.sources.csv_splits import PLACE
 from brightsieve.sources.files import Registry, extract
 from brightsieve.sources.store import LeadStore
 from brightsieve.storage import numbered, written
@@ -26,9 +27,9 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def to_leads(name: str, df: DataFrame, cache=None, client=None, source=None, defaults=None, **options) -> DataFrame:
     """The canonical columns of one source, with source_file, record_id and the row's place."""
     stem = os.path.splitext(name)[0]
-    placed = df.withColumn("__place", F.monotonically_increasing_id())
-    made = rules.transform(placed, schema_for(df, cache, client, source, defaults), keep=("__place",), **options)
-    rows = numbered(made, "__place", name="__n").drop("__place")
+    placed = df if PLACE in df.columns else df.withColumn(PLACE, F.monotonically_increasing_id())
+    made = rules.transform(placed, schema_for(df.drop(PLACE), cache, client, source, defaults), keep=(PLACE,), **options)
+    rows = numbered(made, PLACE, name="__n").drop(PLACE)
     return rows.withColumns({"source_file": F.lit(name), "record_id": F.format_string(f"{stem.replace('%', '%%')}_%08d", "__n")})
 
 

@@ -94,20 +94,29 @@ def _records(lines: DataFrame) -> DataFrame:
     return alone.unionByName(joined.select("file", F.col("first.block").alias("block"), F.col("first.row").alias("row"), "value"))
 
 
-def read(spark: SparkSession, path: str, names: list[str], header_lines: int, delimiter: str, quote: str = '"', escape: str | None = None, encoding: str | None = None) -> DataFrame:
-    """The records after each file's first ``header_lines`` lines: ``names``, one field more (``__over``), the record (``__raw``) and its place (file, block, row).
+def read(spark: SparkSession, path: str, names: list[str], header: list[int], delimiter: str, quote: str = '"', escape: str | None = None, encoding: str | None = None) -> DataFrame:
+    """The records but for each file's first lines, which begin at the bytes ``header``: ``names``, one field more (``__over``), the record (``__raw``) and its place (file, block, row).
 
     Without an ``encoding`` a file is UTF-8, or Latin-1 if any of its bytes isn't.
     """
     escape = escape or quote
     lines = _lines(spark, path, delimiter, quote, escape)
     told = lines.groupBy("file").agg(
-        F.min(F.when(F.col("block") == 0, F.col("row"))).alias("first"), F.max((F.col("out") & (F.col("value") != "")).cast("int")).alias("long"), F.max((~F.is_valid_utf8("value")).cast("int")).alias("other")
+        F.max((F.col("out") & (F.col("value") != "")).cast("int")).alias("long"), F.max((~F.is_valid_utf8("value")).cast("int")).alias("other")
     ).collect()  # a row for each file, as the driver lists them too
     body = lines
-    if header_lines and told:
-        first = F.broadcast(spark.createDataFrame([(r.file, r.first) for r in told], "file string, first long"))
-        body = lines.join(first, "file").where((F.col("block") > 0) | (F.col("row") >= F.col("first") + header_lines)).drop("first")
+    if header and told:
+        # a line lies in the block that begins last before it; of the blocks that hold these lines there is one as a rule
+        early = lines.where(F.col("block") <= header[-1]).groupBy("file", "block").agg(F.min("row").alias("first")).collect()
+        blocks: dict[str, dict[int, list[int]]] = {}
+        for r in early:
+            blocks.setdefault(r.file, {})[r.block] = [r.first, 0]
+        for own in blocks.values():
+            for at in header:
+                own[max((b for b in own if b < at), default=min(own))][1] += 1
+        least = [(f, b, row + n) for f, own in blocks.items() for b, (row, n) in own.items() if n]
+        marks = F.broadcast(spark.createDataFrame(least, "file string, block long, least long"))
+        body = lines.join(marks, ["file", "block"], "left").where(F.col("least").isNull() | (F.col("row") >= F.col("least"))).drop("least")
     records = _records(body) if any(r.long for r in told) else body.select("file", "block", "row", "value")
     latin = [r.file for r in told if r.other] if not encoding else [r.file for r in told] if encoding != "UTF-8" else []
     value = F.col("value")

@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brightsieve.functions.vocab import NA_TOKENS
+from brightsieve.sources import csv_splits
 from brightsieve.sources.xlsx import read_sheet, sheet_names
 
 log = logging.getLogger(__name__)
 SNIFF_BYTES = 100_000
+#: From this size on a local CSV file is read in parts.
+SPLIT_BYTES = 32 << 20
 DELIMITERS = [",", "\t", ";", "|"]
 
 
@@ -72,24 +75,34 @@ def _late_latin(spark: SparkSession, path: str) -> bool:
     return spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count() > 0
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str | None = None, delimiter: str | None = None, quote: str = '"', escape: str | None = None, skip_rows: int = 0, lineage: bool = True, strings: bool = True, through_spark: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, encoding: str | None = None, delimiter: str | None = None, quote: str = '"', escape: str | None = None, skip_rows: int = 0, lineage: bool = True, strings: bool = True, through_spark: bool = False, split: bool | None = None, place: bool = False) -> DataFrame:
     """A CSV file as strings, in parallel. Short rows are filled up with nulls, rows with too many fields left out.
 
     With lineage, ``_source_file`` and ``_extraction_time`` are added. ``through_spark``
     (and any path with a scheme) sniffs by Spark's reader: folders and remote stores; ``skip_rows``
-    skips lines of one file, of which quoted line ends are no ends.
+    skips lines of one file, of which quoted line ends are no ends. Files of SPLIT_BYTES, and all that are
+    read through Spark, are read in parts (``csv_splits``; ``split`` decides otherwise); UTF-16 and
+    files whose lines end with a carriage return alone can't be. With ``place``, parts tell each row's place in a column of that name.
     """
     remote = through_spark or "://" in path
+    given = encoding
     if remote:
-        encoding = encoding or ("ISO-8859-1" if _late_latin(spark, path) else "UTF-8")
-        head = "\n".join(r.value for r in spark.read.option("encoding", encoding).text(path).limit(5 + 2 * skip_rows).collect())
+        split = split is not False and encoding in (None, "UTF-8", "ISO-8859-1")
+        encoding = encoding or ("UTF-8" if split else "ISO-8859-1" if _late_latin(spark, path) else "UTF-8")
+        reader = spark.read.option("lineSep", "\n") if split else spark.read.option("encoding", encoding)
+        first = reader.text(path).select("value", F.octet_length("value").alias("n")).limit(5 + 2 * skip_rows).collect()
+        head, sizes = "\n".join(r.value for r in first), [r.n for r in first]
     else:
         check(path)
         data = _head(path)
         found = encoding or sniff_encoding(data)
-        encoding = "ISO-8859-1" if not encoding and found == "UTF-8" and os.path.getsize(path) > len(data) and _late_latin(spark, path) else found
-        head = data.decode(encoding, "replace").removeprefix("\ufeff")
+        large = os.path.getsize(path) >= SPLIT_BYTES if split is None else split
+        split = large and found in ("UTF-8", "ISO-8859-1") and not (b"\r" in data and b"\n" not in data)
+        encoding = "ISO-8859-1" if not encoding and not split and found == "UTF-8" and os.path.getsize(path) > len(data) and _late_latin(spark, path) else found
+        head, sizes = data.decode(encoding, "replace").removeprefix("\ufeff"), list(map(len, data.split(b"\n")))
     lines = head.splitlines()
+    if split:
+        return _split(spark, path, head, sizes, given or ("ISO-8859-1" if encoding != "UTF-8" else None), delimiter, quote, escape, skip_rows, lineage, strings, place)
     if skip_rows:  # lines of the text that are skipped, as records of the reader
         skipped = sum(1 for r in csv.reader(io.StringIO("\n".join(lines[:skip_rows]) + "\n"), quotechar=quote) if r)
         lines = lines[skip_rows:]
@@ -105,17 +118,45 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None, delimi
         df = reader.option("header", False).csv(path).withColumn("__n", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).where(F.col("__n") > skipped).drop("__n")
     else:
         df = reader.option("header", True).csv(path)
+    df = _whole_rows(df, names, delimiter, quote)
+    df = nulled(df) if strings else df
+    return with_lineage(df, os.path.basename(path)) if lineage else df
+
+
+def _split(spark, path, head, sizes, encoding, delimiter, quote, escape, skip_rows, lineage, strings, place) -> DataFrame:
+    """``read_csv`` by ``csv_splits``: skipped lines and the header are so many lines of the file, of ``sizes`` bytes."""
+    records = csv.reader(io.StringIO(head, newline=""), quotechar=quote, delimiter=delimiter or ",")
+    for _ in zip(range(skip_rows), records):
+        pass
+    lines = head.split("\n")[records.line_num :]
+    delimiter = delimiter or sniff_delimiter([x.removesuffix("\r") for x in lines])
+    records, before = csv.reader(io.StringIO("\n".join(lines), newline=""), quotechar=quote, delimiter=delimiter), records.line_num
+    found = next((r for r in records if r), [])
+    names = _named(found)
+    if not names:
+        return with_lineage(spark.createDataFrame([], ""), os.path.basename(path)) if lineage else spark.createDataFrame([], "")
+    header = [sum(sizes[:k]) + k for k in range(before + records.line_num)]
+    df = csv_splits.read(spark, path, names, header, delimiter, quote, escape, encoding)
+    at = df.columns[-1]
+    df = _whole_rows(df, names, delimiter, quote)
+    rows = [F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) if strings else F.col(f"`{c}`") for c in names]
+    df = df.select(*rows, *([at] if place else []))
+    return with_lineage(df, os.path.basename(path)) if lineage else df
+
+
+def _whole_rows(df: DataFrame, names: list[str], delimiter: str, quote: str) -> DataFrame:
     # a row of just one field more is no corrupt record of this schema; of the others (kept raw) delimiters outside quotes are counted
     bare = F.regexp_replace("__raw", f"{re.escape(quote)}[^{re.escape(quote)}]*{re.escape(quote)}", "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))
-    df = df.where(F.col("__raw").isNotNull() & F.col("__over").isNull() & (fields < len(names))).drop("__over", "__raw")
-    df = nulled(df) if strings else df
-    return with_lineage(df, os.path.basename(path)) if lineage else df
+    return df.where(F.col("__raw").isNotNull() & F.col("__over").isNull() & (fields < len(names))).drop("__over", "__raw")
 
 
 def _header(lines: list[str], delimiter: str, quote: str) -> list[str]:
     """The names of the first record that isn't empty; an empty one is numbered, a repeated one gets a number."""
-    found = next((r for r in csv.reader(io.StringIO("\n".join(lines)), delimiter=delimiter, quotechar=quote) if r), [])
+    return _named(next((r for r in csv.reader(io.StringIO("\n".join(lines)), delimiter=delimiter, quotechar=quote) if r), []))
+
+
+def _named(found: list[str]) -> list[str]:
     names: list[str] = []
     for i, n in enumerate(found):
         n = n.lstrip("\ufeff") or f"Unnamed: {i}"
@@ -139,7 +180,7 @@ def extract(spark: SparkSession, folder: str, pattern: str = "*", registry: Regi
         try:
             if path.endswith(".csv"):
                 c = registry.match(name) if registry else None
-                found[name] = read_csv(spark, path, *((c.encoding, c.delimiter, '"', None, c.skip_rows) if c else ()))
+                found[name] = read_csv(spark, path, *((c.encoding, c.delimiter, '"', None, c.skip_rows) if c else ()), place=True)
             else:
                 for sheet in sheet_names(path):
                     df = read_sheet(spark, path, sheet)
