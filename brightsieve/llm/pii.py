@@ -30,6 +30,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brightsieve.llm.base import written
@@ -58,21 +59,58 @@ BROADCAST_TERMS = 1_000_000
 _SPANS = "array<struct<start:int,end:int,hit:string>>"
 
 
+#: Elements of an array that are summed one after the other, and characters of a piece of text.
+BLOCK, PIECE = 256, 1_024
+
+
+def _let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _running(values: Column, op) -> Column:
+    """Running results of ``op`` (which has 0 as its unit) over an array of whole numbers: within blocks, then over the blocks' ends."""
+    none = F.array().cast("array<int>")
+
+    def ran(some):
+        begin = F.struct(F.lit(0).alias("last"), none.alias("out"))
+        return F.aggregate(some, begin, lambda acc, x: _let(op(acc["last"], x), lambda y: F.struct(y.alias("last"), F.concat(acc["out"], F.array(y)).alias("out"))), lambda acc: acc["out"])
+
+    def blocks(v):
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda k: ran(F.slice(v, k * BLOCK + 1, F.lit(BLOCK))))
+        return _let(cut, joined)
+
+    def joined(b):
+        before = F.concat(F.array(F.lit(0)), ran(F.transform(b, lambda x: F.element_at(x, -1))))
+        return F.flatten(F.zip_with(b, F.slice(before, 1, F.size(b)), lambda x, base: F.transform(x, lambda y: op(y, base))))
+
+    return _let(values, lambda v: F.when(F.size(v) == 0, none).when(F.size(v) <= BLOCK, ran(v)).otherwise(blocks(v)))
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _pieces(text: Column) -> Column:
+    """The text in pieces of PIECE characters, so that what lies far down is found without a walk from the beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _part(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to ``end`` of a text in pieces."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor((F.greatest(end, start + 1) - 1) / PIECE).cast("int")
+    held = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.when(end > start, F.substring(held, start - first * PIECE + 1, end - start)).otherwise("")
+
+
 def _located(text: Column, pattern: str) -> Column:
     """Start, end and text of each match, from the lengths of matches and of what lies between them."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.transform(F.split(text, pattern, -1), F.length)
-    both = F.zip_with(between, hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
+    def spans(hits):
+        between = F.slice(F.transform(F.split(text, pattern, -1), F.length), 1, F.size(hits))
+        ends = _running(F.zip_with(between, hits, lambda gap, hit: gap + F.length(hit)), _add)
+        return F.zip_with(ends, hits, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["hit"])
-        return F.when(x["hit"].isNull(), acc).otherwise(
-            F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit")))).alias("found"))
-        )
-
-    return F.aggregate(both, begin, step, lambda acc: acc["found"])
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
 
 def _digits(hit: Column) -> Column:
@@ -139,12 +177,16 @@ def located(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     rows = rows.withColumn("__th", F.xxhash64("__text")).withColumns({f"__{k}": v for k, v in base_spans(F.col("__text")).items()})
     spans = F.concat(*[F.transform(f"__{k}", _with_hit(k)) for k in KINDS])
 
-    def context(s):
-        first = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        left, right = F.substring("__text", first + 1, s["start"] - first), F.substring("__text", s["end"] + 1, F.lit(CONTEXT))
-        return F.struct(F.concat_ws(":", s["kind"], F.lower(s["hit"])).alias("entity"), F.xxhash64(left, right).alias("context"))
+    def context(pieces, size):
+        def of(s):
+            left, right = _part(pieces, F.greatest(s["start"] - CONTEXT, F.lit(0)), s["start"]), _part(pieces, s["end"], F.least(s["end"] + CONTEXT, size))
+            return F.struct(F.concat_ws(":", s["kind"], F.lower(s["hit"])).alias("entity"), F.xxhash64(left, right).alias("context"))
+
+        return of
 
-    rows = rows.withColumn("__near", F.transform(spans, context)).drop("__text")
+    near = _let(_pieces(F.col("__text")), lambda p: _let(F.length("__text"), lambda n: F.transform(spans, context(p, n))))
+    none = F.array().cast("array<struct<entity:string,context:bigint>>")
+    rows = rows.withColumn("__near", F.when(F.size(spans) > 0, near).otherwise(none)).drop("__text")
     return rows if keep else rows.select(*[F.col(f"__{c}").alias(c) for c in ("id", "th", *KINDS, "near")]).withColumnRenamed("id", "doc_id")
 
 
@@ -160,21 +202,33 @@ def _held(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
 def disclosing(docs: DataFrame, seen: DataFrame, texts: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``entity, term, ratio`` of the terms whose PMI with the entity is at least ``DISCLOSE`` of its information, and ``th, entity, term`` where they are held.
 
+    ``entity`` is a hash that names an entity, or all those that the same texts hold.
     ``seen`` has a row ``th, entity, context`` for each text and entity, ``texts`` a row ``th`` for each row of ``docs``.
     """
     n = F.lit(float(max(texts.distinct().count(), 1)))
-    per_entity = seen.groupBy("entity").agg(F.count_distinct("context").alias("n_e")).where(F.col("n_e") >= SUPPORT)
-    met = written(seen.join(per_entity, "entity"), "entities")
+    sums = [F.sum(F.xxhash64("th", F.lit(k)).cast("decimal(38,0)")) for k in (1, 2)]
+    per_entity = seen.groupBy("entity").agg(F.count_distinct("context").alias("n_e"), F.count(F.lit(1)).alias("k_e"), sums[0].alias("s1"), sums[1].alias("s2")).where(F.col("n_e") >= SUPPORT)
+    # entities that the same texts hold, with different surroundings in each, are one group: what is counted is equal
+    apart = F.col("n_e") == F.col("k_e")
+    grouped = F.when(apart, F.xxhash64("k_e", "s1", "s2")).otherwise(F.xxhash64("entity", F.lit("alone")))
+    met = seen.join(per_entity, "entity").select("th", grouped.alias("entity"), F.when(apart, F.col("th")).otherwise(F.col("context")).alias("context"), "n_e", "k_e").distinct()
+    met = written(met, "entities")
     held = written(_held(docs, met.select("th").distinct(), text_col), "terms")
+    # a pair needs n(t) <= n(t,e) (N / n(e))^(1 - DISCLOSE), and n(t,e) <= n(e); c(t), the texts with entities
+    # that hold t, less those with e is at most n(t) less the same, which frequent words exceed
+    share = F.pow(n / F.col("n_e"), F.lit(1 - DISCLOSE)) * (1 + 1e-9)
+    most = F.col("k_e") + F.col("n_e") * (share - 1)
+    bound = met.agg(F.max(most)).first()[0] or 0.0
+    around = held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t")).where(F.col("c_t").between(SUPPORT, bound))
+    if around.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:  # sixteen bytes a row
+        around = F.broadcast(around)
+    held = held.join(around, "term")
     # each different surrounding of an entity counts once for a term
-    pairs = met.select("th", "entity", "context", "n_e").join(held, "th")
-    once = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("m"), F.first("n_e").alias("n_e"))
-    joint = once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.sum("m").alias("m_te"), F.first("n_e").alias("n_e"))
-    # a pair needs n(t) <= n(t,e) (N / n(e))^(1 - DISCLOSE); the texts counted so far are a lower bound of
-    # n(t) that common words exceed, so that few terms are left to count in the corpus
-    around = held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
-    able = joint.where(F.col("n_te") >= SUPPORT).join(around, "term")
-    joint = written(able.where(F.col("c_t") - F.col("m_te") + F.col("n_te") <= F.col("n_te") * F.pow(n / F.col("n_e"), F.lit(1 - DISCLOSE)) * (1 + 1e-9)).drop("c_t"), "joint")
+    pairs = met.withColumn("most", most).join(held, "th").where(F.col("c_t") <= F.col("most"))
+    once = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("m"), F.first("n_e").alias("n_e"), F.first("c_t").alias("c_t"))
+    joint = once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.sum("m").alias("m_te"), F.first("n_e").alias("n_e"), F.first("c_t").alias("c_t"))
+    able = joint.where((F.col("n_te") >= SUPPORT) & (F.col("c_t") - F.col("m_te") + F.col("n_te") <= F.col("n_te") * share))
+    joint = written(able.drop("c_t"), "joint")
     wanted = joint.select("term").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS  # eight bytes a row
@@ -216,17 +270,24 @@ def revealed(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataF
 _TERMS = "array<struct<start:int,end:int,hit:string,ratio:double>>"
 
 
-def _term_places(text: Column, told: Column, spans: list[Column]) -> Column:
-    """Where the terms of ``told`` stand in the text outside the spans: (start, end, hit, ratio)."""
-    places = F.filter(_located(text, TERM), lambda s: F.exists(told, lambda t: t["term"] == F.xxhash64(F.lower(s["hit"]))))
-    every = F.flatten(F.array(*[F.transform(x, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for x in spans]))
-    free = F.filter(places, lambda t: ~F.exists(every, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])))
-
-    def rated(t):
-        ratio = F.filter(told, lambda x: x["term"] == F.xxhash64(F.lower(t["hit"])))[0]["ratio"]
-        return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["hit"].alias("hit"), ratio.alias("ratio"))
+def _term_places(rows: DataFrame, kinds: list[str]) -> DataFrame:
+    """``xth, terms``: where the terms of ``told`` stand outside the spans of ``kinds``, as (start, end, hit, ratio).
 
-    return F.transform(free, rated)
+    ``rows`` has a row ``th, text, told`` and the spans for each different text. Places are
+    matched with terms, and swept with the spans, as rows: one for each, however many a text has.
+    """
+    every = F.flatten(F.array(*[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in kinds]))
+    places = rows.select("th", F.explode(_located(F.col("text"), TERM)).alias("s")).select("th", F.xxhash64(F.lower("s.hit")).alias("term"), "s.*")
+    told = rows.select("th", F.explode("told").alias("t")).select("th", "t.*")
+    places = places.join(told, ["th", "term"]).select("th", "start", "end", "hit", "ratio")
+    spans = rows.select("th", F.explode(every).alias("s")).select("th", "s.start", "s.end", F.lit(None).cast("string").alias("hit"), F.lit(None).cast("double").alias("ratio"))
+    text = W.partitionBy("th").orderBy("start", F.col("hit").isNotNull())
+    swept = places.unionByName(spans).withColumns({
+        "upto": F.max(F.when(F.col("hit").isNull(), F.col("end"))).over(text.rowsBetween(W.unboundedPreceding, W.currentRow)),
+        "next": F.first(F.when(F.col("hit").isNull(), F.col("start")), ignorenulls=True).over(text.rowsBetween(1, W.unboundedFollowing)),
+    })
+    free = swept.where(F.col("hit").isNotNull() & (F.coalesce("upto", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
+    return free.groupBy(F.col("th").alias("xth")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "hit", "ratio"))).alias("terms"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,9 +295,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = written(located(docs, id_col, text_col), "located")
     told = revealed(docs, found, text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")).join(told, "th").dropDuplicates(["th"])
-    at = rows.withColumns(base_spans(F.col("text"))).select(F.col("th").alias("xth"), _term_places(F.col("text"), F.col("told"), [F.col(k) for k in KINDS]).alias("terms"))
-    at = at.where(F.size("terms") > 0)
+    rows = docs.select(F.xxhash64(text).alias("th"), text.alias("text")).join(told, "th").dropDuplicates(["th"])
+    at = _term_places(written(rows.withColumns(base_spans(F.col("text"))), "telling"), list(KINDS))
     return found.drop("near").join(at, F.col("th") == F.col("xth"), "left").select("doc_id", *KINDS, F.coalesce("terms", F.array().cast(_TERMS)).alias("terms"))
 
 
@@ -265,8 +325,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     held = written(located(docs, id_col, text_col, keep=True), "located")
     told = revealed(docs, held.select(F.col("__th").alias("th"), F.col("__near").alias("near")), text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    held = held.join(told.select(F.col("th").alias("__xth"), F.col("told").alias("__told")), F.col("__th") == F.col("__xth"), "left")
-    terms = F.when(F.col("__told").isNotNull(), _term_places(text, F.col("__told"), [F.col(f"__{k}") for k in KINDS])).otherwise(F.array().cast(_TERMS))
+    telling = held.select(F.col("__th").alias("th"), text.alias("text"), *[F.col(f"__{k}").alias(k) for k in KINDS]).join(told, "th").dropDuplicates(["th"])
+    at = _term_places(written(telling, "telling"), list(KINDS)).select(F.col("xth").alias("__xth"), F.col("terms").alias("__terms"))
+    held = held.join(at, F.col("__th") == F.col("__xth"), "left")
+    terms = F.coalesce("__terms", F.array().cast(_TERMS))
 
     def put_for(s):
         broader = F.when(s["hit"].rlike(r"^\p{N}+$"), "[NUMBER]").when(s["hit"].rlike(r"^\p{Lu}"), "[NAME]").otherwise("[TERM]")
@@ -274,15 +336,16 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     marks = [F.transform(f"__{k}", _with_mark(f"[{k.upper()}]")) for k in KINDS] + [F.transform(terms, put_for)]
     spans = F.array_sort(reduce(lambda a, b: F.concat(a, b), marks))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def put(acc, s):
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), s["put"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, piece).otherwise(acc["out"]).alias("out"))
+    def made(s):
+        ends = _running(F.transform(s, lambda x: x["end"]), F.greatest)
+        return _let(ends, lambda e: _let(_pieces(text), lambda p: F.array_join(F.concat(parts(s, F.concat(F.array(F.lit(0)), e), p), F.array(_part(p, F.element_at(e, -1), F.length(text)))), "")))
+
+    def parts(s, before, pieces):
+        # a span that begins before another's end belongs to that one's replacement
+        return F.zip_with(s, F.slice(before, 1, F.size(s)), lambda x, at: F.when(x["start"] >= at, F.concat(_part(pieces, at, x["start"]), x["put"])).otherwise(""))
 
-    made = F.aggregate(spans, begin, put, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    new = F.when(F.size(spans) > 0, made).otherwise(F.col(text_col))
+    new = _let(spans, lambda s: F.when(F.size(s) > 0, made(s)).otherwise(F.col(text_col)))
     return held.withColumn(text_col, new).select(docs.columns)
 
 
