@@ -2,13 +2,21 @@
 
 Row i is a duplicate iff an earlier leader shares its phone or e-mail; else it
 leads a cluster. That is the lexicographically first maximal independent set of
-the "shares a key" graph, found in rounds: an undecided row that comes first
-for all of its keys leads, and what shares a key with a leader is decided.
+the "shares a key" graph. A few rounds decide nearly all rows: an
+undecided row that comes first for all of its keys leads, and what shares a key with a leader is decided. What
+is left then, chains in which each row waits for the one before, goes by ranges of
+rows in order: the rows of a range, of bounded number, are scanned one after the other, and leaders decide
+rows of the ranges to come. So the number of rounds is PEEL and one for each RANGE
+rows that are left, however long chains are.
+
+A key of very many rows is met by broadcast: keys that more than HOT rows have and more
+than a thousandth of all rows are a thousand at most. Rows without a key don't take part in its joins.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brightsieve.functions.text import strip
-from brightsieve.storage import numbered, written
+from brightsieve.storage import drop_written, numbered, written
 
 
 def _keyed(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -24,34 +32,86 @@ def _keyed(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.select(F.col(order).alias("ix"), *[F.nullif(F.lower(strip(F.col(k).cast("string"))), F.lit("")).alias(f"k{i}") for i, k in enumerate(keys)])
 
 
-def leaders(rows: DataFrame, n: int) -> DataFrame:
-    """The leading rows of ``rows`` (ix, k0 ... k(n-1))."""
-    found, undecided = None, written(rows, "undecided")
-    while undecided.limit(1).count():
-        first = undecided
-        for i in range(n):
-            least = undecided.where(f"k{i} is not null").groupBy(f"k{i}").agg(F.min("ix").alias(f"m{i}"))
-            first = first.join(least, f"k{i}", "left")
-        leads = F.lit(True)
-        for i in range(n):
-            leads = leads & (F.col(f"k{i}").isNull() | (F.col("ix") == F.col(f"m{i}")))
-        new = written(first.where(leads).select(undecided.columns), "leaders")
-        found = new if found is None else found.unionByName(new)
-        rest = undecided.join(new.select("ix"), "ix", "left_anti")
+#: Rounds before ranges; undecided rows that are scanned at once; rows from which a key counts as frequent.
+PEEL, RANGE, HOT = 4, 200_000, 10_000
+
+
+def _frequent(rows: DataFrame, n: int) -> list[DataFrame]:
+    """For each key, those that more than HOT rows, and more than a thousandth of all, have: a thousand at most."""
+    least = max(HOT, rows.count() // 1000)
+    return [written(rows.where(f"k{i} is not null").groupBy(f"k{i}").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least).select(f"k{i}"), "frequent") for i in range(n)]
+
+
+def _met(rows: DataFrame, by: DataFrame, key: str, frequent: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined (left or left_anti) with ``by``, which has a key once; frequent keys by broadcast, rows without one by no join."""
+    marked = rows.where(F.col(key).isNotNull()).join(F.broadcast(frequent.withColumn("__hot", F.lit(True))), key, "left")
+    hot = marked.where("__hot").drop("__hot").join(F.broadcast(by.join(F.broadcast(frequent), key, "left_semi")), key, how)
+    others = marked.where("__hot is null").drop("__hot").join(by, key, how)
+    return hot.unionByName(others).unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
+def _scanned(rows: DataFrame, n: int) -> DataFrame:
+    """The leading rows among ``rows``, no more than fit a task, by a scan in order."""
+    def scan(some: pd.DataFrame) -> pd.DataFrame:
+        some = some.sort_values("ix", kind="stable")
+        led, leads = [set() for _ in range(n)], []
+        for keys in zip(*[some[f"k{i}"] for i in range(n)]):
+            lead = not any(k is not None and k in held for k, held in zip(keys, led))
+            leads.append(lead)
+            if lead:
+                for k, held in zip(keys, led):
+                    held.add(k)
+        return some[leads]
+
+    return rows.groupBy().applyInPandas(scan, rows.schema)
+
+
+def leaders(rows: DataFrame, n: int, frequent: list[DataFrame] | None = None) -> DataFrame:
+    """The leading rows of ``rows`` (ix, k0 ... k(n-1)); ix is a number that no two rows share."""
+    undecided, found = written(rows, "undecided"), []
+    frequent = frequent or _frequent(undecided, n)
+
+    def without(df, new):
+        rest = df.join(new.select("ix"), "ix", "left_anti")
         for i in range(n):
-            rest = rest.join(new.select(f"k{i}").where(f"k{i} is not null"), f"k{i}", "left_anti")
-        undecided = written(rest.select(undecided.columns), "undecided")
-    return found if found is not None else rows
+            rest = _met(rest, new.select(f"k{i}").where(f"k{i} is not null"), f"k{i}", frequent[i], "left_anti")
+        return rest.select(rows.columns)
+
+    left = undecided.count()
+    for _ in range(PEEL):
+        if left <= RANGE:
+            break
+        # a key hands on one row, the first; a row leads if all of its keys do
+        firsts = [undecided.where(f"k{i} is not null").groupBy(f"k{i}").agg(F.min_by(F.struct(rows.columns), "ix").alias("r")).select("r.*") for i in range(n)]
+        keys = sum(F.col(f"k{i}").isNotNull().cast("int") for i in range(n))
+        led = reduce(DataFrame.unionByName, firsts).groupBy(rows.columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == keys).drop("n")
+        new = written(led.unionByName(undecided.where(keys == 0)), "leaders")
+        found.append(new)
+        before, undecided = undecided, written(without(undecided, new), "undecided")
+        drop_written(before)
+        left = undecided.count()
+    if left:
+        ranges = -(-left // RANGE)
+        shares = [k / ranges for k in range(1, ranges)]
+        bounds = sorted(set(undecided.agg(F.percentile_approx("ix", shares, 20 * ranges)).first()[0])) if shares else []
+        for low, high in zip([None, *bounds], [*bounds, None]):
+            some = undecided.where((F.lit(low is None) | (F.col("ix") > low)) & (F.lit(high is None) | (F.col("ix") <= high)))
+            found.append(written(_scanned(some, n), "leaders"))
+            if high is not None:  # what later ranges lose by this one
+                before, undecided = undecided, written(without(undecided.where(F.col("ix") > high), found[-1]), "undecided")
+                drop_written(before)
+    return reduce(DataFrame.unionByName, found) if found else rows.where("false")
 
 
 def mark_exact(df: DataFrame, keys: tuple[str, ...] = ("phone", "email"), order: str = "row_ix") -> DataFrame:
     """``df`` with is_duplicate and duplicate_cluster_id; the last key's leader decides if it comes before."""
-    rows = _keyed(df, list(keys), order)
-    lead = numbered(leaders(rows, len(keys)), "ix", name="number", start=1)
+    rows = written(_keyed(df, list(keys), order), "keyed")
+    frequent = _frequent(rows, len(keys))
+    lead = written(numbered(leaders(rows, len(keys), frequent), "ix", name="number", start=1), "numbered")
     named = rows.join(lead.select("ix", F.col("number").alias("own")), "ix", "left")
     for i in range(len(keys)):
         by = lead.where(f"k{i} is not null").select(f"k{i}", F.col("ix").alias(f"l{i}"), F.col("number").alias(f"n{i}"))
-        named = named.join(by, f"k{i}", "left")
+        named = _met(named, by, f"k{i}", frequent[i], "left")
     earlier = [F.when(F.col(f"l{i}") < F.col("ix"), F.col(f"n{i}")) for i in reversed(range(len(keys)))]
     number = F.coalesce("own", *earlier)
     told = named.select(F.col("ix").alias(order), F.col("own").isNull().alias("is_duplicate"), F.format_string("cluster_%06d", number).alias("duplicate_cluster_id"))

@@ -36,6 +36,40 @@ def test_exact_against_the_sequential_scan(spark):
         assert (r.is_duplicate, int(r.duplicate_cluster_id[8:])) == want[r.row_ix], r
 
 
+def check(df, rows):
+    want = sequential(rows)
+    got = {r.row_ix: (r.is_duplicate, int(r.duplicate_cluster_id[8:])) for r in dedup.mark_exact(df).select("row_ix", "is_duplicate", "duplicate_cluster_id").collect()}
+    assert got == want
+
+
+def test_small_ranges_and_frequent_keys(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "RANGE", 30)
+    monkeypatch.setattr(dedup, "HOT", 20)
+    rng = random.Random(6)
+    for peel in (0, 1, 4):
+        monkeypatch.setattr(dedup, "PEEL", peel)
+        key = lambda p, n: rng.choice([None, f"{p}hot", f"{p}hot", f"{p}{rng.randrange(n)}", f"{p}{rng.randrange(n)}", f"{p}{rng.randrange(n)}"])
+        rows = [(i, key("P", 60), key("e", 60)) for i in range(400)]
+        check(spark.createDataFrame(rows, "row_ix long, phone string, email string").repartition(3), rows)
+
+
+def test_a_long_chain_and_a_key_of_a_million_rows(spark, monkeypatch):
+    """Rows that wait for each other end in a bounded number of rounds, and so does a key that most rows have."""
+    n, rounds = 100_000, []
+    chain = spark.range(n).selectExpr("id AS row_ix", "concat('p', id div 2) AS phone", "concat('e', (id + 1) div 2) AS email")
+    true = dedup._scanned
+    monkeypatch.setattr(dedup, "RANGE", 30_000)
+    monkeypatch.setattr(dedup, "_scanned", lambda *a: (rounds.append(1), true(*a))[1])
+    got = dedup.mark_exact(chain)
+    assert got.where("is_duplicate <> (row_ix % 2 = 1)").count() == 0 and got.count() == n
+    assert 3 <= len(rounds) <= 5
+    hot = spark.range(1_000_000).selectExpr("id AS row_ix", "IF(id % 10 < 8, 'hot', concat('p', id)) AS phone", "IF(id % 3 = 0, NULL, concat('e', id % 250000)) AS email")
+    got = dedup.mark_exact(hot)
+    assert got.where("phone = 'hot' AND NOT is_duplicate").select("row_ix").collect() == [(0,)]
+    rows = spark.range(20_000).selectExpr("id", "IF(id % 10 < 8, 'hot', concat('p', id))", "IF(id % 3 = 0, NULL, concat('e', id % 5000))").collect()
+    check(spark.createDataFrame(rows, "row_ix long, phone string, email string"), [tuple(r) for r in rows])
+
+
 def test_golden(spark):
     df = spark.createDataFrame([(1, "p1", None), (2, "p1", "e1"), (3, None, "e1")], "row_ix long, phone string, email string")
     got = [(r.row_ix, r.duplicate_cluster_id, r.is_duplicate) for r in dedup.mark_exact(df).orderBy("row_ix").collect()]
