@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from brightsieve.operators.ranks import percentiles
+
 
 def missing(df: DataFrame) -> DataFrame:
     """Nulls and their percentage by column, most first."""
@@ -15,15 +17,19 @@ def missing(df: DataFrame) -> DataFrame:
 
 
 def numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, deviation, quartiles, variance, and bias-corrected skewness and kurtosis by column."""
+    """Count, mean, deviation, quartiles, variance, and bias-corrected skewness and kurtosis by column.
+
+    The quartiles are found by narrowing ranges (``ranks``), so that no task holds a column's values.
+    """
     columns = columns or [f.name for f in df.schema.fields if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")]
+    quartiles = percentiles(df, columns, [0.25, 0.5, 0.75])
 
     def told(c):
         x = F.col(c).cast("double")
         n = F.count(x).cast("double")
         skew = F.when((n > 2) & (F.var_samp(x) > 0), F.sqrt(n * (n - 1)) / (n - 2) * F.skewness(x))
         kurt = F.when((n > 3) & (F.var_samp(x) > 0), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(x) + 6))
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        q = [F.lit(v).cast("double") for v in quartiles[c]]
         return F.struct(
             F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
             q[0].alias("q25"), q[1].alias("median"), q[2].alias("q75"), F.max(x).alias("max"), F.var_samp(x).alias("variance"), skew.alias("skewness"), kurt.alias("kurtosis"),

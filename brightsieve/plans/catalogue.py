@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brightsieve.functions import normalize as N
 from brightsieve.functions import validate as Va
 from brightsieve.functions.vocab import TARGETS
-from brightsieve.operators import classify, dedup, profile, quality, rules
+from brightsieve.operators import classify, dedup, intervals, profile, quality, rules
 from brightsieve.plans import leads, mapping, oracle as o, relational
 from brightsieve.plans.pipeline import union_all
 from brightsieve.session import table
@@ -409,3 +409,35 @@ def s02_csv_parts(spark, sf_dir):
     table(spark, sf_dir, "documents").where("text <> ''").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
     rows = files.read_csv(spark, path, delimiter=",", lineage=False, strings=False, through_spark=True)
     return rows.select("doc_id", "lang", F.sha2("text", 256).alias("text_sha256"), F.char_length("text").cast("long").alias("n"))
+
+
+_SPANS = """SELECT o_orderkey, o_custkey, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS s, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) + CASE WHEN o_orderkey % 500 = 0 THEN 20000 ELSE o_orderkey % 400 END AS e FROM orders"""
+
+
+def _spans(spark, sf_dir):
+    """Days that orders are open, from one day to a year, some for decades."""
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1990-01-01").cast("date"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", day.alias("s"), (day + F.when(F.col("o_orderkey") % 500 == 0, 20000).otherwise(F.col("o_orderkey") % 400)).alias("e"))
+
+
+@query("rel_interval_overlap", f"WITH o AS ({_SPANS}) SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND a.s <= b.e AND b.s <= a.e")
+def rel_interval_overlap(spark, sf_dir):
+    """2.12: orders of a customer that are open at the same time."""
+    o = _spans(spark, sf_dir)
+    return intervals.overlap_join(o, o, ("s", "e"), keys=["o_custkey"]).where("l.o_orderkey < r.o_orderkey").select(F.col("l.o_orderkey").alias("a"), F.col("r.o_orderkey").alias("b"))
+
+
+@query("rel_interval_contains", f"WITH o AS ({_SPANS}) SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey AND a.s <= b.s AND b.e <= a.e")
+def rel_interval_contains(spark, sf_dir):
+    """2.12: orders of a customer that are open while another one is, from beginning to end."""
+    o = _spans(spark, sf_dir)
+    return intervals.overlap_join(o, o, ("s", "e"), keys=["o_custkey"], contains=True).where("l.o_orderkey <> r.o_orderkey").select(F.col("l.o_orderkey").alias("a"), F.col("r.o_orderkey").alias("b"))
+
+
+@query("rel_interval_one_long", """WITH p AS (SELECT p_partkey, CASE WHEN p_partkey = 1 THEN 0 ELSE CAST(floor(p_retailprice * 100) AS BIGINT) END AS s, CASE WHEN p_partkey = 1 THEN 1000000000 ELSE CAST(floor(p_retailprice * 100) AS BIGINT) + p_size END AS e FROM part)
+SELECT a.p_partkey, count(*) AS n FROM p a JOIN p b ON a.s <= b.e AND b.s <= a.e GROUP BY a.p_partkey""")
+def rel_interval_one_long(spark, sf_dir):
+    """2.12: how many ranges of prices each one meets, without an equal key; one of them meets all."""
+    cents = F.floor(F.col("p_retailprice") * 100)
+    p = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") == 1, 0).otherwise(cents).alias("s"), F.when(F.col("p_partkey") == 1, 1_000_000_000).otherwise(cents + F.col("p_size")).alias("e"))
+    return intervals.overlap_join(p, p, ("s", "e")).groupBy(F.col("l.p_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("n"))
