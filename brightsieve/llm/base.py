@@ -10,12 +10,12 @@ import string
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightsieve.storage import drop_written, new_path, remove, shared_dir, temporary, written
 
-__all__ = ["ascii_lower", "drop_written", "lean", "new_path", "remove", "shared_dir", "slices", "temporary", "texts_of", "written"]
+__all__ = ["ascii_lower", "drop_written", "lean", "new_path", "remove", "shared_dir", "sheltered", "slices", "temporary", "texts_of", "written"]
 
 #: Bytes of text that are Python objects at once.
 SLICE_BYTES = 2 << 20
@@ -60,3 +60,13 @@ def lean(run):
                 pass
 
     return running
+
+
+def sheltered(docs: DataFrame, run) -> DataFrame:
+    """``run(docs)``, which keeps all columns, with those whose names begin with two underscores, as the operators' own do, under others meanwhile."""
+    names, taken = docs.columns, {c.lower() for c in docs.columns}
+    if not any(c.startswith("__") for c in names):
+        return run(docs)
+    free = (n for n in (f"column{i}" for i in range(2 * len(names))) if n not in taken)
+    other = [next(free) if c.startswith("__") else c for c in names]
+    return run(docs.toDF(*other)).select(other).toDF(*names)

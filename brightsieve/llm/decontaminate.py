@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import ascii_lower, new_path, written
+from brightsieve.llm.base import ascii_lower, new_path, sheltered, written
 
 WINDOW, RAREST = 10, 3
 #: What is broadcast has this many rows and bytes at most, counted before; more is joined by shuffle.
@@ -212,7 +212,12 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold any benchmark window go; the others, null texts among them, keep all columns."""
-    found = _found(matches(docs, index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return sheltered(docs, lambda rows: _clean(rows, bench))
+
+
+def _clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
+    found = _found(matches(docs, index(docs), bench))
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th")), "left_anti")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import written
+from brightsieve.llm.base import sheltered, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Equal to the plain patterns of the docstrings of tests/llm/test_pii.py. A look-behind
@@ -282,9 +282,10 @@ def _term_places(rows: DataFrame, kinds: list[str]) -> DataFrame:
     places = places.join(told, ["th", "term"]).select("th", "start", "end", "hit", "ratio")
     spans = rows.select("th", F.explode(every).alias("s")).select("th", "s.start", "s.end", F.lit(None).cast("string").alias("hit"), F.lit(None).cast("double").alias("ratio"))
     text = W.partitionBy("th").orderBy("start", F.col("hit").isNotNull())
+    back = W.partitionBy("th").orderBy(F.desc("start"), F.col("hit").isNotNull().desc())  # frames that grow forwards only take linear time
     swept = places.unionByName(spans).withColumns({
         "upto": F.max(F.when(F.col("hit").isNull(), F.col("end"))).over(text.rowsBetween(W.unboundedPreceding, W.currentRow)),
-        "next": F.first(F.when(F.col("hit").isNull(), F.col("start")), ignorenulls=True).over(text.rowsBetween(1, W.unboundedFollowing)),
+        "next": F.last(F.when(F.col("hit").isNull(), F.col("start")), ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, -1)),
     })
     free = swept.where(F.col("hit").isNotNull() & (F.coalesce("upto", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
     return free.groupBy(F.col("th").alias("xth")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "hit", "ratio"))).alias("terms"))
@@ -322,6 +323,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Overlapping spans become one replacement, named after the first.
     """
+    return sheltered(docs, lambda rows: _redacted(rows, id_col, text_col))
+
+
+def _redacted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     held = written(located(docs, id_col, text_col, keep=True), "located")
     told = revealed(docs, held.select(F.col("__th").alias("th"), F.col("__near").alias("near")), text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

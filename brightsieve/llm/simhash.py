@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightsieve.llm.base import lean, slices, texts_of, written
+from brightsieve.llm.base import lean, sheltered, slices, texts_of, written
 from brightsieve.llm.components import class_names
 
 WORDS, SEED, BITS = 3, 42, 3
@@ -235,6 +235,10 @@ def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     of repeated rows one stays. Null and wordless texts have fingerprint 0 and are one component. Only fingerprints
     are shuffled: the row kept is named by its place in the table, which is written for that.
     """
+    return sheltered(docs, _kept)
+
+
+def _kept(docs: DataFrame) -> DataFrame:
     held = docs.withColumn("__row", F.monotonically_increasing_id())
     names = docs.columns
     held = written(held, "near-dedup")  # a row's number must not change between reads

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -40,6 +41,34 @@ def test_base_spans(spark, docs, texts, nothing):
     assert got == want and pii.find(nothing).count() == 0
 
 
+def test_many_matches_take_linear_time(spark):
+    """Ten times the matches of a text take some ten times the time at most; places beyond the first block are right."""
+    def took(n):
+        text = "ab " + " ".join(f"u{i}@h{i}.org" for i in range(n)) + " 1.2.3.4"
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        r = pii.located(df).first()
+        assert [(s.start, s.end) for s in r.email] == [m.span() for m in re.finditer(PLAIN["email"], text)] and len(r.email) == n
+        assert [(s.start, s.end) for s in r.ip] == [(len(text) - 7, len(text))] and len(r.near) == n + 1
+        return time.time() - began
+
+    took(1_000)
+    small, large = took(10_000), took(100_000)
+    assert large < 12 * small + 10
+
+
+def test_many_entities_and_terms_of_one_text(spark):
+    """4,000 entities beside 4,000 terms in three texts: one group of entities, not all pairs of both."""
+    n = 4_000
+    rows = [(k, " ".join(f"{'abc'[k]}x u{i}@h{i}.org" for i in range(n)) + " " + " ".join(f"term{i}" for i in range(n))) for k in range(3)]
+    df = spark.createDataFrame(rows + [(10 + i, f"some other words {i}") for i in range(12_000)], "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.find(df).where("doc_id < 3").collect()}
+    assert all(len(r.email) == n and len(r.terms) == n for r in out.values())
+    assert [t.hit for t in out[0].terms[:2]] == ["term0", "term1"] and out[0].terms[0].start == rows[0][1].index(" term0") + 1
+    red = {r.doc_id: r.text for r in pii.redact(df).where("doc_id < 3").collect()}
+    assert red[1].count("[EMAIL]") == n and "@" not in red[1] and "term" not in red[1]
+
+
 def test_long_runs_take_linear_time(spark):
     df = spark.createDataFrame([(1, "x" * 200_000 + "@"), (2, "7" * 200_000 + ".")], "doc_id long, text string")
     assert all(not any(r[k] for k in pii.KINDS) for r in pii.find(df).collect())

@@ -2,6 +2,8 @@ import hashlib
 import re
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from brightsieve.llm import bpe, quality
 from test_decontaminate import brute as windows_in
 from test_pii import brute as personal
@@ -59,8 +61,47 @@ def test_stages(spark, tmp_path):
     assert sorted(map(str, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(str, rows[4][1]))
 
 
+CLASH = ("__row", "__th", "__id", "__ID2", "__near", "__order", "__terms", "component_id", "n_hit", "term", "start", "xth")
+
+
+def test_odd_rows_and_clashing_names(spark, tmp_path):
+    """Null, empty, repeated and blank rows, and columns named as the operators name their own: all stages keep their values."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    some = [tuple(r) for r in docs.orderBy("doc_id").limit(60).collect()]
+    odd = [(None, some[3][1], None, None, None), (None, None, "en", "s", None), (9_000, None, None, None, None), (9_001, "", "en", "s", 0), (9_002, " \n", None, "s", 2), some[5], some[5], (9_003, "mail me: some.one@example.org or +1 222 333 4444 " + some[7][1], "en", "s", None)]
+    own = {c: f"v{i}" for i, c in enumerate(CLASH)}
+    rows = spark.createDataFrame(some + odd, docs.schema).withColumns({c: F.concat(F.lit(v), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c, v in own.items()})
+    names = rows.columns
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before = rows.collect()
+        stage(spark, rows, sf_dir).write.parquet(f"{tmp_path}/{k}")
+        rows = spark.read.parquet(f"{tmp_path}/{k}")
+        after = rows.collect()
+        if k == 4:
+            assert len(after) == len(before)
+            break
+        assert rows.columns == names and len(after) > 20
+        for r in after:
+            assert all(r[c] == v + ("none" if r.doc_id is None else str(r.doc_id)) for c, v in own.items())
+        was = {str(r) for r in before}
+        if k != 3:
+            assert all(str(r) in was for r in after)
+        if k == 3:
+            assert len(after) == len(before)
+            assert not any("some.one@example.org" in (r.text or "") for r in after)
+
+
+def test_empty_table_stays_empty(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, rows, sf_dir)
+        assert rows.count() == 0
+
+
 def test_entry_points(spark):
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {re.match("op[0-9]+", k)[0] for k in names if k.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {re.match("op[0-9]+", k)[0] for k in names if k.startswith("op")} and "pipeline" in names
