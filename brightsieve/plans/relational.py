@@ -33,7 +33,7 @@ SQL_QUERIES = {
     "sql_full_join": _same("SELECT coalesce(c_custkey, s_suppkey) AS k, c_name, s_name FROM {customer} FULL OUTER JOIN {supplier} ON c_custkey = s_suppkey"),
     "sql_cross_join": _same("SELECT r_name, n_name FROM {region} CROSS JOIN {nation}"),
     "sql_semi_join": _same("SELECT c_custkey FROM {customer} WHERE EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 200000)"),
-    "sql_anti_join": _same("SELECT c_custkey FROM {customer} WHERE c_custkey NOT IN (SELECT o_custkey FROM {orders} WHERE o_totalprice > 200000)"),
+    "sql_anti_join": _same("SELECT c_custkey FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 200000)"),
     "sql_theta_join": _same("SELECT a.n_name AS a, b.n_name AS b FROM {nation} a JOIN {nation} b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey"),
     "sql_inequality_join": _same("SELECT a.r_name AS a, b.n_name AS b FROM {region} a JOIN {nation} b ON a.r_regionkey < b.n_nationkey - 20"),
     "sql_natural_join": _same("SELECT r_regionkey, n, r_name FROM (SELECT r_regionkey, r_name FROM {region}) a NATURAL JOIN (SELECT n_regionkey AS r_regionkey, count(*) AS n FROM {nation} GROUP BY n_regionkey) b"),

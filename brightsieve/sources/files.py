@@ -27,9 +27,14 @@ SPLIT_BYTES = 32 << 20
 DELIMITERS = [",", "\t", ";", "|"]
 
 
-def discover(folder: str, pattern: str = "*") -> list[str]:
-    """CSV and Excel files of a folder, by kind and then by name."""
-    names = sorted(os.listdir(folder))
+def discover(folder: str, pattern: str = "*", spark: SparkSession | None = None) -> list[str]:
+    """CSV and Excel files of a folder, by kind and then by name; with ``spark`` a folder of any store that Spark reads."""
+    if "://" in folder and spark:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = sorted(x.getPath().getName() for x in fs.listStatus(where) if x.isFile())
+    else:
+        names = sorted(os.listdir(folder))
     return [os.path.join(folder, n) for ext in ("csv", "xlsx", "xls") for n in names if fnmatch.fnmatch(n, f"{pattern}.{ext}")]
 
 
@@ -175,7 +180,7 @@ def with_lineage(df: DataFrame, file: str, sheet: str | None = None) -> DataFram
 def extract(spark: SparkSession, folder: str, pattern: str = "*", registry: Registry | None = None) -> dict[str, DataFrame]:
     """A frame per file or sheet; a source that can't be read is logged and left out."""
     found: dict[str, DataFrame] = {}
-    for path in discover(folder, pattern):
+    for path in discover(folder, pattern, spark):
         name = os.path.basename(path)
         try:
             if path.endswith(".csv"):

@@ -108,3 +108,11 @@ def test_records_keep_their_order_in_the_pipeline(spark, tmp_path, block):
     df = files.read_csv(spark, str(p), split=True, place=True)
     rows = pipeline.to_leads("leads.csv", df).orderBy("record_id").collect()
     assert [r.phone[-2:] for r in rows] == [f"{i:02d}" for i in range(40)] and csv_splits.PLACE not in rows[0].asDict()
+
+
+def test_folder_by_its_scheme(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("Name,Note\nAcme,\"x\ny\"\n")
+    (tmp_path / "a.csv").write_text("Name,Note\nBeta,007\n")
+    (tmp_path / "other.txt").write_text("no")
+    found = files.extract(spark, f"file://{tmp_path}")
+    assert list(found) == ["a.csv", "b.csv"] and found["b.csv"].first().Note == "x\ny" and found["a.csv"].first()._source_file == "a.csv"
