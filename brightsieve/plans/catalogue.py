@@ -171,7 +171,7 @@ def d01_two(spark, sf_dir):
     return dedup.mark_exact(leads.canonical(spark, sf_dir)).select("row_ix", "is_duplicate", "duplicate_cluster_id")
 
 
-@query("d03_fuzzy_pairs")
+@query("d03_fuzzy_pairs", o.FUZZY)
 def d03(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_ix"), F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("company"), F.concat_ws(" ", "p_brand", "p_type").alias("address1"))
     return dedup.fuzzy_pairs(part)

@@ -188,3 +188,20 @@ SELECT l.ix AS row_ix, o.number IS NULL AS is_duplicate,
   'cluster_' || lpad(CAST(coalesce(o.number, CASE WHEN b.ix < l.ix THEN b.number END, a.number) AS VARCHAR), 6, '0') AS duplicate_cluster_id
 FROM l LEFT JOIN lead o ON o.ix = l.ix LEFT JOIN lead a ON a.p = l.p LEFT JOIN lead b ON b.e = l.e
 """
+
+#: D3: names and addresses within the edits that their ratio allows, then the longest common subsequence by bits of a 128-bit number.
+FUZZY = """
+WITH t AS MATERIALIZED (SELECT p_partkey AS ix, lower(trim(concat_ws(' ', p_name, CAST(p_size AS VARCHAR)))) AS c, lower(trim(concat_ws(' ', p_brand, p_type))) AS a FROM part),
+near AS (SELECT x.s AS s1, y.s AS s2, field FROM (SELECT DISTINCT c AS s, 'c' AS field, 0.85 AS least FROM t UNION ALL SELECT DISTINCT a, 'a', 0.90 FROM t) x
+  JOIN (SELECT DISTINCT c AS s, 'c' AS field FROM t UNION ALL SELECT DISTINCT a, 'a' FROM t) y USING (field)
+  WHERE x.s <> '' AND x.s < y.s AND levenshtein(x.s, y.s) <= (1 - least) * (length(x.s) + length(y.s)) + 1e-9),
+bits AS (SELECT field, s1, s2, (CAST(1 AS HUGEINT) << length(s1)) - 1 AS full_,
+  list_transform(string_split(s2, ''), lambda ch: list_sum(list_transform(range(length(s1)), lambda i: CASE WHEN s1[CAST(i AS INTEGER) + 1] = ch THEN CAST(1 AS HUGEINT) << CAST(i AS INTEGER) ELSE CAST(0 AS HUGEINT) END))) AS masks FROM near),
+lcs AS (SELECT field, s1, s2, length(s1) - bit_count(list_reduce(list_prepend(full_, list_transform(masks, lambda m: CAST(m AS HUGEINT))), lambda v, m: ((v + (v & m)) | (v - (v & m))) & full_)) AS n FROM bits),
+alike AS (SELECT field, s1, s2, 2.0 * n / (length(s1) + length(s2)) AS r FROM lcs),
+every AS (SELECT field, s1, s2, CAST(r AS DOUBLE) AS r FROM alike UNION ALL SELECT field, s2, s1, CAST(r AS DOUBLE) FROM alike
+  UNION ALL SELECT DISTINCT 'c', c, c, CAST(1 AS DOUBLE) FROM t WHERE c <> '' UNION ALL SELECT DISTINCT 'a', a, a, CAST(1 AS DOUBLE) FROM t WHERE a <> ''),
+met AS (SELECT x.ix AS ix1, y.ix AS ix2, e.r AS s, x.a AS a1, y.a AS a2 FROM t x JOIN every e ON e.field = 'c' AND e.s1 = x.c AND e.r >= CAST(0.85 AS DOUBLE) JOIN t y ON y.c = e.s2 AND x.ix < y.ix)
+SELECT ix1, ix2, CASE WHEN f.r >= CAST(0.9 AS DOUBLE) THEN (s + f.r) / 2 ELSE s END AS score
+FROM met LEFT JOIN every f ON f.field = 'a' AND f.s1 = a1 AND f.s2 = a2 WHERE f.r >= CAST(0.9 AS DOUBLE) OR s >= CAST(0.95 AS DOUBLE)
+"""
