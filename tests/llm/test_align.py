@@ -16,6 +16,10 @@ A_PATH, B_PATH = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 NAMES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+PRINTABLE = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+OTHERS = [x for x in range(256) if x not in PRINTABLE]
+
+
 class Plain:
     """Whole texts by the libraries, groups and links one by one."""
 
@@ -44,12 +48,7 @@ class Plain:
         return a, b
 
     def a_bytes(self, token):
-        name, out = self.a.id_to_token(token), []
-        printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-        others = [x for x in range(256) if x not in printable]
-        for c in name:
-            out.append(ord(c) if ord(c) < 256 else others[ord(c) - 256])
-        return bytes(out)
+        return bytes(ord(c) if ord(c) < 256 else OTHERS[ord(c) - 256] for c in self.a.id_to_token(token))
 
     def groups(self, text):
         a, b = self.tokens(text)
