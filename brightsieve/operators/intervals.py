@@ -1,4 +1,4 @@
-"""Joins of intervals of any length: overlap, containment, and points in ranges.
+"""Joins of intervals of any length: overlap, containment, and points in ranges; how many each one meets.
 
 An interval belongs to the level whose bins, 2^level wide, are the narrowest that are
 not shorter than it, and so lies in two bins of its level at most. Of two intervals that overlap, the
@@ -10,6 +10,9 @@ A level that few intervals have, long ones as a rule, is met by broadcast: LONG
 over all such levels at most. So a bin of a very long interval, in which all others
 meet it, is no task of its own. Bounds are whole numbers.
 
+Where only the number of intervals met is asked, no pair is made: an interval meets all that begin
+no later than it ends, but for those that end before it begins. Both are running sums over the bounds.
+
 Defined cases: an interval with a null or reversed bound meets nothing; bounds belong to
 it; null keys meet nothing; equal rows meet as often as they occur; an empty side gives no rows.
 """
@@ -19,8 +22,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from brightsieve.storage import written
+
 #: Intervals of sparse levels that are broadcast at most.
 LONG = 50_000
 
@@ -84,3 +90,31 @@ def overlap_join(left: DataFrame, right: DataFrame, bounds: tuple[str, str], oth
     if not out:
         return left.select(F.struct(*left.columns).alias("l")).where("false").crossJoin(right.select(F.struct(*right.columns).alias("r")).where("false"))
     return reduce(DataFrame.unionByName, out)
+
+
+def overlap_counts(left: DataFrame, right: DataFrame, bounds: tuple[str, str], other: tuple[str, str] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """``l, n``: the left side's rows that ``overlap_join`` would return, with the number of the right side's rows that each one meets."""
+    keys = keys or []
+    rows, met = _side(left, keys, *bounds, "l").drop("__level"), _side(right, keys, *(other or bounds), "r")
+    ks = [f"k{i}" for i in range(len(keys))]
+
+    def points(df, bound, begins, ends):
+        return df.groupBy(*ks, F.col(bound).alias("__at")).agg(begins.alias("__begins"), ends.alias("__ends"))
+
+    none, one = F.lit(0).cast("long"), F.count(F.lit(1))
+    asked = [rows.select(*ks, F.col(b).alias("__at")).distinct().select(*ks, "__at", none.alias("__begins"), none.alias("__ends")) for b in ("__start", "__end")]
+    every = reduce(DataFrame.unionByName, [points(met, "__start", one, F.min(none)), points(met, "__end", F.min(none), one), *asked])
+    every = every.groupBy(*ks, "__at").agg(F.sum("__begins").alias("__begins"), F.sum("__ends").alias("__ends"))
+    held = written(every.repartitionByRange(*ks, "__at").withColumn("__part", F.spark_partition_id()), "bounds")
+    # a key has as many that begin as that end, so that sums over all keys before differ by nothing
+    sums = held.groupBy("__part").agg(F.sum("__begins").alias("b"), F.sum("__ends").alias("e"))
+    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)  # one row a partition
+    sums = sums.select("__part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("b", "e")])
+    within = W.partitionBy("__part").orderBy(*ks, "__at")
+    run = held.join(F.broadcast(sums), "__part")
+    begun = F.col("b") + F.sum("__begins").over(within)
+    ended = F.col("e") + F.sum("__ends").over(within) - F.col("__ends")
+    run = written(run.select(*ks, "__at", begun.alias("__begun"), ended.alias("__ended")), "running")
+    out = rows.join(run.select(*ks, F.col("__at").alias("__end"), "__begun"), [*ks, "__end"])
+    out = out.join(run.select(*ks, F.col("__at").alias("__start"), "__ended"), [*ks, "__start"])
+    return out.select("l", (F.col("__begun") - F.col("__ended")).alias("n")).where("n > 0")

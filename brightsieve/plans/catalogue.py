@@ -440,4 +440,4 @@ def rel_interval_one_long(spark, sf_dir):
     """2.12: how many ranges of prices each one meets, without an equal key; one of them meets all."""
     cents = F.floor(F.col("p_retailprice") * 100)
     p = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") == 1, 0).otherwise(cents).alias("s"), F.when(F.col("p_partkey") == 1, 1_000_000_000).otherwise(cents + F.col("p_size")).alias("e"))
-    return intervals.overlap_join(p, p, ("s", "e")).groupBy(F.col("l.p_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("n"))
+    return intervals.overlap_counts(p, p, ("s", "e")).groupBy(F.col("l.p_partkey").alias("p_partkey")).agg(F.sum("n").alias("n"))

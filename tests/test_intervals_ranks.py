@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brightsieve.operators import intervals, ranks
+from brightsieve.plans import catalogue
 
 
 def pairs(a, b, keyed, contains):
@@ -58,6 +59,26 @@ def test_no_side_is_compared_with_all_of_the_other(spark):
     assert "CartesianProduct" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
 
 
+def test_counts_are_those_of_the_join(spark):
+    rng = random.Random(5)
+    a, b = made(rng, 150), made(rng, 110)
+    left, right = (spark.createDataFrame(x, "id int, k string, s long, e long") for x in (a, b))
+    for keyed in (True, False):
+        got = intervals.overlap_counts(left, right, ("s", "e"), keys=["k"] if keyed else None).collect()
+        rows = [r[0] for r in pairs(a, b, keyed, False)]
+        times = {i: sum(r[0] == i for r in a) for i in set(rows)}
+        assert sorted((r.l.id, r.n) for r in got) == sorted((r[0], rows.count(r[0]) // times[r[0]]) for r in a if r[0] in times)
+    assert intervals.overlap_counts(left, right.limit(0), ("s", "e")).count() == 0
+
+
+def test_the_query_counts_without_pairs(spark, tmp_path):
+    """200,000 prices, the same but for two: 4e10 pairs, which no plan may make."""
+    parts = spark.range(200_000).selectExpr("id AS p_partkey", "CASE WHEN id = 2 THEN 500.0D ELSE 900.0D END AS p_retailprice", "CAST(id % 50 AS INT) AS p_size")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.p_partkey: r.n for r in catalogue.rel_interval_one_long(spark, str(tmp_path)).collect()}
+    assert len(got) == 200_000 and got[1] == 200_000 and got[2] == 2 and got[0] == got[7] == 199_999
+
+
 def percentile(values, share):
     held = sorted(values, key=lambda v: (math.isnan(v), v))
     p = (len(held) - 1) * share
