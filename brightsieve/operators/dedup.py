@@ -155,35 +155,78 @@ def _close(a: str, b: str, ratio: float):
     return F.levenshtein(a, b) <= (1 - ratio) * (F.length(a) + F.length(b)) + 1e-9
 
 
+def _like(names: DataFrame, ratio: float) -> DataFrame:
+    """``n1, n2, s``: numbers of strings (c, n) with an Indel ratio of ``ratio`` or more, once for a pair, each with itself.
+
+    No pair is lost: strings with an Indel ratio of t share so many bigrams that
+    the rarest ceil(p |a|) + 1 of each must meet (prefix filter), where
+    p = (2 - 1.5 t) + (1 - 1.5 t) t / (2 - t).
+    """
+    grams = F.when(F.length("c") < 2, F.array("c")).otherwise(F.transform(F.sequence(F.lit(1), F.length("c") - 1), lambda i: F.substring("c", i, F.lit(2))))
+    every = names.select("c", "n", F.explode(grams).alias("g")).groupBy("c", "n", "g").agg(F.count(F.lit(1)).alias("times"))
+    every = every.select("c", "n", "g", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("time"))
+    common = every.groupBy("g", "time").agg(F.count(F.lit(1)).alias("held"))
+    ranked = every.join(common, ["g", "time"]).groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("held", "g", "time"))).alias("gs"))
+    share = (2 - 1.5 * ratio) + (1 - 1.5 * ratio) * ratio / (2 - ratio)
+    prefix = ranked.select("c", "n", F.explode(F.slice("gs", 1, (F.ceil(F.length("c") * share) + 1).cast("int"))).alias("t")).select("c", "n", "t.g", "t.time")
+    near = prefix.select(F.col("c").alias("c1"), F.col("n").alias("n1"), "g", "time").join(prefix.select(F.col("c").alias("c2"), F.col("n").alias("n2"), "g", "time"), ["g", "time"])
+    reach = (2 - ratio) / ratio
+    near = near.where((F.col("n1") < F.col("n2")) & (F.length("c1") <= F.length("c2") * reach) & (F.length("c2") <= F.length("c1") * reach)).select("c1", "n1", "c2", "n2").distinct()
+    alike = near.where(_close("c1", "c2", ratio)).withColumn("s", indel("c1", "c2")).where(F.col("s") >= ratio).select("n1", "n2", "s")
+    return alike.unionByName(names.select(F.col("n").alias("n1"), F.col("n").alias("n2"), F.lit(1.0).alias("s")))
+
+
+#: Rows of equal company and address that make one piece at most, or so; pairs of rows that a task compares, or so.
+PIECE, LOAD = 1_000, 16_000_000
+
+
 def fuzzy_pairs(df: DataFrame, order: str = "row_ix", company: float = 0.85, address: float = 0.90, alone: float = 0.95) -> DataFrame:
     """D3: ``ix1, ix2, score`` of rows with like companies and addresses, or with nearly equal companies.
 
-    No pair is lost: companies with an Indel ratio of t share so many bigrams that
-    the rarest ceil(p |a|) + 1 of each must meet (prefix filter), where
-    p = (2 - 1.5 t) + (1 - 1.5 t) t / (2 - t). Distinct companies are compared once.
+    No pair is lost. Distinct companies are compared once (``_like``), and so are distinct addresses
+    that meet by them. Rows of equal company and address go as pieces, and become pairs of rows last.
+    The pieces of a company are dealt to as many tasks as its pairs ask for.
     """
     text = lambda c: F.lower(strip(F.coalesce(F.col(c), F.lit(""))))
-    rows = df.select(F.col(order).alias("ix"), text("company").alias("c"), text("address1").alias("a"))
-    names = written(rows.select("c").where("c != ''").distinct(), "names")
-    grams = F.when(F.length("c") < 2, F.array("c")).otherwise(F.transform(F.sequence(F.lit(1), F.length("c") - 1), lambda i: F.substring("c", i, F.lit(2))))
-    every = names.select("c", F.explode(grams).alias("g")).groupBy("c", "g").agg(F.count(F.lit(1)).alias("times"))
-    every = every.select("c", "g", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("time"))
-    common = every.groupBy("g", "time").agg(F.count(F.lit(1)).alias("n"))
-    ranked = every.join(common, ["g", "time"]).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("n", "g", "time"))).alias("gs"))
-    share = (2 - 1.5 * company) + (1 - 1.5 * company) * company / (2 - company)
-    prefix = ranked.select("c", F.explode(F.slice("gs", 1, (F.ceil(F.length("c") * share) + 1).cast("int"))).alias("t")).select("c", "t.g", "t.time")
-    near = prefix.select(F.col("c").alias("c1"), "g", "time").join(prefix.select(F.col("c").alias("c2"), "g", "time"), ["g", "time"])
-    reach = (2 - company) / company
-    near = near.where((F.col("c1") <= F.col("c2")) & (F.length("c1") <= F.length("c2") * reach) & (F.length("c2") <= F.length("c1") * reach)).select("c1", "c2").distinct()
-    alike = written(near.where(_close("c1", "c2", company)).withColumn("s", indel("c1", "c2")).where(F.col("s") >= company), "alike")
-    both = alike.union(alike.where("c1 != c2").select("c2", "c1", "s"))
-    left, right = (rows.select(F.col("ix").alias(f"ix{k}"), F.col("c").alias(f"c{k}"), F.col("a").alias(f"a{k}")) for k in (1, 2))
-    met = left.join(both, "c1").join(right, "c2").where("ix1 < ix2")
-    # addresses that can't be like ones go to Python as nothing
-    able = _close("a1", "a2", address)
-    met = met.withColumn("sa", indel(F.when(able, F.col("a1")), F.when(able, F.col("a2"))))
-    score = F.when(F.col("sa") >= address, (F.col("s") + F.col("sa")) / 2).when(F.col("s") >= alone, F.col("s"))
-    return met.select("ix1", "ix2", score.alias("score")).where("score is not null")
+    rows = df.select(F.col(order).alias("ix"), text("company").alias("c"), text("address1").alias("a")).where("c != ''")
+    number = F.monotonically_increasing_id()
+    names = written(rows.select("c").distinct().withColumn("n", number), "names")
+    places = written(rows.select("a").distinct().withColumn("n", number), "addresses")
+    alike = written(_like(names, company), "alike")
+    coded = rows.join(names.withColumnRenamed("n", "c_n"), "c").join(places.withColumnRenamed("n", "a_n"), "a").select("ix", "c_n", "a_n", (F.col("a") != "").alias("told"))
+    coded = written(coded.where("ix is not null"), "coded")
+    sizes = coded.groupBy("c_n", "a_n").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
+    pieces = coded.join(sizes, ["c_n", "a_n"]).groupBy("c_n", "a_n", "told", F.pmod(F.xxhash64("ix"), F.col("pieces")).alias("piece")).agg(F.collect_list("ix").alias("ixs"))
+    pieces = written(pieces.withColumn("p", number).drop("piece"), "pieces")
+
+    # a company's share of tasks, by the pairs of rows that its pieces make with those of like companies
+    held = pieces.groupBy("c_n").agg(F.sum(F.size("ixs")).alias("held"))
+    loads = alike.join(held.select(F.col("c_n").alias("n1"), F.col("held").alias("h1")), "n1").join(held.select(F.col("c_n").alias("n2"), F.col("held").alias("h2")), "n2")
+    loads = loads.groupBy("n2").agg(F.sum(F.col("h1").cast("double") * F.col("h2")).alias("load"))
+    loads = written(loads.select("n2", "load", F.least(F.ceil(F.col("load") / LOAD), F.lit(10_000)).cast("int").alias("shares")), "loads")
+    tasks = int((loads.agg(F.sum("load")).first()[0] or 0) / LOAD) + 1
+    left = alike.join(pieces.select(F.col("c_n").alias("n1"), F.col("a_n").alias("a1"), F.col("told"), F.col("p").alias("p1"), F.col("ixs").alias("ixs1")), "n1")
+    left = left.join(loads.select("n2", "shares"), "n2").withColumn("share", F.pmod(F.xxhash64("p1"), F.col("shares")).cast("int"))
+    right = pieces.select(F.col("c_n").alias("n2"), F.col("a_n").alias("a2"), F.col("p").alias("p2"), F.col("ixs").alias("ixs2")).join(loads.select("n2", "shares"), "n2")
+    right = right.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+
+    def met(*columns):
+        one, two = (d.select("n2", "share", *[c for c in columns if c in d.columns]).repartition(min(tasks, 10_000), "n2", "share") for d in (left, right))
+        return one.join(two.hint("shuffle_hash"), ["n2", "share"])
+
+    both = met("n1", "a1", "a2", "told", "s").where("a1 != a2").select(F.least("a1", "a2").alias("x"), F.greatest("a1", "a2").alias("y")).distinct()
+    both = both.join(places.select(F.col("n").alias("x"), F.col("a").alias("ax")), "x").join(places.select(F.col("n").alias("y"), F.col("a").alias("ay")), "y")
+    near = both.where(_close("ax", "ay", address)).withColumn("sa", indel("ax", "ay")).where(F.col("sa") >= address)
+    near = written(near.select("x", "y", "sa"), "addresses-alike")
+
+    pairs = met("n1", "a1", "a2", "told", "s", "p1", "p2", "ixs1", "ixs2").where((F.col("n1") != F.col("n2")) | (F.col("p1") <= F.col("p2")))
+    pairs = pairs.withColumns({"x": F.least("a1", "a2"), "y": F.greatest("a1", "a2")}).join(near, ["x", "y"], "left")
+    sa = F.when(F.col("a1") != F.col("a2"), F.col("sa")).when(F.col("told"), F.lit(1.0))
+    score = F.when(sa.isNotNull(), (F.col("s") + sa) / 2).when(F.col("s") >= alone, F.col("s"))
+    pairs = pairs.withColumn("score", score).where("score is not null").select((F.col("p1") == F.col("p2")).alias("own"), "score", "ixs1", "ixs2")
+    out = pairs.select("own", "score", F.explode("ixs1").alias("u"), "ixs2").select("own", "score", "u", F.explode("ixs2").alias("v"))
+    out = out.where("IF(own, u < v, u != v)")
+    return out.select(F.least("u", "v").alias("ix1"), F.greatest("u", "v").alias("ix2"), "score")
 
 
 def arbitrate(pairs: DataFrame, judge, low: float = 0.70, high: float = 0.85) -> DataFrame:

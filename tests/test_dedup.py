@@ -117,6 +117,29 @@ def test_fuzzy_loses_no_pair(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
+def test_pairs_of_many_equal_rows(spark, monkeypatch):
+    """8,000 rows of few companies and addresses: no pair of rows goes to Python."""
+    monkeypatch.setattr(dedup, "PIECE", 300)
+    monkeypatch.setattr(dedup, "LOAD", 500_000)
+    rows = [(i, ["northside care 1", "northside care 11", "westside care 7"][i % 3], ["1 main street", "2 oak", None, "11 main street"][i // 3 % 4]) for i in range(8_000)]
+    found = dedup.fuzzy_pairs(spark.createDataFrame(rows, "row_ix long, company string, address1 string"))
+    assert "indel(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.c, r.d): (r.n, r.s) for r in found.where("ix1 < ix2").groupBy((F.col("ix1") % 12).alias("c"), (F.col("ix2") % 12).alias("d")).agg(F.count("*").alias("n"), F.avg("score").alias("s")).collect()}
+    ratio = lambda a, b: 2 * lcs(a, b) / (len(a) + len(b))
+    want = {}
+    for i in range(12):
+        for j in range(12):
+            (_, c, a), (_, d, b) = rows[i], rows[j]
+            s, t = ratio(c, d), ratio(a, b) if a and b else 0
+            n = sum((8_000 - 1 - x - (j - i) % 12) // 12 + ((j - i) % 12 > 0) for x in range(i, 8_000, 12) if x + ((j - i) % 12 or 12) < 8_000)
+            if s >= 0.85 and t >= 0.9:
+                want[i, j] = (n, (s + t) / 2)
+            elif s >= 0.95:
+                want[i, j] = (n, s)
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in got)
+
+
 def test_arbitration(spark):
     pairs = spark.createDataFrame([(1, 2, 0.8), (1, 3, 0.9), (2, 3, 0.72)], "ix1 long, ix2 long, score double")
     assert sorted(r.score for r in dedup.arbitrate(pairs, lambda df: F.col("ix1") == 2).collect()) == [0.72, 0.9]
