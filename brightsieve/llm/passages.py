@@ -293,7 +293,7 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _group_links(groups: DataFrame) -> DataFrame:
-    """``x, y``: items with like passages that connect each group (about FEW rows) as all its pairs would; those of one component aren't compared."""
+    """``x, y, cx, cy``: items with like passages, and their components, that connect each group (about FEW rows) as all its pairs would; those of one component aren't compared."""
 
     def told(rows):
         if not rows[0]:
@@ -320,7 +320,7 @@ def _group_links(groups: DataFrame) -> DataFrame:
                 parent[max(x, y)] = min(x, y)
                 tied.append((a, b))
         a, b = np.array(tied, np.int64).reshape(-1, 2).T
-        return pa.RecordBatch.from_arrays([pa.array(item[a]), pa.array(item[b])], ["x", "y"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (item[a], item[b], comp[a], comp[b])], ["x", "y", "cx", "cy"])
 
     @lean
     def run(batches):
@@ -344,7 +344,7 @@ def _group_links(groups: DataFrame) -> DataFrame:
             yield made
 
     rows = groups.select("sig", "item", "comp", "ctx").repartition("sig").sortWithinPartitions("sig")
-    return rows.mapInArrow(run, "x long, y long")
+    return rows.mapInArrow(run, "x long, y long, cx long, cy long")
 
 
 def _self_alike(items: DataFrame) -> DataFrame:
@@ -389,7 +389,7 @@ def _levels(crowded: DataFrame) -> DataFrame:
         # shingles with the same holders make one group
         rare = times.where(F.col("n") <= FEW).groupBy("sig", "who", "n").agg(F.min("s").alias("s")).select("sig", "s")
         small = every.join(rare, ["sig", "s"]).join(members, ["sig", "item"]).select(F.xxhash64("sig", "s").alias("sig"), "item", "comp", "ctx")
-        links = [_group_links(small)]
+        links = [_group_links(small).select("x", "y")]
         frequent = every.join(times.where(F.col("n") > FEW).select("sig", "s"), ["sig", "s"], "left_semi")
         frequent = frequent.groupBy("sig", "item").agg(F.collect_set("s").alias("kept"))  # no more than a context has
 
@@ -418,9 +418,9 @@ def _levels(crowded: DataFrame) -> DataFrame:
         sizes = written(sizes.join(before, "sig"), "sizes")
         stuck = items.join(sizes.where((F.col("items") > FEW) & (F.col("items") >= F.col("held"))).select("sig"), "sig", "left_semi")
         few = items.join(sizes.where(F.col("items") <= FEW).select("sig"), "sig", "left_semi")
-        upper = _group_links(few)
+        upper = _group_links(few).select("x", "y")
         if stuck.limit(1).count():  # all have frequent shingles in orders of their own: compared in blocks
-            upper = upper.unionByName(_group_links(_blocks(stuck)))
+            upper = upper.unionByName(_group_links(_blocks(stuck)).select("x", "y"))
         own = _self_alike(items.where("least != most")).select(F.col("item").alias("x"), F.col("item").alias("y"))
         upper = written(upper.unionByName(own), "upper")
         for link in links:
@@ -464,18 +464,18 @@ def _pivoted(members: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         sizes = written(per.agg(F.sum("k").alias("n"), F.max("k").alias("most"), F.max_by("comp", "k").alias("top")), "sizes")
         held = members.join(sizes.where("n > most"), "sig")
         nearly = F.col("n") - F.col("most") <= OUTSIDERS * FEW
-        found.append(written(_group_links(_against(held.where(nearly), F.col("comp") != F.col("top"))), "outsiders"))
+        found.append(written(_group_links(_against(held.where(nearly), F.col("comp") != F.col("top"))).select("x", "y"), "outsiders"))
         members = written(held.where(~nearly).select("sig", "item", "comp", "ctx", "n"), "crowded")
         if turn == ROUNDS or not members.limit(1).count():
             break
         draw = F.pmod(F.xxhash64("item", F.lit(turn)), F.col("n"))
-        new = written(_group_links(_against(members, draw < FEW // 2)), "pivoted")
+        # what ties a component is found already, so that one link of two is enough: groups of the same texts have many
+        new = _group_links(_against(members, draw < FEW // 2)).groupBy(F.least("cx", "cy").alias("cx"), F.greatest("cx", "cy").alias("cy"))
+        new = written(new.agg(F.min(F.struct("x", "y")).alias("l")).select("l.x", "l.y", "cx", "cy"), "pivoted")
         if not new.limit(1).count():
             break
-        found.append(new)
-        comp = members.select("item", "comp").distinct()
-        ends = new.join(comp.select(F.col("item").alias("x"), F.col("comp").alias("cx")), "x").join(comp.select(F.col("item").alias("y"), F.col("comp").alias("cy")), "y")
-        roots = connected(ends.select("cx", "cy").distinct(), "cx", "cy").select(F.col("node").alias("comp"), "root")
+        found.append(new.select("x", "y"))
+        roots = connected(new, "cx", "cy").select(F.col("node").alias("comp"), "root")
         members = written(members.join(roots, "comp", "left").select("sig", "item", F.coalesce("root", "comp").alias("comp"), "ctx"), "crowded")
     return members.select("sig", "item", "comp", "ctx"), found
 
@@ -515,7 +515,7 @@ def links(docs: DataFrame, text_col: str = "text") -> DataFrame:
     sizes = met.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("l"), F.max("comp").alias("m")).where("l != m").select("sig", "n")
     met = met.join(sizes.hint("shuffle_hash"), "sig").join(around, ["node", "place"]).select("sig", "item", "comp", "ctx", "n")
     met = written(met, "groups")
-    found = written(_group_links(met.where(F.col("n") <= FEW)), "found")
+    found = written(_group_links(met.where(F.col("n") <= FEW)).select("x", "y"), "found")
     crowded = met.where(F.col("n") > FEW).drop("n")
     if crowded.limit(1).count():
         found = found.unionByName(_levels(crowded))
