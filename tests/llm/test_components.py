@@ -46,3 +46,19 @@ def test_few_links_need_no_rounds(spark, monkeypatch):
     monkeypatch.setattr(components, "_star", star)
     rows = made()
     assert components.connected(spark.createDataFrame(rows, "a long, b long"), "a", "b").count() == len(roots([(a, b) for a, b in rows if a != b]))
+
+
+def test_large_groups_of_near_copies_are_one_class(spark):
+    """400 near copies, in groups around many places: all in one class."""
+    from brightsieve.llm import passages
+
+    rng, base = random.Random(6), [f"w{i}" for i in range(400)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        for at in range(rng.randrange(10, 30), 400, 30):
+            words[at] = f"x{i}y{at}"
+        texts.append((i, " ".join(words)))
+    links = passages.links(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    nodes = {r.a for r in links} | {r.b for r in links}
+    assert len(nodes) == 400 and len(set(roots([(r.a, r.b) for r in links]).values())) == 1
